@@ -28,17 +28,27 @@ def line_operational_summary(production: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------- AG-1
+def _tagged(**frames: DataFrame) -> DataFrame:
+    """Union of (tag, timestamp) rows: several tables summarised by ONE aggregate."""
+    out = None
+    for tag, f in frames.items():
+        ts = F.col("timestamp") if "timestamp" in f.columns else F.lit(None).cast("timestamp")
+        part = f.select(F.lit(tag).alias("_tag"), ts.cast("timestamp").alias("_ts"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def acquisition_status(sensor: DataFrame, production: DataFrame, issues: DataFrame) -> DataFrame:
     """Row counts of three tables and the latest timestamps, as one row."""
-    s = sensor.agg(F.count(F.lit(1)).alias("sensor_readings"),
-                   F.max("timestamp").alias("latest_sensor_timestamp"))
-    p = production.agg(F.count(F.lit(1)).alias("production_events"),
-                       F.max("timestamp").alias("latest_production_timestamp"))
-    q = issues.agg(F.count(F.lit(1)).alias("data_quality_issues"))
-    # Three one-row aggregates: the cross join is between single rows.
-    return s.crossJoin(p).crossJoin(q).select(
-        "sensor_readings", "production_events", "data_quality_issues",
-        "latest_sensor_timestamp", "latest_production_timestamp")
+    u = _tagged(s=sensor, p=production, q=issues)
+    t = F.col("_tag")
+    return u.agg(
+        F.count_if(t == "s").alias("sensor_readings"),
+        F.count_if(t == "p").alias("production_events"),
+        F.count_if(t == "q").alias("data_quality_issues"),
+        F.max(F.when(t == "s", F.col("_ts"))).alias("latest_sensor_timestamp"),
+        F.max(F.when(t == "p", F.col("_ts"))).alias("latest_production_timestamp"),
+    )
 
 
 # --------------------------------------------------------------------- AG-3
@@ -109,20 +119,37 @@ def latest_with_ties(df: DataFrame, key: str = "machine_id", ts: str = "timestam
 # --------------------------------------------------------------------- AG-4
 def executive_kpis(sensor: DataFrame, production: DataFrame, latest_scored: DataFrame,
                    alerts: DataFrame, scored: DataFrame) -> DataFrame:
-    machines = sensor.agg(F.countDistinct("machine_id").alias("total_machines"))
-    lines = (sensor.select("line_id").unionByName(production.select("line_id"))
-             .agg(F.countDistinct("line_id").alias("total_lines")))
-    latest = latest_scored.agg(
-        F.count_if(F.col("risk_level").isin("high", "critical")).alias("critical_machines"),
-        F.avg(to_double("health_score")).alias("avg_health_score"),
-        F.avg(to_double("rul_estimate_hours")).alias("avg_rul_hours"),
+    """One-row KPI table from a tagged union of the five inputs (one aggregate)."""
+    none_s, none_d = F.lit(None).cast("string"), F.lit(None).cast("double")
+
+    def part(tag, df, machine=None, line=None, risk=None, health=None, rul=None, flag=None):
+        def g(name, default, cast):
+            return F.col(name).cast(cast) if name and name in df.columns else default
+        return df.select(F.lit(tag).alias("_tag"), g(machine, none_s, "string").alias("_m"),
+                         g(line, none_s, "string").alias("_l"), g(risk, none_s, "string").alias("_r"),
+                         (to_double(health) if health else none_d).alias("_h"),
+                         (to_double(rul) if rul else none_d).alias("_u"),
+                         g(flag, F.lit(None).cast("long"), "long").alias("_f"))
+
+    u = (part("s", sensor, machine="machine_id", line="line_id")
+         .unionByName(part("p", production, line="line_id"))
+         .unionByName(part("l", latest_scored, risk="risk_level", health="health_score",
+                           rul="rul_estimate_hours"))
+         .unionByName(part("a", alerts))
+         .unionByName(part("x", scored, flag="anomaly_flag")))
+    t = F.col("_tag")
+    k = u.agg(
+        F.count_distinct(F.when(t == "s", F.col("_m"))).alias("total_machines"),
+        F.count_distinct(F.when(t.isin("s", "p"), F.col("_l"))).alias("total_lines"),
+        F.count_if((t == "l") & F.col("_r").isin("high", "critical")).alias("critical_machines"),
+        F.avg(F.when(t == "l", F.col("_h"))).alias("avg_health_score"),
+        F.avg(F.when(t == "l", F.col("_u"))).alias("avg_rul_hours"),
+        F.count_if(t == "a").alias("_n_alerts"),
+        F.coalesce(F.sum(F.when(t == "x", F.coalesce(F.col("_f"), F.lit(0)))), F.lit(0).cast("long"))
+        .alias("_flags"),
     )
-    n_alerts = alerts.agg(F.count(F.lit(1)).alias("_n_alerts"))
-    flags = scored.agg(F.sum(F.coalesce(F.col("anomaly_flag"), F.lit(0)).cast("long")).alias("_flags"))
-    return (machines.crossJoin(lines).crossJoin(latest).crossJoin(n_alerts).crossJoin(flags)
-            .withColumn("anomaly_count",
-                        F.when(F.col("_n_alerts") > 0, F.col("_n_alerts"))
-                         .otherwise(F.coalesce(F.col("_flags"), F.lit(0).cast("long"))))
+    return (k.withColumn("anomaly_count",
+                         F.when(F.col("_n_alerts") > 0, F.col("_n_alerts")).otherwise(F.col("_flags")))
             .drop("_n_alerts", "_flags"))
 
 
@@ -154,22 +181,26 @@ def ingest_per_minute(sensor: DataFrame, production: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------- AG-8
 def ingestion_kpis(sensor: DataFrame, production: DataFrame, issues: DataFrame,
                    logs: DataFrame | None = None) -> DataFrame:
-    ts = (sensor.select("timestamp").unionByName(production.select("timestamp"))
-          .agg(F.max("timestamp").alias("last_received_timestamp"),
-               F.count(F.lit(1)).alias("successful_ingestion_count")))
-    iss = issues.agg(
-        F.count_if(F.col("issue_type") == "delayed_reading").alias("delayed_readings"),
-        F.count_if(F.col("issue_type") == "timestamp_gap").alias("_gaps"),
-        F.count_if(F.col("issue_type") == "sensor_dropout").alias("_dropouts"),
-    )
+    frames = {"s": sensor.select("timestamp"), "p": production.select("timestamp")}
+    u = _tagged(**frames).withColumn("_it", F.lit(None).cast("string")).withColumn(
+        "_st", F.lit(None).cast("string"))
+    u = u.unionByName(issues.select(F.lit("q").alias("_tag"), F.lit(None).cast("timestamp").alias("_ts"),
+                                    F.col("issue_type").alias("_it"), F.lit(None).cast("string").alias("_st")))
     if logs is not None:
-        failed = logs.agg(F.count_if(F.lower(F.col("status")).isin("failed", "error"))
-                          .alias("failed_ingestion_count"))
-    else:
-        failed = ts.sparkSession.range(1).select(F.lit(0).cast("long").alias("failed_ingestion_count"))
-    return (ts.crossJoin(iss).crossJoin(failed)
-            .withColumn("buffered_records_proxy",
-                        F.col("_gaps") + F.col("_dropouts") + F.col("failed_ingestion_count"))
+        u = u.unionByName(logs.select(F.lit("g").alias("_tag"), F.lit(None).cast("timestamp").alias("_ts"),
+                                      F.lit(None).cast("string").alias("_it"),
+                                      F.lower(F.col("status").cast("string")).alias("_st")))
+    t, it = F.col("_tag"), F.col("_it")
+    k = u.agg(
+        F.max(F.when(t.isin("s", "p"), F.col("_ts"))).alias("last_received_timestamp"),
+        F.count_if(t.isin("s", "p")).alias("successful_ingestion_count"),
+        F.count_if((t == "g") & F.col("_st").isin("failed", "error")).alias("failed_ingestion_count"),
+        F.count_if((t == "q") & (it == "delayed_reading")).alias("delayed_readings"),
+        F.count_if((t == "q") & (it == "timestamp_gap")).alias("_gaps"),
+        F.count_if((t == "q") & (it == "sensor_dropout")).alias("_dropouts"),
+    )
+    return (k.withColumn("buffered_records_proxy",
+                         F.col("_gaps") + F.col("_dropouts") + F.col("failed_ingestion_count"))
             .drop("_gaps", "_dropouts"))
 
 
@@ -204,9 +235,12 @@ def line_monitor_kpis(production: DataFrame, line_id: str | None = None) -> Data
 
 # --------------------------------------------------------------------- SC-11
 def risk_posture(alerts: DataFrame, scored: DataFrame) -> DataFrame:
-    a = alerts.agg(F.count_if(F.lower("severity").isin("high", "critical")).alias("_a"))
-    p = scored.agg(F.count_if(F.lower("risk_level").isin("high", "critical")).alias("_p"))
-    return a.crossJoin(p).select(
+    u = (alerts.select(F.lit("a").alias("_tag"), F.lower(F.col("severity")).alias("_lvl"))
+         .unionByName(scored.select(F.lit("p").alias("_tag"), F.lower(F.col("risk_level")).alias("_lvl"))))
+    hi = F.col("_lvl").isin("high", "critical")
+    k = u.agg(F.count_if((F.col("_tag") == "a") & hi).alias("_a"),
+              F.count_if((F.col("_tag") == "p") & hi).alias("_p"))
+    return k.select(
         F.when(F.col("_a") > 0, F.col("_a")).otherwise(F.col("_p")).alias("high_risk_count"),
         F.when(F.col("_a") > 0, F.lit("alerts")).otherwise(F.lit("predictions")).alias("basis"))
 
