@@ -93,11 +93,16 @@ def identity_struct(df) -> Column:
 
 
 def round_doubles(df, places: int = 6):
-    """Round every double column (for stable comparison with an oracle)."""
+    """Round every double column for comparison with an oracle.
+
+    Written as ``round(x * 10^p) / 10^p`` -- the arithmetic form most SQL
+    engines use for doubles -- so exact decimal halves round the same way.
+    """
     exprs = []
+    scale = float(10 ** places)
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            exprs.append(F.round(F.col(f.name), places).alias(f.name))
+            exprs.append((F.round(F.col(f.name) * scale, 0) / scale).alias(f.name))
         elif isinstance(f.dataType, T.TimestampType):
             exprs.append(F.col(f.name).cast("timestamp_ntz").alias(f.name))
         else:

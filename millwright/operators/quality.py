@@ -283,10 +283,11 @@ def empty_table_issue(df: DataFrame, entity_type: str, table: str) -> DataFrame:
         F.to_json(F.struct(F.lit(f"{table} table is empty").alias("message"))).alias("details_json"))
 
 
-def validate_sensor_readings(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUNK_ROWS) -> DataFrame:
+def validate_sensor_readings(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUNK_ROWS,
+                             gap_interval_seconds: int = EXPECTED_INTERVAL_SECONDS) -> DataFrame:
     """DQ-11 sensor suite: 1, 2, 3, 4, 5, 7, 8, 9 (issues with details_json)."""
     keys = ["machine_id", "station_id"]
-    threshold = float(EXPECTED_INTERVAL_SECONDS * GAP_MULTIPLIER)
+    threshold = float(gap_interval_seconds * GAP_MULTIPLIER)
     stuck_cols = [c for c in STUCK_COLUMNS if c in df.columns]
     parts = [
         missing_required_columns(df, S.SENSOR_REQUIRED_COLUMNS, SENSOR),
@@ -303,7 +304,8 @@ def validate_sensor_readings(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUNK_
     return _suite(df, parts, SENSOR, "sensor_readings")
 
 
-def validate_production_events(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUNK_ROWS) -> DataFrame:
+def validate_production_events(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUNK_ROWS,
+                               gap_interval_seconds: int = EXPECTED_INTERVAL_SECONDS) -> DataFrame:
     """DQ-11 production suite: 1, 2, 3, 4, 6, 9."""
     keys = ["line_id", "station_id"]
     parts = [
@@ -312,7 +314,7 @@ def validate_production_events(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUN
         duplicate_timestamps(df, keys, PRODUCTION),
     ]
     if "timestamp" in df.columns and all(k in df.columns for k in keys):
-        parts.append(timestamp_gaps(df, keys, PRODUCTION, chunk_rows=chunk_rows))
+        parts.append(timestamp_gaps(df, keys, PRODUCTION, gap_interval_seconds, chunk_rows=chunk_rows))
     parts += [impossible_production_values(df), delayed_readings(df, PRODUCTION)]
     return _suite(df, parts, PRODUCTION, "production_events")
 
@@ -330,10 +332,11 @@ def _suite(df: DataFrame, parts: list[DataFrame], entity_type: str, table: str)
 
 # ---------------------------------------------------------------- DQ-12
 def run_quality_checks(sensor: DataFrame, production: DataFrame,
-                       chunk_rows: int = seq.DEFAULT_CHUNK_ROWS) -> DataFrame:
+                       chunk_rows: int = seq.DEFAULT_CHUNK_ROWS,
+                       gap_interval_seconds: int = EXPECTED_INTERVAL_SECONDS) -> DataFrame:
     """Both suites as one issue table."""
-    return validate_sensor_readings(sensor, chunk_rows).unionByName(
-        validate_production_events(production, chunk_rows))
+    return validate_sensor_readings(sensor, chunk_rows, gap_interval_seconds).unionByName(
+        validate_production_events(production, chunk_rows, gap_interval_seconds))
 
 
 def quality_summary(issues: DataFrame) -> DataFrame:

@@ -99,7 +99,7 @@ def _stuck_sql():
     return "\nUNION ALL".join(unions)
 
 
-@register("dq_stuck_sensor", sql=f"""
+_STUCK_QUERY = f"""
 SELECT {_head('stuck_sensor', 'high', 'sensor_reading')}, CAST(id AS VARCHAR) AS entity_id, machine_id, line_id,
        station_id, "timestamp", col AS "column", 6 AS min_run_length, round(v, 6) AS example_value
 FROM (
@@ -115,7 +115,10 @@ FROM (
         FROM ({_stuck_sql()}) u) a) b) c
   WHERE same AND run_len >= 6) d
 WHERE rk = 1
-""")
+"""
+
+
+@register("dq_stuck_sensor", sql=_STUCK_QUERY)
 def q_dq_stuck_sensor(spark, sf):
     """DQ-7: flatlined sensor columns; last stuck reading per (machine, station, column)."""
     out = q.stuck_sensor(t.sensor(spark, sf))
@@ -142,3 +145,82 @@ FROM production_events WHERE (epoch_us(created_at) - epoch_us("timestamp")) / 1e
 def q_dq_delayed(spark, sf):
     """DQ-9: production events that arrived more than 60 s after they happened."""
     return q.flatten(q.delayed_readings(t.production(spark, sf), q.PRODUCTION))
+
+
+# ----------------------------------------------------------------- suites (DQ-11 / DQ-12)
+def _ident(table):
+    return SENSOR_ID if table == "sensor_readings" else PROD_ID
+
+
+def sql_missing(table, cols, entity):
+    return (f"SELECT {_head('missing_value', 'high', entity)}, {_ident(table)} FROM {table} WHERE "
+            + " OR ".join(f'"{c}" IS NULL' for c in cols))
+
+
+def sql_dups(table, keys, entity):
+    return (f"SELECT {_head('duplicate_timestamp', 'medium', entity)}, {_ident(table)} FROM "
+            f"(SELECT *, count(*) OVER (PARTITION BY {', '.join(keys)}, \"timestamp\") AS n FROM {table}) "
+            f"WHERE n > 1")
+
+
+def sql_gaps(table, keys, entity, threshold):
+    return (f"SELECT {_head('timestamp_gap', 'medium', entity)}, {_ident(table)} FROM "
+            f"(SELECT *, (epoch_us(\"timestamp\") - epoch_us(lag(\"timestamp\") OVER (PARTITION BY "
+            f"{', '.join(keys)} ORDER BY \"timestamp\", id))) / 1e6 AS gap FROM {table}) WHERE gap > {threshold}")
+
+
+def sql_values(table, rules, entity):
+    return "\nUNION ALL\n".join(
+        f"SELECT {_head('impossible_value', 'high', entity)}, {_ident(table)} FROM {table} "
+        f"WHERE {cond.format(c=col)}" for col, cond in rules)
+
+
+def sql_delay(table, entity):
+    return (f"SELECT {_head('delayed_reading', 'medium', entity)}, {_ident(table)} FROM {table} "
+            f"WHERE (epoch_us(created_at) - epoch_us(\"timestamp\")) / 1e6 > 60")
+
+
+_DROP_SUM = " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in q.DROPOUT_COLUMNS)
+
+SENSOR_ISSUES_SQL = "\nUNION ALL\n".join([
+    sql_missing("sensor_readings", q.S.SENSOR_REQUIRED_COLUMNS, "sensor_reading"),
+    sql_dups("sensor_readings", ["machine_id", "station_id"], "sensor_reading"),
+    sql_gaps("sensor_readings", ["machine_id", "station_id"], "sensor_reading", 86400),
+    sql_values("sensor_readings", _S_RULES, "sensor_reading"),
+    f"""SELECT issue_type, severity, entity_type, entity_id, machine_id, line_id, station_id, "timestamp"
+FROM ({_STUCK_QUERY})""",
+    f"SELECT {_head('sensor_dropout', 'high', 'sensor_reading')}, {SENSOR_ID} FROM sensor_readings "
+    f"WHERE ({_DROP_SUM}) >= 5",
+    sql_delay("sensor_readings", "sensor_reading"),
+])
+
+PRODUCTION_ISSUES_SQL = "\nUNION ALL\n".join([
+    sql_missing("production_events", q.S.PRODUCTION_REQUIRED_COLUMNS, "production_event"),
+    sql_dups("production_events", ["line_id", "station_id"], "production_event"),
+    sql_gaps("production_events", ["line_id", "station_id"], "production_event", 86400),
+    sql_values("production_events", _P_RULES, "production_event"),
+    sql_delay("production_events", "production_event"),
+])
+
+ISSUES_CTE = f"issues AS (\n{SENSOR_ISSUES_SQL}\nUNION ALL\n{PRODUCTION_ISSUES_SQL}\n)"
+
+
+def issues(spark, sf):
+    """Both rule suites over the fixture tables (issue table with details_json)."""
+    return q.run_quality_checks(t.sensor(spark, sf), t.production(spark, sf),
+                                gap_interval_seconds=GAP_INTERVAL_SECONDS)
+
+
+@register("dq_all_sensor", sql=f"SELECT * FROM ({SENSOR_ISSUES_SQL})")
+def q_dq_all_sensor(spark, sf):
+    """DQ-11: the sensor suite (rules 1, 2, 3, 4, 5, 7, 8, 9) as one issue table."""
+    out = q.validate_sensor_readings(t.sensor(spark, sf), gap_interval_seconds=GAP_INTERVAL_SECONDS)
+    return out.select(*q.ISSUE_COLUMNS)
+
+
+@register("dq_summary", sql="""
+SELECT entity_type, issue_type, count(*) AS issue_count FROM issues GROUP BY entity_type, issue_type
+""", extra_ctes=ISSUES_CTE)
+def q_dq_summary(spark, sf):
+    """DQ-12: issue counts by table and type over both suites."""
+    return q.quality_summary(issues(spark, sf))
