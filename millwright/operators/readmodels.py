@@ -7,7 +7,7 @@ shuffle (hot lines or machines only ever ship one partial row per task).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coerce import to_double
@@ -265,3 +265,104 @@ def time_span(*frames: DataFrame) -> DataFrame:
         part = f.select(F.col("timestamp"))
         u = part if u is None else u.unionByName(part)
     return u.agg(F.min("timestamp").alias("first_timestamp"), F.max("timestamp").alias("last_timestamp"))
+
+
+# --------------------------------------------------------------------- SC-5
+PRIORITY_RANK = {"P1": 0, "P2": 1, "P3": 2, "Monitor": 3}
+# Queue texts.
+DEFAULT_PREDICTION_ACTION = "Inspect asset and validate current process condition."
+DEFAULT_ALERT_ACTION = "Review recent sensor and production trend before shift handover."
+ISSUE_ACTION = "Verify data acquisition channel before using model output for decisions."
+MONITOR_ROW = ("Monitor", "All lines", "System", "No high-priority action generated",
+               "Continue collecting data, refresh model outputs, and review dashboard at shift handover.")
+QUEUE_COLUMNS = ["priority", "area", "asset", "signal", "suggested_action"]
+
+
+def _area() -> F.Column:
+    return F.concat(F.coalesce(F.col("line_id"), F.lit("N/A")), F.lit(" / "),
+                    F.coalesce(F.col("station_id"), F.lit("N/A")))
+
+
+def action_queue(latest_scored: DataFrame, alerts: DataFrame, issues: DataFrame, max_items: int = 8) -> DataFrame:
+    """Operator action queue: risky machines (P1/P2), newest alerts, data-quality items (P3).
+
+    Each feed keeps a (feed, seq) pair so ties sort as the feeds were listed;
+    ``distinct`` is on the visible columns.  Top-``max_items`` is the feature
+    (planned as a distributed top-k).  An empty queue yields one Monitor row.
+    """
+    risk = F.lower(F.col("risk_level"))
+    health_txt = F.when(F.col("health_score").isNull(), F.lit("N/A")).otherwise(
+        F.format_string("%.2f", F.col("health_score").cast("double")))
+    preds = latest_scored.where(risk.isin("high", "critical")).select(
+        F.when(risk == "critical", F.lit("P1")).otherwise(F.lit("P2")).alias("priority"),
+        _area().alias("area"), F.coalesce(F.col("machine_id"), F.lit("N/A")).alias("asset"),
+        F.concat(F.upper(F.col("risk_level")), F.lit(" risk, health "), health_txt).alias("signal"),
+        F.coalesce(F.col("recommended_action"), F.lit(DEFAULT_PREDICTION_ACTION)).alias("suggested_action"),
+        F.lit(1).alias("_feed"),
+        F.struct(F.unix_micros(F.col("timestamp").cast("timestamp")).alias("a"),
+                 F.col("machine_id").cast("string").alias("b")).alias("_seq"))
+    newest_alerts = alerts.orderBy(F.col("id").desc()).limit(max_items)
+    sev = F.lower(F.col("severity"))
+    al = newest_alerts.select(
+        F.when(sev == "critical", F.lit("P1")).otherwise(F.lit("P2")).alias("priority"),
+        _area().alias("area"), F.coalesce(F.col("machine_id"), F.lit("N/A")).alias("asset"),
+        F.concat(F.lit("Anomaly alert: "), F.coalesce(F.col("anomaly_score").cast("string"), F.lit("N/A")))
+        .alias("signal"),
+        F.coalesce(F.col("message"), F.lit(DEFAULT_ALERT_ACTION)).alias("suggested_action"),
+        F.lit(2).alias("_feed"),
+        F.struct((-F.col("id")).cast("long").alias("a"), F.lit("").alias("b")).alias("_seq"))
+    severe = F.lower(F.col("severity")).isin("high", "critical")
+    # Severe issues if any exist, else any issues; newest three.  The probe
+    # reads at most one row.
+    pool = issues.where(severe) if not issues.where(severe).isEmpty() else issues
+    top_issues = pool.orderBy(F.col("timestamp").desc_nulls_last(), F.col("entity_id").desc_nulls_last(),
+                              F.col("issue_type")).limit(3)
+    dq = top_issues.select(
+        F.lit("P3").alias("priority"), _area().alias("area"),
+        F.coalesce(F.col("machine_id"), F.col("entity_id"), F.lit("N/A")).alias("asset"),
+        F.concat(F.lit("Data quality: "), F.coalesce(F.col("issue_type"), F.lit("N/A"))).alias("signal"),
+        F.lit(ISSUE_ACTION).alias("suggested_action"), F.lit(3).alias("_feed"),
+        F.struct((-F.unix_micros(F.col("timestamp").cast("timestamp"))).alias("a"),
+                 F.col("entity_id").cast("string").alias("b")).alias("_seq"))
+    rows = preds.unionByName(al).unionByName(dq)
+    first = rows.groupBy(*QUEUE_COLUMNS).agg(F.min(F.struct("_feed", "_seq")).alias("_o"))
+    rank = F.element_at(F.create_map(*[x for kv in PRIORITY_RANK.items() for x in (F.lit(kv[0]), F.lit(kv[1]))]),
+                        F.col("priority"))
+    top = first.orderBy(F.coalesce(rank, F.lit(9)), F.col("area"), F.col("_o"), F.col("signal"),
+                        F.col("asset"), F.col("suggested_action")).limit(max_items)
+    monitor = latest_scored.sparkSession.createDataFrame([MONITOR_ROW], ", ".join(f"{c} string" for c in QUEUE_COLUMNS))
+    both = top.select(*QUEUE_COLUMNS, F.lit(0).alias("_m")).unionByName(monitor.withColumn("_m", F.lit(1)))
+    # The window runs over at most max_items + 1 rows.
+    n_real = F.sum(1 - F.col("_m")).over(Window.partitionBy())
+    return both.withColumn("_n", n_real).where((F.col("_m") == 0) | (F.col("_n") == 0)).drop("_m", "_n")
+
+
+# --------------------------------------------------------------------- SC-10
+def shift_report(sensor: DataFrame, production: DataFrame, scored: DataFrame, alerts: DataFrame,
+                 issues: DataFrame, latest_scored: DataFrame, model_runs: DataFrame | None = None) -> DataFrame:
+    """One-row shift handover summary (counts, mean health and RUL, anomaly count, latest time)."""
+    def part(tag, df, health=None, rul=None, flag=None, ts=None):
+        return df.select(
+            F.lit(tag).alias("_tag"),
+            (to_double(health) if health else F.lit(None).cast("double")).alias("_h"),
+            (to_double(rul) if rul else F.lit(None).cast("double")).alias("_u"),
+            (F.col(flag).cast("long") if flag else F.lit(None).cast("long")).alias("_f"),
+            (F.col(ts).cast("timestamp") if ts else F.lit(None).cast("timestamp")).alias("_t"))
+
+    u = (part("s", sensor).unionByName(part("p", production))
+         .unionByName(part("x", scored, flag="anomaly_flag", ts="timestamp"))
+         .unionByName(part("a", alerts)).unionByName(part("q", issues))
+         .unionByName(part("l", latest_scored, health="health_score", rul="rul_estimate_hours")))
+    if model_runs is not None:
+        u = u.unionByName(part("m", model_runs))
+    t = F.col("_tag")
+    k = u.agg(
+        F.count_if(t == "s").alias("sensor_readings"), F.count_if(t == "p").alias("production_events"),
+        F.count_if(t == "x").alias("predictions"), F.count_if(t == "a").alias("anomaly_alerts"),
+        F.count_if(t == "q").alias("data_quality_issues"), F.count_if(t == "m").alias("model_runs"),
+        F.avg(F.when(t == "l", F.col("_h"))).alias("avg_health_score"),
+        F.avg(F.when(t == "l", F.col("_u"))).alias("avg_rul_hours"),
+        F.coalesce(F.sum(F.when(t == "x", F.coalesce(F.col("_f"), F.lit(0)))), F.lit(0).cast("long")).alias("_fl"),
+        F.max(F.when(t == "x", F.col("_t"))).alias("latest_prediction_timestamp"))
+    return (k.withColumn("anomaly_count", F.when(F.col("anomaly_alerts") > 0, F.col("anomaly_alerts"))
+                         .otherwise(F.col("_fl"))).drop("_fl"))

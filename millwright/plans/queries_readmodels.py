@@ -293,3 +293,70 @@ UNPIVOT INCLUDE NULLS (value FOR metric IN (throughput_count, target_throughput,
 def q_trend_series(spark, sf):
     """SC-12: tidy (line, station, time, metric, value) production series."""
     return rm.trend_series(t.production(spark, sf))
+
+
+def _queue_sql(max_items):
+    return f"""
+SELECT priority, area, asset, signal, suggested_action FROM (
+  SELECT * FROM (
+    SELECT priority, area, asset, signal, suggested_action,
+           min(struct_pack(f := feed, a := sa, b := sb)) AS o
+    FROM (
+      SELECT CASE WHEN lower(risk_level) = 'critical' THEN 'P1' ELSE 'P2' END AS priority,
+             concat(coalesce(line_id, 'N/A'), ' / ', coalesce(station_id, 'N/A')) AS area,
+             coalesce(machine_id, 'N/A') AS asset,
+             concat(upper(risk_level), ' risk, health ',
+                    CASE WHEN health_score IS NULL THEN 'N/A' ELSE printf('%.2f', health_score) END) AS signal,
+             coalesce(recommended_action, '{rm.DEFAULT_PREDICTION_ACTION}') AS suggested_action,
+             1 AS feed, epoch_us("timestamp") AS sa, machine_id AS sb
+      FROM latest WHERE lower(risk_level) IN ('high', 'critical')
+      UNION ALL
+      SELECT CASE WHEN lower(severity) = 'critical' THEN 'P1' ELSE 'P2' END,
+             concat(coalesce(line_id, 'N/A'), ' / ', coalesce(station_id, 'N/A')),
+             coalesce(machine_id, 'N/A'),
+             concat('Anomaly alert: ', coalesce(CAST(anomaly_score AS VARCHAR), 'N/A')),
+             coalesce(message, '{rm.DEFAULT_ALERT_ACTION}'), 2, -id, ''
+      FROM (SELECT * FROM alerts ORDER BY id DESC LIMIT {max_items})
+      UNION ALL
+      SELECT 'P3', concat(coalesce(line_id, 'N/A'), ' / ', coalesce(station_id, 'N/A')),
+             coalesce(machine_id, entity_id, 'N/A'), concat('Data quality: ', coalesce(issue_type, 'N/A')),
+             '{rm.ISSUE_ACTION}', 3, -epoch_us("timestamp"), entity_id
+      FROM (SELECT * FROM issues
+            WHERE (lower(severity) IN ('high', 'critical'))
+               OR NOT EXISTS (SELECT 1 FROM issues WHERE lower(severity) IN ('high', 'critical'))
+            ORDER BY "timestamp" DESC NULLS LAST, entity_id DESC NULLS LAST, issue_type LIMIT 3)
+    ) u GROUP BY ALL
+  ) g
+  ORDER BY CASE priority WHEN 'P1' THEN 0 WHEN 'P2' THEN 1 WHEN 'P3' THEN 2 WHEN 'Monitor' THEN 3 ELSE 9 END,
+           area, o, signal, asset, suggested_action
+  LIMIT {max_items})
+UNION ALL
+SELECT {", ".join(f"'{v}'" for v in rm.MONITOR_ROW)}
+WHERE NOT EXISTS (SELECT 1 FROM latest WHERE lower(risk_level) IN ('high', 'critical'))
+  AND NOT EXISTS (SELECT 1 FROM alerts) AND NOT EXISTS (SELECT 1 FROM issues)
+"""
+
+
+@register("action_queue", sql=_queue_sql(8), extra_ctes=SCORED_CTES + "," + ISSUES_CTE)
+def q_action_queue(spark, sf):
+    """SC-5: top-8 operator action queue from risky machines, alerts and data-quality issues."""
+    return rm.action_queue(latest(spark, sf), alerts(spark, sf), issues(spark, sf), 8)
+
+
+@register("shift_report", sql="""
+SELECT (SELECT count(*) FROM sensor_readings) AS sensor_readings,
+       (SELECT count(*) FROM production_events) AS production_events,
+       (SELECT count(*) FROM scored_h) AS predictions,
+       (SELECT count(*) FROM alerts) AS anomaly_alerts,
+       (SELECT count(*) FROM issues) AS data_quality_issues,
+       0::BIGINT AS model_runs,
+       (SELECT round(avg(health_score), 6) FROM latest) AS avg_health_score,
+       (SELECT round(avg(rul_estimate_hours), 6) FROM latest) AS avg_rul_hours,
+       (SELECT max("timestamp") FROM scored_h) AS latest_prediction_timestamp,
+       CASE WHEN (SELECT count(*) FROM alerts) > 0 THEN (SELECT count(*) FROM alerts)
+            ELSE (SELECT coalesce(sum(coalesce(anomaly_flag, 0)), 0) FROM scored_h) END AS anomaly_count
+""", extra_ctes=SCORED_CTES + "," + ISSUES_CTE)
+def q_shift_report(spark, sf):
+    """SC-10: shift handover summary as one row."""
+    return rm.shift_report(t.sensor(spark, sf), t.production(spark, sf), scored(spark, sf),
+                           alerts(spark, sf), issues(spark, sf), latest(spark, sf))
