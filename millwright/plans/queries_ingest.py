@@ -1,3 +1,118 @@
-"""Registered queries."""
+"""Registered ingest queries (SRC-4..7, SRC-9) and their oracles.
+
+The inputs are derived from the fixture tables by Spark: rows are serialised
+to JSON lines and a deterministic share of them is damaged the way a
+collector's spill file gets damaged (missing field, bad timestamp, truncated
+line, blank line).  The operators under test then parse the text back.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..sources import ingest as ig
+from . import tables as t
+from .catalog import register
+
+# Deterministic damage pattern of the derived spill file (by source row id).
+NO_MACHINE_MOD, BAD_TS_MOD, TRUNCATED_MOD, BLANK_MOD = 59, 53, 61, 47
+
+
+def damaged_sensor_lines(spark, sf):
+    s = t.sensor(spark, sf)
+    i = F.col("id")
+    damaged = s.withColumns({
+        "machine_id": F.when(i % NO_MACHINE_MOD == 0, F.lit(None)).otherwise(F.col("machine_id")),
+    })
+    lines = ig.to_json_lines(damaged).withColumn("id", F.get_json_object("value", "$.id").cast("long"))
+    lines = lines.withColumn("value", F.when(
+        F.col("id") % BAD_TS_MOD == 0,
+        F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"not-a-date"')).otherwise(F.col("value")))
+    lines = lines.withColumn("value", F.when(
+        F.col("id") % TRUNCATED_MOD == 0, F.expr("substring(value, 1, 40)")).otherwise(F.col("value")))
+    blanks = lines.where(F.col("id") % BLANK_MOD == 0).select(F.lit("   ").alias("value"), "id")
+    return lines.unionByName(blanks).withColumnRenamed("id", "line_source_id")
+
+
+@register("ingest_split", sql=f"""
+SELECT id AS line_source_id,
+       CASE WHEN id % {TRUNCATED_MOD} = 0 OR id % {NO_MACHINE_MOD} = 0 OR id % {BAD_TS_MOD} = 0
+            THEN 'rejected' ELSE 'valid' END AS status,
+       CASE WHEN id % {TRUNCATED_MOD} = 0 THEN 'malformed_json'
+            ELSE concat_ws(',', CASE WHEN id % {NO_MACHINE_MOD} = 0 THEN 'missing_machine_id' END,
+                                CASE WHEN id % {BAD_TS_MOD} = 0 THEN 'invalid_timestamp' END) END AS reasons,
+       CASE WHEN id % {TRUNCATED_MOD} = 0 OR id % {NO_MACHINE_MOD} = 0 OR id % {BAD_TS_MOD} = 0
+            THEN NULL ELSE "timestamp" END AS "timestamp",
+       CASE WHEN id % {TRUNCATED_MOD} = 0 OR id % {NO_MACHINE_MOD} = 0 OR id % {BAD_TS_MOD} = 0
+            THEN NULL ELSE round(vibration_rms, 6) END AS vibration_rms
+FROM sensor_readings
+""")
+def q_ingest_split(spark, sf):
+    """SRC-4/7: JSON lines -> typed valid rows + quarantine with reasons; blank lines dropped."""
+    valid, bad = ig.parse_records(damaged_sensor_lines(spark, sf), S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS)
+    v = valid.select("line_source_id", F.lit("valid").alias("status"), F.lit("").alias("reasons"),
+                     "timestamp", "vibration_rms")
+    q = bad.select("line_source_id", F.lit("rejected").alias("status"),
+                   F.array_join("reject_reasons", ",").alias("reasons"),
+                   F.lit(None).cast("timestamp").alias("timestamp"), F.lit(None).cast("double").alias("vibration_rms"))
+    return v.unionByName(q)
+
+
+_DEDUPE_CTES = """
+target AS (SELECT * FROM sensor_readings WHERE "timestamp" < TIMESTAMP '2024-01-15'),
+incoming AS (
+  SELECT * FROM sensor_readings WHERE "timestamp" >= TIMESTAMP '2024-01-10'
+  UNION ALL
+  SELECT * REPLACE (id + 20000000 AS id, created_at + INTERVAL 1 HOUR AS created_at)
+  FROM sensor_readings WHERE "timestamp" >= TIMESTAMP '2024-01-10'
+),
+first_w AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY event_id
+            ORDER BY created_at, id) AS rn FROM incoming WHERE event_id IS NOT NULL) WHERE rn = 1)
+"""
+
+
+@register("ingest_dedupe", sql="""
+SELECT event_id, id, "timestamp", created_at FROM first_w
+WHERE event_id NOT IN (SELECT event_id FROM target WHERE event_id IS NOT NULL)
+""", extra_ctes=_DEDUPE_CTES)
+def q_ingest_dedupe(spark, sf):
+    """SRC-6/JN-4: a batch delivered twice (retry) appended idempotently to an overlapping table."""
+    s = t.sensor(spark, sf)
+    target = s.where(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp"))
+    fresh = s.where(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp"))
+    resent = (fresh
+              .withColumn("id", F.col("id") + 20_000_000)
+              .withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 HOUR")))
+    out = ig.idempotent_append(target, fresh.unionByName(resent))
+    return out.select("event_id", "id", "timestamp", "created_at")
+
+
+@register("batch_envelope", sql="""
+SELECT 'sensor' AS kind, id, "timestamp", round(vibration_rms, 6) AS value FROM sensor_readings
+UNION ALL
+SELECT 'production', id, "timestamp", round(cycle_time_sec, 6) FROM production_events
+""")
+def q_batch_envelope(spark, sf):
+    """SRC-5: rows packed into envelopes of at most 100 ids, then unpacked into two tables."""
+    s, p = t.sensor(spark, sf), t.production(spark, sf)
+    env = ig.pack_envelopes(s, p, F.floor(F.col("id") / 100))
+    sens, prod, _counts = ig.unpack_envelopes(env)
+    return (sens.select(F.lit("sensor").alias("kind"), "id", "timestamp", F.col("vibration_rms").alias("value"))
+            .unionByName(prod.select(F.lit("production").alias("kind"), "id", "timestamp",
+                                     F.col("cycle_time_sec").alias("value"))))
+
+
+@register("wide_to_core", sql="""
+SELECT id, machine_id, "timestamp", round(operating_hours / 2.0 + (id % 30) * 24.0, 6) AS operating_hours,
+       "timestamp" AS created_at
+FROM sensor_readings
+""")
+def q_wide_to_core(spark, sf):
+    """SRC-9: wide generator rows (maintenance age split out) mapped to the core sensor schema."""
+    s = t.sensor(spark, sf)
+    wide = (s.withColumn("hours_since_maintenance", F.col("operating_hours") / 2.0)
+            .withColumn("machine_age_days", (F.col("id") % 30).cast("double"))
+            .drop("operating_hours", "created_at"))
+    core = ig.wide_sensor_to_core(wide)
+    return core.select("id", "machine_id", "timestamp", "operating_hours", "created_at")
