@@ -119,3 +119,41 @@ FROM predictions
 def q_anomaly_metrics(spark, sf):
     """ML-15: anomaly count, rate and score range."""
     return mt.anomaly_metrics(t.predictions(spark, sf))
+
+
+# ----------------------------------------------------------------------- trainers (rows-only check)
+def _feature_table(spark, sf):
+    from ..session import materialize
+
+    return materialize(_feats(spark, sf), "features")
+
+
+@register("train_failure")
+def q_train_failure(spark, sf):
+    """ML-1..10: failure classifiers (LR, RF 80 trees, GBT 100 rounds); one metrics row per candidate."""
+    from ..ml import train as tr
+
+    res = tr.train_failure(_feature_table(spark, sf))
+    return res.candidates.select("model_name", "selected", "accuracy", "precision", "recall", "f1",
+                                 "roc_auc", "pr_auc", "tp", "fp", "tn", "fn")
+
+
+@register("train_rul")
+def q_train_rul(spark, sf):
+    """ML-11: RUL regressors (RF, GBT); one metrics row per candidate."""
+    from ..ml import train as tr
+
+    res = tr.train_rul(_feature_table(spark, sf))
+    return res.candidates.select("model_name", "selected", "mae", "rmse", "r2")
+
+
+@register("isolation_forest")
+def q_isolation_forest(spark, sf):
+    """ML-12: isolation forest (100 trees, 256 samples, 4 % contamination) over all feature rows."""
+    from .. import schemas as S
+    from ..ml import iforest
+
+    feats = _feature_table(spark, sf)
+    cols = [c for c in S.FEATURE_COLUMNS if c in feats.columns]
+    _model, scored = iforest.fit(feats, cols, id_col="id_prod")
+    return scored.select("id_prod", "machine_id", "timestamp", "anomaly_score", "anomaly_flag")

@@ -82,3 +82,16 @@ def is_local_path(path: str) -> bool:
 def ensure_dir(path: str) -> None:
     if is_local_path(path):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
+
+
+def materialize(df, name: str):
+    """Write ``df`` once to Parquet under the shared checkpoint folder and read it back.
+
+    Cuts the lineage for multi-pass jobs (training reads its input many times)
+    and survives executor loss: the table lives in shared storage, not in
+    executor memory or on a machine-local disk.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
