@@ -1,3 +1,165 @@
-"""Registered queries."""
+"""Registered streaming queries (ST-1..10).
+
+Each query lands fixture-derived files in a fresh folder under the session's
+``spark.checkpoint.dir``, runs the streaming job with ``availableNow`` and a
+checkpoint, and returns the sink read back as a batch DataFrame.  Their oracle
+is the batch SQL of the same operator: a stream must produce what the batch
+path produces.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from .. import schemas as S
+from ..session import scratch_path
+from ..sources import ingest as ig
+from ..streaming import jobs as sj
+from . import tables as t
+from .catalog import register
+from .queries_core import ASOF_COLUMNS, ASOF_TOLERANCE_SECONDS
+from .queries_quality import (GAP_INTERVAL_SECONDS, SENSOR_ID, _STUCK_QUERY, _S_RULES, _head,
+                              sql_delay, sql_missing, sql_values)
+from .queries_readmodels import SCORED_CTES
+from .sqlfrag import ASOF_CTES
+
+WEEKS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29", "2024-02-05"]
+
+
+def _land_weekly(df, path: str, fmt: str = "json", repeat: int = 1) -> int:
+    """Land ``df`` as one delivery per week, oldest first (``repeat`` = re-deliveries).
+
+    Returns the number of files per delivery, used as ``maxFilesPerTrigger`` so
+    that each micro-batch is one delivery.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    for lo, hi in zip(WEEKS[:-1], WEEKS[1:]):
+        week = df.where((F.col("timestamp") >= F.lit(lo).cast("timestamp"))
+                        & (F.col("timestamp") < F.lit(hi).cast("timestamp")))
+        for _ in range(repeat):
+            part = week.repartition(n, "machine_id") if "machine_id" in df.columns else week.repartition(n)
+            w = part.write.mode("append")
+            (w.json(path) if fmt == "json" else w.parquet(path))
+    return n
+
+
+def _land_lines(df, path: str) -> int:
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
+    for lo, hi in zip(WEEKS[:-1], WEEKS[1:]):
+        week = df.where((F.col("timestamp") >= F.lit(lo).cast("timestamp"))
+                        & (F.col("timestamp") < F.lit(hi).cast("timestamp")))
+        ig.to_json_lines(week).repartition(n).write.mode("append").text(path)
+    return n
+
+
+@register("stream_dedupe", sql="""
+SELECT DISTINCT event_id, id, machine_id, "timestamp" FROM sensor_readings
+""")
+def q_stream_dedupe(spark, sf):
+    """ST-1/2: every weekly delivery arrives twice; duplicate event ids are dropped in-stream."""
+    land, sink, ck = (scratch_path(spark, n) for n in ("landing", "sink", "ckpt"))
+    files = _land_weekly(t.sensor(spark, sf), land, fmt="parquet", repeat=2)
+    stream = sj.read_table_stream(spark, land, S.SENSOR_SCHEMA, max_files=files)
+    sj.run_available(sj.dedupe_stream(stream).writeStream.format("parquet").option("path", sink), ck)
+    return spark.read.parquet(sink).select("event_id", "id", "machine_id", "timestamp")
+
+
+@register("stream_per_minute", sql="""
+SELECT date_trunc('minute', "timestamp") AS minute, stream_type, count(*) AS records
+FROM (SELECT "timestamp", 'sensor' AS stream_type FROM sensor_readings
+      UNION ALL SELECT "timestamp", 'production' AS stream_type FROM production_events)
+WHERE "timestamp" IS NOT NULL GROUP BY 1, 2
+""")
+def q_stream_per_minute(spark, sf):
+    """ST-3: per-minute ingest counts on event time (watermark, update mode, upsert sink)."""
+    land, sink, ck = (scratch_path(spark, n) for n in ("landing", "sink", "ckpt"))
+    both = (t.sensor(spark, sf).select("timestamp", F.lit("sensor").alias("stream_type"))
+            .unionByName(t.production(spark, sf).select("timestamp", F.lit("production").alias("stream_type"))))
+    files = _land_weekly(both, land, fmt="parquet")
+    schema = "timestamp timestamp, stream_type string"
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(land)
+    writer = (sj.per_minute_counts(stream).writeStream.outputMode("update")
+              .foreachBatch(sj.upsert_sink(sink)))
+    sj.run_available(writer, ck)
+    return sj.latest_versions(spark, sink, ["minute", "stream_type"])
+
+
+_STREAM_DQ_SQL = "\nUNION ALL\n".join([
+    sql_missing("sensor_readings", S.SENSOR_REQUIRED_COLUMNS, "sensor_reading"),
+    sql_values("sensor_readings", _S_RULES, "sensor_reading"),
+    f"SELECT {_head('sensor_dropout', 'high', 'sensor_reading')}, {SENSOR_ID} FROM sensor_readings WHERE ("
+    + " + ".join(f"CASE WHEN {c} IS NULL THEN 1 ELSE 0 END" for c in
+                 ["air_temperature", "process_temperature", "vibration_rms", "vibration_peak", "pressure",
+                  "torque", "rotational_speed", "motor_current", "power_consumption"]) + ") >= 5",
+    sql_delay("sensor_readings", "sensor_reading"),
+])
+
+
+@register("stream_dq", sql=f"SELECT * FROM ({_STREAM_DQ_SQL})")
+def q_stream_dq(spark, sf):
+    """ST-1/4/5/9/10: JSON lines parsed on arrival, stateless rules applied, issues appended."""
+    land, sink, quarantine, ck = (scratch_path(spark, n) for n in ("landing", "sink", "quarantine", "ckpt"))
+    files = _land_lines(t.sensor(spark, sf), land)
+    lines = sj.read_json_lines(spark, land, max_files=files)
+    valid, bad = sj.parse_stream(lines)
+    issues = sj.stateless_quality(sj.with_ingest_metrics(valid.drop("source_file")))
+    sj.run_available(issues.writeStream.format("parquet").option("path", sink), ck)
+    sj.run_available(bad.writeStream.format("parquet").option("path", quarantine), ck + "-q")
+    return spark.read.parquet(sink).select("issue_type", "severity", "entity_type", "entity_id", "machine_id",
+                                           "line_id", "station_id", "timestamp")
+
+
+_GAP_S = GAP_INTERVAL_SECONDS * 6
+
+
+@register("stream_gap_stuck", sql=f"""
+SELECT 'gap' AS kind, machine_id, station_id, id, "timestamp", NULL AS "column", round(gap, 6) AS value
+FROM (SELECT *, (epoch_us("timestamp") - epoch_us(lag("timestamp") OVER (
+        PARTITION BY machine_id, station_id ORDER BY "timestamp", id))) / 1e6 AS gap FROM sensor_readings)
+WHERE gap > {_GAP_S}
+UNION ALL
+SELECT 'stuck', machine_id, station_id, CAST(entity_id AS BIGINT), "timestamp", "column", example_value
+FROM ({_STUCK_QUERY})
+""")
+def q_stream_gap_stuck(spark, sf):
+    """ST-6: gaps and flatlines per machine from keyed state (applyInPandasWithState)."""
+    land, sink, ck = (scratch_path(spark, n) for n in ("landing", "sink", "ckpt"))
+    files = _land_weekly(t.sensor(spark, sf), land, fmt="parquet")
+    stream = sj.read_table_stream(spark, land, S.SENSOR_SCHEMA, max_files=files)
+    mon = sj.gap_stuck_monitor(stream, float(_GAP_S))
+    sj.run_available(mon.writeStream.format("parquet").option("path", sink), ck)
+    rows = spark.read.parquet(sink)
+    gaps = rows.where(F.col("kind") == "gap").select("kind", "machine_id", "station_id", "id", "timestamp",
+                                                     "column", "value")
+    stuck = sj.stuck_report(rows).select(F.lit("stuck").alias("kind"), "machine_id", "station_id", "id",
+                                         "timestamp", "column", "value")
+    return gaps.unionByName(stuck)
+
+
+@register("stream_asof", sql=f"""
+SELECT id_prod, event_id_prod, line_id, station_id, "timestamp", id, machine_id, sensor_timestamp,
+       round(join_lag_seconds, 6) AS join_lag_seconds, round(vibration_rms, 6) AS vibration_rms,
+       round(tool_wear, 6) AS tool_wear, round(cycle_time_sec, 6) AS cycle_time_sec
+FROM joined
+""", extra_ctes=ASOF_CTES)
+def q_stream_asof(spark, sf):
+    """ST-7: each micro-batch of production events enriched against the landed sensor table."""
+    land_s, land_p, sink, ck = (scratch_path(spark, n) for n in ("sensor", "production", "sink", "ckpt"))
+    t.sensor(spark, sf).write.parquet(land_s)
+    sensor_table = spark.read.parquet(land_s)
+    files = _land_weekly(t.production(spark, sf), land_p, fmt="parquet")
+    stream = sj.read_table_stream(spark, land_p, S.PRODUCTION_SCHEMA, max_files=files)
+    writer = stream.writeStream.foreachBatch(sj.asof_batch_writer(sensor_table, sink, ASOF_TOLERANCE_SECONDS))
+    sj.run_available(writer, ck)
+    return spark.read.parquet(sink).select(*ASOF_COLUMNS)
+
+
+@register("stream_score", sql="SELECT * REPLACE ('stream_scoring' AS source) FROM alerts", extra_ctes=SCORED_CTES)
+def q_stream_score(spark, sf):
+    """ST-8: score arriving prediction rows; predictions, alerts and hints appended per batch."""
+    land, root, ck = (scratch_path(spark, n) for n in ("landing", "sinks", "ckpt"))
+    preds = t.predictions(spark, sf)
+    files = _land_weekly(preds, land, fmt="parquet")
+    stream = sj.read_table_stream(spark, land, preds.schema, max_files=files)
+    sj.run_available(stream.writeStream.foreachBatch(sj.score_batch_writer(root)), ck)
+    return spark.read.parquet(f"{root}/alerts")
