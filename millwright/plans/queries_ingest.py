@@ -20,19 +20,18 @@ NO_MACHINE_MOD, BAD_TS_MOD, TRUNCATED_MOD, BLANK_MOD = 59, 53, 61, 47
 
 
 def damaged_sensor_lines(spark, sf):
+    """JSON lines of the sensor table with a deterministic share damaged (one projection)."""
     s = t.sensor(spark, sf)
     i = F.col("id")
-    damaged = s.withColumns({
-        "machine_id": F.when(i % NO_MACHINE_MOD == 0, F.lit(None)).otherwise(F.col("machine_id")),
-    })
-    lines = ig.to_json_lines(damaged).withColumn("id", F.get_json_object("value", "$.id").cast("long"))
-    lines = lines.withColumn("value", F.when(
-        F.col("id") % BAD_TS_MOD == 0,
-        F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"not-a-date"')).otherwise(F.col("value")))
-    lines = lines.withColumn("value", F.when(
-        F.col("id") % TRUNCATED_MOD == 0, F.expr("substring(value, 1, 40)")).otherwise(F.col("value")))
-    blanks = lines.where(F.col("id") % BLANK_MOD == 0).select(F.lit("   ").alias("value"), "id")
-    return lines.unionByName(blanks).withColumnRenamed("id", "line_source_id")
+    src = s.withColumn("machine_id", F.when(i % NO_MACHINE_MOD == 0, F.lit(None)).otherwise(F.col("machine_id")))
+    text = ig.to_json_lines(src).select("value", "id")
+    value = (F.when(F.col("id") % TRUNCATED_MOD == 0, F.expr("substring(value, 1, 40)"))
+              .when(F.col("id") % BAD_TS_MOD == 0,
+                    F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"not-a-date"'))
+              .otherwise(F.col("value")))
+    lines = text.select(value.alias("value"), F.col("id").alias("line_source_id"))
+    blanks = s.where(i % BLANK_MOD == 0).select(F.lit("   ").alias("value"), i.alias("line_source_id"))
+    return lines.unionByName(blanks)
 
 
 @register("ingest_split", sql=f"""
@@ -50,13 +49,12 @@ FROM sensor_readings
 """)
 def q_ingest_split(spark, sf):
     """SRC-4/7: JSON lines -> typed valid rows + quarantine with reasons; blank lines dropped."""
-    valid, bad = ig.parse_records(damaged_sensor_lines(spark, sf), S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS)
-    v = valid.select("line_source_id", F.lit("valid").alias("status"), F.lit("").alias("reasons"),
-                     "timestamp", "vibration_rms")
-    q = bad.select("line_source_id", F.lit("rejected").alias("status"),
-                   F.array_join("reject_reasons", ",").alias("reasons"),
-                   F.lit(None).cast("timestamp").alias("timestamp"), F.lit(None).cast("double").alias("vibration_rms"))
-    return v.unionByName(q)
+    c = ig.classify_records(damaged_sensor_lines(spark, sf), S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS)
+    ok = F.col("is_valid")
+    return c.select(
+        "line_source_id", F.when(ok, F.lit("valid")).otherwise(F.lit("rejected")).alias("status"),
+        F.array_join("reject_reasons", ",").alias("reasons"),
+        F.when(ok, F.col("timestamp")).alias("timestamp"), F.when(ok, F.col("vibration_rms")).alias("vibration_rms"))
 
 
 _DEDUPE_CTES = """

@@ -48,7 +48,7 @@ def _land_lines(df, path: str) -> int:
     for lo, hi in zip(WEEKS[:-1], WEEKS[1:]):
         week = df.where((F.col("timestamp") >= F.lit(lo).cast("timestamp"))
                         & (F.col("timestamp") < F.lit(hi).cast("timestamp")))
-        ig.to_json_lines(week).repartition(n).write.mode("append").text(path)
+        ig.to_json_lines(week, keep=[]).repartition(n).write.mode("append").text(path)
     return n
 
 
@@ -101,10 +101,8 @@ def q_stream_dq(spark, sf):
     land, sink, quarantine, ck = (scratch_path(spark, n) for n in ("landing", "sink", "quarantine", "ckpt"))
     files = _land_lines(t.sensor(spark, sf), land)
     lines = sj.read_json_lines(spark, land, max_files=files)
-    valid, bad = sj.parse_stream(lines)
-    issues = sj.stateless_quality(sj.with_ingest_metrics(valid.drop("source_file")))
-    sj.run_available(issues.writeStream.format("parquet").option("path", sink), ck)
-    sj.run_available(bad.writeStream.format("parquet").option("path", quarantine), ck + "-q")
+    classified = sj.with_ingest_metrics(sj.classify_stream(lines))
+    sj.run_available(classified.writeStream.foreachBatch(sj.quality_and_quarantine_writer(sink, quarantine)), ck)
     return spark.read.parquet(sink).select("issue_type", "severity", "entity_type", "entity_id", "machine_id",
                                            "line_id", "station_id", "timestamp")
 

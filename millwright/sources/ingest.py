@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from .. import schemas as S
 from ..functions.coerce import nan_to_null
 
+CORRUPT = "_corrupt_record"
 SENSOR_REQUIRED_FIELDS = ["machine_id", "line_id", "station_id", "timestamp"]
 PRODUCTION_REQUIRED_FIELDS = ["line_id", "station_id", "timestamp"]
 
@@ -27,22 +28,24 @@ def wire_schema(schema: T.StructType) -> T.StructType:
         for f in schema.fields])
 
 
-def parse_records(lines: DataFrame, schema: T.StructType, required: list[str],
-                  text_col: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Split raw JSON lines into (valid, quarantine).
+def classify_records(lines: DataFrame, schema: T.StructType, required: list[str],
+                     text_col: str = "value") -> DataFrame:
+    """One pass over raw JSON lines: typed fields + ``reject_reasons`` + ``is_valid``.
 
-    ``valid`` has ``schema``'s columns, typed; ``quarantine`` has the raw line
-    and ``reject_reasons`` (array of strings).  Both keep every other column
-    of ``lines`` (e.g. source file, arrival time) for lineage.
+    Sinks write valid rows and quarantine rows from this one frame (e.g.
+    ``partitionBy("is_valid")`` or two writes of a persisted micro-batch), so
+    each line is parsed once.  Filtering right here would be pushed below the
+    parse and repeat it for every condition.
     """
-    wire = wire_schema(schema)
+    wire = wire_schema(schema).add(CORRUPT, T.StringType())
     text = F.col(text_col)
     extra = [c for c in lines.columns if c != text_col]
     base = lines.where(F.trim(text) != "")
-    parsed = base.select(*extra, text.alias("_raw"),
-                         F.from_json(text, wire, {"mode": "PERMISSIVE"}).alias("_r"),
-                         # a line that is not a JSON object at all
-                         F.get_json_object(text, "$").isNull().alias("_malformed"))
+    # One parse per line; a line that is not a JSON object lands in the corrupt column.
+    parsed = (base.select(*extra, F.from_json(text, wire, {"mode": "PERMISSIVE",
+                                                           "columnNameOfCorruptRecord": CORRUPT}).alias("_r"),
+                          text.alias("raw_record"))
+              .withColumn("_malformed", F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()))
     ts_fields = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampType)]
     typed = {f.name: (F.col(f"_r.{f.name}").try_cast("timestamp") if f.name in ts_fields
                       else (nan_to_null(F.col(f"_r.{f.name}")) if isinstance(f.dataType, T.DoubleType)
@@ -52,19 +55,33 @@ def parse_records(lines: DataFrame, schema: T.StructType, required: list[str],
     for r in required:
         reasons.append(F.when(~F.col("_malformed") & F.col(f"_r.{r}").isNull(), F.lit(f"missing_{r}")))
     for tsf in ts_fields:
-        reasons.append(F.when(F.col(f"_r.{tsf}").isNotNull() & typed[tsf].isNull(), F.lit(f"invalid_{tsf}")))
-    checked = parsed.withColumn("reject_reasons", F.array_compact(F.array(*reasons)))
-    ok = F.size("reject_reasons") == 0
-    valid = checked.where(ok).select(*extra, *[typed[f.name].alias(f.name) for f in schema.fields])
-    quarantine = checked.where(~ok).select(*extra, F.col("_raw").alias("raw_record"), "reject_reasons")
+        reasons.append(F.when(~F.col("_malformed") & F.col(f"_r.{tsf}").isNotNull() & typed[tsf].isNull(),
+                              F.lit(f"invalid_{tsf}")))
+    return (parsed.select(*extra, "raw_record", *[typed[f.name].alias(f.name) for f in schema.fields],
+                          F.array_compact(F.array(*reasons)).alias("reject_reasons"))
+            .withColumn("is_valid", F.size("reject_reasons") == 0))
+
+
+def parse_records(lines: DataFrame, schema: T.StructType, required: list[str],
+                  text_col: str = "value") -> tuple[DataFrame, DataFrame]:
+    """Split raw JSON lines into (valid typed rows, quarantine rows with reasons)."""
+    c = classify_records(lines, schema, required, text_col)
+    extra = [x for x in lines.columns if x != text_col]
+    valid = c.where("is_valid").select(*extra, *schema.fieldNames())
+    quarantine = c.where("not is_valid").select(*extra, "raw_record", "reject_reasons")
     return valid, quarantine
 
 
-def to_json_lines(df: DataFrame, ts_format: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX") -> DataFrame:
-    """Rows -> one JSON object per line (timestamps as ISO text); nulls omitted."""
+def to_json_lines(df: DataFrame, ts_format: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                  keep: list[str] | None = None) -> DataFrame:
+    """Rows -> one JSON object per line (timestamps as ISO text); nulls omitted.
+
+    ``keep`` columns are carried next to the text (default: ``id`` if present).
+    """
     cols = [F.date_format(F.col(f.name), ts_format).alias(f.name) if isinstance(f.dataType, T.TimestampType)
             else F.col(f.name) for f in df.schema.fields]
-    return df.select(F.to_json(F.struct(*cols)).alias("value"))
+    keep = keep if keep is not None else [c for c in ["id"] if c in df.columns]
+    return df.select(F.to_json(F.struct(*cols)).alias("value"), *keep)
 
 
 # ------------------------------------------------------------------ SRC-6

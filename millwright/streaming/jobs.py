@@ -62,11 +62,36 @@ def parse_stream(lines: DataFrame, schema: T.StructType = S.SENSOR_SCHEMA,
     return ig.parse_records(lines, schema, required or ig.SENSOR_REQUIRED_FIELDS)
 
 
-def with_ingest_metrics(valid: DataFrame, name: str = "ingest") -> DataFrame:
+def classify_stream(lines: DataFrame, schema: T.StructType = S.SENSOR_SCHEMA,
+                    required: list[str] | None = None) -> DataFrame:
+    """One parse per line on arrival: typed fields, ``reject_reasons``, ``is_valid``."""
+    return ig.classify_records(lines, schema, required or ig.SENSOR_REQUIRED_FIELDS)
+
+
+def with_ingest_metrics(classified: DataFrame, name: str = "ingest") -> DataFrame:
     """ST-9 delivery counters per micro-batch, reported in ``lastProgress['observedMetrics']``."""
-    return valid.observe(name, F.count(F.lit(1)).alias("accepted"),
-                         F.max("timestamp").alias("latest_event"),
-                         F.count_if(F.col("event_id").isNull()).alias("without_event_id"))
+    return classified.observe(name, F.count_if(F.col("is_valid")).alias("accepted"),
+                              F.count_if(~F.col("is_valid")).alias("quarantined"),
+                              F.max("timestamp").alias("latest_event"))
+
+
+def quality_and_quarantine_writer(issues_path: str, quarantine_path: str, schema: T.StructType = S.SENSOR_SCHEMA):
+    """foreachBatch: one parsed micro-batch -> issue rows and quarantine rows (ST-5, ST-10).
+
+    The batch is persisted for its two writes only (a shared input), so each
+    line is parsed once.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        b = batch.persist()
+        try:
+            valid = b.where("is_valid").select(*schema.fieldNames())
+            stateless_quality(valid).withColumn("batch_id", F.lit(batch_id)) \
+                .write.mode("append").parquet(issues_path)
+            b.where("not is_valid").select("source_file", "raw_record", "reject_reasons") \
+                .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_path)
+        finally:
+            b.unpersist()
+    return write
 
 
 # ------------------------------------------------------------------ ST-2
