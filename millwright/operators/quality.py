@@ -272,6 +272,43 @@ def delayed_readings(df: DataFrame, entity_type: str, max_delay_seconds: int = M
         F.col("_delay").alias("delay_seconds"), F.lit(max_delay_seconds).alias("threshold_seconds")))
 
 
+# ---------------------------------------------------------------- fused row-local rules
+def row_local_issues(df: DataFrame, entity_type: str, required: list[str], value_rules: list[ValueRule],
+                     dropout: bool, max_delay_seconds: int = MAX_DELAY_SECONDS,
+                     min_missing: int = DROPOUT_MIN_MISSING) -> DataFrame:
+    """DQ-2, DQ-5/6, DQ-8 and DQ-9 in ONE projection + explode (one scan, one pass).
+
+    Same rows and payloads as the single-rule functions, already in the issue
+    table layout (``details_json``).
+    """
+    def item(cond, issue_type, severity, details):
+        return F.when(F.coalesce(cond, F.lit(False)),
+                      F.struct(F.lit(issue_type).alias("issue_type"), F.lit(severity).alias("severity"),
+                               F.to_json(details).alias("details_json")))
+
+    present = [c for c in required if c in df.columns]
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in present]))
+    items = [item(F.size(missing) > 0, "missing_value", "high",
+                  F.struct(F.col("id").alias("row_id"), missing.alias("missing_columns")))]
+    for r in [r for r in value_rules if r.column in df.columns]:
+        v = to_double(r.column)
+        items.append(item(r.violates(v), r.issue_type, r.severity,
+                          F.struct(F.lit(r.column).alias("column"), v.alias("value"))))
+    if dropout:
+        cols = [c for c in DROPOUT_COLUMNS if c in df.columns]
+        n_missing = sum(F.col(c).isNull().cast("int") for c in cols) if cols else F.lit(0)
+        items.append(item(n_missing >= min_missing, "sensor_dropout", "high",
+                          F.struct(F.col("id").alias("row_id"), n_missing.alias("missing_sensor_columns"),
+                                   F.lit(min_missing).alias("threshold"))))
+    if "timestamp" in df.columns and "created_at" in df.columns:
+        delay = seconds_between(F.col("created_at"), F.col("timestamp"))
+        items.append(item(delay > max_delay_seconds, "delayed_reading", "medium",
+                          F.struct(delay.alias("delay_seconds"), F.lit(max_delay_seconds).alias("threshold_seconds"))))
+    hits = df.select(*identity_struct(df), F.explode(F.array_compact(F.array(*items))).alias("_i"))
+    return hits.select("_i.issue_type", "_i.severity", F.lit(entity_type).alias("entity_type"),
+                       "entity_id", "machine_id", "line_id", "station_id", "timestamp", "_i.details_json")
+
+
 # ---------------------------------------------------------------- DQ-10 / DQ-11
 def empty_table_issue(df: DataFrame, entity_type: str, table: str) -> DataFrame:
     """DQ-10: the single issue reported for a table without rows."""
@@ -291,7 +328,6 @@ def validate_sensor_readings(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUNK_
     stuck_cols = [c for c in STUCK_COLUMNS if c in df.columns]
     parts = [
         missing_required_columns(df, S.SENSOR_REQUIRED_COLUMNS, SENSOR),
-        missing_values(df, S.SENSOR_REQUIRED_COLUMNS, SENSOR),
         duplicate_timestamps(df, keys, SENSOR),
     ]
     if "timestamp" in df.columns and all(k in df.columns for k in keys):
@@ -300,8 +336,8 @@ def validate_sensor_readings(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUNK_
         parts.append(_gap_issues(flags, keys, SENSOR, threshold))
         if stuck_cols:
             parts.append(_stuck_issues(flags, keys, stuck_cols, STUCK_MIN_RUN))
-    parts += [impossible_sensor_values(df), sensor_dropout(df), delayed_readings(df, SENSOR)]
-    return _suite(df, parts, SENSOR, "sensor_readings")
+    fused = row_local_issues(df, SENSOR, S.SENSOR_REQUIRED_COLUMNS, SENSOR_VALUE_RULES, dropout=True)
+    return _suite(df, parts, SENSOR, "sensor_readings", fused)
 
 
 def validate_production_events(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUNK_ROWS,
@@ -310,20 +346,20 @@ def validate_production_events(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUN
     keys = ["line_id", "station_id"]
     parts = [
         missing_required_columns(df, S.PRODUCTION_REQUIRED_COLUMNS, PRODUCTION),
-        missing_values(df, S.PRODUCTION_REQUIRED_COLUMNS, PRODUCTION),
         duplicate_timestamps(df, keys, PRODUCTION),
     ]
     if "timestamp" in df.columns and all(k in df.columns for k in keys):
         parts.append(timestamp_gaps(df, keys, PRODUCTION, gap_interval_seconds, chunk_rows=chunk_rows))
-    parts += [impossible_production_values(df), delayed_readings(df, PRODUCTION)]
-    return _suite(df, parts, PRODUCTION, "production_events")
+    fused = row_local_issues(df, PRODUCTION, S.PRODUCTION_REQUIRED_COLUMNS, PRODUCTION_VALUE_RULES, dropout=False)
+    return _suite(df, parts, PRODUCTION, "production_events", fused)
 
 
-def _suite(df: DataFrame, parts: list[DataFrame], entity_type: str, table: str) -> DataFrame:
+def _suite(df: DataFrame, parts: list[DataFrame], entity_type: str, table: str,
+           fused: DataFrame | None = None) -> DataFrame:
     # An empty table reports only ``empty_table``.  isEmpty() reads at most one row.
     if df.isEmpty():
         return empty_table_issue(df, entity_type, table)
-    out = None
+    out = fused
     for p in parts:
         t = to_issue_table(p)
         out = t if out is None else out.unionByName(t)

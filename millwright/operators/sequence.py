@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 NULL_KEY = "\u0000"
 DEFAULT_CHUNK_ROWS = 1_000_000
 
@@ -64,14 +66,19 @@ def sequence_index(df: DataFrame, keys: list[str], order: list,
     """
     oc = _order_cols(order)
     b = _fill(df, keys).withColumn("_p", _bucket(order, bucket_seconds))
-    local = b.withColumn("_lrn", F.row_number().over(Window.partitionBy(*keys, "_p").orderBy(*oc)) - 1)
+    w = Window.partitionBy(*keys, "_p")
+    # Rank and bucket size in one windowed pass (one shuffle, one sort), then
+    # checkpointed: both the offsets and the final join read it, and a plan
+    # with two consumers would otherwise recompute everything upstream twice.
+    local = cut_lineage(b.withColumn("_lrn", F.row_number().over(w.orderBy(*oc)) - 1)
+                        .withColumn("_n", F.count(F.lit(1)).over(w)))
     # One row per (key, bucket): small next to the data.
-    counts = b.groupBy(*keys, "_p").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    offs = counts.select(*keys, "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    offs = (local.where(F.col("_lrn") == 0)
+            .select(*keys, "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))
     return (local.join(offs, [*keys, "_p"])
             .withColumn("_seq", (F.col("_off") + F.col("_lrn")).cast("long"))
-            .drop("_off", "_lrn", "_p"))
+            .drop("_off", "_lrn", "_p", "_n"))
 
 
 def chunked(df: DataFrame, keys: list[str], order: list, before: int, after: int = 0,
@@ -123,23 +130,18 @@ def fill_forward(df: DataFrame, keys: list[str], order: list, value: Column, nam
     """
     s = sequence_index(df.withColumn("_v", value), keys, order, bucket_seconds)
     s = s.withColumn("_chunk", F.floor(F.col("_seq") / chunk_rows).cast("long"))
-    w_in = (Window.partitionBy(*keys, "_chunk").orderBy("_seq")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inside = s.withColumn("_vin", F.last("_v", ignorenulls=True).over(w_in))
-    last_per_chunk = (s.where(F.col("_v").isNotNull())
-                      .groupBy(*keys, "_chunk")
-                      .agg(F.max_by("_v", "_seq").alias("_vlast")))
-    # Value entering chunk c = last value of the nearest earlier non-empty
-    # chunk: shift each chunk's last value to c+1, then fill forward over the
-    # small summary (one row per key and chunk).
-    carried = last_per_chunk.select(*keys, (F.col("_chunk") + 1).alias("_chunk"), "_vlast")
-    chunks = s.select(*keys, "_chunk").distinct()
-    summary = (chunks.join(carried, [*keys, "_chunk"], "full")
-               .withColumn("_vprev", F.last("_vlast", ignorenulls=True).over(
-                   Window.partitionBy(*keys).orderBy("_chunk")
-                   .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    wc = Window.partitionBy(*keys, "_chunk")
+    inside = cut_lineage(
+        s.withColumn("_vin", F.last("_v", ignorenulls=True).over(
+            wc.orderBy("_seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+         .withColumn("_is_last", F.col("_seq") == F.max("_seq").over(wc)))
+    # Value entering chunk c = last value of the nearest earlier chunk that had
+    # one: per-chunk last values (one row per key and chunk, taken from the
+    # chunk's last row), shifted by one chunk and filled forward.
+    summary = (inside.where("_is_last")
+               .withColumn("_vprev", F.last("_vin", ignorenulls=True).over(
+                   Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)))
                .select(*keys, "_chunk", "_vprev"))
-    out = (inside.join(summary, [*keys, "_chunk"], "left")
-           .withColumn(name, F.coalesce(F.col("_vin"), F.col("_vprev")))
-           .drop("_v", "_vin", "_vprev", "_chunk"))
-    return out
+    return (inside.join(summary, [*keys, "_chunk"], "left")
+            .withColumn(name, F.coalesce(F.col("_vin"), F.col("_vprev")))
+            .drop("_v", "_vin", "_vprev", "_chunk", "_is_last"))

@@ -95,3 +95,15 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def cut_lineage(df):
+    """Reliable checkpoint into ``spark.checkpoint.dir`` (shared storage).
+
+    Used where one intermediate feeds several branches of a plan: Spark would
+    otherwise recompute it per branch (column pruning makes the branches
+    differ, so exchange reuse does not apply).  The files survive executor
+    loss; ``localCheckpoint`` would not.
+    """
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

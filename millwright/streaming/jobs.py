@@ -127,13 +127,7 @@ def latest_versions(spark: SparkSession, path: str, keys: list[str]) -> DataFram
 # ------------------------------------------------------------------ ST-4 / ST-5
 def stateless_quality(valid: DataFrame) -> DataFrame:
     """Row-local rules on arrival: missing values, impossible values, dropout, delay."""
-    parts = [q.missing_values(valid, S.SENSOR_REQUIRED_COLUMNS, q.SENSOR),
-             q.impossible_sensor_values(valid), q.sensor_dropout(valid), q.delayed_readings(valid, q.SENSOR)]
-    out = None
-    for p in parts:
-        t = q.to_issue_table(p)
-        out = t if out is None else out.unionByName(t)
-    return out
+    return q.row_local_issues(valid, q.SENSOR, S.SENSOR_REQUIRED_COLUMNS, q.SENSOR_VALUE_RULES, dropout=True)
 
 
 # ------------------------------------------------------------------ ST-6
