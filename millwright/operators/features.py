@@ -192,3 +192,15 @@ def history(df: DataFrame, keys: list[str], order: list, window: int = 12,
     cols.update({n: trailing_std(c, trail) for n, c in stds.items()})
     cols.update({n: diff_per_hour(c, w) for n, c in rates.items()})
     return seq.finish(ch.withColumns(cols), keys)
+
+
+def prepare_inference(df: DataFrame) -> DataFrame:
+    """PRJ-4: inference defaults for absent *or null* production fields; event and
+    sensor timestamps default to the record timestamp, the timestamp to now."""
+    from ..functions.coerce import with_defaults
+
+    out = df if "timestamp" in df.columns else df.withColumn("timestamp", F.current_timestamp())
+    out = with_defaults(out, S.INFERENCE_DEFAULTS)
+    for c in ("event_timestamp", "sensor_timestamp"):
+        out = out.withColumn(c, F.coalesce(F.col(c), F.col("timestamp")) if c in out.columns else F.col("timestamp"))
+    return out

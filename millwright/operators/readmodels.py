@@ -366,3 +366,29 @@ def shift_report(sensor: DataFrame, production: DataFrame, scored: DataFrame, al
         F.max(F.when(t == "x", F.col("_t"))).alias("latest_prediction_timestamp"))
     return (k.withColumn("anomaly_count", F.when(F.col("anomaly_alerts") > 0, F.col("anomaly_alerts"))
                          .otherwise(F.col("_fl"))).drop("_fl"))
+
+
+# --------------------------------------------------------------------- AG-13
+def output_validation(counts: dict[str, DataFrame], minimums: dict[str, int] | None = None) -> DataFrame:
+    """Row count per named table and a PASS/FAIL check (count >= minimum, default 1).
+
+    One tagged union and one aggregate: every table is counted in the same job.
+    """
+    minimums = minimums or {}
+    u = None
+    for name, df in counts.items():
+        part = df.select(F.lit(name).alias("table_name"))
+        u = part if u is None else u.unionByName(part)
+    agg = u.groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count"))
+    names = u.sparkSession.createDataFrame([(n, int(minimums.get(n, 1))) for n in counts],
+                                           "table_name string, minimum long")
+    out = names.join(agg, "table_name", "left").withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("long")))
+    return out.withColumn("status", F.when(F.col("row_count") >= F.col("minimum"), F.lit("PASS"))
+                          .otherwise(F.lit("FAIL")))
+
+
+# --------------------------------------------------------------------- AG-14
+def distribution(df: DataFrame, column: str) -> DataFrame:
+    """Counts and shares of a categorical column (shift, failure mode, ...)."""
+    c = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    return c.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))

@@ -150,3 +150,19 @@ def q_wear_rate(spark, sf):
     out = ft.history(t.sensor(spark, sf), ["machine_id", "station_id"], ["timestamp", "id"], 1,
                      rates={"wear_rate": "tool_wear"})
     return out.select(*SENSOR_KEYS, "wear_rate")
+
+
+@register("processed_dataset", sql=f"""
+SELECT {_keys_sql()}, round(tool_wear_rate, 6) AS tool_wear_rate,
+       round(equipment_process_risk_index, 6) AS equipment_process_risk_index, failure_label
+FROM feat
+""", extra_ctes=ASOF_CTES + "," + ROW_FEATURES)
+def q_processed_dataset(spark, sf):
+    """SRC-8: features written as a line-partitioned Parquet table and read back."""
+    from ..session import scratch_path
+    from ..sources import sinks
+
+    path = scratch_path(spark, "processed")
+    sinks.write_processed(_feats(spark, sf), path)
+    back = sinks.read_processed(spark, path)
+    return back.select(*KEY_OUT, "tool_wear_rate", "equipment_process_risk_index", "failure_label")

@@ -157,3 +157,23 @@ def q_isolation_forest(spark, sf):
     cols = [c for c in S.FEATURE_COLUMNS if c in feats.columns]
     _model, scored = iforest.fit(feats, cols, id_col="id_prod")
     return scored.select("id_prod", "machine_id", "timestamp", "anomaly_score", "anomaly_flag")
+
+
+@register("feature_importances")
+def q_feature_importances(spark, sf):
+    """ML-18 / SO-5: top 25 feature importances of the failure random forest."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import RandomForestClassifier
+
+    from ..ml import train as tr
+
+    feats = _feature_table(spark, sf)
+    cols = tr.feature_columns(feats)
+    fills = st.medians(feats, cols)
+    data = feats.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(fills.get(c, 0.0))) for c in cols})
+    model = Pipeline(stages=[tr._assembled(cols), RandomForestClassifier(
+        labelCol="failure_label", numTrees=80, minInstancesPerNode=2, maxDepth=tr.FOREST_MAX_DEPTH,
+        seed=42)]).fit(data)
+    res = tr.TrainResult(spark.createDataFrame([("rf", True)], "model_name string, selected boolean"), "rf", model,
+                         cols, fills)
+    return tr.feature_importances(res, 25)

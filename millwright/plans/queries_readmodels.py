@@ -360,3 +360,51 @@ def q_shift_report(spark, sf):
     """SC-10: shift handover summary as one row."""
     return rm.shift_report(t.sensor(spark, sf), t.production(spark, sf), scored(spark, sf),
                            alerts(spark, sf), issues(spark, sf), latest(spark, sf))
+
+
+@register("line_monitor", sql="""
+SELECT line_id, count(*) AS events, round(avg(cycle_time_sec), 6) AS avg_cycle_time_sec,
+       round(avg(station_yield), 6) AS avg_station_yield, round(sum(downtime_minutes), 6) AS total_downtime_minutes
+FROM production_events WHERE line_id IN ('L1', 'L3') GROUP BY line_id
+""")
+def q_line_monitor(spark, sf):
+    """AG-9 / SRC-3 / PRJ-9: line monitor KPIs through parameterised SQL on a temp view."""
+    from ..sources.tables import read_query
+
+    rows = read_query(spark, "SELECT * FROM production_events WHERE line_id IN (:a, :b)",
+                      {"production_events": t.production(spark, sf)}, {"a": "L1", "b": "L3"})
+    return rm.line_monitor_kpis(rows)
+
+
+@register("output_validation", sql="""
+SELECT table_name, row_count, minimum, CASE WHEN row_count >= minimum THEN 'PASS' ELSE 'FAIL' END AS status
+FROM (SELECT 'sensor_readings' AS table_name, (SELECT count(*) FROM sensor_readings) AS row_count, 1::BIGINT AS minimum
+      UNION ALL SELECT 'production_events', (SELECT count(*) FROM production_events), 1
+      UNION ALL SELECT 'predictions', (SELECT count(*) FROM scored_h), 1
+      UNION ALL SELECT 'anomaly_alerts', (SELECT count(*) FROM alerts), 1
+      UNION ALL SELECT 'data_quality_issues', (SELECT count(*) FROM issues), 1)
+""", extra_ctes=SCORED_CTES + "," + ISSUES_CTE)
+def q_output_validation(spark, sf):
+    """AG-13: row counts of the output tables with PASS/FAIL checks."""
+    return rm.output_validation({"sensor_readings": t.sensor(spark, sf), "production_events": t.production(spark, sf),
+                                 "predictions": scored(spark, sf), "anomaly_alerts": alerts(spark, sf),
+                                 "data_quality_issues": issues(spark, sf)})
+
+
+@register("shift_distribution", sql="""
+SELECT shift, count(*) AS n, round(count(*) / sum(count(*)) OVER (), 6) AS share
+FROM production_events GROUP BY shift
+""")
+def q_shift_distribution(spark, sf):
+    """AG-14: production events per shift (DAY / EVENING / NIGHT)."""
+    return rm.distribution(t.production(spark, sf), "shift")
+
+
+@register("time_span", sql="""
+SELECT min("timestamp") AS first_timestamp, max("timestamp") AS last_timestamp
+FROM (SELECT "timestamp" FROM sensor_readings UNION ALL SELECT "timestamp" FROM production_events
+      UNION ALL SELECT "timestamp" FROM scored_h UNION ALL SELECT "timestamp" FROM alerts)
+""", extra_ctes=SCORED_CTES)
+def q_time_span(spark, sf):
+    """AG-15: first and last timestamp across sensor, production, prediction and alert tables."""
+    return rm.time_span(t.sensor(spark, sf), t.production(spark, sf), scored(spark, sf), alerts(spark, sf))
