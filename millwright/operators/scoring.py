@@ -165,7 +165,7 @@ def alerts(scored: DataFrame, source: str = "batch_scoring") -> DataFrame:
 def training_alerts(scored: DataFrame, limit: int = 100) -> DataFrame:
     """SC-8: the most anomalous flagged rows (ascending score, top ``limit``)."""
     top = (scored.where(F.col("anomaly_flag") == 1)
-           .orderBy(F.col("anomaly_score").asc(), F.col("id").asc()).limit(limit))
+           .orderBy(F.col("anomaly_score").asc_nulls_last(), F.col("id").asc()).limit(limit))
     return top.select(
         "id", "machine_id", "line_id", "station_id", "timestamp", "anomaly_score",
         F.when(F.col("anomaly_score") < -0.15, F.lit("high")).otherwise(F.lit("medium")).alias("severity"),

@@ -408,3 +408,25 @@ FROM (SELECT "timestamp" FROM sensor_readings UNION ALL SELECT "timestamp" FROM
 def q_time_span(spark, sf):
     """AG-15: first and last timestamp across sensor, production, prediction and alert tables."""
     return rm.time_span(t.sensor(spark, sf), t.production(spark, sf), scored(spark, sf), alerts(spark, sf))
+
+
+@register("latest_events", sql="""
+SELECT id, machine_id, line_id, station_id, "timestamp" FROM sensor_readings
+ORDER BY "timestamp" DESC, id DESC LIMIT 10
+""")
+def q_latest_events(spark, sf):
+    """SO-3: the ten newest sensor readings (top-k by time, id as tie-break)."""
+    s = t.sensor(spark, sf)
+    return (s.orderBy(F.col("timestamp").desc(), F.col("id").desc()).limit(10)
+            .select("id", "machine_id", "line_id", "station_id", "timestamp"))
+
+
+@register("training_alerts", sql=f"""
+SELECT id, machine_id, line_id, station_id, "timestamp", round(anomaly_score, 6) AS anomaly_score,
+       CASE WHEN anomaly_score < -0.15 THEN 'high' ELSE 'medium' END AS severity,
+       '{sc.TRAINING_ALERT_MESSAGE}' AS message, 'training_pipeline' AS source
+FROM predictions WHERE anomaly_flag = 1 ORDER BY anomaly_score ASC, id ASC LIMIT 100
+""")
+def q_training_alerts(spark, sf):
+    """SC-8 / SO-2: the 100 most anomalous flagged rows as alerts (given scores)."""
+    return sc.training_alerts(t.predictions(spark, sf), 100)
