@@ -229,6 +229,29 @@ def stuck_sensor(df: DataFrame, columns: list[str] | None = None, min_run_length
     return _stuck_issues(flags, keys, cols, min_run_length)
 
 
+def flatline_flags(sensor: DataFrame, columns: list[str] | None = None, min_run_length: int = STUCK_MIN_RUN,
+                   chunk_rows: int = seq.DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Readings that sit inside a flatline run of any watched column: ``(id, flatline_sensor_flag=1)``.
+
+    Feeds the hint rule and data-quality penalty, which read a flatline flag
+    the source pipeline never computes (SURVEY Q6).
+    """
+    keys = ["machine_id", "station_id"]
+    cols = [c for c in (columns or STUCK_COLUMNS) if c in sensor.columns]
+    flags = _sequence_flags(sensor, keys, None, cols, min_run_length, chunk_rows)
+    anyc = F.lit(False)
+    for c in cols:
+        anyc = anyc | F.col(f"_stuck_{c}")
+    return flags.where(anyc).select("id", F.lit(1).alias("flatline_sensor_flag"))
+
+
+def with_flatline(joined: DataFrame, sensor: DataFrame, sensor_id: str = "id") -> DataFrame:
+    """Attach the flag to as-of joined rows by the matched sensor reading's id (0 when not flat)."""
+    f = flatline_flags(sensor).withColumnRenamed("id", "_fid")
+    return (joined.join(f, joined[sensor_id] == f["_fid"], "left").drop("_fid")
+            .withColumn("flatline_sensor_flag", F.coalesce(F.col("flatline_sensor_flag"), F.lit(0))))
+
+
 # ---------------------------------------------------------------- DQ-5 / DQ-6
 def impossible_values(df: DataFrame, rules: list[ValueRule], entity_type: str) -> DataFrame:
     """One issue per (row, violated column), all rules in one projection."""

@@ -78,9 +78,9 @@ def q_scan_latest_n(spark, sf):
 @register("machine_health", sql=None)
 def q_machine_health(spark, sf):
     """Flagship: as-of join -> history features -> health score and hint per event."""
-    from ..operators import features
+    from ..operators import features, quality
 
-    feats = features.add_engineered_features(joined(spark, sf))
+    feats = features.add_engineered_features(quality.with_flatline(joined(spark, sf), t.sensor(spark, sf)))
     scored = scoring.score(feats.withColumn("failure_probability", F.col("equipment_process_risk_index"))
                            .withColumn("anomaly_score", F.lit(None).cast("double")))
     return scored.select("id_prod", "machine_id", "line_id", "station_id", "timestamp",

@@ -224,3 +224,24 @@ SELECT entity_type, issue_type, count(*) AS issue_count FROM issues GROUP BY ent
 def q_dq_summary(spark, sf):
     """DQ-12: issue counts by table and type over both suites."""
     return q.quality_summary(issues(spark, sf))
+
+
+def _flat_sql():
+    return f"""
+SELECT DISTINCT id, 1 AS flatline_sensor_flag FROM (
+  SELECT *, sum(CASE WHEN same THEN 1 ELSE 0 END) OVER (PARTITION BY machine_id, station_id, col, run) + 1 AS run_len
+  FROM (
+    SELECT *, sum(CASE WHEN chg THEN 1 ELSE 0 END) OVER (PARTITION BY machine_id, station_id, col
+           ORDER BY "timestamp", id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+    FROM (
+      SELECT *, same IS DISTINCT FROM lag(same) OVER (PARTITION BY machine_id, station_id, col
+             ORDER BY "timestamp", id) AS chg
+      FROM ({_stuck_sql()}) u) a) b) c
+WHERE same AND run_len >= 6
+"""
+
+
+@register("flatline_flags", sql=_flat_sql())
+def q_flatline_flags(spark, sf):
+    """Q6 / DQ-7: readings inside a flatline run of any watched column."""
+    return q.flatline_flags(t.sensor(spark, sf))
