@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from typing import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,45 +147,71 @@ def _state_schema(columns: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
+def _run_lengths(same: np.ndarray, carried: int) -> np.ndarray:
+    """Consecutive-true counts ending at each row, continuing a run of ``carried`` from state."""
+    n = len(same)
+    pos = np.arange(n)
+    last_break = np.maximum.accumulate(np.where(~same, pos, -1))
+    return np.where(same, np.where(last_break < 0, pos + 1 + carried, pos - last_break), 0)
+
+
 def _monitor_fn(columns: list[str], gap_seconds: float, min_run: int, tol: float = q.STUCK_TOLERANCE):
     need = max(min_run - 1, 1)
+    names = [f.name for f in MONITOR_OUTPUT.fields]
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
         machine, station = key
         if state.exists:
             st = list(state.get)
             last_us, last_id = st[0], st[1]
-            vals = {c: st[2 + i] for i, c in enumerate(columns)}
-            runs = {c: st[2 + len(columns) + i] for i, c in enumerate(columns)}
+            vals = [st[2 + i] for i in range(len(columns))]
+            runs = [st[2 + len(columns) + i] for i in range(len(columns))]
         else:
-            last_us, last_id = None, None
-            vals = {c: None for c in columns}
-            runs = {c: 0 for c in columns}
-        out = []
+            last_us, last_id, vals, runs = None, None, [None] * len(columns), [0] * len(columns)
         pdf = pd.concat(list(pdfs), ignore_index=True)
         # Arrival order inside a micro-batch is not guaranteed: order by event time.
-        pdf = pdf.sort_values(["timestamp", "id"], kind="mergesort")
-        ts_us = pdf["timestamp"].astype("int64") // 1000 if len(pdf) else pdf["timestamp"]
-        for i, row in enumerate(pdf.itertuples(index=False)):
-            cur_us = int(ts_us.iloc[i])
-            if last_us is not None and (cur_us, row.id) < (last_us, last_id):
-                out.append((machine, station, row.line_id, row.id, row.timestamp, "late", None, None))
-                continue
-            if last_us is not None and (cur_us - last_us) / 1e6 > gap_seconds:
-                out.append((machine, station, row.line_id, row.id, row.timestamp, "gap", None,
-                            (cur_us - last_us) / 1e6))
-            for c in columns:
-                x = getattr(row, c)
-                x = None if x is None or pd.isna(x) else float(x)
-                prev = vals[c]
-                same = last_us is not None and x is not None and prev is not None and abs(x - prev) < tol
-                runs[c] = runs[c] + 1 if same else 0
-                if same and runs[c] >= need:
-                    out.append((machine, station, row.line_id, row.id, row.timestamp, "stuck", c, x))
-                vals[c] = x
-            last_us, last_id = cur_us, row.id
-        state.update(tuple([last_us, last_id] + [vals[c] for c in columns] + [runs[c] for c in columns]))
-        yield pd.DataFrame(out, columns=[f.name for f in MONITOR_OUTPUT.fields])
+        pdf = pdf.sort_values(["timestamp", "id"], kind="mergesort").reset_index(drop=True)
+        us = pdf["timestamp"].astype("int64").to_numpy() // 1000
+        ids = pdf["id"].to_numpy()
+        late = (np.zeros(len(pdf), dtype=bool) if last_us is None
+                else (us < last_us) | ((us == last_us) & (ids < last_id)))
+        parts = []
+        if late.any():
+            lp = pdf[late]
+            parts.append(pd.DataFrame({"machine_id": machine, "station_id": station, "line_id": lp["line_id"],
+                                       "id": lp["id"], "timestamp": lp["timestamp"], "kind": "late",
+                                       "column": None, "value": np.nan}))
+        pdf, us = pdf[~late].reset_index(drop=True), us[~late]
+        if len(pdf):
+            prev_us = np.concatenate([[last_us if last_us is not None else -1], us[:-1]]).astype("int64")
+            has_prev = np.ones(len(pdf), dtype=bool)
+            has_prev[0] = last_us is not None
+            gap = (us - prev_us) / 1e6
+            g = has_prev & (gap > gap_seconds)
+            if g.any():
+                gp = pdf[g]
+                parts.append(pd.DataFrame({"machine_id": machine, "station_id": station, "line_id": gp["line_id"],
+                                           "id": gp["id"], "timestamp": gp["timestamp"], "kind": "gap",
+                                           "column": None, "value": gap[g]}))
+            for i, c in enumerate(columns):
+                x = pd.to_numeric(pdf[c], errors="coerce").to_numpy(dtype=float)
+                first_prev = np.nan if (last_us is None or vals[i] is None) else float(vals[i])
+                prev = np.concatenate([[first_prev], x[:-1]])
+                same = np.abs(x - prev) < tol  # NaN on either side -> False
+                rl = _run_lengths(same, int(runs[i]))
+                hit = same & (rl >= need)
+                if hit.any():
+                    hp = pdf[hit]
+                    parts.append(pd.DataFrame({"machine_id": machine, "station_id": station,
+                                               "line_id": hp["line_id"], "id": hp["id"],
+                                               "timestamp": hp["timestamp"], "kind": "stuck", "column": c,
+                                               "value": x[hit]}))
+                vals[i] = None if np.isnan(x[-1]) else float(x[-1])
+                runs[i] = int(rl[-1])
+            last_us, last_id = int(us[-1]), int(pdf["id"].iloc[-1])
+        state.update(tuple([last_us, last_id] + vals + runs))
+        yield (pd.concat(parts, ignore_index=True)[names] if parts
+               else pd.DataFrame({n: pd.Series(dtype="object") for n in names}))
 
     return fn
 
