@@ -111,7 +111,7 @@ def q_regression_metrics(spark, sf):
 
 
 @register("anomaly_metrics", sql="""
-SELECT sum(coalesce(anomaly_flag, 0)) AS anomaly_count, count(*) AS row_count,
+SELECT CAST(sum(coalesce(anomaly_flag, 0)) AS BIGINT) AS anomaly_count, count(*) AS row_count,
        round(coalesce(avg(anomaly_flag), 0.0), 6) AS anomaly_rate, round(min(anomaly_score), 6) AS score_min,
        round(avg(anomaly_score), 6) AS score_mean, round(max(anomaly_score), 6) AS score_max
 FROM predictions

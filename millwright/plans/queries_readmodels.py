@@ -77,7 +77,7 @@ fs AS (
   SELECT *, {clip01('coalesce(tool_wear, 0.0) / 100.0')} AS tool_wear_index,
          {clip01('(1.0 - coalesce(process_stability_index, 1.0)) + abs(coalesce(temperature_delta, 0.0)) / 80.0')}
            AS process_drift_score,
-         0.0 AS data_quality_penalty
+         0.0::DOUBLE AS data_quality_penalty
   FROM predictions
 ),
 hs AS (SELECT *, {_RISK} AS combined_risk FROM fs),
@@ -194,7 +194,7 @@ SELECT (SELECT count(DISTINCT machine_id) FROM sensor_readings) AS total_machine
        (SELECT round(avg(health_score), 6) FROM latest) AS avg_health_score,
        (SELECT round(avg(rul_estimate_hours), 6) FROM latest) AS avg_rul_hours,
        CASE WHEN (SELECT count(*) FROM alerts) > 0 THEN (SELECT count(*) FROM alerts)
-            ELSE (SELECT coalesce(sum(coalesce(anomaly_flag, 0)), 0) FROM scored_h) END AS anomaly_count
+            ELSE (SELECT CAST(coalesce(sum(coalesce(anomaly_flag, 0)), 0) AS BIGINT) FROM scored_h) END AS anomaly_count
 """, extra_ctes=SCORED_CTES)
 def q_executive_kpis(spark, sf):
     """AG-4: machines, lines, high/critical machines, mean health and RUL, anomaly count."""
@@ -354,7 +354,7 @@ SELECT (SELECT count(*) FROM sensor_readings) AS sensor_readings,
        (SELECT round(avg(rul_estimate_hours), 6) FROM latest) AS avg_rul_hours,
        (SELECT max("timestamp") FROM scored_h) AS latest_prediction_timestamp,
        CASE WHEN (SELECT count(*) FROM alerts) > 0 THEN (SELECT count(*) FROM alerts)
-            ELSE (SELECT coalesce(sum(coalesce(anomaly_flag, 0)), 0) FROM scored_h) END AS anomaly_count
+            ELSE (SELECT CAST(coalesce(sum(coalesce(anomaly_flag, 0)), 0) AS BIGINT) FROM scored_h) END AS anomaly_count
 """, extra_ctes=SCORED_CTES + "," + ISSUES_CTE)
 def q_shift_report(spark, sf):
     """SC-10: shift handover summary as one row."""

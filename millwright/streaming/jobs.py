@@ -147,6 +147,13 @@ def _state_schema(columns: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
+_EMPTY_MONITOR = pd.DataFrame({
+    "machine_id": pd.Series(dtype="object"), "station_id": pd.Series(dtype="object"),
+    "line_id": pd.Series(dtype="object"), "id": pd.Series(dtype="int64"),
+    "timestamp": pd.Series(dtype="datetime64[ns]"), "kind": pd.Series(dtype="object"),
+    "column": pd.Series(dtype="object"), "value": pd.Series(dtype="float64")})
+
+
 def _run_lengths(same: np.ndarray, carried: int) -> np.ndarray:
     """Consecutive-true counts ending at each row, continuing a run of ``carried`` from state."""
     n = len(same)
@@ -210,8 +217,7 @@ def _monitor_fn(columns: list[str], gap_seconds: float, min_run: int, tol: float
                 runs[i] = int(rl[-1])
             last_us, last_id = int(us[-1]), int(pdf["id"].iloc[-1])
         state.update(tuple([last_us, last_id] + vals + runs))
-        yield (pd.concat(parts, ignore_index=True)[names] if parts
-               else pd.DataFrame({n: pd.Series(dtype="object") for n in names}))
+        yield pd.concat(parts, ignore_index=True)[names] if parts else _EMPTY_MONITOR.copy()
 
     return fn
 
