@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.coerce import identity_struct, to_double
 from ..functions.timefn import seconds_between
+from ..session import cut_lineage
 from . import sequence as seq
 
 SENSOR = "sensor_reading"
@@ -148,7 +149,7 @@ def duplicate_timestamps(df: DataFrame, group_columns: list[str], entity_type: s
 
 # ---------------------------------------------------------------- DQ-4 / DQ-7 shared layout
 def _sequence_flags(df: DataFrame, keys: list[str], gap_threshold: float | None,
-                    stuck_columns: list[str], min_run: int, chunk_rows: int) -> DataFrame:
+                    stuck_columns: list[str], min_run: int, chunk_rows: int, dups: bool = False) -> DataFrame:
     """One chunked pass per (keys): gap seconds and per-column stuck flags.
 
     Stuck rows: ``same = |x - prev| < tol`` and the maximal stretch of ``same``
@@ -159,12 +160,18 @@ def _sequence_flags(df: DataFrame, keys: list[str], gap_threshold: float | None,
     """
     m = max(min_run - 1, 1)
     before = max(1, m) if stuck_columns else 1
-    after = (m - 1) if stuck_columns else 0
+    after = max((m - 1) if stuck_columns else 0, 1 if dups else 0)
     ch = seq.chunked(df, keys, ["timestamp", "id"], before=before, after=after, chunk_rows=chunk_rows)
     w = seq.chunk_window(keys)
     cols: dict[str, Column] = {}
     if gap_threshold is not None:
         cols["_gap"] = seconds_between(F.col("timestamp"), F.lag("timestamp", 1).over(w))
+    if dups:
+        # Duplicates are neighbours in (timestamp, id) order; null timestamps are equal to each other.
+        has_prev = F.lag(F.lit(1), 1).over(w).isNotNull()
+        has_next = F.lead(F.lit(1), 1).over(w).isNotNull()
+        cols["_dup"] = ((has_prev & F.col("timestamp").eqNullSafe(F.lag("timestamp", 1).over(w)))
+                        | (has_next & F.col("timestamp").eqNullSafe(F.lead("timestamp", 1).over(w))))
     for c in stuck_columns:
         x = to_double(c)
         cols[f"_same_{c}"] = F.coalesce(F.abs(x - F.lag(x, 1).over(w)) < STUCK_TOLERANCE, F.lit(False))
@@ -182,6 +189,21 @@ def _sequence_flags(df: DataFrame, keys: list[str], gap_threshold: float | None,
     return out.where(~F.col("_halo")).drop("_halo", "_chunk")
 
 
+def _slim_flags(flags: DataFrame, keys: list[str], stuck_columns: list[str]) -> DataFrame:
+    """Checkpoint just what the issue builders read: three consumers share it."""
+    ident = [c for c in ["id", "machine_id", "line_id", "station_id", "timestamp"] if c in flags.columns]
+    keep = list(dict.fromkeys(keys + ident + ["_seq", "_gap", "_dup"] + stuck_columns
+                              + [f"_stuck_{c}" for c in stuck_columns]))
+    return cut_lineage(flags.select(*[c for c in keep if c in flags.columns]))
+
+
+def _dup_issues(flags: DataFrame, keys: list[str], entity_type: str) -> DataFrame:
+    hit = seq.restore_keys(flags.where(F.col("_dup")), keys)
+    subset = [*keys, "timestamp"]
+    return _issue(hit, "duplicate_timestamp", "medium", entity_type,
+                  F.struct(*[F.col(c).cast("string").alias(c) for c in subset]))
+
+
 def _gap_issues(flags: DataFrame, keys: list[str], entity_type: str, threshold: float) -> DataFrame:
     hit = seq.restore_keys(flags.where(F.col("_gap") > threshold), keys)
     return _issue(hit, "timestamp_gap", "medium", entity_type, F.struct(
@@ -349,16 +371,17 @@ def validate_sensor_readings(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUNK_
     keys = ["machine_id", "station_id"]
     threshold = float(gap_interval_seconds * GAP_MULTIPLIER)
     stuck_cols = [c for c in STUCK_COLUMNS if c in df.columns]
-    parts = [
-        missing_required_columns(df, S.SENSOR_REQUIRED_COLUMNS, SENSOR),
-        duplicate_timestamps(df, keys, SENSOR),
-    ]
+    parts = [missing_required_columns(df, S.SENSOR_REQUIRED_COLUMNS, SENSOR)]
     if "timestamp" in df.columns and all(k in df.columns for k in keys):
-        # Gaps and flatlines share one chunked layout (one sequence, one sort).
-        flags = _sequence_flags(df, keys, threshold, stuck_cols, STUCK_MIN_RUN, chunk_rows)
+        # Duplicates, gaps and flatlines share one chunked layout (one sequence, one sort).
+        flags = _slim_flags(_sequence_flags(df, keys, threshold, stuck_cols, STUCK_MIN_RUN, chunk_rows, dups=True),
+                            keys, stuck_cols)
+        parts.append(_dup_issues(flags, keys, SENSOR))
         parts.append(_gap_issues(flags, keys, SENSOR, threshold))
         if stuck_cols:
             parts.append(_stuck_issues(flags, keys, stuck_cols, STUCK_MIN_RUN))
+    else:
+        parts.append(duplicate_timestamps(df, keys, SENSOR))
     fused = row_local_issues(df, SENSOR, S.SENSOR_REQUIRED_COLUMNS, SENSOR_VALUE_RULES, dropout=True)
     return _suite(df, parts, SENSOR, "sensor_readings", fused)
 
@@ -367,12 +390,13 @@ def validate_production_events(df: DataFrame, chunk_rows: int = seq.DEFAULT_CHUN
                                gap_interval_seconds: int = EXPECTED_INTERVAL_SECONDS) -> DataFrame:
     """DQ-11 production suite: 1, 2, 3, 4, 6, 9."""
     keys = ["line_id", "station_id"]
-    parts = [
-        missing_required_columns(df, S.PRODUCTION_REQUIRED_COLUMNS, PRODUCTION),
-        duplicate_timestamps(df, keys, PRODUCTION),
-    ]
+    parts = [missing_required_columns(df, S.PRODUCTION_REQUIRED_COLUMNS, PRODUCTION)]
     if "timestamp" in df.columns and all(k in df.columns for k in keys):
-        parts.append(timestamp_gaps(df, keys, PRODUCTION, gap_interval_seconds, chunk_rows=chunk_rows))
+        threshold = float(gap_interval_seconds * GAP_MULTIPLIER)
+        flags = _slim_flags(_sequence_flags(df, keys, threshold, [], STUCK_MIN_RUN, chunk_rows, dups=True), keys, [])
+        parts += [_dup_issues(flags, keys, PRODUCTION), _gap_issues(flags, keys, PRODUCTION, threshold)]
+    else:
+        parts.append(duplicate_timestamps(df, keys, PRODUCTION))
     fused = row_local_issues(df, PRODUCTION, S.PRODUCTION_REQUIRED_COLUMNS, PRODUCTION_VALUE_RULES, dropout=False)
     return _suite(df, parts, PRODUCTION, "production_events", fused)
 
