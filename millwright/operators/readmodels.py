@@ -250,12 +250,21 @@ PRODUCTION_TREND_METRICS = ["throughput_count", "target_throughput", "cycle_time
                             "defect_rate", "micro_stop_count", "downtime_minutes"]
 
 
-def trend_series(production: DataFrame, metrics: list[str] | None = None) -> DataFrame:
-    """Tidy (line, station, timestamp, metric, value) series via one unpivot."""
+SENSOR_TREND_METRICS = ["vibration_rms", "process_temperature", "motor_current", "torque", "tool_wear"]
+
+
+def trend_series(df: DataFrame, metrics: list[str] | None = None,
+                 keys: tuple = ("id", "line_id", "station_id", "timestamp")) -> DataFrame:
+    """Tidy (keys..., metric, value) series via one unpivot (production or sensor trends)."""
     metrics = metrics or PRODUCTION_TREND_METRICS
-    wide = production.select("id", "line_id", "station_id", "timestamp",
-                             *[F.col(m).cast("double").alias(m) for m in metrics])
-    return wide.unpivot(["id", "line_id", "station_id", "timestamp"], metrics, "metric", "value")
+    wide = df.select(*keys, *[F.col(m).cast("double").alias(m) for m in metrics])
+    return wide.unpivot(list(keys), metrics, "metric", "value")
+
+
+def anomaly_timeline(scored: DataFrame) -> DataFrame:
+    """Per machine: time, anomaly score and flag (for the anomaly timeline view)."""
+    return scored.select("id", "machine_id", "line_id", "timestamp", "anomaly_score",
+                         F.coalesce(F.col("anomaly_flag").cast("int"), F.lit(0)).alias("anomaly_flag"))
 
 
 # --------------------------------------------------------------------- AG-15

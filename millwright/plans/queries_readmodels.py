@@ -430,3 +430,24 @@ FROM predictions WHERE anomaly_flag = 1 ORDER BY anomaly_score ASC, id ASC LIMIT
 def q_training_alerts(spark, sf):
     """SC-8 / SO-2: the 100 most anomalous flagged rows as alerts (given scores)."""
     return sc.training_alerts(t.predictions(spark, sf), 100)
+
+
+@register("sensor_trends", sql="""
+SELECT id, machine_id, station_id, "timestamp", metric, round(value, 6) AS value
+FROM (SELECT id, machine_id, station_id, "timestamp", vibration_rms, process_temperature, motor_current, torque,
+             tool_wear FROM sensor_readings)
+UNPIVOT INCLUDE NULLS (value FOR metric IN (vibration_rms, process_temperature, motor_current, torque, tool_wear))
+""")
+def q_sensor_trends(spark, sf):
+    """SC-12: per-machine sensor trend series (tidy)."""
+    return rm.trend_series(t.sensor(spark, sf), rm.SENSOR_TREND_METRICS,
+                           keys=("id", "machine_id", "station_id", "timestamp"))
+
+
+@register("anomaly_timeline", sql="""
+SELECT id, machine_id, line_id, "timestamp", round(anomaly_score, 6) AS anomaly_score,
+       coalesce(anomaly_flag, 0) AS anomaly_flag FROM scored_h
+""", extra_ctes=SCORED_CTES)
+def q_anomaly_timeline(spark, sf):
+    """SC-12: anomaly score and flag over time per machine."""
+    return rm.anomaly_timeline(scored(spark, sf))
