@@ -23,6 +23,8 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Checkpoint files of plan branch points are removed once unreferenced.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -46,7 +48,7 @@ def build_session(master: str | None = None, app_name: str = "millwright",
 def apply_session_conf(spark: SparkSession) -> None:
     """Set the runtime-modifiable settings on an existing session."""
     for k, v in BASE_CONF.items():
-        if k == "spark.ui.enabled":
+        if k in ("spark.ui.enabled", "spark.cleaner.referenceTracking.cleanCheckpoints"):
             continue
         try:
             spark.conf.set(k, v)
