@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.coerce import to_double
-from ..functions.timefn import seconds_between
+from ..functions.timefn import age_text, seconds_between
 
 
 # --------------------------------------------------------------------- AG-2
@@ -219,7 +219,8 @@ def freshness(sensor: DataFrame, production: DataFrame, as_of: str) -> DataFrame
     last = (sensor.select("timestamp").unionByName(production.select("timestamp"))
             .agg(F.max("timestamp").alias("last_received_timestamp")))
     at = F.lit(as_of).cast("timestamp")
-    return last.select("last_received_timestamp", *freshness_state(F.col("last_received_timestamp"), at))
+    return last.select("last_received_timestamp", *freshness_state(F.col("last_received_timestamp"), at),
+                       age_text(F.col("last_received_timestamp"), at).alias("age_text"))
 
 
 # --------------------------------------------------------------------- AG-9

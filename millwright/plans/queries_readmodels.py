@@ -258,9 +258,17 @@ SELECT last_received_timestamp,
             ELSE 'Replay / offline dataset' END AS ingestion_state,
        CASE WHEN last_received_timestamp IS NULL
               OR (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(last_received_timestamp)) / 1e6 < 120
-            THEN 'active' ELSE 'stale' END AS collector_status
-FROM (SELECT max("timestamp") AS last_received_timestamp FROM (SELECT "timestamp" FROM sensor_readings
-      UNION ALL SELECT "timestamp" FROM production_events))
+            THEN 'active' ELSE 'stale' END AS collector_status,
+       CASE WHEN last_received_timestamp IS NULL THEN 'N/A'
+            WHEN s < 60 THEN concat(CAST(s AS VARCHAR), 's ago')
+            WHEN s // 60 < 60 THEN concat(CAST(s // 60 AS VARCHAR), 'm ago')
+            WHEN s // 3600 < 48 THEN concat(CAST(s // 3600 AS VARCHAR), 'h ago')
+            ELSE concat(CAST(s // 86400 AS VARCHAR), 'd ago') END AS age_text
+FROM (SELECT last_received_timestamp,
+             greatest(0, CAST(floor((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(last_received_timestamp)) / 1e6)
+                              AS BIGINT)) AS s
+      FROM (SELECT max("timestamp") AS last_received_timestamp FROM (SELECT "timestamp" FROM sensor_readings
+            UNION ALL SELECT "timestamp" FROM production_events)))
 """)
 def q_freshness_state(spark, sf):
     """SC-9: freshness of the newest record at a fixed as-of time."""

@@ -95,3 +95,14 @@ def test_action_queue_fallback_row(spark):
                                              "timestamp timestamp, severity string, issue_type string")
     got = rm.action_queue(empty_pred, empty_alerts, empty_issues).collect()
     assert [r["priority"] for r in got] == ["Monitor"]
+
+
+@pytest.mark.parametrize("secs,text", [(59, "59s ago"), (60, "1m ago"), (3599, "59m ago"), (47 * 3600, "47h ago"),
+                                       (48 * 3600, "2d ago"), (-5, "0s ago"), (None, "N/A")])
+def test_age_text(spark, secs, text):
+    from millwright.functions.timefn import age_text
+
+    now = ts(0)
+    when = None if secs is None else now - __import__("datetime").timedelta(seconds=secs)
+    df = spark.createDataFrame([(when, now)], "t timestamp, now timestamp")
+    assert df.select(age_text(F.col("t"), F.col("now")).alias("a")).first()["a"] == text
