@@ -56,8 +56,30 @@ def _bucket(order: list, bucket_seconds: int) -> Column:
     return F.coalesce(b, F.lit(_NULL_BUCKET).cast("long"))
 
 
+SPLIT_MODES = ("range", "bucket")
+DEFAULT_SPLIT = "range"
+
+
+def _split_column(df: DataFrame, keys: list[str], order: list, split: str, bucket_seconds: int) -> DataFrame:
+    """Attach ``_p``: a split of each key into order-contiguous pieces.
+
+    ``range``: ``repartitionByRange`` on (key, order...) -- sampled bounds cut a
+    hot key, a hot hour and even a pile of same-timestamp copies (the id is part
+    of the range key) into balanced pieces; ``_p`` is the range partition.
+    ``bucket``: a fixed time bucket of the first order column (no sampling job,
+    but one busy (key, bucket) is ranked in one task).
+    """
+    if split == "range":
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *_order_cols(order))
+        return ranged.withColumn("_p", F.spark_partition_id().cast("long"))
+    if split == "bucket":
+        return df.withColumn("_p", _bucket(order, bucket_seconds))
+    raise ValueError(f"split must be one of {SPLIT_MODES}")
+
+
 def sequence_index(df: DataFrame, keys: list[str], order: list,
-                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                   bucket_seconds: int = DEFAULT_BUCKET_SECONDS, split: str | None = None) -> DataFrame:
     """Add ``_seq`` (0-based row position within ``keys`` by ``order``).
 
     Keys come back with nulls replaced by a sentinel; callers finish with
@@ -65,14 +87,16 @@ def sequence_index(df: DataFrame, keys: list[str], order: list,
     and start with the timestamp column.
     """
     oc = _order_cols(order)
-    b = _fill(df, keys).withColumn("_p", _bucket(order, bucket_seconds))
+    b = _split_column(_fill(df, keys), keys, order, split or DEFAULT_SPLIT, bucket_seconds)
     w = Window.partitionBy(*keys, "_p")
-    # Rank and bucket size in one windowed pass (one shuffle, one sort), then
-    # checkpointed: both the offsets and the final join read it, and a plan
-    # with two consumers would otherwise recompute everything upstream twice.
+    # Rank and piece size in one windowed pass (one shuffle, one sort), then
+    # checkpointed.  Both the offsets and the final join read the checkpoint,
+    # so ``_p`` is computed exactly once -- a range partition id recomputed in
+    # a second plan branch could differ (its bounds come from sampling) -- and
+    # nothing upstream runs twice.
     local = cut_lineage(b.withColumn("_lrn", F.row_number().over(w.orderBy(*oc)) - 1)
                         .withColumn("_n", F.count(F.lit(1)).over(w)))
-    # One row per (key, bucket): small next to the data.
+    # One row per (key, piece): small next to the data.
     before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offs = (local.where(F.col("_lrn") == 0)
             .select(*keys, "_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")))

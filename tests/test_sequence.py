@@ -54,3 +54,26 @@ def test_fill_forward_equals_last_ignore_nulls(spark):
     j = got.join(want.select("id", "ff_w"), "id")
     assert j.count() == df.count()
     assert j.where(~F.col("ff").eqNullSafe(F.col("ff_w"))).count() == 0
+
+
+def test_both_split_modes_give_the_same_index(spark):
+    import pytest as _pt  # noqa: F401
+
+    df = _data(spark)
+    for split in ("range", "bucket"):
+        got = seq.restore_keys(seq.sequence_index(df, ["k", "s"], ["timestamp", "id"], bucket_seconds=600,
+                                                  split=split), ["k", "s"])
+        want = df.withColumn("_want", F.row_number().over(
+            Window.partitionBy("k", "s").orderBy("timestamp", "id")) - 1)
+        j = got.join(want, "id")
+        assert j.count() == df.count()
+        assert j.where(F.col("_seq") != F.col("_want")).count() == 0, split
+
+
+def test_range_split_cuts_a_hot_instant(spark):
+    # 300 copies at one timestamp for one key: the range split (id in the key) still ranks them exactly
+    rows = [(i, "HOT", "S", ts(0), float(i)) for i in range(300)] + [(1000 + i, "K", "S", ts(i), 1.0) for i in range(5)]
+    df = spark.createDataFrame(rows, "id long, k string, s string, timestamp timestamp, v double")
+    got = seq.restore_keys(seq.sequence_index(df, ["k"], ["timestamp", "id"], split="range"), ["k"])
+    hot = {r["id"]: r["_seq"] for r in got.where("k = 'HOT'").collect()}
+    assert hot == {i: i for i in range(300)}
