@@ -8,10 +8,11 @@ a third of all rows.  So:
 
 1. ``sequence_index`` gives each row its 0-based position ``_seq`` within its
    key, ordered by (order columns, the first being a timestamp).  It cuts each
-   key into time buckets (``bucket_seconds``; deterministic, so every branch
-   of the plan agrees on them), ranks rows inside each (key, bucket) -- a hot
-   key is spread over as many tasks as it has buckets -- then adds per-bucket
-   offsets computed from a small (key, bucket, count) summary.
+   key into order-contiguous pieces -- range partitions on (key, order) by
+   default, so a hot key, a hot hour or a heap of same-instant copies is split
+   by sampled bounds; fixed time buckets as a cheaper option -- ranks rows
+   inside each (key, piece), checkpoints that, then adds per-piece offsets
+   computed from a small (key, piece, count) summary.
 2. ``chunked`` cuts each key's sequence into chunks of ``chunk_rows`` and
    copies the few rows a window needs from the neighbouring chunk ("halo").
    Windows then run over ``partitionBy(key, _chunk)``: bounded and exact.
