@@ -88,7 +88,10 @@ def sequence_index(df: DataFrame, keys: list[str], order: list,
     and start with the timestamp column.
     """
     oc = _order_cols(order)
-    b = _split_column(_fill(df, keys), keys, order, split or DEFAULT_SPLIT, bucket_seconds)
+    conf = df.sparkSession.conf
+    split = split or conf.get("millwright.sequence.split", None) or DEFAULT_SPLIT
+    bucket_seconds = int(conf.get("millwright.sequence.bucketSeconds", str(bucket_seconds)))
+    b = _split_column(_fill(df, keys), keys, order, split, bucket_seconds)
     w = Window.partitionBy(*keys, "_p")
     # Rank and piece size in one windowed pass (one shuffle, one sort), then
     # checkpointed.  Both the offsets and the final join read the checkpoint,

@@ -77,3 +77,14 @@ def test_range_split_cuts_a_hot_instant(spark):
     got = seq.restore_keys(seq.sequence_index(df, ["k"], ["timestamp", "id"], split="range"), ["k"])
     hot = {r["id"]: r["_seq"] for r in got.where("k = 'HOT'").collect()}
     assert hot == {i: i for i in range(300)}
+
+
+def test_split_mode_from_session_conf(spark):
+    df = _data(spark, 60)
+    spark.conf.set("millwright.sequence.split", "bucket")
+    try:
+        got = seq.restore_keys(seq.sequence_index(df, ["k"], ["timestamp", "id"]), ["k"])
+        want = df.withColumn("_want", F.row_number().over(Window.partitionBy("k").orderBy("timestamp", "id")) - 1)
+        assert got.join(want, "id").where(F.col("_seq") != F.col("_want")).count() == 0
+    finally:
+        spark.conf.unset("millwright.sequence.split")
