@@ -177,3 +177,16 @@ def q_feature_importances(spark, sf):
     res = tr.TrainResult(spark.createDataFrame([("rf", True)], "model_name string, selected boolean"), "rf", model,
                          cols, fills)
     return tr.feature_importances(res, 25)
+
+
+@register("class_distribution", sql="""
+SELECT failure_label, class_count, round(share, 6) AS share, round(weight, 6) AS weight,
+       min(share) OVER () < 0.25 AS balanced
+FROM (SELECT failure_label, class_count, class_count / sum(class_count) OVER () AS share,
+             sum(class_count) OVER () / (count(*) OVER () * class_count) AS weight
+      FROM (SELECT failure_label, count(*) AS class_count FROM feat WHERE failure_label IS NOT NULL
+            GROUP BY failure_label))
+""", extra_ctes=FEAT_CTES)
+def q_class_distribution(spark, sf):
+    """AG-12: class counts, shares and whether balanced weights apply (minority share < .25)."""
+    return st.class_distribution(_feats(spark, sf), "failure_label")
