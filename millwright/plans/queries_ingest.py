@@ -114,3 +114,39 @@ def q_wide_to_core(spark, sf):
             .drop("operating_hours", "created_at"))
     core = ig.wide_sensor_to_core(wide)
     return core.select("id", "machine_id", "timestamp", "operating_hours", "created_at")
+
+
+def damaged_production_lines(spark, sf):
+    """JSON lines of production events; a deterministic share damaged (one projection)."""
+    p = t.production(spark, sf)
+    i = F.col("id")
+    src = p.withColumn("station_id", F.when(i % NO_MACHINE_MOD == 0, F.lit(None)).otherwise(F.col("station_id")))
+    text = ig.to_json_lines(src).select("value", "id")
+    value = (F.when(F.col("id") % TRUNCATED_MOD == 0, F.expr("substring(value, 1, 40)"))
+              .when(F.col("id") % BAD_TS_MOD == 0,
+                    F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"2024-13-45T99:00:00Z"'))
+              .otherwise(F.col("value")))
+    return text.select(value.alias("value"), F.col("id").alias("line_source_id"))
+
+
+@register("ingest_split_production", sql=f"""
+SELECT id AS line_source_id,
+       CASE WHEN id % {TRUNCATED_MOD} = 0 OR id % {NO_MACHINE_MOD} = 0 OR id % {BAD_TS_MOD} = 0
+            THEN 'rejected' ELSE 'valid' END AS status,
+       CASE WHEN id % {TRUNCATED_MOD} = 0 THEN 'malformed_json'
+            ELSE concat_ws(',', CASE WHEN id % {NO_MACHINE_MOD} = 0 THEN 'missing_station_id' END,
+                                CASE WHEN id % {BAD_TS_MOD} = 0 THEN 'invalid_timestamp' END) END AS reasons,
+       CASE WHEN id % {TRUNCATED_MOD} = 0 OR id % {NO_MACHINE_MOD} = 0 OR id % {BAD_TS_MOD} = 0
+            THEN NULL ELSE throughput_count END AS throughput_count,
+       CASE WHEN id % {TRUNCATED_MOD} = 0 OR id % {NO_MACHINE_MOD} = 0 OR id % {BAD_TS_MOD} = 0
+            THEN NULL ELSE "timestamp" END AS "timestamp"
+FROM production_events
+""")
+def q_ingest_split_production(spark, sf):
+    """SRC-4: production-event records -> typed rows or quarantine (line, station, timestamp required)."""
+    c = ig.classify_records(damaged_production_lines(spark, sf), S.PRODUCTION_SCHEMA, ig.PRODUCTION_REQUIRED_FIELDS)
+    ok = F.col("is_valid")
+    return c.select(
+        "line_source_id", F.when(ok, F.lit("valid")).otherwise(F.lit("rejected")).alias("status"),
+        F.array_join("reject_reasons", ",").alias("reasons"),
+        F.when(ok, F.col("throughput_count")).alias("throughput_count"), F.when(ok, F.col("timestamp")).alias("timestamp"))
