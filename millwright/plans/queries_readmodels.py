@@ -459,3 +459,9 @@ SELECT id, machine_id, line_id, "timestamp", round(anomaly_score, 6) AS anomaly_
 def q_anomaly_timeline(spark, sf):
     """SC-12: anomaly score and flag over time per machine."""
     return rm.anomaly_timeline(scored(spark, sf))
+
+
+@register("shift_report_queue", sql=_queue_sql(5), extra_ctes=SCORED_CTES + "," + ISSUES_CTE)
+def q_shift_report_queue(spark, sf):
+    """SC-10: the top-5 action queue printed in the shift handover report."""
+    return rm.action_queue(latest(spark, sf), alerts(spark, sf), issues(spark, sf), 5)
