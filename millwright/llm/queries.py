@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, secrets, simhash
+from . import langid, secrets, simhash, substring
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,12 @@ def _count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated windows of 35 words."""
+    out = substring.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base findings of every document, and all spans with the linked weak parts."""
     found = secrets.scan(read_table(spark, sf_dir, "documents"))
@@ -55,6 +61,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op2_substring_dedup": op2_substring_dedup,
         "op6_secret_scan": op6_secret_scan,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_language_id": op10_language_id,
