@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, secrets, simhash, substring
+from . import langid, pieces, secrets, simhash, substring
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,16 @@ def _count(spans: Column, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def op1_sentencepiece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct sampled segmentations of every document, each decoded and held against the text."""
+    docs = read_table(spark, sf_dir, "documents")
+    # the text travels along as a hash: what is decoded has to have the same
+    named = docs.select(F.struct("doc_id", F.xxhash64("text").alias("h")).alias("row"), "text")
+    out = pieces.sample_segmentations(named, id_col="row")
+    return out.select(F.col("row.doc_id").alias("doc_id"), "rank", "ids", F.size("ids").cast("long").alias("n_pieces"),
+                      "log_prob", "log_inclusion", (F.xxhash64("decoded") == F.col("row.h")).alias("round_trip"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its repeated windows of 35 words."""
     out = substring.remove_repeats(read_table(spark, sf_dir, "documents"))
@@ -61,6 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_sentencepiece_sampling": op1_sentencepiece_sampling,
         "op2_substring_dedup": op2_substring_dedup,
         "op6_secret_scan": op6_secret_scan,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
