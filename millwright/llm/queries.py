@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, pieces, secrets, simhash, substring
+from . import langid, pieces, quality, secrets, simhash, substring
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +55,13 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         _joined_spans(F.sort_array(order)).alias("spans"), F.size("linked").cast("long").alias("n_linked"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by both views and together, and whether it is kept."""
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality.train(docs, read_table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", "quality_text", "quality_meta", "quality_score", "quality_keep")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash and near-duplicate component of every document."""
     out = simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -74,6 +81,7 @@ def queries() -> dict[str, Query]:
         "op1_sentencepiece_sampling": op1_sentencepiece_sampling,
         "op2_substring_dedup": op2_substring_dedup,
         "op6_secret_scan": op6_secret_scan,
+        "op7_quality_classifier": op7_quality_classifier,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_language_id": op10_language_id,
     }
