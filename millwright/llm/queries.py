@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, pieces, quality, secrets, simhash, substring
+from . import langid, pages, pieces, quality, secrets, simhash, substring
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    out = pages.main_text(read_table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base findings of every document, and all spans with the linked weak parts."""
     found = secrets.scan(read_table(spark, sf_dir, "documents"))
@@ -80,6 +86,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece_sampling": op1_sentencepiece_sampling,
         "op2_substring_dedup": op2_substring_dedup,
+        "op4_html_extraction": op4_html_extraction,
         "op6_secret_scan": op6_secret_scan,
         "op7_quality_classifier": op7_quality_classifier,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
