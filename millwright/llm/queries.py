@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, pages, pieces, quality, secrets, simhash, substring
+from . import decontaminate, langid, pages, pieces, quality, secrets, simhash, substring
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,13 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in windows of benchmark items."""
+    out = decontaminate.find(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+                      (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     out = pages.main_text(read_table(spark, sf_dir, "pages"))
@@ -86,6 +93,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece_sampling": op1_sentencepiece_sampling,
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_benchmark_decontamination": op3_benchmark_decontamination,
         "op4_html_extraction": op4_html_extraction,
         "op6_secret_scan": op6_secret_scan,
         "op7_quality_classifier": op7_quality_classifier,
