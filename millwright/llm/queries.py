@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, pages, pieces, quality, secrets, simhash, substring
+from . import decontaminate, langid, pages, pieces, quality, secrets, simhash, sketches, substring
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,17 @@ def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    out = sketches.edited_fingerprints(read_table(spark, sf_dir, "documents"))
+    own, edited, after = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return out.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), sketches.as_text(own).alias("fingerprint"),
+        sketches.as_text(edited).alias("edited_fingerprint"), sketches.resemblance(own, edited).alias("near_edited"),
+        sketches.resemblance(own, after).alias("near_next"), sketches.distinct(own).alias("n_shingles"),
+        sketches.containment(own, edited).alias("kept_share"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base findings of every document, and all spans with the linked weak parts."""
     found = secrets.scan(read_table(spark, sf_dir, "documents"))
@@ -95,6 +106,7 @@ def queries() -> dict[str, Query]:
         "op2_substring_dedup": op2_substring_dedup,
         "op3_benchmark_decontamination": op3_benchmark_decontamination,
         "op4_html_extraction": op4_html_extraction,
+        "op5_document_fingerprints": op5_document_fingerprints,
         "op6_secret_scan": op6_secret_scan,
         "op7_quality_classifier": op7_quality_classifier,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
