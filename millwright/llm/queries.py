@@ -59,7 +59,7 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), sketches.as_text(own).alias("fingerprint"),
         sketches.as_text(edited).alias("edited_fingerprint"), sketches.resemblance(own, edited).alias("near_edited"),
         sketches.resemblance(own, after).alias("near_next"), sketches.distinct(own).alias("n_shingles"),
-        sketches.containment(own, edited).alias("kept_share"))
+        sketches.containment(own, edited).alias("kept_share"), F.col("next_id").alias("next_doc_id"))
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

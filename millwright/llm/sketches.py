@@ -111,7 +111,7 @@ def followers(keys: DataFrame, order: list[str], payload: list[str]) -> DataFram
 
 def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = K,
                         shingle_words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id_col, n_chars, edited, sketch, edited_sketch, next_sketch) of each document.
+    """(id_col, n_chars, edited, sketch, edited_sketch, next_id, next_sketch) of each document.
 
     ``edited`` is the text with its last floor(n_chars / 2) characters replaced
     by as many from the front of the next document (all, if it is shorter), in ascending order of the id;
@@ -123,15 +123,16 @@ def edited_fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     base = with_row_key(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")), ["id", "text"])
     pairs = followers(base.select(ROW_KEY, "id", F.length("text").alias("n")), ["id", ROW_KEY], ["n"])
     wanted = pairs.select(F.col(f"next_{ROW_KEY}").alias(ROW_KEY), F.col(ROW_KEY).alias("to"), F.floor(F.col("n") / 2).cast("int").alias("need"))
-    # one exchange of the texts serves both the documents that give and those that take
+    # One exchange of the texts serves both the documents that give and those that take, as
+    # both sides use the same columns of it.
     placed = base.repartition(n, ROW_KEY)
     given = with_sketch(placed.join(wanted.repartition(n, ROW_KEY), ROW_KEY), "text", "next_sketch", k, shingle_words).select(
         F.col("to").alias(ROW_KEY), F.col("id").alias("next_id"), F.expr("substring(text, 1, need)").alias("head"), "next_sketch")
     both = placed.join(given.repartition(n, ROW_KEY), ROW_KEY)
     size = F.length("text")
     # what a text keeps is the rest: the longer half
-    both = both.select("id", size.cast("long").alias("n_chars"), "text", "next_sketch", F.concat(
+    both = both.select("id", size.cast("long").alias("n_chars"), "text", "next_id", "next_sketch", F.concat(
         F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), "head").alias("edited"))
     both = with_sketch(both, "text", "sketch", k, shingle_words).drop("text")
     both = with_sketch(both, "edited", "edited_sketch", k, shingle_words)
-    return both.withColumnRenamed("id", id_col).select(id_col, "n_chars", "edited", "sketch", "edited_sketch", "next_sketch")
+    return both.withColumnRenamed("id", id_col).select(id_col, "n_chars", "edited", "sketch", "edited_sketch", "next_id", "next_sketch")
