@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, pages, pieces, quality, secrets, simhash, sketches, substring
+from . import decontaminate, langid, lines, pages, pieces, quality, secrets, simhash, sketches, substring
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +86,12 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model).select("doc_id", "quality_text", "quality_meta", "quality_score", "quality_keep")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every line of every document: whether it is kept, and the line that is kept for it."""
+    out = lines.classify(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "line_no", "keep", F.col("first_id").alias("first_doc_id"), "first_line")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash and near-duplicate component of every document."""
     out = simhash.near_duplicates(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -109,6 +115,7 @@ def queries() -> dict[str, Query]:
         "op5_document_fingerprints": op5_document_fingerprints,
         "op6_secret_scan": op6_secret_scan,
         "op7_quality_classifier": op7_quality_classifier,
+        "op8_line_dedup": op8_line_dedup,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_language_id": op10_language_id,
     }
