@@ -57,6 +57,11 @@ def clip01(c) -> Column:
     return clip(c, 0.0, 1.0)
 
 
+def clamp01(c) -> Column:
+    """Clamp of a column that can't be null (a null would come back as 0): ``clip01`` names its input twice."""
+    return F.greatest(F.lit(0.0), F.least(F.lit(1.0), col_or(c)))
+
+
 def safe_div(num, den) -> Column:
     """Division that yields null on a zero or null denominator."""
     return F.try_divide(col_or(num).cast("double"), col_or(den).cast("double"))

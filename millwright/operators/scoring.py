@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.coerce import clip01
+from ..functions.coerce import clamp01
 
 # Risk weights of the health score.
 HEALTH_WEIGHTS = {"failure_probability": 0.34, "anomaly_risk": 0.20, "tool_wear_index": 0.16,
@@ -61,9 +61,9 @@ def feature_based_scores(df: DataFrame) -> DataFrame:
     """SC-1: wear index, process drift, data-quality penalty."""
     stability = _num(df, "process_stability_index", 1.0)
     return df.withColumns({
-        "tool_wear_index": clip01(_num(df, "tool_wear", 0.0) / 100.0),
-        "process_drift_score": clip01((1.0 - stability) + F.abs(_num(df, "temperature_delta", 0.0)) / 80.0),
-        "data_quality_penalty": clip01(_num(df, "flatline_sensor_flag", 0.0)),
+        "tool_wear_index": clamp01(_num(df, "tool_wear", 0.0) / 100.0),
+        "process_drift_score": clamp01((1.0 - stability) + F.abs(_num(df, "temperature_delta", 0.0)) / 80.0),
+        "data_quality_penalty": clamp01(_num(df, "flatline_sensor_flag", 0.0)),
     })
 
 
@@ -72,11 +72,11 @@ def rul_penalty(rul: Column) -> Column:
     return (F.when(rul.isNull(), F.lit(0.0))
              .when(rul <= 24.0, F.lit(1.0))
              .when(rul >= 168.0, F.lit(0.0))
-             .otherwise(clip01((168.0 - rul) / 144.0)))
+             .otherwise(clamp01((168.0 - rul) / 144.0)))
 
 
 def anomaly_risk(score: Column) -> Column:
-    return F.when(score.isNull(), F.lit(0.0)).otherwise(clip01(-score / 0.30))
+    return F.when(score.isNull(), F.lit(0.0)).otherwise(clamp01(-score / 0.30))
 
 
 def risk_level_of(health: Column) -> Column:
@@ -101,17 +101,17 @@ def health_score(df: DataFrame) -> DataFrame:
     """SC-2: components, combined risk, health (2 decimals), band and action."""
     w = HEALTH_WEIGHTS
     comps = {
-        "c_failure_probability": clip01(_num(df, "failure_probability", 0.0)),
+        "c_failure_probability": clamp01(_num(df, "failure_probability", 0.0)),
         "c_anomaly_risk": anomaly_risk(F.col("anomaly_score").cast("double")
                                        if "anomaly_score" in df.columns else F.lit(None).cast("double")),
-        "c_tool_wear_index": clip01(_num(df, "tool_wear_index", 0.0)),
-        "c_process_drift_score": clip01(_num(df, "process_drift_score", 0.0)),
-        "c_data_quality_penalty": clip01(_num(df, "data_quality_penalty", 0.0)),
+        "c_tool_wear_index": clamp01(_num(df, "tool_wear_index", 0.0)),
+        "c_process_drift_score": clamp01(_num(df, "process_drift_score", 0.0)),
+        "c_data_quality_penalty": clamp01(_num(df, "data_quality_penalty", 0.0)),
         "c_rul_penalty": rul_penalty(F.col("rul_estimate_hours").cast("double")
                                      if "rul_estimate_hours" in df.columns else F.lit(None).cast("double")),
     }
     out = df.withColumns(comps)
-    risk = clip01(sum(w[k[2:]] * F.col(k) for k in comps))
+    risk = clamp01(sum(w[k[2:]] * F.col(k) for k in comps))
     out = out.withColumn("combined_risk", risk)
     out = out.withColumn("health_score", F.round(100.0 * (1.0 - F.col("combined_risk")), 2))
     out = out.withColumn("risk_level", risk_level_of(F.col("health_score")))
@@ -154,7 +154,8 @@ def score(df: DataFrame) -> DataFrame:
 def alerts(scored: DataFrame, source: str = "batch_scoring") -> DataFrame:
     """SC-7: risk high/critical or anomaly flag -> alert with severity = risk level."""
     flag = F.coalesce(F.col("anomaly_flag").cast("int"), F.lit(0)) == 1
-    return scored.where(F.col("risk_level").isin("high", "critical") | flag).select(
+    # the band test on the score it is cut from: the filter doesn't repeat the nested bands
+    return scored.where((F.col("health_score") < RISK_BANDS[1][0]) | flag).select(
         *[c for c in ["id"] if c in scored.columns],
         "machine_id", "line_id", "station_id", "timestamp", "anomaly_score",
         F.col("risk_level").alias("severity"),

@@ -61,6 +61,17 @@ SPLIT_MODES = ("range", "bucket")
 DEFAULT_SPLIT = "range"
 
 
+PIECE_BYTES = 256 * 1024 * 1024
+
+
+def _pieces(df: DataFrame) -> int:
+    """Range pieces: the session's shuffle partitions, more if the optimizer's size estimate asks for it."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    # joins multiply estimates, and a checkpoint has none: beyond a petabyte it says nothing
+    return max(n, min(-(-size // PIECE_BYTES), 20_000)) if size < 10**15 else n
+
+
 def _split_column(df: DataFrame, keys: list[str], order: list, split: str, bucket_seconds: int) -> DataFrame:
     """Attach ``_p``: a split of each key into order-contiguous pieces.
 
@@ -71,7 +82,7 @@ def _split_column(df: DataFrame, keys: list[str], order: list, split: str, bucke
     but one busy (key, bucket) is ranked in one task).
     """
     if split == "range":
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        n = _pieces(df)
         ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *_order_cols(order))
         return ranged.withColumn("_p", F.spark_partition_id().cast("long"))
     if split == "bucket":

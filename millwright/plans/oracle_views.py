@@ -43,7 +43,7 @@ sensor_readings AS (
          * EXCLUDE (src_id)
   FROM sensor_base
   UNION ALL
-  SELECT src_id + 10000000 AS id, concat('SEN_', CAST(src_id AS VARCHAR(20)), '_DUP') AS event_id,
+  SELECT -src_id - 1 AS id, concat('SEN_', CAST(src_id AS VARCHAR(20)), '_DUP') AS event_id,
          * EXCLUDE (src_id)
   FROM sensor_base WHERE src_id % 101 = 0
 ),

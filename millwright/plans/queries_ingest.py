@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import cut_lineage
 from ..sources import ingest as ig
 from . import tables as t
 from .catalog import register
@@ -60,9 +61,9 @@ def q_ingest_split(spark, sf):
 _DEDUPE_CTES = """
 target AS (SELECT * FROM sensor_readings WHERE "timestamp" < TIMESTAMP '2024-01-15'),
 incoming AS (
-  SELECT * FROM sensor_readings WHERE "timestamp" >= TIMESTAMP '2024-01-10'
+  SELECT * REPLACE (2 * id AS id) FROM sensor_readings WHERE "timestamp" >= TIMESTAMP '2024-01-10'
   UNION ALL
-  SELECT * REPLACE (id + 20000000 AS id, created_at + INTERVAL 1 HOUR AS created_at)
+  SELECT * REPLACE (2 * id + 1 AS id, created_at + INTERVAL 1 HOUR AS created_at)
   FROM sensor_readings WHERE "timestamp" >= TIMESTAMP '2024-01-10'
 ),
 first_w AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY event_id
@@ -79,10 +80,11 @@ def q_ingest_dedupe(spark, sf):
     s = t.sensor(spark, sf)
     target = s.where(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp"))
     fresh = s.where(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp"))
+    # even ids for the first delivery, odd ones for the second: no two rows share one
     resent = (fresh
-              .withColumn("id", F.col("id") + 20_000_000)
+              .withColumn("id", 2 * F.col("id") + 1)
               .withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 1 HOUR")))
-    out = ig.idempotent_append(target, fresh.unionByName(resent))
+    out = ig.idempotent_append(target, fresh.withColumn("id", 2 * F.col("id")).unionByName(resent))
     return out.select("event_id", "id", "timestamp", "created_at")
 
 
@@ -95,12 +97,98 @@ def q_batch_envelope(spark, sf):
     """SRC-5: rows packed into envelopes of at most 100 ids, then unpacked into two tables."""
     s, p = t.sensor(spark, sf), t.production(spark, sf)
     env = ig.pack_envelopes(s, p, F.floor(F.col("id") / 100))
-    sens, prod, _counts = ig.unpack_envelopes(env)
+    sens, prod, _counts, _bad = ig.unpack_envelopes(env)
     return (sens.select(F.lit("sensor").alias("kind"), "id", "timestamp", F.col("vibration_rms").alias("value"))
             .unionByName(prod.select(F.lit("production").alias("kind"), "id", "timestamp",
                                      F.col("cycle_time_sec").alias("value"))))
 
 
+CUT_ENVELOPE_MOD = 7
+
+
+@register("envelope_quarantine", sql=f"""
+SELECT 'sensor_reading' AS kind, id AS ref,
+       CASE WHEN id % {NO_MACHINE_MOD} = 0 OR id % {BAD_TS_MOD} = 0 THEN 'rejected' ELSE 'valid' END AS status,
+       concat_ws(',', CASE WHEN id % {NO_MACHINE_MOD} = 0 THEN 'missing_machine_id' END,
+                      CASE WHEN id % {BAD_TS_MOD} = 0 THEN 'invalid_timestamp' END) AS reasons
+FROM sensor_readings WHERE CAST(floor(id / 100.0) AS BIGINT) % {CUT_ENVELOPE_MOD} <> 0
+UNION ALL
+SELECT 'production_event', id, 'valid', '' FROM production_events WHERE CAST(floor(id / 100.0) AS BIGINT) % {CUT_ENVELOPE_MOD} <> 0
+UNION ALL
+SELECT DISTINCT 'envelope', CAST(floor(id / 100.0) AS BIGINT), 'rejected', 'malformed_envelope'
+FROM (SELECT id FROM sensor_readings UNION ALL SELECT id FROM production_events)
+WHERE CAST(floor(id / 100.0) AS BIGINT) % {CUT_ENVELOPE_MOD} = 0
+""")
+def q_envelope_quarantine(spark, sf):
+    """SRC-5/7: envelopes with damaged records, and envelopes cut short: good records, and all that is rejected."""
+    i = F.col("id")
+    s = t.sensor(spark, sf).withColumn("machine_id", F.when(i % NO_MACHINE_MOD != 0, F.col("machine_id")))
+    env = ig.pack_envelopes(s, t.production(spark, sf), F.floor(i / 100))
+    # a time of day alone is no timestamp; the damaged records are told by their id
+    bad_time = F.expr(f"""to_json(transform(from_json(value, 'sensor_readings array<string>').sensor_readings, r ->
+        if(cast(get_json_object(r, '$.id') as bigint) % {BAD_TS_MOD} = 0,
+           regexp_replace(r, '"timestamp":"[^"]*"', '"timestamp":"12:30:00"'), r)))""")
+    texts = env.select("batch_id", F.expr("get_json_object(value, '$.production_events')").alias("p"), F.from_json(
+        bad_time, "array<string>").alias("s"))
+    value = F.concat(F.lit('{"sensor_readings":['), F.coalesce(F.array_join("s", ","), F.lit("")),
+                     F.lit('],"production_events":'), F.coalesce("p", F.lit("[]")), F.lit("}"))
+    cut = F.when(F.col("batch_id") % CUT_ENVELOPE_MOD == 0, F.substring("value", 1, 30)).otherwise(F.col("value"))
+    env = texts.select("batch_id", value.alias("value")).select("batch_id", cut.alias("value"))
+    sensor, production, bad = ig.classify_envelopes(env)
+
+    def told(df, kind):
+        status = F.when(F.col("is_valid"), F.lit("valid")).otherwise(F.lit("rejected")).alias("status")
+        return df.select(F.lit(kind).alias("kind"), F.col("id").alias("ref"), status, F.array_join("reject_reasons", ",").alias("reasons"))
+
+    return told(sensor, "sensor_reading").unionByName(told(production, "production_event")).unionByName(
+        bad.select(F.lit("envelope").alias("kind"), F.col("envelope.batch_id").alias("ref"), F.lit("rejected").alias("status"),
+                   F.array_join("reject_reasons", ",").alias("reasons")))
+
+
+@register("replay_spill", sql=f"""
+SELECT event_id, id, "timestamp" FROM sensor_readings
+WHERE id % {BAD_TS_MOD} = 0 AND id % {TRUNCATED_MOD} <> 0 AND id % {NO_MACHINE_MOD} <> 0 AND id % 2 <> 0
+""")
+def q_replay_spill(spark, sf):
+    """SRC-7/ST-10: quarantined records mended and replayed twice into a table that holds some of them already."""
+    lines = cut_lineage(damaged_sensor_lines(spark, sf))  # as landed: the text is a column, not how it was made
+    s = t.sensor(spark, sf)
+    parsed = cut_lineage(ig.classify_records(lines, S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS))
+    quarantine = parsed.where("not is_valid")
+    # the collector's log has the right time of each record
+    known = s.select(F.col("id").alias("line_source_id"), F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("time"))
+    spilled = quarantine.join(known, "line_source_id").select("time", "raw_record")
+    twice = spilled.unionByName(spilled)
+    mend = F.regexp_replace("raw_record", F.lit('"timestamp":"not-a-date"'), F.concat(F.lit('"timestamp":"'), "time", F.lit('"')))
+    appended, _ = ig.replay_quarantine(s.where(F.col("id") % 2 == 0), twice, S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS, mend)
+    return appended.select("event_id", "id", "timestamp")
+
+
+@register("wide_production", sql="""
+SELECT id, event_id, line_id, station_id, batch_id, shift, "timestamp", round(cycle_time_sec, 6) AS cycle_time_sec,
+       throughput_count, "timestamp" AS created_at FROM production_events
+""")
+def q_wide_production(spark, sf):
+    """SRC-9: wide production rows (lot for batch) mapped to the core production schema."""
+    wide = t.production(spark, sf).withColumnRenamed("batch_id", "lot_id").drop("created_at").withColumn("recipe_id", F.lit("R1"))
+    return ig.wide_production_to_core(wide).select("id", "event_id", "line_id", "station_id", "batch_id", "shift", "timestamp",
+                                                   "cycle_time_sec", "throughput_count", "created_at")
+
+
+@register("wide_maintenance", sql="""
+SELECT id, machine_id, line_id, station_id, "timestamp", 'inspection' AS event_type,
+       concat('{"technician":"T', CAST(id % 7 AS VARCHAR), '","minutes":', CAST(id % 90 AS VARCHAR), '}') AS details_json
+FROM sensor_readings WHERE tool_wear > 100.0
+""")
+def q_wide_maintenance(spark, sf):
+    """SRC-9: wide maintenance rows (one for each worn-out reading) mapped to events with JSON details."""
+    s = t.sensor(spark, sf).where(F.col("tool_wear") > 100.0)
+    i = F.col("id")
+    wide = s.select("id", "machine_id", "line_id", "station_id", "timestamp", F.lit("Inspection").alias("maintenance_type"),
+                    F.concat(F.lit("T"), (i % 7).cast("string")).alias("technician"), (i % 90).alias("minutes"))
+    return ig.wide_maintenance_to_events(wide)
+
+
 @register("wide_to_core", sql="""
 SELECT id, machine_id, "timestamp", round(operating_hours / 2.0 + (id % 30) * 24.0, 6) AS operating_hours,
        "timestamp" AS created_at

@@ -70,7 +70,7 @@ base AS (SELECT CAST(failure_label AS INTEGER) AS y, equipment_process_risk_inde
 conf AS (SELECT count(*) FILTER (WHERE y = 1 AND p >= 0.5) AS tp, count(*) FILTER (WHERE y = 0 AND p >= 0.5) AS fp,
                 count(*) FILTER (WHERE y = 1 AND p < 0.5) AS fn, count(*) FILTER (WHERE y = 0 AND p < 0.5) AS tn
          FROM base),
-sc AS (SELECT round(p, 6) AS s, count(*) AS ns, sum(y) AS ps FROM base GROUP BY 1),
+sc AS (SELECT p AS s, count(*) AS ns, sum(y) AS ps FROM base GROUP BY 1),
 rk AS (SELECT *, coalesce(sum(ns) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bef,
               sum(ps) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ctp,
               sum(ns) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cn FROM sc),
@@ -190,3 +190,43 @@ FROM (SELECT failure_label, class_count, class_count / sum(class_count) OVER ()
 def q_class_distribution(spark, sf):
     """AG-12: class counts, shares and whether balanced weights apply (minority share < .25)."""
     return st.class_distribution(_feats(spark, sf), "failure_label")
+
+
+def _trained(spark, sf) -> str:
+    """All three models fitted on the feature rows with small candidates; the folder they are saved in."""
+    from ..session import scratch_path
+    from . import jobs
+    from .queries_core import ASOF_TOLERANCE_SECONDS
+
+    root = scratch_path(spark, "trained")
+    jobs.train_all(spark, t.sensor(spark, sf), t.production(spark, sf), root, ASOF_TOLERANCE_SECONDS, num_trees=5, gbt_iter=5)
+    return root
+
+
+@register("train_registry", sql="""
+SELECT model_name, training_rows, n - training_rows AS test_rows FROM (
+  SELECT 'failure_model' AS model_name, greatest(1, CAST(floor(count(*) * 0.8) AS BIGINT)) AS training_rows, count(*) AS n
+  FROM feat WHERE failure_label IS NOT NULL AND "timestamp" IS NOT NULL
+  UNION ALL
+  SELECT 'rul_model', greatest(1, CAST(floor(count(*) * 0.8) AS BIGINT)), count(*)
+  FROM feat WHERE rul_target IS NOT NULL AND "timestamp" IS NOT NULL
+  UNION ALL SELECT 'anomaly_model', count(*), count(*) FROM feat)
+""", extra_ctes=FEAT_CTES)
+def q_train_registry(spark, sf):
+    """SRC-11/ML-16/ML-17: one registry row for each of the three models, with its split sizes."""
+    return spark.read.parquet(f"{_trained(spark, sf)}/model_registry").select("model_name", "training_rows", "test_rows")
+
+
+@register("scored_with_models", sql="""
+SELECT id_prod, TRUE AS probability_ok, TRUE AS rul_ok, TRUE AS flag_ok, TRUE AS health_ok FROM joined
+""", extra_ctes=ASOF_CTES)
+def q_scored_with_models(spark, sf):
+    """SC-6/ST-8: every joined event scored with the saved bundles; its outputs lie in their ranges."""
+    from ..operators.predict import bundle_scorer
+
+    root = _trained(spark, sf)
+    scored = bundle_scorer(spark, f"{root}/models")(spark.read.parquet(f"{root}/processed"))
+    return scored.select("id_prod", F.col("failure_probability").between(0.0, 1.0).alias("probability_ok"),
+                         (F.col("rul_estimate_hours") >= 0).alias("rul_ok"),
+                         (F.col("anomaly_flag").isin(0, 1) & (F.col("anomaly_score") < 0)).alias("flag_ok"),
+                         F.col("health_score").between(0.0, 100.0).alias("health_ok"))

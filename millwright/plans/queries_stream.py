@@ -23,19 +23,32 @@ from .queries_quality import (GAP_INTERVAL_SECONDS, SENSOR_ID, _STUCK_QUERY, _S_
 from .queries_readmodels import SCORED_CTES
 from .sqlfrag import ASOF_CTES
 
-WEEKS = ["2024-01-01", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-29", "2024-02-05"]
+DELIVERY_SECONDS = 7 * 86_400
+
+
+def _deliveries(df, name: str):
+    """The rows cut into weekly deliveries, oldest first; rows without a time come last, in one of their own.
+
+    The table is written once, partitioned by delivery, so landing a delivery
+    reads that delivery alone.  Which weeks there are comes from the data.
+    """
+    spark = df.sparkSession
+    week = F.coalesce(F.floor(F.unix_micros("timestamp") / (DELIVERY_SECONDS * 1_000_000)).cast("long"), F.lit(2**40))
+    staged = scratch_path(spark, name)
+    df.withColumn("delivery", week).write.partitionBy("delivery").parquet(staged)
+    table = spark.read.schema(df.schema.add("delivery", "long") if "delivery" not in df.columns else df.schema).parquet(staged)
+    for r in table.select("delivery").distinct().orderBy("delivery").collect():  # one row for each week
+        yield table.where(F.col("delivery") == r.delivery).drop("delivery")
 
 
 def _land_weekly(df, path: str, fmt: str = "json", repeat: int = 1) -> int:
     """Land ``df`` as one delivery per week, oldest first (``repeat`` = re-deliveries).
 
     Returns the number of files per delivery, used as ``maxFilesPerTrigger`` so
-    that each micro-batch is one delivery.
+    that a micro-batch is about one delivery.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    for lo, hi in zip(WEEKS[:-1], WEEKS[1:]):
-        week = df.where((F.col("timestamp") >= F.lit(lo).cast("timestamp"))
-                        & (F.col("timestamp") < F.lit(hi).cast("timestamp")))
+    for week in _deliveries(df, "deliveries"):
         for _ in range(repeat):
             part = week.repartition(n, "machine_id") if "machine_id" in df.columns else week.repartition(n)
             w = part.write.mode("append")
@@ -45,9 +58,7 @@ def _land_weekly(df, path: str, fmt: str = "json", repeat: int = 1) -> int:
 
 def _land_lines(df, path: str) -> int:
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "8"))
-    for lo, hi in zip(WEEKS[:-1], WEEKS[1:]):
-        week = df.where((F.col("timestamp") >= F.lit(lo).cast("timestamp"))
-                        & (F.col("timestamp") < F.lit(hi).cast("timestamp")))
+    for week in _deliveries(df, "deliveries"):
         ig.to_json_lines(week, keep=[]).repartition(n).write.mode("append").text(path)
     return n
 
@@ -60,7 +71,7 @@ def q_stream_dedupe(spark, sf):
     land, sink, ck = (scratch_path(spark, n) for n in ("landing", "sink", "ckpt"))
     files = _land_weekly(t.sensor(spark, sf), land, fmt="parquet", repeat=2)
     stream = sj.read_table_stream(spark, land, S.SENSOR_SCHEMA, max_files=files)
-    sj.run_available(sj.dedupe_stream(stream).writeStream.format("parquet").option("path", sink), ck)
+    sj.run_available(stream.writeStream.foreachBatch(sj.dedupe_writer(sink, arrival=["created_at", "id"])), ck)
     return spark.read.parquet(sink).select("event_id", "id", "machine_id", "timestamp")
 
 
@@ -68,20 +79,18 @@ def q_stream_dedupe(spark, sf):
 SELECT date_trunc('minute', "timestamp") AS minute, stream_type, count(*) AS records
 FROM (SELECT "timestamp", 'sensor' AS stream_type FROM sensor_readings
       UNION ALL SELECT "timestamp", 'production' AS stream_type FROM production_events)
-WHERE "timestamp" IS NOT NULL GROUP BY 1, 2
+GROUP BY 1, 2
 """)
 def q_stream_per_minute(spark, sf):
-    """ST-3: per-minute ingest counts on event time (watermark, update mode, upsert sink)."""
+    """ST-3: per-minute ingest counts on event time; micro-batches' counts add up, however late a row is."""
     land, sink, ck = (scratch_path(spark, n) for n in ("landing", "sink", "ckpt"))
     both = (t.sensor(spark, sf).select("timestamp", F.lit("sensor").alias("stream_type"))
             .unionByName(t.production(spark, sf).select("timestamp", F.lit("production").alias("stream_type"))))
     files = _land_weekly(both, land, fmt="parquet")
     schema = "timestamp timestamp, stream_type string"
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", str(files)).parquet(land)
-    writer = (sj.per_minute_counts(stream).writeStream.outputMode("update")
-              .foreachBatch(sj.upsert_sink(sink)))
-    sj.run_available(writer, ck)
-    return sj.latest_versions(spark, sink, ["minute", "stream_type"])
+    sj.run_available(stream.writeStream.foreachBatch(sj.minute_counts_writer(sink)), ck)
+    return sj.summed_counts(spark, sink)
 
 
 _STREAM_DQ_SQL = "\nUNION ALL\n".join([
@@ -143,7 +152,7 @@ FROM joined
 def q_stream_asof(spark, sf):
     """ST-7: each micro-batch of production events enriched against the landed sensor table."""
     land_s, land_p, sink, ck = (scratch_path(spark, n) for n in ("sensor", "production", "sink", "ckpt"))
-    t.sensor(spark, sf).write.parquet(land_s)
+    t.sensor(spark, sf).withColumn("reading_date", F.to_date("timestamp")).write.partitionBy("reading_date").parquet(land_s)
     sensor_table = spark.read.parquet(land_s)
     files = _land_weekly(t.production(spark, sf), land_p, fmt="parquet")
     stream = sj.read_table_stream(spark, land_p, S.PRODUCTION_SCHEMA, max_files=files)
@@ -160,4 +169,4 @@ def q_stream_score(spark, sf):
     files = _land_weekly(preds, land, fmt="parquet")
     stream = sj.read_table_stream(spark, land, preds.schema, max_files=files)
     sj.run_available(stream.writeStream.foreachBatch(sj.score_batch_writer(root)), ck)
-    return spark.read.parquet(f"{root}/alerts")
+    return spark.read.parquet(f"{root}/alerts").drop("batch_id")

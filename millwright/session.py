@@ -59,26 +59,47 @@ def apply_session_conf(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and points at shared storage.
-    Only when it is unset (local tests) do we create one under the system temp
-    folder and register it on the session.
+    On a cluster the deployment sets it to shared storage; without it nothing
+    that executors have to see could be written, so that is an error.  Only a
+    ``local`` session (tests) gets a folder of its own under the system's
+    temporary one.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="millwright-ckpt-")
-        try:
-            spark.conf.set("spark.checkpoint.dir", path)
-        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
-            pass
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
+        path = _local_root(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
 
 
+_LOCAL_ROOTS: dict[str, str] = {}
+
+
+def _local_root(spark: SparkSession) -> str:
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="millwright-ckpt-")
+    return _LOCAL_ROOTS[app]
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint root for materialised tables."""
+    """A fresh folder under the shared checkpoint root for materialised tables.
+
+    All scratch tables of an application are in one folder of its name, which
+    ``remove_scratch`` deletes when the job's results are written.
+    """
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{root}/scratch-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Deletes every scratch table of this application; none may be read afterwards."""
+    jvm = spark._jvm
+    root = jvm.org.apache.hadoop.fs.Path(
+        f"{checkpoint_root(spark).rstrip('/')}/scratch-{spark.sparkContext.applicationId}")
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def is_local_path(path: str) -> bool:

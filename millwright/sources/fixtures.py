@@ -17,7 +17,6 @@ from ..functions.timefn import shift_of
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 SENSOR_TYPES = ["view", "click", "error"]
 PRODUCTION_TYPES = ["purchase", "signup"]
-COPY_ID_OFFSET = 10_000_000
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,8 +74,9 @@ def sensor_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.concat(F.lit("SEN_"), F.col("src_id").cast("string")).alias("event_id"),
                             *[c for c in base.columns if c != "src_id"])
     # Re-sent copies of every 101st reading (same payload, new id) -> duplicates.
+    # Event ids are not negative, so -(id + 1) is the id of no other row at any size.
     copies = (base.where((F.col("src_id") % 101) == 0)
-              .select((F.col("src_id") + COPY_ID_OFFSET).alias("id"),
+              .select((-F.col("src_id") - 1).alias("id"),
                       F.concat(F.lit("SEN_"), F.col("src_id").cast("string"), F.lit("_DUP")).alias("event_id"),
                       *[c for c in base.columns if c != "src_id"]))
     return originals.unionByName(copies)

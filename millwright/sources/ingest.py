@@ -2,36 +2,63 @@
 
 Records arrive as JSON text (one per line, as posted by a collector or
 spilled to a JSONL buffer).  ``parse_records`` applies the record contract:
-required identity fields, an ISO-8601 timestamp, typed optional measures.
+required identity fields, an ISO-8601 timestamp (or seconds or milliseconds
+since 1970), optional measures that are numbers or text holding one.
 Every line ends up in exactly one of two outputs: ``valid`` (typed rows) or
 ``quarantine`` (raw text + reasons).  Blank lines are dropped.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..functions.coerce import nan_to_null
+from ..session import cut_lineage
 
 CORRUPT = "_corrupt_record"
 SENSOR_REQUIRED_FIELDS = ["machine_id", "line_id", "station_id", "timestamp"]
 PRODUCTION_REQUIRED_FIELDS = ["line_id", "station_id", "timestamp"]
 
 
+_ISO_TIME = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?\s?(Z|z|[+-]\d{2}(:?\d{2})?)?)?$"
+_EPOCH = r"^[+-]?\d+(\.\d+)?$"
+#: Numbers from here on are milliseconds.
+_MILLISECONDS_FROM = 2e10
+
+
 def wire_schema(schema: T.StructType) -> T.StructType:
-    """The JSON-side schema: timestamps travel as text and are parsed explicitly."""
-    return T.StructType([
-        T.StructField(f.name, T.StringType() if isinstance(f.dataType, T.TimestampType) else f.dataType, True)
-        for f in schema.fields])
+    """The JSON side: everything travels as text and is converted explicitly, so that one bad field names itself."""
+    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+
+
+def parse_time(text: Column) -> Column:
+    """Timestamp of a full ISO-8601 date or date and time, or of a number of (milli)seconds since 1970; else null.
+
+    A time without a date, a month without a day and the like are no
+    timestamps: a cast would complete them from today's date.
+    """
+    text = F.trim(text)
+    number = text.try_cast("double")
+    seconds = F.when(F.abs(number) >= _MILLISECONDS_FROM, number / 1000).otherwise(number)
+    epoch = F.when(text.rlike(_EPOCH) & (F.abs(number) < 2.5e14), F.timestamp_micros((seconds * 1_000_000).cast("long")))
+    return F.when(text.rlike(_ISO_TIME), text.try_cast("timestamp")).otherwise(epoch)
+
+
+def _is_number(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.StringType, T.TimestampType))
 
 
 def classify_records(lines: DataFrame, schema: T.StructType, required: list[str],
-                     text_col: str = "value") -> DataFrame:
+                     text_col: str = "value", arrival: Column | None = None) -> DataFrame:
     """One pass over raw JSON lines: typed fields + ``reject_reasons`` + ``is_valid``.
 
+    ``arrival`` is the ``created_at`` of records that bring none: the time they are stored
+    (``parse_records`` takes the current time), which first-write-wins and the delay rule order by.
+
     Sinks write valid rows and quarantine rows from this one frame (e.g.
     ``partitionBy("is_valid")`` or two writes of a persisted micro-batch), so
     each line is parsed once.  Filtering right here would be pushed below the
@@ -46,26 +73,48 @@ def classify_records(lines: DataFrame, schema: T.StructType, required: list[str]
                                                            "columnNameOfCorruptRecord": CORRUPT}).alias("_r"),
                           text.alias("raw_record"))
               .withColumn("_malformed", F.col("_r").isNull() | F.col(f"_r.{CORRUPT}").isNotNull()))
-    ts_fields = [f.name for f in schema.fields if isinstance(f.dataType, T.TimestampType)]
-    typed = {f.name: (F.col(f"_r.{f.name}").try_cast("timestamp") if f.name in ts_fields
-                      else (nan_to_null(F.col(f"_r.{f.name}")) if isinstance(f.dataType, T.DoubleType)
-                            else F.col(f"_r.{f.name}")))
-             for f in schema.fields}
+    # One step for each layer of conversions: a later step names a column of an earlier one more than
+    # once, so the layers are not folded into one expression that repeats itself.
+    names = schema.fieldNames()
+    numbers = [f.name for f in schema.fields if _is_number(f.dataType)]
+    texts = parsed.select(*extra, "raw_record", "_malformed", *[F.col(f"_r.{n}").alias(f"_t_{n}") for n in names],
+                          *[F.col(f"_r.{n}").try_cast("double").alias(f"_d_{n}") for n in numbers])
+    finite = {n: F.when(F.abs(F.col(f"_d_{n}")) < float("inf"), F.col(f"_d_{n}")) for n in numbers}  # NaN isn't either
+    typed = {}
+    for f in schema.fields:
+        if f.name not in finite:
+            typed[f.name] = parse_time(F.col(f"_t_{f.name}")) if isinstance(f.dataType, T.TimestampType) else F.col(f"_t_{f.name}")
+        elif isinstance(f.dataType, T.DoubleType):
+            typed[f.name] = finite[f.name]
+        else:  # 12 and 12.0, not 12.5; a text of digits keeps more of them than a double holds
+            d = F.col(f"_d_{f.name}")
+            whole = F.coalesce(F.col(f"_t_{f.name}").try_cast("long"), F.when(d == F.floor(d), d.try_cast("long")))
+            typed[f.name] = whole.try_cast(f.dataType.simpleString())
+    if set(names) & set(extra):
+        raise ValueError(f"columns carried along have names of the record's: {sorted(set(names) & set(extra))}")
+    steps = texts.withColumns(typed)
+    good = ~F.col("_malformed")
     reasons = [F.when(F.col("_malformed"), F.lit("malformed_json"))]
     for r in required:
-        reasons.append(F.when(~F.col("_malformed") & F.col(f"_r.{r}").isNull(), F.lit(f"missing_{r}")))
-    for tsf in ts_fields:
-        reasons.append(F.when(~F.col("_malformed") & F.col(f"_r.{tsf}").isNotNull() & typed[tsf].isNull(),
-                              F.lit(f"invalid_{tsf}")))
-    return (parsed.select(*extra, "raw_record", *[typed[f.name].alias(f.name) for f in schema.fields],
-                          F.array_compact(F.array(*reasons)).alias("reject_reasons"))
+        reasons.append(F.when(good & F.col(f"_t_{r}").isNull(), F.lit(f"missing_{r}")))
+    for f in schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            continue
+        # infinities and NaN are numbers, and missing
+        bad = F.col(f"_d_{f.name}").isNull() if isinstance(f.dataType, T.DoubleType) else F.col(f.name).isNull()
+        reasons.append(F.when(good & F.col(f"_t_{f.name}").isNotNull() & bad, F.lit(f"invalid_{f.name}")))
+    stored = {n: F.col(n) for n in names}
+    if arrival is not None and "created_at" in stored:
+        stored["created_at"] = F.coalesce("created_at", arrival)
+    return (steps.select(*extra, "raw_record", *[c.alias(n) for n, c in stored.items()],
+                         F.array_compact(F.array(*reasons)).alias("reject_reasons"))
             .withColumn("is_valid", F.size("reject_reasons") == 0))
 
 
 def parse_records(lines: DataFrame, schema: T.StructType, required: list[str],
                   text_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split raw JSON lines into (valid typed rows, quarantine rows with reasons)."""
-    c = classify_records(lines, schema, required, text_col)
+    c = classify_records(lines, schema, required, text_col, F.current_timestamp())
     extra = [x for x in lines.columns if x != text_col]
     valid = c.where("is_valid").select(*extra, *schema.fieldNames())
     quarantine = c.where("not is_valid").select(*extra, "raw_record", "reject_reasons")
@@ -115,32 +164,82 @@ def idempotent_append(target: DataFrame, incoming: DataFrame, key: str = "event_
 ENVELOPE_KEYS = ("sensor_readings", "production_events")
 
 
-def envelope_schema() -> T.StructType:
-    return T.StructType([
-        T.StructField("sensor_readings", T.ArrayType(wire_schema(S.SENSOR_SCHEMA))),
-        T.StructField("production_events", T.ArrayType(wire_schema(S.PRODUCTION_SCHEMA))),
-    ])
+_ENVELOPE = T.StructType([T.StructField(k, T.ArrayType(T.StringType())) for k in ENVELOPE_KEYS] + [
+    T.StructField(CORRUPT, T.StringType())])
 
 
-def unpack_envelopes(envelopes: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``{sensor_readings: [...], production_events: [...]}`` -> (sensor, production, counts).
+def classify_envelopes(envelopes: DataFrame, text_col: str = "value",
+                       arrival: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``{sensor_readings: [...], production_events: [...]}`` -> (sensor, production, bad envelopes).
 
-    ``inline`` flattens each array inside the task that parsed it; counts are
-    per envelope (``batch_id`` column kept if present).
+    The first two are ``classify_records`` of the records inside, so each is
+    held against the record contract; the third has the envelopes that are no
+    such object, with ``raw_record`` and ``reject_reasons``.  An envelope's
+    other columns go along as the struct ``envelope``: a record may have fields of the same name.
     """
     extra = [c for c in envelopes.columns if c != text_col]
-    p = envelopes.select(*extra, F.from_json(F.col(text_col), envelope_schema()).alias("_e"))
+    parsed = envelopes.select(_carried(extra), F.col(text_col).alias("raw_record"), F.from_json(
+        F.col(text_col), _ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_e"))
+    is_bad = F.col("_e").isNull() | F.col(f"_e.{CORRUPT}").isNotNull()
 
-    def typed(arr: str, schema: T.StructType) -> DataFrame:
-        rows = p.select(*extra, F.inline(F.coalesce(F.col(f"_e.{arr}"), F.array().cast(
-            T.ArrayType(wire_schema(schema))))))
-        return rows.withColumns({f.name: F.col(f.name).try_cast("timestamp") for f in schema.fields
-                                 if isinstance(f.dataType, T.TimestampType)})
+    def records(key: str) -> DataFrame:
+        # elements are kept as JSON text; a null element is a record without fields
+        return parsed.where(~is_bad).select("envelope", F.explode(f"_e.{key}").alias("value")).withColumn(
+            "value", F.coalesce("value", F.lit("null")))
 
-    counts = p.select(*extra, F.coalesce(F.size("_e.sensor_readings"), F.lit(0)).alias("sensor_count"),
-                      F.coalesce(F.size("_e.production_events"), F.lit(0)).alias("production_count"))
-    counts = counts.withColumns({c: F.greatest(F.col(c), F.lit(0)) for c in ["sensor_count", "production_count"]})
-    return typed("sensor_readings", S.SENSOR_SCHEMA), typed("production_events", S.PRODUCTION_SCHEMA), counts
+    bad = parsed.where(is_bad).select("envelope", "raw_record", F.array(F.lit("malformed_envelope")).alias("reject_reasons"))
+    return (classify_records(records("sensor_readings"), S.SENSOR_SCHEMA, SENSOR_REQUIRED_FIELDS, arrival=arrival),
+            classify_records(records("production_events"), S.PRODUCTION_SCHEMA, PRODUCTION_REQUIRED_FIELDS, arrival=arrival), bad)
+
+
+def _carried(extra: list[str]) -> Column:
+    return F.struct(*[F.col(c) for c in extra] or [F.lit(0).alias("_none")]).alias("envelope")
+
+
+def unpack_envelopes(envelopes: DataFrame, text_col: str = "value") -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(valid sensor rows, valid production rows, counts per envelope, quarantine).
+
+    Rows and the quarantine name their envelope by the struct ``envelope``; the
+    counts of accepted and rejected records have its columns.  The quarantine
+    has bad records and bad envelopes with their raw text and reasons; ``kind`` tells which.
+    """
+    extra = [c for c in envelopes.columns if c != text_col]
+    sensor, production, bad = classify_envelopes(envelopes, text_col, F.current_timestamp())
+    both = sensor.select("envelope", "is_valid", F.lit(1).alias("s")).unionByName(
+        production.select("envelope", "is_valid", F.lit(0).alias("s")))
+    counted = both.groupBy("envelope").agg(
+        F.count_if(F.col("is_valid") & (F.col("s") == 1)).alias("sensor_count"),
+        F.count_if(F.col("is_valid") & (F.col("s") == 0)).alias("production_count"),
+        F.count_if(~F.col("is_valid")).alias("rejected_count"))
+    # envelopes without a record count too
+    counted = envelopes.select(_carried(extra)).distinct().join(counted, "envelope", "left").fillna(
+        0, ["sensor_count", "production_count", "rejected_count"])
+    counted = counted.select(*[F.col(f"envelope.{c}").alias(c) for c in extra], "sensor_count", "production_count", "rejected_count")
+    quarantine = reduce(DataFrame.unionByName, [
+        df.select(F.lit(kind).alias("kind"), "envelope", "raw_record", "reject_reasons") for kind, df in (
+            ("sensor_reading", sensor.where("not is_valid")), ("production_event", production.where("not is_valid")), ("envelope", bad))])
+
+    def valid(df: DataFrame, schema: T.StructType) -> DataFrame:
+        return df.where("is_valid").select("envelope", *schema.fieldNames())
+
+    return valid(sensor, S.SENSOR_SCHEMA), valid(production, S.PRODUCTION_SCHEMA), counted, quarantine
+
+
+def replay_quarantine(target: DataFrame, quarantine: DataFrame, schema: T.StructType, required: list[str],
+                      mend: Column | None = None, key: str = "event_id",
+                      arrival: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """SRC-7 / ST-10: (rows to append, still bad) of a replay of spilled or quarantined records.
+
+    ``quarantine`` has ``raw_record``; ``mend`` is an expression of it that
+    repairs the text (none: as it is, for records that were spilled because the
+    store was away).  Records go through the contract again and then through the
+    idempotent append, so that replaying twice, or after a partial append, stores each event once.
+    """
+    text = mend if mend is not None else F.col("raw_record")
+    # written out: a filter on the parse would be pushed below it and repeat the parse for each condition
+    again = cut_lineage(classify_records(quarantine.select(text.alias("value")), schema, required, arrival=F.current_timestamp()))
+    valid = again.where("is_valid").select(*schema.fieldNames())
+    return idempotent_append(target, valid, key, arrival), again.where("not is_valid").select("raw_record", "reject_reasons")
 
 
 def pack_envelopes(sensor: DataFrame, production: DataFrame, batch: Column) -> DataFrame:
@@ -182,3 +281,12 @@ def wide_quality_events_to_issues(dq: DataFrame) -> DataFrame:
     return dq.select(F.lower("issue_type").alias("issue_type"), "severity",
                      F.col("affected_table").alias("entity_type"), "machine_id", "line_id", "station_id",
                      "timestamp", "details_json", F.lit("generator").alias("source"))
+
+
+def wide_maintenance_to_events(wide: DataFrame) -> DataFrame:
+    """SRC-9: wide maintenance rows -> ``maintenance_events``; what the core columns don't hold goes to ``details_json``."""
+    core = ["machine_id", "line_id", "station_id", "timestamp"]
+    rest = [c for c in wide.columns if c not in (*core, "id", "event_type", "maintenance_type")]
+    kind = F.coalesce(*[F.col(c) for c in ("maintenance_type", "event_type") if c in wide.columns], F.lit("maintenance"))
+    return wide.select(*[c for c in ["id"] if c in wide.columns], *[F.col(c) for c in core if c in wide.columns],
+                       F.lower(kind).alias("event_type"), F.to_json(F.struct(*rest)).alias("details_json"))

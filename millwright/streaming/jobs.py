@@ -4,9 +4,10 @@ Every job is ``readStream`` -> the same column operators as the batch path ->
 a checkpointed sink, so a restarted or retried query resumes exactly where it
 stopped.  State lives only where the semantics need it:
 
-* duplicate event ids: ``dropDuplicatesWithinWatermark`` (null ids bypass it);
-* per-minute counts: event-time window + watermark, ``update`` mode, rows
-  upserted by ``foreachBatch`` (the final value per window is the newest);
+* duplicate event ids: ``foreachBatch`` anti-joins the ids stored so far (no id
+  is forgotten); ``dropDuplicatesWithinWatermark`` where bounded state matters more;
+* per-minute counts: each micro-batch writes its own, which add up whatever the
+  order of arrival; an event-time window with watermark for low latency;
 * gaps and flatlines per (machine, station): ``applyInPandasWithState`` holding
   last timestamp, last values and current run lengths -- a few numbers per key;
 * as-of enrichment and scoring: ``foreachBatch`` runs the batch operators on
@@ -15,6 +16,7 @@ stopped.  State lives only where the semantics need it:
 
 from __future__ import annotations
 
+from datetime import timedelta
 from typing import Iterator
 
 import numpy as np
@@ -47,15 +49,35 @@ def read_table_stream(spark: SparkSession, path: str, schema: T.StructType, max_
     return r.load(path)
 
 
-def run_available(writer, checkpoint: str, timeout_s: int = 600):
-    """Process everything available now, then stop (``trigger(availableNow=True)``)."""
+def run_available(writer, checkpoint: str, timeout_s: float | None = None):
+    """Process everything available now, then stop (``trigger(availableNow=True)``).
+
+    Waits until all of it is processed.  With ``timeout_s`` a query that takes
+    longer is stopped and that is an error: its sink holds only part of the data.
+    """
     q_ = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q_.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q_.awaitTermination()
+    elif not q_.awaitTermination(timeout_s):
+        q_.stop()
+        raise TimeoutError(f"the stream had not processed all available data after {timeout_s} s")
     if q_.exception() is not None:
         raise q_.exception()
     return q_
 
 
+def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """One micro-batch's rows in a folder of its own: written again by a replay, it replaces itself."""
+    df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+
+def earlier_batches(batch: DataFrame, path: str, batch_id: int) -> DataFrame:
+    """What the micro-batches before this one have written; an empty frame like ``batch`` for the first."""
+    if batch_id == 0:
+        return batch.limit(0)
+    return batch.sparkSession.read.parquet(path).where(F.col("batch_id") < batch_id).drop("batch_id")
+
+
 # ------------------------------------------------------------------ ST-1 / ST-10 / ST-9
 def parse_stream(lines: DataFrame, schema: T.StructType = S.SENSOR_SCHEMA,
                  required: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
@@ -86,10 +108,9 @@ def quality_and_quarantine_writer(issues_path: str, quarantine_path: str, schema
         b = batch.persist()
         try:
             valid = b.where("is_valid").select(*schema.fieldNames())
-            stateless_quality(valid).withColumn("batch_id", F.lit(batch_id)) \
-                .write.mode("append").parquet(issues_path)
-            b.where("not is_valid").select("source_file", "raw_record", "reject_reasons") \
-                .withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(quarantine_path)
+            write_batch(stateless_quality(valid), issues_path, batch_id)
+            write_batch(b.where("not is_valid").select("source_file", "raw_record", "reject_reasons"),
+                        quarantine_path, batch_id)
         finally:
             b.unpersist()
     return write
@@ -97,14 +118,48 @@ def quality_and_quarantine_writer(issues_path: str, quarantine_path: str, schema
 
 # ------------------------------------------------------------------ ST-2
 def dedupe_stream(stream: DataFrame, key: str = "event_id", watermark: str = "7 days") -> DataFrame:
-    """Drop re-deliveries of an event id seen within the watermark; null ids always pass."""
+    """Drop re-deliveries of an event id seen within the watermark; null ids always pass.
+
+    State is bounded, and so is memory of ids: rows later than the watermark
+    are dropped and older ids forgotten.  ``dedupe_writer`` does neither.
+    """
     keyed = (stream.where(F.col(key).isNotNull()).withWatermark("timestamp", watermark)
              .dropDuplicatesWithinWatermark([key]))
     return keyed.unionByName(stream.where(F.col(key).isNull()))
 
 
+def dedupe_writer(path: str, key: str = "event_id", arrival: list[str] | None = None):
+    """foreachBatch: first write wins against everything stored so far, however old; null ids always pass.
+
+    The stored ids are anti-joined (one column of the sink is read), so no id
+    is forgotten and no row is too late.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        fresh = ig.idempotent_append(earlier_batches(batch, path, batch_id), batch, key, arrival)
+        write_batch(fresh, path, batch_id)
+    return write
+
+
 # ------------------------------------------------------------------ ST-3
+def minute_counts_writer(path: str):
+    """foreachBatch: each micro-batch's own counts per minute and stream; ``summed_counts`` adds them up.
+
+    Counts add up whatever the order of arrival, so late rows need no side
+    output and rows without a time are counted under a null minute.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(F.date_trunc("minute", "timestamp").alias("minute"), "stream_type").agg(
+            F.count(F.lit(1)).alias("records"))
+        write_batch(counts, path, batch_id)
+    return write
+
+
+def summed_counts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path).groupBy("minute", "stream_type").agg(F.sum("records").alias("records"))
+
+
 def per_minute_counts(stream: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """Windowed counts with bounded state; rows later than the watermark are dropped (see ``minute_counts_writer``)."""
     return (stream.withWatermark("timestamp", watermark)
             .groupBy(F.window("timestamp", "1 minute"), "stream_type")
             .agg(F.count(F.lit(1)).alias("records"))
@@ -242,20 +297,44 @@ def stuck_report(monitor_rows: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ ST-7 / ST-8
 def asof_batch_writer(sensor_table: DataFrame, out_path: str, tolerance_seconds: float):
-    """foreachBatch: enrich each micro-batch of events with the batch as-of operator."""
+    """foreachBatch: enrich each micro-batch of events with the batch as-of operator.
+
+    Only readings that the batch can match are scanned: those from the
+    tolerance before its first event to its last one.  A ``reading_date``
+    column (the landed table's partition) prunes whole folders.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        asof.asof_join(sensor_table, batch, tolerance_seconds).write.mode("append").parquet(out_path)
+        b = batch.persist()
+        try:
+            span = b.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+            near = sensor_table
+            if span["lo"] is not None:
+                lo, hi = span["lo"] - timedelta(seconds=tolerance_seconds), span["hi"]
+                near = near.where(F.col("timestamp").between(F.lit(lo), F.lit(hi)))
+                if "reading_date" in near.columns:
+                    near = near.where(F.col("reading_date").between(F.to_date(F.lit(lo)), F.to_date(F.lit(hi))))
+            else:
+                near = near.limit(0)
+            write_batch(asof.asof_join(near.drop("reading_date"), b, tolerance_seconds), out_path, batch_id)
+        finally:
+            b.unpersist()
     return write
 
 
-def score_batch_writer(root: str):
-    """foreachBatch: score once, then append predictions, alerts and hints."""
+def score_batch_writer(root: str, score=scoring.score):
+    """foreachBatch: score once, then write predictions, alerts and hints.
+
+    ``score`` takes the micro-batch to scored rows: the column rules for rows that hold
+    model outputs, or ``predict.bundle_scorer`` to run fitted models.
+    """
     def write(batch: DataFrame, batch_id: int) -> None:
-        scored = scoring.score(batch).drop("risk_components")
-        scored.write.mode("append").parquet(f"{root}/predictions")
-        scoring.alerts(scored, source="stream_scoring").write.mode("append").parquet(f"{root}/alerts")
-        scored.select("id", "machine_id", "line_id", "station_id", "timestamp",
-                      F.col("diagnostic_hint").alias("hint"),
-                      F.col("hint_action").alias("recommended_action")) \
-            .write.mode("append").parquet(f"{root}/hints")
+        scored = score(batch).drop("risk_components").persist()
+        try:
+            write_batch(scored, f"{root}/predictions", batch_id)
+            write_batch(scoring.alerts(scored, source="stream_scoring"), f"{root}/alerts", batch_id)
+            write_batch(scored.select(
+                "id", "machine_id", "line_id", "station_id", "timestamp", F.col("diagnostic_hint").alias("hint"),
+                F.col("hint_action").alias("recommended_action")), f"{root}/hints", batch_id)
+        finally:
+            scored.unpersist()
     return write

@@ -6,10 +6,10 @@ S_SCHEMA = "id long, machine_id string, line_id string, station_id string, times
 P_SCHEMA = "id long, line_id string, station_id string, timestamp timestamp, cycle_time_sec double"
 
 
-def _join(spark, sensors, events, tol=1800.0, chunk_rows=1_000_000):
+def _join(spark, sensors, events, tol=1800.0, buckets=8):
     s = spark.createDataFrame(sensors, S_SCHEMA)
     p = spark.createDataFrame(events, P_SCHEMA)
-    return {r["id_prod"]: r for r in asof_join(s, p, tol, chunk_rows=chunk_rows).collect()}
+    return {r["id_prod"]: r for r in asof_join(s, p, tol, buckets=buckets).collect()}
 
 
 def test_future_sensor_not_joined(spark):
@@ -37,10 +37,23 @@ def test_keys_separate_and_nulls_dropped(spark):
     assert out[10]["id"] == 1 and out[11]["id"] == 2 and 12 not in out
 
 
-def test_chunk_boundaries_do_not_change_matches(spark):
+def test_bucket_boundaries_do_not_change_matches(spark):
     sensors = [(i, f"M{i % 3}", "L", "S", ts(i * 7), float(i)) for i in range(40)]
     events = [(100 + i, "L", "S", ts(i * 5 + 1), 0.0) for i in range(60)]
-    a = _join(spark, sensors, events, tol=600.0)
-    b = _join(spark, sensors, events, tol=600.0, chunk_rows=3)
-    assert {k: v["id"] for k, v in a.items()} == {k: v["id"] for k, v in b.items()}
-    assert len(a) > 20
+    want = {}
+    for e in events:
+        near = [s for s in sensors if 0 <= (e[3] - s[4]).total_seconds() <= 600.0]
+        if near:
+            want[e[0]] = max(near, key=lambda s: (s[4], s[0]))[0]
+    for buckets in (1, 3, 8, 50):
+        got = _join(spark, sensors, events, tol=600.0, buckets=buckets)
+        assert {k: v["id"] for k, v in got.items()} == want
+    assert len(want) > 20
+
+
+def test_one_full_shuffle_and_no_checkpoint(spark):
+    s = spark.createDataFrame([(1, "M1", "L", "S", ts(0), 1.0)], S_SCHEMA)
+    p = spark.createDataFrame([(10, "L", "S", ts(1), 1.0)], P_SCHEMA)
+    plan = asof_join(s, p)._jdf.queryExecution().executedPlan().toString()
+    assert "RDDScan" not in plan and "ExistingRDD[line" not in plan
+    assert plan.count("Exchange hashpartitioning") == 3  # the rows, and two small aggregates

@@ -43,11 +43,49 @@ def test_envelope_roundtrip(spark):
     env = json.dumps({"sensor_readings": [VALID, dict(VALID, event_id="S2")],
                       "production_events": [{"line_id": "L", "station_id": "S", "timestamp": "2026-05-01T06:00:00Z",
                                              "throughput_count": 10}]})
-    s, p, counts = ig.unpack_envelopes(spark.createDataFrame([(1, env)], "batch_id long, value string"))
+    s, p, counts, bad = ig.unpack_envelopes(spark.createDataFrame([(1, env)], "batch_id long, value string"))
     assert s.count() == 2 and p.count() == 1
     c = counts.first()
     assert (c["sensor_count"], c["production_count"]) == (2, 1)
     assert p.first()["throughput_count"] == 10
+    assert bad.count() == 0 and s.first()["created_at"] is not None
+
+
+def test_bad_envelopes_and_records_are_quarantined(spark):
+    rows = [(1, json.dumps({"sensor_readings": [VALID, dict(VALID, machine_id=None, timestamp=None), None, 5]})),
+            (2, '{"sensor_readings": [{"mach'), (3, "[]"), (4, "{}"), (5, '{"sensor_readings": 7}'), (6, None)]
+    s, p, counts, bad = ig.unpack_envelopes(spark.createDataFrame(rows, "batch_id long, value string"))
+    assert s.count() == 1 and p.count() == 0
+    assert {r["batch_id"]: (r["sensor_count"], r["rejected_count"]) for r in counts.collect()} == {
+        1: (1, 3), 2: (0, 0), 3: (0, 0), 4: (0, 0), 5: (0, 0), 6: (0, 0)}
+    got = sorted((r["envelope"]["batch_id"], r["kind"], tuple(r["reject_reasons"])) for r in bad.collect())
+    assert (1, "sensor_reading", ("missing_machine_id", "missing_timestamp")) in got
+    assert {g[0] for g in got if g[1] == "envelope"} >= {2, 5, 6} and len([g for g in got if g[0] == 1]) == 3
+
+
+def test_contract_values(spark):
+    times = {"2026-05-01": True, "2026-05-01T06:00": True, "2026-05-01 06:00:00.123+02:00": True, 1777615200: True, 1777615200000: True,
+             "12:30:00": False, "2024-01": False, "2024": True, "2024-13-01T00:00:00Z": False, "T06:00": False, "": False}
+    lines = _lines(spark, [dict(VALID, event_id=str(i), timestamp=t) for i, t in enumerate(times)])
+    valid, bad = ig.parse_records(lines, S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS)
+    assert {r["event_id"] for r in valid.collect()} == {str(i) for i, ok in enumerate(times.values()) if ok}
+    assert all(r["reject_reasons"] == ["invalid_timestamp"] for r in bad.collect())
+    records = [dict(VALID, event_id="a", torque="12.5"), dict(VALID, event_id="b", torque="twelve"), dict(VALID, event_id="c", torque="Infinity")]
+    valid, bad = ig.parse_records(_lines(spark, records), S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS)
+    assert {r["event_id"]: r["torque"] for r in valid.collect()} == {"a": 12.5, "c": None}
+    assert [r["reject_reasons"] for r in bad.collect()] == [["invalid_torque"]]
+    assert all(r["created_at"] is not None for r in valid.collect())
+    prod = {"line_id": "L", "station_id": "S", "timestamp": "2026-05-01T06:00:00Z"}
+    valid, bad = ig.parse_records(_lines(spark, [dict(prod, throughput_count=v) for v in (12, "12", 12.0, 12.5)]),
+                                  S.PRODUCTION_SCHEMA, ig.PRODUCTION_REQUIRED_FIELDS)
+    assert [r["throughput_count"] for r in valid.collect()] == [12, 12, 12] and bad.count() == 1
+
+
+def test_replaying_twice_stores_once(spark):
+    quarantine = spark.createDataFrame([(json.dumps(dict(VALID, event_id=e)),) for e in ("E1", "E1", "E2")] + [("{broken",)], "raw_record string")
+    target = spark.createDataFrame([("E2",)], "event_id string")
+    rows, still = ig.replay_quarantine(target, quarantine, S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS)
+    assert [r["event_id"] for r in rows.collect()] == ["E1"] and still.count() == 1
 
 
 def test_wide_to_core(spark):
