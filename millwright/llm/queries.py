@@ -121,5 +121,46 @@ def queries() -> dict[str, Query]:
     }
 
 
+_OP2_SQL = r"""
+WITH d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) AS k,
+                  [x FOR x IN regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+') IF x <> ''] AS w FROM documents),
+win AS (SELECT k, i, md5(array_to_string(w[i + 1:i + 35], ' ')) AS g
+        FROM (SELECT k, w, unnest(range(0, len(w) - 34)) AS i FROM d WHERE len(w) >= 35)),
+rep AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+gone AS (SELECT DISTINCT k, unnest(range(i, i + 35)) AS pos FROM win SEMI JOIN rep USING (g)),
+words AS (SELECT k, unnest(w) AS word, unnest(range(0, len(w))) AS pos FROM d),
+kept AS (SELECT k, string_agg(word, ' ' ORDER BY pos) AS t FROM words ANTI JOIN gone USING (k, pos) GROUP BY k),
+n AS (SELECT k, count(*) AS c FROM gone GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n.c, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (k) LEFT JOIN kept USING (k)
+"""
+
+_OP3_SQL = r"""
+WITH b AS (SELECT row_number() OVER () AS item, CAST(item_id AS VARCHAR) AS item_id, [x FOR x IN regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w FROM benchmark),
+d AS (SELECT row_number() OVER () AS k, doc_id, [x FOR x IN regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') IF x <> ''] AS w FROM documents),
+bw AS (SELECT DISTINCT item, item_id, n, array_to_string(w[i + 1:i + n], ' ') AS g
+       FROM (SELECT *, least(10, len(w)) AS n, unnest(range(0, len(w) - least(10, len(w)) + 1)) AS i FROM b WHERE len(w) > 0)),
+dw AS (SELECT k, i, n, array_to_string(w[i + 1:i + n], ' ') AS g
+       FROM (SELECT k, w, n, unnest(range(0, len(w) - n + 1)) AS i FROM d, (SELECT DISTINCT n FROM bw) WHERE len(w) >= n)),
+hit AS (SELECT dw.k, dw.i, dw.n, bw.item, bw.item_id FROM dw JOIN bw USING (n, g)),
+pos AS (SELECT k, count(*) AS n_hit FROM (SELECT DISTINCT k, unnest(range(i, i + n)) AS p FROM hit) GROUP BY k),
+items AS (SELECT k, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+          FROM (SELECT DISTINCT k, item, item_id FROM hit) GROUP BY k)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (k) LEFT JOIN items USING (k)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL for what it can express; the others are held against brute force in ``tests/llm``."""
+    return {
+        "op2_substring_dedup": _OP2_SQL,
+        "op3_benchmark_decontamination": _OP3_SQL,
+    }
