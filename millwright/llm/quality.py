@@ -196,7 +196,7 @@ def co_train(labelled, y: np.ndarray, aside: np.ndarray, pool, rounds: int = ROU
         return None
     words = [r[:2] for r in labelled]
     meta = np.array([r[2] for r in labelled])
-    pool_words, pool_meta = [r[:2] for r in pool], np.array([r[2] for r in pool]).reshape(len(pool), -1)
+    pool_words, pool_meta = [r[:2] for r in pool], np.array([r[2] for r in pool]).reshape(len(pool), meta.shape[1])
     use, kept = np.flatnonzero(~aside), np.flatnonzero(aside)
     given: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, int), np.zeros(0)), (np.zeros(0, int), np.zeros(0))]
     for r in range(rounds + 1):

@@ -1,0 +1,73 @@
+"""Quality classifier: held-out accuracy, co-training, and edge rows."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from millwright.llm import quality
+
+SF = "/root/testdata/sf0.1"
+
+
+def test_held_out_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    got = quality.score(docs, quality.train(docs, labels.where(~fold))).join(labels.where(fold), "doc_id").select(
+        "quality", "toxic", "quality_keep").collect()
+    good = [r.quality_keep for r in got if r.quality == 1 and r.toxic == 0]
+    poor = [r.quality_keep for r in got if r.quality == 0]
+    toxic = [r.quality_keep for r in got if r.toxic == 1]
+    assert len(good) > 300 and sum(good) >= 0.99 * len(good)
+    assert sum(poor) <= 0.03 * len(poor) and sum(toxic) <= 0.1 * len(toxic)
+
+
+def rows(rng, n, flip):
+    """Word slots, make-up and metadata of two classes; either view tells them apart."""
+    out, y = [], []
+    for i in range(n):
+        c = i % 2
+        words = np.unique(np.r_[rng.integers(1000, 9000, 30), 10 + c if rng.random() > flip else 10 + rng.integers(0, 2)]).astype(np.int32)
+        meta = quality.meta_features("good" if c == (rng.random() > flip) else "bad", "en", 100)
+        out.append((words, np.zeros(12), meta))
+        y.append(float(c))
+    return out, np.array(y)
+
+
+def test_views_teach_one_another():
+    rng = np.random.default_rng(3)
+    labelled, y = rows(rng, 120, 0.0)
+    pool, _ = rows(rng, 400, 0.0)
+    test, want = rows(rng, 400, 0.05)
+    aside = np.arange(120) % 4 < 2
+    model = quality.co_train(labelled, y, aside, pool)
+    both = model.scores([r[:2] for r in test], np.array([r[2] for r in test]))[2]
+    assert ((both > 0.5) == want).mean() > 0.9
+    given = [quality._confident(np.array([0.999, 0.5, 0.001, 0.99]), y, 0.98, 3, 3)]
+    assert given[0][0].tolist() == [0, 3, 2] and given[0][1].tolist() == [1, 1, 0]
+
+
+def test_one_class_gives_no_model():
+    rng = np.random.default_rng(3)
+    labelled, y = rows(rng, 40, 0.0)
+    assert quality.co_train(labelled, np.ones(40), np.arange(40) % 4 == 0, []) is None
+    assert quality.co_train([], np.zeros(0), np.zeros(0, bool), []) is None
+
+
+@pytest.mark.parametrize("labels", [[], [(1, 1, 0), (None, 0, 1), (2, None, None), (99, 0, 0)]])
+def test_edge_rows(spark, labels):
+    docs = spark.createDataFrame([(1, "a b", "en", 3, 0.5), (1, "a b", "en", 3, 0.5), (2, None, None, None, 0.5), (None, "", "", 0, None),
+                                  (3, "x " * 100_000, "en", 5, 0.1)], "doc_id long, text string, lang string, n_chars long, quality_score double")
+    frame = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    out = quality.score(docs, quality.train(docs, frame)).collect()
+    assert len(out) == 5 and all(r.quality_keep and r.quality_score is None for r in out)
+    assert quality.score(docs.limit(0), None).count() == 0
+
+
+def test_scored_rows_with_nulls(spark):
+    rng = np.random.default_rng(3)
+    labelled, y = rows(rng, 120, 0.0)
+    model = quality.co_train(labelled, y, np.arange(120) % 4 < 2, [])
+    docs = spark.createDataFrame([(1, None, None), (None, "", "x"), (2, "ok", None)], "doc_id long, text string, source string")
+    out = quality.score(docs, model).collect()
+    assert len(out) == 3 and all(0 <= r.quality_score <= 1 for r in out)
