@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF001
+from millwright.plans import catalog
 from scripts.check_oracle import key, norm
 
 SLOW = {"train_failure", "train_rul"}
@@ -19,7 +20,8 @@ def test_entry_runs(spark):
 
 
 def test_every_sql_query_has_an_oracle():
-    assert set(E.queries()) - set(E.oracle_sql()) == NO_ORACLE
+    assert set(catalog.queries()) - set(catalog.oracle_sql()) == NO_ORACLE
+    assert set(catalog.queries()) <= set(E.queries()) and set(catalog.oracle_sql()) <= set(E.oracle_sql())
 
 
 @pytest.fixture(scope="module")
@@ -30,7 +32,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_matches_oracle(spark, con, name):
     sdf = E.queries()[name](spark, SF001)
     cols = sorted(sdf.columns)
