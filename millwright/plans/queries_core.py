@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import asof, readmodels as rm, scoring
+from ..operators import asof, readmodels as rm
 from ..sources import tables as src
 from . import tables as t
 from .catalog import register
@@ -73,16 +73,3 @@ def q_scan_latest_n(spark, sf):
     """SRC-2 / SO-1: newest 100 rows by id (top-k is the feature)."""
     return src.read_latest(t.predictions(spark, sf), "id", 100).select(
         "id", "machine_id", "line_id", "timestamp", "anomaly_score")
-
-
-@register("machine_health", sql=None)
-def q_machine_health(spark, sf):
-    """Flagship: as-of join -> history features -> health score and hint per event."""
-    from ..operators import features, quality
-
-    feats = features.add_engineered_features(quality.with_flatline(joined(spark, sf), t.sensor(spark, sf)))
-    scored = scoring.score(feats.withColumn("failure_probability", F.col("equipment_process_risk_index"))
-                           .withColumn("anomaly_score", F.lit(None).cast("double")))
-    return scored.select("id_prod", "machine_id", "line_id", "station_id", "timestamp",
-                         "equipment_process_risk_index", "rul_estimate_hours", "health_score", "risk_level",
-                         "diagnostic_hint")

@@ -10,7 +10,7 @@ from millwright.plans import catalog
 from scripts.check_oracle import key, norm
 
 SLOW = {"train_failure", "train_rul"}
-NO_ORACLE = {"machine_health", "train_failure", "train_rul", "isolation_forest", "feature_importances"}
+NO_ORACLE = {"train_failure", "train_rul", "isolation_forest", "feature_importances"}
 
 
 def test_entry_runs(spark):
