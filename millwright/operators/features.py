@@ -162,7 +162,26 @@ def add_engineered_features(joined: DataFrame, rolling_window: int = 12,
     df = risk_index(row_features(prepare(joined)))
     df = machine_history(df, rolling_window, chunk_rows, with_labels="failure_label" not in df.columns)
     df = station_history(df, rolling_window, chunk_rows)
-    df = labels(df)
+    return _finished(labels(df))
+
+
+def payload_features(payload: DataFrame) -> DataFrame:
+    """The same features for rows that each stand alone, as single payloads do: no row is another's history.
+
+    Row arithmetic only: no id, no ordering, no shuffle.
+    """
+    df = risk_index(row_features(prepare(payload)))
+    c = F.col
+    df = df.withColumns({
+        "tool_wear_rate": F.lit(0.0), "rolling_vibration_mean": c("vibration_rms").cast("double"),
+        "rolling_temperature_std": F.lit(0.0), "_future": F.lit(0),
+        "cycle_time_drift": c("cycle_time_sec") - c("cycle_time_sec"),
+        "process_stability_trend": c("process_stability_index") - c("process_stability_index"),
+    })
+    return _finished(labels(df))
+
+
+def _finished(df: DataFrame) -> DataFrame:
     add = {col: F.lit(0.0) for col in S.FEATURE_COLUMNS if col not in df.columns}
     if add:
         df = df.withColumns(add)

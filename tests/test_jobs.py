@@ -63,3 +63,15 @@ def test_single_payload_inference_defaults(spark):
     assert r["target_throughput"] == 1 and r["process_stability_index"] == 1.0
     assert r["event_timestamp"] is not None and r["rolling_vibration_mean"] == 1.5
     assert asof is not None
+
+
+def test_payloads_need_no_id_and_are_not_one_anothers_history(spark):
+    rows = [("M1", "L1", "S1", 1.5, 35.0), ("M1", "L1", "S1", 2.5, 90.0)]
+    schema = "machine_id string, line_id string, station_id string, vibration_rms double, tool_wear double"
+    payload = ft.prepare_inference(spark.createDataFrame(rows, schema))
+    got = ft.payload_features(payload)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    got = {r["vibration_rms"]: r for r in got.collect()}
+    one = ft.add_engineered_features(payload.where("vibration_rms = 2.5").withColumn("id", F.lit(1))).first().asDict()
+    assert {k: v for k, v in got[2.5].asDict().items() if k != "timestamp" and "timestamp" not in k} == {
+        k: v for k, v in one.items() if "timestamp" not in k and k != "id"}
