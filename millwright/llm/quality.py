@@ -101,14 +101,21 @@ def _sigmoid(z: np.ndarray) -> np.ndarray:
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 25) -> np.ndarray:
-    """Ridge logistic regression by Newton steps; the last weight is the intercept."""
-    x = np.c_[x, np.ones(len(x))]
-    penalty = np.r_[np.full(x.shape[1] - 1, ridge), 1e-6]
-    w = np.zeros(x.shape[1])
+    """Ridge logistic regression by Newton steps; the last weight is the intercept.
+
+    Sums over rows are taken in slices, so besides ``x`` only tables of the size of the weights are held.
+    """
+    n = x.shape[1] + 1
+    penalty = np.r_[np.full(n - 1, ridge), 1e-6]
+    w = np.zeros(n)
     for _ in range(steps):
-        p = _sigmoid(x @ w)
-        curve = np.maximum(p * (1 - p), 1e-6)
-        step = np.linalg.solve((x * curve[:, None]).T @ x + np.diag(penalty), x.T @ (p - y) + penalty * w)
+        curvature, slope = np.diag(penalty), penalty * w
+        for i in range(0, len(x), 1000):
+            part = np.c_[x[i:i + 1000].astype(np.float64), np.ones(len(x[i:i + 1000]))]
+            p = _sigmoid(part @ w)
+            curvature = curvature + (part * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ part
+            slope = slope + part.T @ (p - y[i:i + 1000])
+        step = np.linalg.solve(curvature, slope)
         step *= min(1.0, 5.0 / max(1e-12, float(np.abs(step).max())))
         w -= step
         if np.abs(step).max() < 1e-6:
@@ -124,18 +131,20 @@ class TextView:
     weights: np.ndarray = field(default_factory=lambda: np.zeros(_MAKE_UP + 1))
 
     def _matrix(self, rows) -> np.ndarray:
-        x = np.zeros((len(rows), self.words.size + _MAKE_UP))
+        x = np.zeros((len(rows), self.words.size + _MAKE_UP), np.float32)
         for i, (slots, make_up) in enumerate(rows):
             x[i, np.flatnonzero(np.isin(self.words, slots, assume_unique=True))] = 1
             x[i, self.words.size:] = np.clip((make_up - self.mean) / self.scale, -4, 4)
         return x
 
     def fit(self, rows, y: np.ndarray) -> TextView:
-        sizes = np.array([len(s) for s, _ in rows])
-        flat = np.concatenate([s for s, _ in rows]) if rows else np.zeros(0, np.int32)
-        slots, where = np.unique(flat, return_inverse=True)
-        seen = np.bincount(where, minlength=slots.size).astype(float)
-        good = np.bincount(where, np.repeat(y, sizes), slots.size)
+        seen, good = np.zeros(_SLOTS), np.zeros(_SLOTS)
+        for i in range(0, len(rows), 500):  # counted in slices: the driver holds one table of slots
+            for total, part in ((seen, rows[i:i + 500]), (good, [r for r, v in zip(rows[i:i + 500], y[i:i + 500]) if v > 0])):
+                if part:
+                    total += np.bincount(np.concatenate([s for s, _ in part]), minlength=_SLOTS)
+        slots = np.flatnonzero(seen)
+        seen, good = seen[slots], good[slots]
         n, n1 = len(y), float(y.sum())
         a, b = good, seen - good
         c, d = n1 - a, (n - n1) - b
@@ -275,7 +284,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labelled = [x for x, r in zip(read, got) if r.good is not None]
     y = np.array([float(r.good) for r in got if r.good is not None])
     aside = np.array([bool(r.aside) for r in got if r.good is not None], bool)
-    return co_train(labelled, y, aside, [x for x, r in zip(read, got) if r.good is None], rounds, sure)
+    pool = [x for x, r in zip(read, got) if r.good is None]
+    del got, read
+    return co_train(labelled, y, aside, pool, rounds, sure)
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
