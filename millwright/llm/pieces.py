@@ -24,7 +24,6 @@ from __future__ import annotations
 
 import math
 import re
-from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -81,87 +80,169 @@ def units(text: str) -> list[str]:
     return _UNIT.findall(" " + text)
 
 
+_HASH = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _extended(prefix: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Hash of strings made one character longer."""
+    h = (prefix + codes.astype(np.uint64) + np.uint64(1)) * _HASH
+    return h ^ (h >> np.uint64(29))
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+
+
 class Lattices:
     """Lattices of units, side by side in flat arrays; every edge is one piece.
 
     Edges hold the probability of the piece given that the path has come to its node,
-    which the backward pass yields, most likely first.
+    which the backward pass yields.  New units are built together: pieces are found for all
+    places at once, one character longer at a time, by hashes of the vocabulary's prefixes.
     """
 
+    _GROW = ("piece", "after", "cumulative", "log_p", "log_rest")
+
     def __init__(self, vocabulary: Vocabulary) -> None:
         self.vocabulary = vocabulary
-        self.longest = max(map(len, vocabulary.spelled), default=1)
+        self.weight = np.array(vocabulary.weight)
+        self.byte_ids = np.array(vocabulary.byte_ids, np.int32)
+        # for each length, the sorted hashes of all prefixes of pieces, and the piece that is one
+        names = list(vocabulary.spelled)
+        ids = np.array([vocabulary.spelled[n] for n in names], np.int32)
+        sizes = np.array([len(n) for n in names])
+        h = np.zeros(len(names), np.uint64)
+        self.prefixes: list[tuple[np.ndarray, np.ndarray]] = []
+        for n in range(1, int(sizes.max(initial=0)) + 1):
+            on = sizes >= n
+            h[on] = _extended(h[on], np.array([ord(names[i][n - 1]) for i in np.flatnonzero(on)], np.uint32))
+            known = np.unique(h[on])
+            piece = np.full(known.size, -1, np.int32)
+            whole = sizes == n
+            piece[np.searchsorted(known, h[whole])] = ids[whole]
+            self.prefixes.append((known, piece))
         self.clear()
 
     def clear(self) -> None:
         self.start: dict[str, int] = {}
-        self.first = array("i")
-        self.degree = array("i")
-        self.piece = array("i")
-        self.after = array("i")
-        self.cumulative = array("d")
-        self.log_p = array("d")
-        self.log_rest = array("d")
-
-    def __missing__(self, unit: str) -> int:
-        v = self.vocabulary
-        spelled, weight, n, base = v.spelled, v.weight, len(unit), len(self.first)
-        edges: list[list[tuple[float, int, int]]] = [[] for _ in range(n)]
-        beta = [0.0] * (n + 1)
-        extra = n + 1  # nodes inside characters that are spelled out in bytes come after the end
-        inner = []
-        for i in range(n - 1, -1, -1):
-            here = []
-            for j in range(i + 1, min(n, i + self.longest) + 1):
-                k = spelled.get(unit[i:j])
-                if k is not None:
-                    here.append((weight[k] + beta[j], k, j))
-            if unit[i] not in spelled:
-                raw = [v.byte_ids[b] for b in unit[i].encode("utf-8", "replace")]
-                score = sum(weight[b] for b in raw) + beta[i + 1]
-                here.append((score, raw[0], extra if len(raw) > 1 else i + 1))
-                for at, b in enumerate(raw[1:], 1):
-                    inner.append((b, extra + 1 if at + 1 < len(raw) else i + 1))
-                    extra += 1
-            top = max(s for s, _, _ in here)
-            beta[i] = top + math.log(sum(math.exp(s - top) for s, _, _ in here))
-            here.sort(key=lambda e: (-e[0], e[1]))
-            edges[i] = here
-        for i in range(n):
-            self.first.append(len(self.piece))
-            self.degree.append(len(edges[i]))
-            total = 0.0
-            for s, k, j in edges[i]:
-                lp = min(0.0, s - beta[i])
-                p = math.exp(lp)
-                total += p
-                self.piece.append(k)
-                self.after.append(-1 if j == n else base + j - (j > n))
-                self.cumulative.append(total)
-                self.log_p.append(lp)
-                self.log_rest.append(math.log1p(-p) if p < 1 and len(edges[i]) > 1 else -math.inf)
-            self.cumulative[-1] = 2.0  # the last edge takes what rounding leaves
-        for k, j in inner:
-            self.first.append(len(self.piece))
-            self.degree.append(1)
-            self.piece.append(k)
-            self.after.append(-1 if j == n else base + j - (j > n))
-            self.cumulative.append(2.0)
-            self.log_p.append(0.0)
-            self.log_rest.append(-math.inf)
-        self.start[unit] = base
-        return base
+        self.nodes = self.edges = 0
+        self.first = np.zeros(1024, np.int32)
+        self.degree = np.zeros(1024, np.int32)
+        self.piece = np.zeros(1024, np.int32)
+        self.after = np.zeros(1024, np.int32)
+        self.cumulative = np.zeros(1024)
+        self.log_p = np.zeros(1024)
+        self.log_rest = np.zeros(1024)
+
+    def _append(self, name: str, at: int, values: np.ndarray) -> None:
+        have = getattr(self, name)
+        if at + values.size > have.size:
+            have = np.concatenate([have[:at], np.zeros(max(at, values.size), have.dtype)])
+            setattr(self, name, have)
+        have[at:at + values.size] = values
 
     def starts(self, text_units: list[str]) -> list[int]:
+        """First node of each unit's lattice; units not seen before are added."""
         known = self.start
-        return [known[u] if u in known else self.__missing__(u) for u in text_units]
+        new = [u for u in dict.fromkeys(text_units) if u not in known]
+        if new:
+            self._add(new)
+        return list(map(known.__getitem__, text_units))
+
+    def _found(self, codes: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, length, piece) of every piece that stands somewhere; ``left``: characters to the unit's end."""
+        at = np.arange(codes.size)
+        h = np.zeros(codes.size, np.uint64)
+        out = []
+        for n, (known, piece) in enumerate(self.prefixes, 1):
+            fits = left[at] >= n
+            at, h = at[fits], h[fits]
+            if not at.size:
+                break
+            h = _extended(h, codes[at + n - 1])
+            k = np.minimum(np.searchsorted(known, h), known.size - 1)
+            there = known[k] == h
+            at, h, k = at[there], h[there], k[there]
+            whole = piece[k] >= 0
+            out.append((at[whole], np.full(int(whole.sum()), n), piece[k[whole]]))
+        return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3
+
+    def _add(self, new: list[str]) -> None:
+        sizes = np.array([len(u) for u in new])
+        ends = np.cumsum(sizes)
+        codes = _codes("".join(new))
+        total = int(ends[-1])
+        end = np.repeat(ends, sizes)
+        left = end - np.arange(total)
+        src, length, piece = self._found(codes, left)
+        dst = src + length
+        # characters without a piece are spelled out in bytes, through nodes of their own
+        alone = np.ones(total, bool)
+        alone[src[length == 1]] = False
+        b_src, b_dst, b_piece, b_last, nodes = [], [], [], [], total
+        for i in np.flatnonzero(alone).tolist():
+            raw = chr(codes[i]).encode("utf-8", "replace")
+            here = i
+            for k, byte in enumerate(raw):
+                to = i + 1 if k + 1 == len(raw) else nodes
+                b_src.append(here)
+                b_dst.append(to)
+                b_piece.append(byte)
+                b_last.append(k + 1 == len(raw) and i + 1 == end[i])
+                here = to
+                nodes += k + 1 < len(raw)
+        # the end of one unit is the place where the next begins: edges to it end there
+        last = np.concatenate([dst == end[src], np.array(b_last, bool)])
+        src = np.concatenate([src, np.array(b_src, np.int64)])
+        dst = np.concatenate([dst, np.array(b_dst, np.int64)])
+        piece = np.concatenate([piece, self.byte_ids[np.array(b_piece, np.int64)]])
+        order = np.lexsort((-dst, src))  # by node, longer pieces first
+        src, dst, piece, last = src[order], dst[order], piece[order].astype(np.int32), last[order]
+        first = np.searchsorted(src, np.arange(nodes))
+        degree = np.diff(np.r_[first, src.size])
+        # backward pass, by distance from the unit's end; inside a character by what is left of it too
+        depth = np.zeros(nodes)
+        depth[:total] = left
+        for s_, d_ in zip(reversed(b_src), reversed(b_dst)):
+            if s_ >= total:
+                depth[s_] = (depth[d_] if d_ >= total else left[d_ - 1] - 1) + 1 / 8
+        beta = np.zeros(nodes + 1)
+        reach = np.where(last, nodes, dst)  # beta of the end is 0
+        score = self.weight[piece]
+        by = np.argsort(depth, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, np.diff(depth[by]) > 0, True]) if nodes else np.zeros(1, int)
+        for i, j in zip(cuts[:-1], cuts[1:]):
+            ns = by[i:j]
+            ns = np.sort(ns)
+            d = degree[ns]
+            begin = np.cumsum(d) - d
+            es = np.repeat(first[ns] - begin, d) + np.arange(int(d.sum()))
+            score[es] += beta[reach[es]]
+            beta[ns] = np.logaddexp.reduceat(score[es], begin)
+        log_p = np.minimum(0.0, score - beta[src])
+        p = np.exp(log_p)
+        single = degree[src] == 1
+        log_p[single] = 0.0
+        with np.errstate(divide="ignore"):
+            log_rest = np.where(single | (p >= 1), -np.inf, np.log1p(-np.minimum(p, 1)))
+        cumulative = p.copy()
+        at = first
+        for k in range(1, int(degree.max(initial=0))):  # by rank: rounding doesn't depend on other units
+            at = at[degree[src[at]] > k] + 1
+            cumulative[at] += cumulative[at - 1]
+        cumulative[first + degree - 1] = 2.0  # the last edge takes what rounding leaves
+        for name, values in (("piece", piece), ("after", np.where(last, -1, dst + self.nodes).astype(np.int32)),
+                             ("cumulative", cumulative), ("log_p", log_p), ("log_rest", log_rest)):
+            self._append(name, self.edges, values)
+        self._append("first", self.nodes, (first + self.edges).astype(np.int32))
+        self._append("degree", self.nodes, degree.astype(np.int32))
+        self.start.update(zip(new, (ends - sizes + self.nodes).tolist()))
+        self.nodes += nodes
+        self.edges += src.size
 
     def arrays(self) -> dict[str, np.ndarray]:
-        """Views; to be dropped before another unit is added."""
-        return {"first": np.frombuffer(self.first, np.int32), "degree": np.frombuffer(self.degree, np.int32),
-                "piece": np.frombuffer(self.piece, np.int32), "after": np.frombuffer(self.after, np.int32),
-                "cumulative": np.frombuffer(self.cumulative), "log_p": np.frombuffer(self.log_p),
-                "log_rest": np.frombuffer(self.log_rest)}
+        """The arrays as they are now; units added later may move them."""
+        return {c: getattr(self, c) for c in ("first", "degree", *self._GROW)}
 
 
 # -- random numbers by place -------------------------------------------------
@@ -189,8 +270,10 @@ class _Path:
 
     edge: np.ndarray      # by text, unit and step
     node: np.ndarray
-    count: np.ndarray     # edges of each unit
+    unit: np.ndarray      # of each edge
+    step: np.ndarray      # of each edge in its unit
     text: np.ndarray      # of each edge
+    begin: np.ndarray     # first edge of each text, and the end
     prefix: np.ndarray    # log probability of what comes before each edge
     left: np.ndarray      # priority of the alternatives at each edge, minus infinity if they are another path's
     priority: np.ndarray  # of each text's segmentation
@@ -209,7 +292,7 @@ class Sampler:
     def __call__(self, texts: list[str], keys: np.ndarray) -> list[list[tuple[np.ndarray, float, float, float]]]:
         """For each text, (ids, log probability, priority, log inclusion score) by falling priority."""
         cut = [units(t) if t else [] for t in texts]
-        start = np.array([s for u in cut for s in self.lattices.starts(u)], np.int64)
+        start = np.array(self.lattices.starts([x for u in cut for x in u]), np.int64)
         self.of = np.repeat(np.arange(len(texts)), [len(u) for u in cut])
         self.n = len(texts)
         self.unit_first = np.searchsorted(self.of, np.arange(self.n + 1))
@@ -227,8 +310,8 @@ class Sampler:
         out: list[list] = [[] for _ in texts]
         for path in paths:
             ids = self.a["piece"][path.edge]
-            edges = np.searchsorted(path.text, np.arange(self.n + 1))
-            with np.errstate(over="ignore"):
+            edges = path.begin
+            with np.errstate(over="ignore", divide="ignore", invalid="ignore"):
                 score = np.log(-np.expm1(-np.exp(path.log_prob - kappa)))
             score = np.where(path.log_prob - kappa < -30, path.log_prob - kappa, score)
             for t in np.flatnonzero(path.alive).tolist():
@@ -263,7 +346,9 @@ class Sampler:
         at = first[unit] + step
         edges, nodes = np.empty(at.size, np.int64), np.empty(at.size, np.int64)
         edges[at], nodes[at] = edge, node
-        text = np.repeat(self.of, count)
+        unit = np.repeat(np.arange(count.size), count)
+        step = np.arange(unit.size) - first[unit]
+        text = self.of[unit]
         lp = self.a["log_p"][edges]
         begin = np.searchsorted(text, np.arange(self.n + 1))
         prefix = np.empty(lp.size)
@@ -276,7 +361,7 @@ class Sampler:
         with np.errstate(divide="ignore"):
             left = self._below(mass, priority[text], uniform(self.keys[text], r + 1, place, 1 << 40))
         left[place < branch[text]] = -np.inf
-        return _Path(edges, nodes, count, text, prefix, left, priority, log_prob, alive, parent, branch)
+        return _Path(edges, nodes, unit, step, text, begin, prefix, left, priority, log_prob, alive, parent, branch)
 
     @staticmethod
     def _below(mass, bound, u):
@@ -289,13 +374,11 @@ class Sampler:
         for r, p in enumerate(paths):
             if not p.left.size:
                 continue
-            begin = np.searchsorted(p.text, np.arange(self.n + 1))
-            full = np.flatnonzero((begin[:-1] < begin[1:]) & p.alive)
+            begin = p.begin
             top = np.full(self.n, -np.inf)
-            if full.size:
-                real = np.flatnonzero(begin[:-1] < begin[1:])
-                top[real] = np.maximum.reduceat(p.left, begin[:-1][real])
-                top[~p.alive] = -np.inf
+            real = np.flatnonzero(begin[:-1] < begin[1:])
+            top[real] = np.maximum.reduceat(p.left, begin[:-1][real])
+            top[~p.alive] = -np.inf
             hit = np.flatnonzero(p.left == top[p.text])
             where = np.zeros(self.n, np.int64)
             where[p.text[hit[::-1]]] = hit[::-1]  # the first one stays
@@ -308,59 +391,55 @@ class Sampler:
         best, of, at = head
         alive = best > -np.inf
         a = self.a
-        unit, node, step = [], [], []
-        old: list[list[np.ndarray]] = [[], [], [], []]
+        branch_unit = np.full(self.n, -1, np.int64)
+        some = np.flatnonzero(alive)
+        chosen = np.zeros((some.size, 4), np.int64)  # unit, step, node, edge
+        after = np.full(some.size, -1, np.int64)
         rest = np.full(self.n, -np.inf)
-        for t in np.flatnonzero(alive).tolist():
-            p = paths[of[t]]
-            begin = int(np.searchsorted(p.text, t))
-            where = begin + int(at[t])
-            u0, u1 = int(self.unit_first[t]), int(self.unit_first[t + 1])
-            ends = np.cumsum(p.count[u0:u1])
-            ub = u0 + int(np.searchsorted(ends, at[t], side="right"))
-            tb = int(at[t]) - int(ends[ub - u0] - p.count[ub])
+        draws = uniform(self.keys[some], r + 1, 1 << 41).tolist()
+        for i, t in enumerate(some.tolist()):
+            q, place = int(of[t]), int(at[t])
+            p = paths[q]
+            where = int(p.begin[t]) + place
+            here = int(p.node[where])
             # edges that earlier segmentations took from this node
-            taken, q = [int(p.edge[where])], int(of[t])
-            while paths[q].parent[t] >= 0 and paths[q].branch[t] == at[t]:
+            taken = {int(p.edge[where])}
+            p.left[where] = -np.inf  # what is left of it goes with the new path
+            while paths[q].parent[t] >= 0 and paths[q].branch[t] == place:
                 q = int(paths[q].parent[t])
-                taken.append(int(paths[q].edge[int(np.searchsorted(paths[q].text, t)) + int(at[t])]))
-            here = int(p.node[where])
+                taken.add(int(paths[q].edge[int(paths[q].begin[t]) + place]))
             first = int(a["first"][here])
-            free = [e for e in range(first, first + int(a["degree"][here])) if e not in taken]
-            lp = a["log_p"][free]
-            share = np.exp(lp - lp.max())
-            u = float(uniform(self.keys[t:t + 1], r + 1, 1 << 41)[0])
-            k = min(int(np.searchsorted(np.cumsum(share) / share.sum(), u)), len(free) - 1)
-            others = np.delete(lp, k)
-            if others.size:
-                rest[t] = p.prefix[where] + others.max() + math.log(np.exp(others - others.max()).sum())
-            p.left[where] = -np.inf  # what is left of it goes with the new path
-            upto = np.arange(begin, where)
-            o_unit = np.repeat(np.arange(u0, ub + 1), [*p.count[u0:ub], tb])
-            o_first = np.cumsum(np.r_[0, p.count[u0:ub]])
-            for have, more in zip(old, (np.r_[o_unit, ub], np.r_[upto - begin - o_first[o_unit - u0], tb],
-                                        np.r_[p.node[upto], here], np.r_[p.edge[upto], free[k]])):
-                have.append(more)
-            after = int(a["after"][free[k]])
-            more = np.arange(ub + 1, u1)
-            if after >= 0:
-                unit.append([ub])
-                node.append([after])
-                step.append([tb + 1])
-            unit.append(more)
-            node.append(self.start[more])
-            step.append(np.zeros(more.size, np.int64))
-
-        def flat(x):
-            return np.concatenate([np.asarray(y, np.int64) for y in x]) if x else np.zeros(0, np.int64)
-
-        priority = np.where(alive, best, -np.inf)
-        path = self._follow(r, flat(unit), flat(node), flat(step), *map(flat, old), priority, alive,
+            lps = a["log_p"][first:first + int(a["degree"][here])].tolist()
+            free = [(first + k, lp) for k, lp in enumerate(lps) if first + k not in taken]
+            top = max(lp for _, lp in free)
+            weights = [math.exp(lp - top) for _, lp in free]
+            u, k = draws[i] * sum(weights), 0
+            while k + 1 < len(free) and u > weights[k]:
+                u -= weights[k]
+                k += 1
+            others = sum(w for j, w in enumerate(weights) if j != k)
+            if others > 0:
+                rest[t] = p.prefix[where] + top + math.log(others)
+            branch_unit[t] = p.unit[where]
+            chosen[i] = p.unit[where], p.step[where], here, free[k][0]
+            after[i] = a["after"][free[k][0]]
+        # what stays of the path branched from: its edges before the branch
+        old = [[chosen[:, c]] for c in range(4)]
+        for q, p in enumerate(paths):
+            mine = alive & (of == q)
+            keep = np.flatnonzero(mine[p.text] & (np.arange(p.text.size) - p.begin[p.text] < at[p.text]))
+            for have, more in zip(old, (p.unit, p.step, p.node, p.edge)):
+                have.append(more[keep])
+        # what is drawn: the rest of the branch's unit, and all units after it
+        on = after >= 0
+        later = np.flatnonzero(alive[self.of] & (np.arange(self.of.size) > branch_unit[self.of]))
+        unit = np.concatenate([chosen[on, 0], later])
+        node = np.concatenate([after[on], self.start[later]])
+        step = np.concatenate([chosen[on, 1] + 1, np.zeros(later.size, np.int64)])
+        path = self._follow(r, unit, node, step, *[np.concatenate(x) for x in old], np.where(alive, best, -np.inf), alive,
                             np.where(alive, of, -1), np.where(alive, at, 0))
-        begin = np.searchsorted(path.text, np.arange(self.n))
-        some = np.flatnonzero(alive)
         u = uniform(self.keys[some], r + 1, 1 << 42)
-        path.left[begin[some] + at[some]] = self._below(rest[some], best[some], u)
+        path.left[path.begin[some] + at[some]] = self._below(rest[some], best[some], u)
         return path
 
 
@@ -410,7 +489,7 @@ def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
                      pa.array([None if x is None else decode(vocabulary, x.tolist()) for x in ids], pa.string())],
                     ["id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "decoded"])
                 at = end
-                if len(lattices.first) > _CACHE_NODES:
+                if lattices.nodes > _CACHE_NODES:
                     lattices.clear()
 
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("key"),
