@@ -214,16 +214,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             for key, text in zip(b.column(0).to_pylist(), binary_column(b, "text")):
                 if text:
                     a, n = anchor_counts(word_hashes(text.split()), window)
+                    a, of = np.unique(a, return_inverse=True)  # a row for each anchor of the document
                     keys.append(np.full(a.size, key, np.int64))
                     found.append(a)
-                    places.append(n)
+                    places.append(np.bincount(of, n, a.size).astype(np.int64))
             none = [np.zeros(0, np.int64)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x or none)) for x in (keys, found, places)],
                                              [ROW_KEY, "anchor", "places"])
 
     named = materialize(keyed.select(ROW_KEY, "text").mapInArrow(anchors, f"{ROW_KEY} long, anchor long, places long"), "anchors")
     often = named.groupBy("anchor").agg(F.sum("places").alias("n")).where("n > 1").select("anchor", (F.col("n") > hot).alias("hot"))
-    lists = named.select(ROW_KEY, "anchor").distinct().join(often, "anchor").groupBy(ROW_KEY).agg(
+    lists = named.select(ROW_KEY, "anchor").join(often, "anchor").groupBy(ROW_KEY).agg(
         F.collect_list(F.when(~F.col("hot"), F.col("anchor"))).alias("cold"),
         F.collect_list(F.when(F.col("hot"), F.col("anchor"))).alias("hot"))
 
