@@ -127,8 +127,8 @@ def link(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     at = lambda c: F.floor(c / stretch)
     near = found.select(ROW_KEY, "role", "start", "end", F.explode(F.sequence(
         at(F.greatest(F.col("start") - scope, F.lit(0))), at(F.col("end") + scope))).alias("stretch"))
-    weak = found.where("weak").select(ROW_KEY, F.col("role").alias("r"), F.col("start").alias("s"),
-                                      F.col("end").alias("e"), at(F.col("start")).alias("stretch"))
+    weak = found.where("weak").select(ROW_KEY, F.col("role").alias("r"), F.col("start").alias("s"), F.col("end").alias("e"),
+                                      F.explode(F.sequence(at(F.col("start")), at(F.col("end")))).alias("stretch"))
     hits = weak.join(near, [ROW_KEY, "stretch"]).where(
         (F.col("r") != F.col("role")) & (F.col("start") - F.col("e") <= scope) & (F.col("s") - F.col("end") <= scope)
         & ((F.col("r") == "secret") | (F.col("role") == "secret")))

@@ -65,3 +65,20 @@ def test_long_text_and_repeated_rows(spark):
     got = secrets.scan(docs).collect()
     assert sorted(len(r.linked) for r in got) == [0, 6000, 6000]
     assert secrets.scan(docs.limit(0)).count() == 0
+
+
+def test_links_at_every_offset(spark):
+    """Parts across the bounds of stretches have the links that all pairs of parts give."""
+    def all_pairs(text, scope=200):
+        got = secrets.parts(text, secrets.base_spans(text))
+        return sorted((i, j, "weak_" + r) for r, weak, i, j in got if weak and any(
+            r != q and "secret" in (r, q) and a - j <= scope and i - b <= scope for q, _, a, b in got))
+
+    url = "https://h.example/".ljust(60, "z")
+    texts = []
+    for at in range(800):
+        texts += [" " * at + url + " " * gap + "secret=abcdefgh" for gap in (100, 200, 201)]
+        texts += [" " * at + url.ljust(700, "z") + " " * 150 + "Xa9Kd83hQpZ72mWv", " " * at + "secret=abcdefgh" + " " * 150 + url]
+    got = scanned(spark, texts)
+    wrong = sum([(s.start, s.end, s.kind) for s in got[i].linked] != all_pairs(t) for i, t in enumerate(texts))
+    assert wrong == 0
