@@ -62,20 +62,67 @@ _OUT_NAMES = frozenset(
     "toolbar masthead topbar skip form search".split())
 _OUT_OUTSIDE = frozenset(["header"])  # an article may have a header of its own
 _CONTENT_ELEMENTS = ("article", "main")
+#: A class with one of these tells of a state or a layout, as in has-sidebar or menu-open.
+_STATES = frozenset("has have with without no not is open opened closed enabled disabled active layout".split())
+#: Share of a page's text from which a named box or form is taken for the wrapper of it all.
+_WRAPS = 0.8
 
 
 def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(raw)} if raw else {}
 
 
+def _runs(*values: str) -> list[str]:
+    """Letter runs of class and id tokens, but for those that tell of a state."""
+    tokens = [_NAME.findall(t) for v in values for t in v.split()]
+    return [n for t in tokens if not _STATES.intersection(t) for n in t]
+
+
 def _is_out(tag: str, at: dict[str, str]) -> bool:
     if tag in _OUT_ELEMENTS or at.get("role") in _OUT_ROLES or "hidden" in at or at.get("aria-hidden") == "true":
         return True
     if tag in ("body", "html", "article", "main"):
-        return any(n in ("comment", "comments") for n in _NAME.findall(at.get("class", "")))
+        return any(n in ("comment", "comments") for n in _runs(at.get("class", "")))
     if "display:none" in at.get("style", "").replace(" ", ""):
         return True
-    return any(n in _OUT_NAMES for n in _NAME.findall(f"{at.get('class', '')} {at.get('id', '')}"))
+    return any(n in _OUT_NAMES for n in _runs(at.get("class", ""), at.get("id", "")))
+
+
+def _may_wrap(tag: str, at: dict[str, str]) -> tuple[bool, bool]:
+    """Whether a block that is out may hold the article after all: around an article element, and around most of the text.
+
+    A form, or a box that is out by its name alone; a box whose whole name is that of comments and the like
+    only around an article element.
+    """
+    if tag == "form":
+        at = {k: v for k, v in at.items() if k not in ("class", "id")}
+        return (not _is_out("div", at),) * 2
+    plain = {k: v for k, v in at.items() if k not in ("class", "id")}
+    if tag in ("body", "html", "article", "main") or _is_out(tag, plain):
+        return False, False
+    return True, not _OUT_NAMES.intersection(f"{at.get('class', '')} {at.get('id', '')}".split())
+
+
+def _wrappers(page: str) -> frozenset[int]:
+    """Places of the forms and named boxes that hold most of the page's article elements, or of its text if it has none."""
+    boxes: dict[int, list] = {}  # place: [around articles, around text, characters in articles, characters]
+    total = [0, 0]
+    for places, in_article, n in _walk(page, boxes):
+        total = [total[0] + n * in_article, total[1] + n]
+        for at in places:
+            boxes[at][2] += n * in_article
+            boxes[at][3] += n
+    if total[0]:
+        return frozenset(k for k, (a, _, chars, _) in boxes.items() if a and 2 * chars > total[0])
+    return frozenset(k for k, (_, b, _, chars) in boxes.items() if b and total[1] and chars >= _WRAPS * total[1])
+
+
+def _walk(page: str, boxes: dict[int, list]) -> Iterator[tuple[list[int], bool, int]]:
+    """(places of the boxes around it, in an article element, characters) of each text that isn't out for good."""
+    opened: list[int] = []
+    for path, out, _, text in _blocks(page, None, boxes, opened):
+        if text is not None and not out and text.strip():
+            yield [k for k in opened if k >= 0], any(p.split(".")[0] in _CONTENT_ELEMENTS for p in path), len(text.strip())
 
 
 def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, bool, str | None]]:
@@ -84,6 +131,15 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, bool, str | None]
     ``out``: inside something that isn't the article; ``head``: inside a header.
     Elements left open end as the standard has it, or with the page.
     """
+    return _blocks(page, _wrappers(page), {}, [])
+
+
+def _blocks(page: str, wrappers: frozenset[int] | None, boxes: dict[int, list],
+            opened: list[int]) -> Iterator[tuple[tuple[str, ...], bool, bool, str | None]]:
+    """``blocks``, with the boxes at ``wrappers`` not out; None: all that may be wrappers, and ``boxes`` lists them.
+
+    ``opened`` has the place of each open block in ``boxes``, else -1.
+    """
     path: list[str] = []   # names of open blocks
     tags: list[str] = []
     out = head = 0         # depth at which the outermost one opened, plus one
@@ -91,7 +147,7 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, bool, str | None]
 
     def close(depth: int) -> None:
         nonlocal out, head
-        del path[depth:], tags[depth:]
+        del path[depth:], tags[depth:], opened[depth:]
         out, head = (0 if out > depth else out), (0 if head > depth else head)
 
     while at < len(page):
@@ -138,10 +194,16 @@ def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, bool, str | None]
         tags.append(tag)
         name = ".".join([tag, *sorted(set(_NAME.findall(known.get("class", ""))))[:4]])
         path.append(name)
+        opened.append(-1)
         if not out and _is_out(tag, known):
-            out = len(path)
-        if not head and (tag == "header" or any(n in _OUT_OUTSIDE for n in _NAME.findall(
-                f"{known.get('class', '')} {known.get('id', '')}"))) and tag not in ("html", "body", "article", "main"):
+            may = _may_wrap(tag, known) if wrappers is None else (m.start() in wrappers,)
+            if not any(may):
+                out = len(path)
+            elif wrappers is None:
+                opened[-1] = m.start()
+                boxes[m.start()] = [*may, 0, 0]
+        if not head and (tag == "header" or any(n in _OUT_OUTSIDE for n in _runs(
+                known.get("class", ""), known.get("id", "")))) and tag not in ("html", "body", "article", "main"):
             head = len(path)
         yield tuple(path), bool(out), bool(head), None
 

@@ -65,3 +65,21 @@ def test_invalid_classes_are_left_out():
              ("html/body/div.a/p", 3, 50, False), ("html/body/div.b/p", 3, 50, False)]
     assert set(pages.build_template(found)) == {"html", "html/body", "html/body/div.a", "html/body/div.b"}
     assert pages.content_path([("html", 1, 0, False), ("html/article", 1, 10, False), ("html/article/p", 2, 90, False)]) == "html/article"
+
+
+WRAPPERS = ["<div class='layout has-sidebar'>%s</div>", "<div class='content with-comments'>%s</div>", "<div id='main-menu-open'>%s</div>",
+            "<form action=x>%s</form>", "<div class='sidebar-right'>%s</div>", "<article class='post has-comments'>%s</article>",
+            "<div class='widget'><article>%s</article></div>"]
+
+
+def texts_of(spark, made):
+    rows = [(i, f"http://h.example/{i}", p) for i, p in enumerate(made)]
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    return [got[i] for i in range(len(made))]
+
+
+@pytest.mark.parametrize("wrap", WRAPPERS)
+def test_wrappers_with_names_of_other_things(spark, wrap):
+    said = [f"Story {i} " + f"word{i} " * 40 for i in range(8)]
+    made = [f"<body><div class=navbar>Menu</div>{wrap % f'<p>{t}</p>'}<div class=comments>First!</div>" for t in said]
+    assert texts_of(spark, made) == [t.strip() for t in said]
