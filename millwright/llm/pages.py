@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -208,10 +209,11 @@ def _blocks(page: str, wrappers: frozenset[int] | None, boxes: dict[int, list],
         yield tuple(path), bool(out), bool(head), None
 
 
-def tokens(page: str) -> dict[str, tuple[int, int, bool]]:
-    """Path to (occurrences, characters of text directly in it, out) for each structural token of a page."""
+def tokens(page: str) -> dict[str, tuple[int, int, bool, int]]:
+    """Path to (occurrences, characters of text directly in it, out, checksum of that text) for each structural token of a page."""
     seen: Counter = Counter()
     chars: Counter = Counter()
+    said: Counter = Counter()
     outside = {}
     last = ()
     for path, out, head, text in blocks(page):
@@ -224,9 +226,10 @@ def tokens(page: str) -> dict[str, tuple[int, int, bool]]:
             last = path
         else:
             chars[key] += len(text.strip())
+            said[key] = zlib.crc32(text.strip().encode("utf-8", "replace"), said[key])
         outside[key] = outside.get(key, True) and (out or (head and not any(
             p.split(".")[0] in _CONTENT_ELEMENTS for p in path)))
-    return {k: (max(1, seen[k]), chars[k], outside[k]) for k in outside}
+    return {k: (max(1, seen[k]), chars[k], outside[k], said[k]) for k in outside}
 
 
 # -- the template of a host --------------------------------------------------
@@ -257,29 +260,38 @@ def build_template(found: list[tuple[str, int, int, bool]]) -> dict[str, int]:
     return {path: chars for path, digest, chars, out in found if valid[digest] and not out}
 
 
-def content_path(found: list[tuple[str, int, int, bool]]) -> str | None:
-    """The template node that holds the article; None if the template has no text outside of menus and the like.
+def content_path(found: list[tuple]) -> str | None:
+    """The template nodes that hold the article, joined by spaces; None if the template has no text outside of menus and the like.
 
-    An article or main element, the one with most text; else the deepest node
-    below which most of the slots' text lies.
+    All article elements, or main elements; else the lowest node above all
+    slots whose text differs between pages (a fifth field of ``found``; all, if
+    none does), and from there up as long as no text that is the same on all pages comes in.
     """
-    template = build_template(found)
+    template = build_template([f[:4] for f in found])
+    varied = {f[0] for f in found if len(f) < 5 or f[4]}
     under: Counter = Counter()
-    for path, chars in template.items():
+    fixed: Counter = Counter()
+    slots = [p for p, chars in template.items() if chars]
+    if not slots:
+        return None
+    changing = [p for p in slots if p in varied] or slots
+    for path in slots:
         at = path
         while at:
-            under[at] += chars
+            under[at] += template[path]
+            fixed[at] += template[path] * (path not in changing)
             at = at.rpartition("/")[0]
-    total = sum(template.values())
-    if not total:
-        return None
     for element in _CONTENT_ELEMENTS:
-        named = [p for p in template if p.rpartition("/")[2].split(".")[0] == element and under[p] >= total / 10]
-        if named:
-            return max(named, key=lambda p: (under[p], -len(p), p))
-    most = [p for p in under if under[p] >= 0.6 * total and p in template and p.rpartition("/")[2].split(".")[0] not in (
-        "p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "ul", "ol", "td", "tr", "blockquote", "pre")]
-    return max(most, key=lambda p: (p.count("/"), under[p], p)) if most else None
+        named = [p for p in template if p.rpartition("/")[2].split(".")[0] == element and under[p]]
+        if any(10 * under[p] >= sum(template.values()) for p in named):
+            return " ".join(sorted(named))
+    node = changing[0].split("/")
+    for path in changing[1:]:
+        other = path.split("/")
+        node = node[:next((i for i, (x, y) in enumerate(zip(node, other)) if x != y), min(len(node), len(other)))]
+    while len(node) > 1 and fixed["/".join(node[:-1])] == fixed["/".join(node)]:
+        node.pop()
+    return "/".join(node) or None
 
 
 def extract(page: str | None, content: str | None) -> str:
@@ -315,7 +327,7 @@ def extract(page: str | None, content: str | None) -> str:
             here["own"].append(text)
         if content is not None:
             joined = "/".join(path)
-            if joined == content or joined.startswith(content + "/"):
+            if any(joined == c or joined.startswith(c + "/") for c in content.split(" ")):
                 here["template"].append(text)
     end()
     return " ".join(parts["template"] or parts["own"] or parts["all"])
@@ -333,28 +345,29 @@ def templates(pages: DataFrame, html_col: str = "html", min_support: float = MIN
             rows = []
             for key, host, page in zip(*[c.to_pylist() for c in b.columns]):
                 found = tokens(page or "")
-                found[""] = (1, 0, True)
+                found[""] = (1, 0, True, 0)
                 rows += [(h, p, key, *v) for p, v in found.items() for h in ({host, ANY_HOST} - {None})]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                    (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()))],
-                ["host", "path", "key", "n", "chars", "out"])
+                    (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()))],
+                ["host", "path", "key", "n", "chars", "out", "said"])
 
-    seen = pages.select(ROW_KEY, "host", html_col).mapInArrow(run, "host string, path string, key long, n long, chars long, out boolean")
+    seen = pages.select(ROW_KEY, "host", html_col).mapInArrow(run, "host string, path string, key long, n long, chars long, out boolean, said long")
     # the digest of a token's occurrence vector
     stats = seen.groupBy("host", "path").agg(
         F.bit_xor(F.xxhash64("key", "n")).alias("digest"), F.count("*").alias("support"),
-        F.sum("chars").alias("chars"), F.min("out").alias("out"))
+        F.sum("chars").alias("chars"), F.min("out").alias("out"),
+        (F.min("said") < F.max("said")).alias("varied"))
     stats = materialize(stats, "tokens")
     size = stats.where("path = ''").select("host", F.col("support").alias("pages")).where(
         (F.col("pages") >= min_pages) | (F.col("host") == ANY_HOST))
     kept = stats.where("path <> ''").join(size, "host").where(F.col("support") >= min_support * F.col("pages"))
     # at most (tokens of a page) / min_support rows of a host
-    by_host = kept.groupBy("host").agg(F.collect_list(F.struct("path", "digest", "chars", "out")).alias("found"))
+    by_host = kept.groupBy("host").agg(F.collect_list(F.struct("path", "digest", "chars", "out", "varied")).alias("found"))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            content = [content_path([(f["path"], f["digest"], f["chars"], f["out"]) for f in found])
+            content = [content_path([(f["path"], f["digest"], f["chars"], f["out"], f["varied"]) for f in found])
                        for found in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(content, pa.string())], ["host", "content"])
 

@@ -70,6 +70,9 @@ def test_invalid_classes_are_left_out():
 WRAPPERS = ["<div class='layout has-sidebar'>%s</div>", "<div class='content with-comments'>%s</div>", "<div id='main-menu-open'>%s</div>",
             "<form action=x>%s</form>", "<div class='sidebar-right'>%s</div>", "<article class='post has-comments'>%s</article>",
             "<div class='widget'><article>%s</article></div>"]
+BODIES = ["<div class=content><h1>Head {i}</h1><div class=intro>Intro {i}</div><div class=text>{t}</div></div>",
+          "<div class=body><h2>Head {i}</h2><div class=para>Intro {i}</div><div class=para>{t}</div></div>",
+          "<article class=a><p>Head {i}</p><p>Intro {i}</p></article><article class=b><p>{t}</p></article>"]
 
 
 def texts_of(spark, made):
@@ -83,3 +86,10 @@ def test_wrappers_with_names_of_other_things(spark, wrap):
     said = [f"Story {i} " + f"word{i} " * 40 for i in range(8)]
     made = [f"<body><div class=navbar>Menu</div>{wrap % f'<p>{t}</p>'}<div class=comments>First!</div>" for t in said]
     assert texts_of(spark, made) == [t.strip() for t in said]
+
+
+@pytest.mark.parametrize("body", BODIES)
+def test_articles_of_several_blocks(spark, body):
+    said = [f"Story {i} " + f"word{i} " * 40 for i in range(8)]
+    made = [f"<body><div class=navbar>Menu</div><div class=top>My site</div>{body.format(i=i, t=t)}" for i, t in enumerate(said)]
+    assert texts_of(spark, made) == [f"Head {i} Intro {i} {t.strip()}" for i, t in enumerate(said)]
