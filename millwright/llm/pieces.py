@@ -39,7 +39,8 @@ SEED = 17
 _SLICE_CHARS = 400_000
 #: Lattice nodes that are kept for units that come again.
 _CACHE_NODES = 1_500_000
-_UNIT = re.compile(r" *(?:[^\W\d_]+|\d+|[^\w\s]+|_+)| +|[^\S ]+|.", re.DOTALL)
+#: Marks, underscores, carriage returns and ² are one class: the model has pieces of them together.
+_UNIT = re.compile(r" *(?:[^\W\d_²]+|\d+|(?:[^\w\s]|[_\r²])+)| +|[^\S \r]+|.", re.DOTALL)
 
 
 @dataclass(frozen=True)

@@ -102,3 +102,22 @@ def test_query_round_trips(spark):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     assert all(r.round_trip for r in got) and len({r.doc_id for r in got}) == n
     assert len(got) == 3 * n
+
+
+def test_no_piece_crosses_units(vocabulary):
+    assert [p for p in vocabulary.spelled if not pieces._UNIT.fullmatch(p)] == []
+    rng = np.random.default_rng(5)
+    spelled = list(vocabulary.spelled)
+    for p in spelled:
+        a, b = (spelled[i] for i in rng.integers(len(spelled), size=2))
+        ends = np.cumsum([len(u) for u in pieces._UNIT.findall(a + p + b)])
+        assert not ((ends > len(a)) & (ends < len(a) + len(p))).any(), (a, p, b)
+
+
+@pytest.mark.parametrize("text", ["x_{", "{\r", "};\r\n"])
+def test_pieces_of_marks_underscores_and_returns(vocabulary, text):
+    """The segmentations are those of the text as a whole."""
+    whole = enumerate_unit(vocabulary, " " + text)
+    z = math.log(sum(math.exp(w) for _, w in whole))
+    got = draw(vocabulary, [text], len(whole) + 5)[0]
+    assert {tuple(g[0].tolist()): pytest.approx(g[1], abs=1e-9) for g in got} == {s: w - z for s, w in whole}
