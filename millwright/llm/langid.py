@@ -114,7 +114,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
           fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
     """Fits on at most ``fit_rows`` labelled rows, spread evenly over languages and chosen by hash of the id.
 
-    None if no row has a text and a language.
+    Of rows with the same language and id the one with the least hash of its text counts.  None if no row has a text and a language.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
                        F.col(id_col).cast("string").alias("id")).where("lang is not null and text is not null")
@@ -122,11 +122,11 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     if not langs:
         return None
     each = max(4, fit_rows // len(langs))
-    keys = rows.select("lang", "id", F.xxhash64("id").alias("h"))
+    keys = rows.where("id is not null").select("lang", "id", F.xxhash64("id").alias("h")).distinct()
     # a top-k for each language, of ids alone: no language is sorted or gathered whole
-    tops = [keys.where(F.col("lang") == n).orderBy("h", "id").limit(each).select("id") for n in langs]
-    ids = [r.id for r in reduce(DataFrame.union, tops).distinct().collect()]
-    got = rows.where(F.col("id").isin(ids)).limit(4 * fit_rows).collect()
+    tops = [keys.where(F.col("lang") == n).orderBy("h", "id").limit(each).select("lang", "id") for n in langs]
+    got = rows.join(F.broadcast(reduce(DataFrame.union, tops)), ["lang", "id"]).groupBy("lang", "id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text")).collect()
     got.sort(key=lambda r: (r.id, r.lang, r.text))
     got = [r for r in got if has_letter(r.text)]
     return fit([r.text for r in got], [r.lang for r in got], landmarks, ridge) if got else None

@@ -254,31 +254,36 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     ``labels`` has (id_col, quality, toxic); a document is good if its quality
     is 1 and it is not toxic.  Rows with a null id or quality are left out, of
-    contradicting labels the worse one counts.  None if there is nothing to learn from.
+    contradicting labels the worse one counts, of rows with the same id the one with the least hash.  None if there is nothing to learn from.
     """
     good = F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).alias("good")
     ids = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("id")).agg(good)
     chosen = ids.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
-    rest = docs.select(F.col(id_col).alias("id")).where("id is not null").join(ids, "id", "left_anti").orderBy(
+    rest = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct().join(ids, "id", "left_anti").orderBy(
         F.xxhash64("id"), "id").limit(max_pool).select("id", F.lit(None).cast("int").alias("good"))
     sample = chosen.select("id", "good").union(rest)  # at most max_labelled + max_pool rows
     rows = _viewed(docs, id_col, text_col).join(F.broadcast(sample), "id").select(
-        (F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(_CALIBRATION_SHARE)) == 0).alias("aside"), "good", "text", *_COLUMNS)
+        "id", F.xxhash64("text", *_COLUMNS).alias("h"), (F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(_CALIBRATION_SHARE)) == 0).alias("aside"), "good", "text", *_COLUMNS)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least = {}  # id to its row of the least hash in this task; at most the sample's ids
+        kind = None
         for b in batches:
-            words, make_up, meta = [], [], []
-            for text, *known in zip(*[c.to_pylist() for c in b.columns[2:]]):
-                s, m = text_features(text)
-                words.append(s.tobytes())
-                make_up.append(m.tobytes())
-                meta.append(meta_features(*known).tobytes())
+            kind = b.column(0).type
+            for id_, h, aside, good, text, *known in zip(*[c.to_pylist() for c in b.columns]):
+                if id_ not in least or h < least[id_][0]:
+                    s, m = text_features(text)
+                    least[id_] = h, aside, good, s.tobytes(), m.tobytes(), meta_features(*known).tobytes()
+        if least:
+            types = (pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *[pa.array(x, pa.binary()) for x in (words, make_up, meta)]],
-                ["aside", "good", "words", "make_up", "meta"])
+                [pa.array(list(least), kind), *[pa.array(x, t) for x, t in zip(zip(*least.values()), types)]],
+                ["id", "h", "aside", "good", "words", "make_up", "meta"])
 
-    got = rows.mapInArrow(features, "aside boolean, good int, words binary, make_up binary, meta binary").limit(
-        2 * (max_labelled + max_pool)).collect()
+    id_type = docs.schema[id_col].dataType.simpleString()
+    seen = rows.mapInArrow(features, f"id {id_type}, h long, aside boolean, good int, words binary, make_up binary, meta binary")
+    # one row for each id, so at most max_labelled + max_pool
+    got = seen.groupBy("id").agg(F.min_by(F.struct("aside", "good", "words", "make_up", "meta"), "h").alias("r")).select("r.*").collect()
     got.sort(key=lambda r: (r.good is None, r.words, r.make_up, r.meta, bool(r.aside), r.good or 0))
     read = [(np.frombuffer(r.words, np.int32), np.frombuffer(r.make_up), np.frombuffer(r.meta)) for r in got]
     labelled = [x for x, r in zip(read, got) if r.good is not None]

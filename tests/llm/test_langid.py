@@ -41,3 +41,14 @@ def test_edge_rows(spark):
 def test_nothing_to_learn_from(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert [r.lang_pred for r in langid.predict(docs, langid.train(docs)).collect()] == ["und"] * len(rows)
+
+
+def test_repeated_ids_do_not_fill_the_quota(spark, monkeypatch):
+    monkeypatch.setattr(langid, "fit", lambda texts, langs, *_: sorted(zip(langs, texts)))
+    made = [(i, "ab"[i % 2], f"text {i}") for i in range(100)]
+    fit = lambda rows: langid.train(spark.createDataFrame(rows, "doc_id long, lang string, text string").coalesce(1), fit_rows=40)
+    want = fit(made)
+    assert len(want) == 40
+    for lang in "ab":
+        first = made[int(next(t for n, t in want if n == lang).split()[1])]
+        assert fit([first] * 500 + made) == want

@@ -71,3 +71,14 @@ def test_scored_rows_with_nulls(spark):
     docs = spark.createDataFrame([(1, None, None), (None, "", "x"), (2, "ok", None)], "doc_id long, text string, source string")
     out = quality.score(docs, model).collect()
     assert len(out) == 3 and all(0 <= r.quality_score <= 1 for r in out)
+
+
+def test_repeated_rows_do_not_crowd_out_the_sample(spark, monkeypatch):
+    monkeypatch.setattr(quality, "co_train", lambda labelled, y, aside, pool, *_: (
+        [r[0].tobytes() for r in labelled], y.tolist(), aside.tolist(), len({r[0].tobytes() for r in pool}), len(pool)))
+    made = [(i, f"text number {i} of many") for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
+    fit = lambda rows: quality.train(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), labels, max_labelled=60, max_pool=20)
+    want = fit(made)
+    assert len(want[0]) == 60 and want[3:] == (20, 20)
+    assert fit([made[1]] * 900 + [made[70]] * 900 + made) == want
