@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, lines, pages, pieces, quality, secrets, simhash, sketches, substring
+from . import alignment, decontaminate, langid, lines, pages, pieces, prefix_trie, quality, secrets, simhash, sketches, substring, vectors
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +106,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.conversation_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token links of every document and the scores of their pairs in the corpus."""
+    docs, _ = alignment.align(read_table(spark, sf_dir, "documents"), digest=True)
+    return docs.withColumnRenamed("groups", "groups_sha256").select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op13_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_sentencepiece_sampling": op1_sentencepiece_sampling,
@@ -118,6 +135,9 @@ def queries() -> dict[str, Query]:
         "op8_line_dedup": op8_line_dedup,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_language_id": op10_language_id,
+        "op11_conversation_trie": op11_conversation_trie,
+        "op12_tokenizer_alignment": op12_tokenizer_alignment,
+        "op13_embedding_near_dedup": op13_embedding_near_dedup,
     }
 
 
@@ -158,9 +178,50 @@ FROM d LEFT JOIN pos USING (k) LEFT JOIN items USING (k)
 """
 
 
+_OP11_SQL = r"""
+WITH own AS (SELECT conv_id, list({'r': coalesce("role", ''), 't': coalesce("text", '')} ORDER BY turn NULLS FIRST,
+               md5(strlen(coalesce("role", '')) || ':' || coalesce("role", '') || coalesce("text", ''))) AS w
+             FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+bits AS (SELECT conv_id, w, flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+           lambda ch: list_transform(range(0, 8), lambda j: (ascii(ch) >> CAST(j AS INTEGER)) & 1))) AS b FROM own),
+cut AS (SELECT conv_id, w, CAST(xor(list_reduce(list_transform(b, lambda x: CAST(x AS BIGINT)),
+          lambda c, x: xor(c >> 1, CASE WHEN (xor(c, x) & 1) = 1 THEN 3988292384 ELSE 0 END), 4294967295),
+          4294967295) AS BIGINT) % 9 AS h FROM bits),
+rb AS (SELECT c.conv_id AS c, list_concat(coalesce(b.w, [])[1:c.h], c.w[c.h + 1:]) AS w
+       FROM cut c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+mem AS (SELECT c, d, md5(CAST(to_json(w[1:d]) AS VARCHAR)) AS k, CASE WHEN d > 0 THEN md5(CAST(to_json(w[1:d - 1]) AS VARCHAR)) END AS pk,
+               len(w) = d AS ended, CASE WHEN d > 0 THEN strlen(w[d].t) ELSE 0 END AS b
+        FROM (SELECT c, w, unnest(range(0, len(w) + 1)) AS d FROM rb)),
+node AS (SELECT k, min(pk) AS pk, min(d) AS depth, min(c) AS conv_id, count(*) AS n, max(b) AS b,
+                coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE ended), '') AS ends FROM mem GROUP BY k),
+kids AS (SELECT pk AS k, count(*) AS n_children FROM node WHERE pk IS NOT NULL GROUP BY pk),
+own_of AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN kids USING (k)),
+sums AS (SELECT m.k, sum(CASE WHEN x.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum((x.n - 1) * x.b) AS saved
+         FROM own_of x JOIN mem m ON m.c = x.conv_id AND m.d <= x.depth GROUP BY m.k)
+SELECT o.conv_id, CAST(o.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, CAST(o.n AS BIGINT) AS n_convs,
+       CAST(o.n_children AS BIGINT) AS n_children, CAST(s.n_leaves AS BIGINT) AS n_leaves,
+       CAST(s.saved AS BIGINT) AS saved_tokens, sha256(o.ends) AS ends_sha256
+FROM own_of o JOIN sums s USING (k) LEFT JOIN node p ON p.k = o.pk
+"""
+
+_OP13_SQL = r"""
+WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e, row_number() OVER () AS k FROM embeddings),
+good AS (SELECT * FROM v WHERE len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+           AND len(list_filter(e, lambda x: x <> 0)) > 0),
+link AS (SELECT a.k AS a, b.k AS b FROM good a JOIN good b ON a.k <> b.k AND len(a.e) = len(b.e)
+         WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT k AS a, k AS b FROM v UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+low AS (SELECT reach.a AS k, min(v.vec_id) AS component_id FROM reach JOIN v ON v.k = reach.b GROUP BY reach.a)
+SELECT v.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN low USING (k) LEFT JOIN (SELECT a AS k, count(*) AS n FROM link GROUP BY a) USING (k)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     """SQL for what it can express; the others are held against brute force in ``tests/llm``."""
     return {
         "op2_substring_dedup": _OP2_SQL,
         "op3_benchmark_decontamination": _OP3_SQL,
+        "op11_conversation_trie": _OP11_SQL,
+        "op13_embedding_near_dedup": _OP13_SQL,
     }
