@@ -42,6 +42,8 @@ FLUSH_LINKS = 4_000_000
 #: Units whose alignment a worker keeps, and the longest that it keeps.
 CACHE_UNITS = 300_000
 CACHE_CHARS = 64
+#: Units that are encoded as one text.
+JOINED_UNITS = 1_024
 #: Pairs up to which their counts are broadcast to the postings; more are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -49,6 +51,7 @@ BROADCAST_ROWS = 500_000
 BYTE_LEVEL_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # Fixed value: the characters of Unicode's White_Space.
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_SPACES = frozenset(chr(c) for c in range(0x3001) if re.match(f"[{WHITE_SPACE}]", chr(c)))
 _CUT = re.compile(rf"(?<=[^{WHITE_SPACE}]) (?!\Z)")
 
 
@@ -87,29 +90,45 @@ class Tokenizers:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         # a piece over a place of cutting would be lost
         self.cuts = not any(re.search(f"[^▁{WHITE_SPACE}]▁", p) for p in pieces)
+        self.spelled = [str(i) for i in range(max(len(self.a_bytes), len(self.b_bytes)))]
         self.known: dict[str, tuple] = {}
 
     def units(self, text: str) -> list[str]:
         """The text in units, each without the space in front of it."""
         return _CUT.split(text) if self.cuts else [text]
 
-    def _align(self, unit: str, b: list[int]) -> tuple:
+    def _align_alone(self, unit: str) -> tuple:
         """(A tokens, B tokens, groups as text, codes of linked pairs, whether both give the unit's bytes)."""
-        text = (" " + unit).encode()
-        a = self.a.encode_ordinary(" " + unit)
+        return self._align_all([unit]) or (0, 0, "", (), False)
+
+    def _align_all(self, units: list[str]):
+        """The alignments of several units, encoded as one text; of a single unit, its own.  None if their bytes aren't given back."""
+        text = " ".join(units)
+        a, b = self.a.encode_ordinary(" " + text), self.b.encode(text)
         a_bytes, b_bytes = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
-        if b"".join(a_bytes) != text or b"".join(b_bytes) != text:
-            return 0, 0, "", (), False
-        b_ends = list(accumulate(map(len, b_bytes)))
-        at_b = {e: k for k, e in enumerate(b_ends)}
-        groups, codes, i, j = [], [], 0, 0
-        for k, end in enumerate(accumulate(map(len, a_bytes))):
-            m = at_b.get(end)
-            if m is not None:
-                groups.append(f"{','.join(map(str, a[i:k + 1]))}|{','.join(map(str, b[j:m + 1]))}")
-                codes.append(a[k] << 32 | b[m])
-                i, j = k + 1, m + 1
-        return len(a), len(b), ";".join(groups), codes, True
+        if not b"".join(a_bytes) == b"".join(b_bytes) == (" " + text).encode():
+            return None
+        a_ends = np.cumsum(np.fromiter(map(len, a_bytes), np.int64, len(a)))
+        b_ends = np.cumsum(np.fromiter(map(len, b_bytes), np.int64, len(b)))
+        at = np.searchsorted(b_ends, a_ends)
+        last_a = np.flatnonzero(b_ends[at] == a_ends)  # both texts end together, so every place is found
+        last_b = at[last_a]
+        spelled = self.spelled
+        a_text, b_text = [spelled[i] for i in a], [spelled[i] for i in b]
+        i = j = 0
+        groups = []
+        for k, m in zip((last_a + 1).tolist(), (last_b + 1).tolist()):
+            groups.append(f"{a_text[i]}|{b_text[j]}" if k - i == m - j == 1 else f"{','.join(a_text[i:k])}|{','.join(b_text[j:m])}")
+            i, j = k, m
+        codes = (np.array(a, np.int64)[last_a] << 32 | np.array(b, np.int64)[last_b]).tolist()
+        if len(units) == 1:
+            return len(a), len(b), ";".join(groups), codes, True
+        # a unit's end is the end of a group
+        ends = np.cumsum(np.fromiter((len(u.encode()) + 1 for u in units), np.int64, len(units)))
+        to = np.searchsorted(a_ends[last_a], ends)
+        n_a, n_b = np.diff(last_a[to] + 1, prepend=0).tolist(), np.diff(last_b[to] + 1, prepend=0).tolist()
+        cuts = [0, *(to + 1).tolist()]
+        return [(x, y, ";".join(groups[f:e]), codes[f:e], True) for x, y, f, e in zip(n_a, n_b, cuts, cuts[1:])]
 
     def aligned(self, texts: list[str | None]) -> list[list[tuple]]:
         """The aligned units of each text; none for a null or empty text."""
@@ -118,10 +137,15 @@ class Tokenizers:
             self.known = {}
         known, extra = self.known, {}
         new = list({u for units in split for u in units if u not in known})
-        for at in range(0, len(new), 4096):
-            some = new[at:at + 4096]
-            for u, b in zip(some, self.b.encode(some, num_threads=1)):
-                (known if len(u) <= CACHE_CHARS else extra)[u] = self._align(u, b)
+        # in one text, units that can be followed by a cut are cut apart again
+        regular = [u for u in new if 0 < len(u) <= CACHE_CHARS and u[-1] not in _SPACES] if self.cuts else []
+        for at in range(0, len(regular), JOINED_UNITS):
+            some = regular[at:at + JOINED_UNITS]
+            if len(some) > 1 and (done := self._align_all(some)):
+                known.update(zip(some, done))
+        for u in new:
+            if u not in known:
+                (known if len(u) <= CACHE_CHARS else extra)[u] = self._align_alone(u)
         if extra:
             return [[known[u] if u in known else extra[u] for u in units] for units in split]
         return [list(map(known.__getitem__, units)) for units in split]
