@@ -6,12 +6,13 @@ station compete; ties on the sensor timestamp go to the highest sensor id; a
 match older than ``tolerance_seconds`` is dropped, as are events without one.
 
 Plan: the tolerance bounds how far back a match can lie, so time is cut into
-buckets of a fraction of it and (keys, bucket) is the unit of work.  Both sides
-are united and shuffled once; within a bucket a window carries the last reading
-to each event.  An event without one in its own bucket takes the last reading
-of the nearest earlier bucket within the tolerance, from a table with one row
-for each bucket (an aggregate).  No range join, no pairs, no checkpoint, and a
-hot station is as many tasks as it has buckets.
+buckets of its length and (keys, bucket) is the unit of work.  Both sides are
+united and shuffled once; within a bucket a window carries the last reading to
+each event.  An event without one in its own bucket can only match the last
+reading of the bucket before, from a table with one row for each bucket (an
+aggregate with map-side combine).  So a reading is copied once at most, however
+far readings lie apart.  No range join, no pairs, no checkpoint, and a hot
+station is as many tasks as it has buckets.
 """
 
 from __future__ import annotations
@@ -27,8 +28,7 @@ JOIN_KEYS = ["line_id", "station_id"]
 
 
 def asof_join(sensor: DataFrame, production: DataFrame, tolerance_seconds: float = 300.0,
-              keys: list[str] | None = None, buckets: int = 8) -> DataFrame:
-    """``buckets``: into how many buckets a stretch of the tolerance's length is cut."""
+              keys: list[str] | None = None) -> DataFrame:
     keys = keys or JOIN_KEYS
     s = sensor.dropna(subset=[*keys, "timestamp"])
     p = production.dropna(subset=[*keys, "timestamp"])
@@ -46,19 +46,16 @@ def asof_join(sensor: DataFrame, production: DataFrame, tolerance_seconds: float
                      F.lit(None).cast(s_tag.schema["_s"].dataType).alias("_s"),
                      F.struct(*p_cols).alias("_e"))
     u = s_tag.unionByName(p_tag)
-    width = max(1, math.ceil(tolerance_seconds * 1_000_000 / buckets))  # microseconds
+    width = max(1, math.ceil(tolerance_seconds * 1_000_000))  # microseconds
     bucket = F.floor(F.unix_micros("timestamp") / F.lit(width)).cast("long")
     u = u.withColumn("_b", bucket)
     order = [F.col("timestamp"), F.col("_side"), F.col("_id").asc_nulls_last()]
     upto = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inside = u.withColumn("_in", F.last("_s", ignorenulls=True).over(upto)).where(F.col("_side") == 1)
-    # the last reading of each bucket, put before the buckets that it can reach into; the nearest one wins
+    # the last reading of each bucket, put before the next bucket
     newest = F.struct("timestamp", F.col("_id").isNull(), "_id")
-    last = s_tag.withColumn("_b", bucket).groupBy(*keys, "_b").agg(
-        F.max_by("_s", newest).alias("_s"), F.max(newest).alias("_at"))
-    reach = math.ceil(tolerance_seconds * 1_000_000 / width)
-    before = last.select(*keys, F.explode(F.sequence(F.col("_b") + 1, F.col("_b") + max(1, reach))).alias("_b"), "_s", "_at")
-    before = before.groupBy(*keys, "_b").agg(F.max_by("_s", "_at").alias("_before"))
+    last = s_tag.withColumn("_b", bucket).groupBy(*keys, "_b").agg(F.max_by("_s", newest).alias("_before"))
+    before = last.withColumn("_b", F.col("_b") + 1)
     ev = inside.join(before, [*keys, "_b"], "left").withColumn("_m", F.coalesce("_in", "_before"))
     lag = seconds_between(F.col("timestamp"), F.col("_m.sensor_timestamp"))
     ev = ev.where(F.col("_m").isNotNull() & (lag <= F.lit(float(tolerance_seconds))))

@@ -61,18 +61,18 @@ SPLIT_MODES = ("range", "bucket")
 DEFAULT_SPLIT = "range"
 
 
-PIECE_BYTES = 256 * 1024 * 1024
+#: Rows of a range piece above which the pieces are cut anew, and those that a piece then has.
+MAX_PIECE_ROWS = 4_000_000
+PIECE_ROWS = 1_000_000
 
 
 def _pieces(df: DataFrame) -> int:
-    """Range pieces: the session's shuffle partitions, more if the optimizer's size estimate asks for it."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    # joins multiply estimates, and a checkpoint has none: beyond a petabyte it says nothing
-    return max(n, min(-(-size // PIECE_BYTES), 20_000)) if size < 10**15 else n
+    """Range pieces to begin with: the session's shuffle partitions."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _split_column(df: DataFrame, keys: list[str], order: list, split: str, bucket_seconds: int) -> DataFrame:
+def _split_column(df: DataFrame, keys: list[str], order: list, split: str, bucket_seconds: int,
+                  pieces: int | None = None) -> DataFrame:
     """Attach ``_p``: a split of each key into order-contiguous pieces.
 
     ``range``: ``repartitionByRange`` on (key, order...) -- sampled bounds cut a
@@ -82,8 +82,7 @@ def _split_column(df: DataFrame, keys: list[str], order: list, split: str, bucke
     but one busy (key, bucket) is ranked in one task).
     """
     if split == "range":
-        n = _pieces(df)
-        ranged = df.repartitionByRange(n, *[F.col(k) for k in keys], *_order_cols(order))
+        ranged = df.repartitionByRange(pieces or _pieces(df), *[F.col(k) for k in keys], *_order_cols(order))
         return ranged.withColumn("_p", F.spark_partition_id().cast("long"))
     if split == "bucket":
         return df.withColumn("_p", _bucket(order, bucket_seconds))
@@ -102,15 +101,25 @@ def sequence_index(df: DataFrame, keys: list[str], order: list,
     conf = df.sparkSession.conf
     split = split or conf.get("millwright.sequence.split", None) or DEFAULT_SPLIT
     bucket_seconds = int(conf.get("millwright.sequence.bucketSeconds", str(bucket_seconds)))
-    b = _split_column(_fill(df, keys), keys, order, split, bucket_seconds)
+    filled = _fill(df, keys)
     w = Window.partitionBy(*keys, "_p")
     # Rank and piece size in one windowed pass (one shuffle, one sort), then
     # checkpointed.  Both the offsets and the final join read the checkpoint,
     # so ``_p`` is computed exactly once -- a range partition id recomputed in
     # a second plan branch could differ (its bounds come from sampling) -- and
     # nothing upstream runs twice.
-    local = cut_lineage(b.withColumn("_lrn", F.row_number().over(w.orderBy(*oc)) - 1)
-                        .withColumn("_n", F.count(F.lit(1)).over(w)))
+    def ranked(pieces: int | None = None) -> DataFrame:
+        b = _split_column(filled, keys, order, split, bucket_seconds, pieces)
+        return cut_lineage(b.withColumn("_lrn", F.row_number().over(w.orderBy(*oc)) - 1)
+                           .withColumn("_n", F.count(F.lit(1)).over(w)))
+
+    local = ranked()
+    if split == "range":
+        # the rows are counted now: too few pieces for them are cut again, by the count
+        sizes = local.where(F.col("_lrn") == 0).groupBy("_p").agg(F.sum("_n").alias("n"))
+        most = sizes.agg(F.max("n").alias("largest"), F.sum("n").alias("rows")).first()
+        if (most["largest"] or 0) > MAX_PIECE_ROWS and -(-most["rows"] // PIECE_ROWS) > _pieces(df):
+            local = ranked(-(-most["rows"] // PIECE_ROWS))
     # One row per (key, piece): small next to the data.
     before = Window.partitionBy(*keys).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     offs = (local.where(F.col("_lrn") == 0)

@@ -88,3 +88,21 @@ def test_split_mode_from_session_conf(spark):
         assert got.join(want, "id").where(F.col("_seq") != F.col("_want")).count() == 0
     finally:
         spark.conf.unset("millwright.sequence.split")
+
+
+def test_pieces_follow_the_rows_not_the_estimates(spark, monkeypatch):
+    """Joins multiply the optimizer's estimates; the pieces stay the shuffle partitions until counted rows ask for more."""
+    asked, plain = [], seq._split_column
+    monkeypatch.setattr(seq, "_split_column", lambda *a: asked.append(a[5] or seq._pieces(a[0])) or plain(*a))
+    df = _data(spark)
+    other = df.select("id", F.col("v").alias("w"))
+    joined = df.join(other, "id").join(other.withColumnRenamed("w", "x"), "id").join(other.withColumnRenamed("w", "y"), "id")
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert seq.sequence_index(joined, ["k"], ["timestamp", "id"]).count() == 400 and asked == [n]
+    # one key holds two thirds; pieces that came out too large are cut again
+    monkeypatch.setattr(seq, "MAX_PIECE_ROWS", 60)
+    monkeypatch.setattr(seq, "PIECE_ROWS", 20)
+    got = seq.sequence_index(df, ["k"], ["timestamp", "id"])
+    assert asked == [n, n, 20]
+    want = df.withColumn("_want", F.row_number().over(Window.partitionBy("k").orderBy("timestamp", "id")) - 1)
+    assert got.join(want.select("id", "_want"), "id").where("_seq <> _want").count() == 0
