@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..session import scratch_path
 from ..sources import ingest as ig
-from ..streaming import jobs as sj
+from ..streaming import asof_stream, jobs as sj, monitor
 from . import tables as t
 from .catalog import register
 from .queries_core import ASOF_COLUMNS, ASOF_TOLERANCE_SECONDS
@@ -161,6 +161,84 @@ def q_stream_asof(spark, sf):
     return spark.read.parquet(sink).select(*ASOF_COLUMNS)
 
 
+@register("stream_asof_join", sql="""
+SELECT id_prod, event_id_prod, line_id, station_id, "timestamp", id, machine_id, sensor_timestamp,
+       round(join_lag_seconds, 6) AS join_lag_seconds, round(vibration_rms, 6) AS vibration_rms,
+       round(tool_wear, 6) AS tool_wear, round(cycle_time_sec, 6) AS cycle_time_sec
+FROM joined
+""", extra_ctes=ASOF_CTES)
+def q_stream_asof_join(spark, sf):
+    """ST-7: readings and events both arrive as streams; each event takes the latest reading before it."""
+    land_s, land_p, sink, ck = (scratch_path(spark, n) for n in ("sensor", "production", "sink", "ckpt"))
+    files_s = _land_weekly(t.sensor(spark, sf), land_s, fmt="parquet")
+    files_p = _land_weekly(t.production(spark, sf), land_p, fmt="parquet")
+    # a delivery is out of order by its own length
+    pairs = asof_stream.asof_pairs(sj.read_table_stream(spark, land_s, S.SENSOR_SCHEMA, max_files=files_s),
+                                   sj.read_table_stream(spark, land_p, S.PRODUCTION_SCHEMA, max_files=files_p),
+                                   ASOF_TOLERANCE_SECONDS, f"{DELIVERY_SECONDS} seconds")
+    sj.run_available(pairs.writeStream.foreachBatch(asof_stream.asof_upsert_writer(sink)), ck)
+    return asof_stream.read_asof(spark, sink).select(*ASOF_COLUMNS)
+
+
+_LATE_S = 14 * 86_400
+
+
+@register("stream_late_rows", sql=f"""
+SELECT late_reason, count(*) AS deliveries, count(DISTINCT id) AS readings, min("timestamp") AS first_timestamp, max("timestamp") AS last_timestamp
+FROM (SELECT id, "timestamp", NULL AS late_reason FROM sensor_readings
+      UNION ALL SELECT id, "timestamp", CASE WHEN "timestamp" < (SELECT max("timestamp") FROM sensor_readings) - INTERVAL {_LATE_S} SECOND
+                                             THEN 'late' END FROM sensor_readings)
+GROUP BY late_reason
+""")
+def q_stream_late_rows(spark, sf):
+    """ST-7: all deliveries come a second time after the last one; readings over two weeks old are set aside as late."""
+    land, on_time, late, ck = (scratch_path(spark, n) for n in ("landing", "ontime", "late", "ckpt"))
+    readings = t.sensor(spark, sf)
+    _land_weekly(readings, land, fmt="parquet")
+    files = len(spark.read.parquet(land).inputFiles())
+    readings.write.mode("append").parquet(land)
+    stream = sj.read_table_stream(spark, land, S.SENSOR_SCHEMA, max_files=files)
+    sj.run_available(stream.writeStream.foreachBatch(asof_stream.late_gate(on_time, late, _LATE_S)), ck)
+    both = spark.read.parquet(late).unionByName(spark.read.parquet(on_time).withColumn("late_reason", F.lit(None).cast("string")))
+    return both.groupBy("late_reason").agg(
+        F.count("*").alias("deliveries"), F.countDistinct("id").alias("readings"), F.min("timestamp").alias("first_timestamp"),
+        F.max("timestamp").alias("last_timestamp"))
+
+
+@register("stream_silent", sql=f"""
+SELECT 'gap' AS kind, machine_id, station_id, id, "timestamp", NULL AS "column", round(gap, 6) AS value
+FROM (SELECT *, (epoch_us("timestamp") - epoch_us(lag("timestamp") OVER (
+        PARTITION BY machine_id, station_id ORDER BY "timestamp", id))) / 1e6 AS gap FROM sensor_readings)
+WHERE gap > {_GAP_S}
+UNION ALL
+SELECT 'silent', machine_id, station_id, id, "timestamp", NULL, {float(_GAP_S)}
+FROM (SELECT *, (epoch_us(lead("timestamp") OVER (PARTITION BY machine_id, station_id ORDER BY "timestamp", id))
+                 - epoch_us("timestamp")) / 1e6 AS gap FROM sensor_readings)
+WHERE gap > {_GAP_S} OR gap IS NULL
+UNION ALL
+SELECT 'stuck', machine_id, station_id, CAST(entity_id AS BIGINT), "timestamp", "column", example_value
+FROM ({_STUCK_QUERY})
+""")
+def q_stream_silent(spark, sf):
+    """ST-6: gaps, flatlines and silent machines in event-time order, the last by timers; a heartbeat moves time on at the end."""
+    land, sink, ck = (scratch_path(spark, n) for n in ("landing", "sink", "ckpt"))
+    readings = t.sensor(spark, sf)
+    files = _land_weekly(readings, land, fmt="parquet")
+    after = F.make_dt_interval(secs=F.lit(float(2 * DELIVERY_SECONDS + _GAP_S)))
+    readings.agg((F.max("timestamp") + after).alias("timestamp")).select(
+        F.lit("heartbeat").alias("machine_id"), F.lit("").alias("station_id"), F.lit(-1).cast("long").alias("id"), "timestamp",
+    ).write.mode("append").parquet(land)
+    monitor.use_rocksdb(spark)
+    stream = sj.read_table_stream(spark, land, S.SENSOR_SCHEMA, max_files=files)
+    rows = monitor.machine_monitor(stream, float(_GAP_S), f"{DELIVERY_SECONDS} seconds")
+    sj.run_available(rows.writeStream.format("parquet").option("path", sink), ck)
+    out = spark.read.parquet(sink).where("machine_id <> 'heartbeat'")
+    events = out.where(F.col("kind").isin("gap", "silent"))
+    stuck = sj.stuck_report(out).withColumn("kind", F.lit("stuck"))
+    names = ["kind", "machine_id", "station_id", "id", "timestamp", "column", "value"]
+    return events.select(*names).unionByName(stuck.select(*names))
+
+
 @register("stream_score", sql="SELECT * REPLACE ('stream_scoring' AS source) FROM alerts", extra_ctes=SCORED_CTES)
 def q_stream_score(spark, sf):
     """ST-8: score arriving prediction rows; predictions, alerts and hints appended per batch."""
