@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..session import scratch_path
 from ..sources import ingest as ig
-from ..streaming import asof_stream, jobs as sj, monitor
+from ..streaming import asof_stream, commits, delivery, idindex, jobs as sj, monitor
 from . import tables as t
 from .catalog import register
+from .queries_ingest import BAD_TS_MOD, NO_MACHINE_MOD, TRUNCATED_MOD, damaged_sensor_lines
 from .queries_core import ASOF_COLUMNS, ASOF_TOLERANCE_SECONDS
 from .queries_quality import (GAP_INTERVAL_SECONDS, SENSOR_ID, _STUCK_QUERY, _S_RULES, _head,
                               sql_delay, sql_missing, sql_values)
@@ -71,7 +72,8 @@ def q_stream_dedupe(spark, sf):
     land, sink, ck = (scratch_path(spark, n) for n in ("landing", "sink", "ckpt"))
     files = _land_weekly(t.sensor(spark, sf), land, fmt="parquet", repeat=2)
     stream = sj.read_table_stream(spark, land, S.SENSOR_SCHEMA, max_files=files)
-    sj.run_available(stream.writeStream.foreachBatch(sj.dedupe_writer(sink, arrival=["created_at", "id"])), ck)
+    index = idindex.IdIndex(scratch_path(spark, "ids"))
+    sj.run_available(stream.writeStream.foreachBatch(sj.dedupe_writer(sink, arrival=["created_at", "id"], index=index)), ck)
     return spark.read.parquet(sink).select("event_id", "id", "machine_id", "timestamp")
 
 
@@ -247,4 +249,40 @@ def q_stream_score(spark, sf):
     files = _land_weekly(preds, land, fmt="parquet")
     stream = sj.read_table_stream(spark, land, preds.schema, max_files=files)
     sj.run_available(stream.writeStream.foreachBatch(sj.score_batch_writer(root)), ck)
-    return spark.read.parquet(f"{root}/alerts").drop("batch_id")
+    return commits.read_committed(spark, root, "alerts")
+
+
+_MENDED = f"id % {BAD_TS_MOD} = 0 AND id % {TRUNCATED_MOD} <> 0 AND id % {NO_MACHINE_MOD} <> 0"
+_DEAD = f"(id % {TRUNCATED_MOD} = 0 OR id % {NO_MACHINE_MOD} = 0)"
+
+
+@register("stream_retry", sql=f"""
+SELECT count(*) AS generated, count(*) FILTER (WHERE NOT {_DEAD}) AS sent, 0 AS duplicate,
+       count(*) FILTER (WHERE {_MENDED}) + 2 * count(*) FILTER (WHERE {_DEAD}) AS buffered,
+       count(*) FILTER (WHERE {_MENDED}) + 2 * count(*) FILTER (WHERE {_DEAD}) AS retried,
+       count(*) FILTER (WHERE {_DEAD}) AS failed, count(*) FILTER (WHERE NOT {_DEAD}) AS accepted_rows,
+       count(*) FILTER (WHERE {_DEAD}) AS dead_rows, CASE WHEN bool_or({_DEAD}) THEN 3 END AS dead_attempts
+FROM sensor_readings
+""")
+def q_stream_retry(spark, sf):
+    """ST-9/10: damaged lines are buffered and tried again, mended the second time; three attempts, then the dead-letter table."""
+    land, root, ck, ck_retry = (scratch_path(spark, n) for n in ("landing", "delivery", "ckpt", "ckpt-retry"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+    # as spilled: the record, and the time that the collector's log has for it
+    log = t.sensor(spark, sf).select(F.col("id").alias("line_source_id"), F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("time"))
+    lines = damaged_sensor_lines(spark, sf).join(log, "line_source_id", "left")
+    lines.select(F.concat_ws("\t", "value", "time").alias("value")).repartition(2 * n).write.text(land)
+    parts = F.split("raw_record", "\t")
+    mended = F.regexp_replace(parts[0], F.lit('"timestamp":"not-a-date"'), F.concat(F.lit('"timestamp":"'), F.get(parts, F.lit(1)), F.lit('"')))
+    way = delivery.Delivery(root, S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS, max_attempts=3, delay_seconds=0.0,
+                            mend=F.when(F.col("attempts") > 0, mended).otherwise(parts[0]))
+    way.prepare(spark)
+    source = way.first_deliveries(spark.readStream.option("maxFilesPerTrigger", str(n)).text(land))
+    sj.run_available(source.writeStream.foreachBatch(way.writer("first")), ck)
+    way.retry_until_settled(spark, ck_retry)
+    sums = way.table(spark, "counters").agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in
+                                              ("generated", "sent", "duplicate", "buffered", "retried", "failed")])
+    accepted = way.table(spark, "accepted").agg(F.count("*").alias("accepted_rows"))
+    dead = way.table(spark, "dead").agg(F.count("*").alias("dead_rows"), F.max("attempts").alias("dead_attempts"))
+    one = F.lit(1).alias("_k")  # three one-row tables
+    return sums.select("*", one).join(accepted.select("*", one), "_k").join(dead.select("*", one), "_k").drop("_k")

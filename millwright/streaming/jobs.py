@@ -28,6 +28,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from .. import schemas as S
 from ..operators import asof, quality as q, scoring
+from ..session import cut_lineage
 from ..sources import ingest as ig
 
 # ------------------------------------------------------------------ sources / sinks
@@ -128,15 +129,20 @@ def dedupe_stream(stream: DataFrame, key: str = "event_id", watermark: str = "7
     return keyed.unionByName(stream.where(F.col(key).isNull()))
 
 
-def dedupe_writer(path: str, key: str = "event_id", arrival: list[str] | None = None):
+def dedupe_writer(path: str, key: str = "event_id", arrival: list[str] | None = None, index=None):
     """foreachBatch: first write wins against everything stored so far, however old; null ids always pass.
 
-    The stored ids are anti-joined (one column of the sink is read), so no id
-    is forgotten and no row is too late.
+    The stored ids are anti-joined, so no id is forgotten and no row is too late.
+    With an ``index`` (``idindex.IdIndex``) only the partitions that may hold an
+    id of the micro-batch are read; without one, the id column of the whole sink.
     """
+    from .idindex import stored_ids
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        fresh = ig.idempotent_append(earlier_batches(batch, path, batch_id), batch, key, arrival)
+        fresh = ig.idempotent_append(stored_ids(path, batch, batch_id, key, index), batch, key, arrival)
         write_batch(fresh, path, batch_id)
+        if index:
+            index.add(batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/batch_id={batch_id}"), batch_id)
     return write
 
 
@@ -166,20 +172,6 @@ def per_minute_counts(stream: DataFrame, watermark: str = "10 minutes") -> DataF
             .select(F.col("window.start").alias("minute"), "stream_type", "records"))
 
 
-def upsert_sink(path: str):
-    """foreachBatch writer for ``update`` mode: append each batch tagged with its id."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id).cast("long")).write.mode("append").parquet(path)
-    return write
-
-
-def latest_versions(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current value of each key of an upsert sink (newest batch wins; an aggregate)."""
-    df = spark.read.parquet(path)
-    others = [c for c in df.columns if c not in keys and c != "_batch"]
-    return (df.groupBy(*keys).agg(F.max_by(F.struct(*others), "_batch").alias("_r")).select(*keys, "_r.*"))
-
-
 # ------------------------------------------------------------------ ST-4 / ST-5
 def stateless_quality(valid: DataFrame) -> DataFrame:
     """Row-local rules on arrival: missing values, impossible values, dropout, delay."""
@@ -322,19 +314,16 @@ def asof_batch_writer(sensor_table: DataFrame, out_path: str, tolerance_seconds:
 
 
 def score_batch_writer(root: str, score=scoring.score):
-    """foreachBatch: score once, then write predictions, alerts and hints.
+    """foreachBatch: score once, then write predictions, alerts and hints, all or nothing (``commits``).
 
     ``score`` takes the micro-batch to scored rows: the column rules for rows that hold
     model outputs, or ``predict.bundle_scorer`` to run fitted models.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        scored = score(batch).drop("risk_components").persist()
-        try:
-            write_batch(scored, f"{root}/predictions", batch_id)
-            write_batch(scoring.alerts(scored, source="stream_scoring"), f"{root}/alerts", batch_id)
-            write_batch(scored.select(
-                "id", "machine_id", "line_id", "station_id", "timestamp", F.col("diagnostic_hint").alias("hint"),
-                F.col("hint_action").alias("recommended_action")), f"{root}/hints", batch_id)
-        finally:
-            scored.unpersist()
-    return write
+    from .commits import committed_writer
+
+    def outputs(batch: DataFrame) -> dict[str, DataFrame]:
+        scored = cut_lineage(score(batch).drop("risk_components"))
+        hints = scored.select("id", "machine_id", "line_id", "station_id", "timestamp", F.col("diagnostic_hint").alias("hint"),
+                              F.col("hint_action").alias("recommended_action"))
+        return {"predictions": scored, "alerts": scoring.alerts(scored, source="stream_scoring"), "hints": hints}
+    return committed_writer(root, outputs)
