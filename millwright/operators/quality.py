@@ -101,6 +101,17 @@ def to_issue_table(issues: DataFrame) -> DataFrame:
     return issues.select(*ISSUE_COLUMNS, F.to_json("details").alias("details_json"))
 
 
+def with_details(issues: DataFrame, fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """Issues of any rules with ``fields``: column name -> (path in the details, type).
+
+    The details are read as a VARIANT, so rules with different payloads share
+    one table; a field that a rule lacks, or that isn't of the type, is null.
+    """
+    parsed = issues.withColumn("_details", F.try_parse_json("details_json"))
+    got = parsed.withColumns({name: F.try_variant_get("_details", path, kind) for name, (path, kind) in fields.items()})
+    return got.drop("_details")
+
+
 def flatten(issues: DataFrame) -> DataFrame:
     """Identity columns + the rule's detail fields as top-level columns."""
     return issues.select(*ISSUE_COLUMNS, "details.*")

@@ -169,6 +169,23 @@ def issue_counts(issues: DataFrame) -> DataFrame:
     return issues.groupBy("issue_type", "severity").agg(F.count(F.lit(1)).alias("issue_count"))
 
 
+def issue_marginals(issues: DataFrame) -> DataFrame:
+    """Counts by type and severity, by type, by severity and in total, in one pass (grouping sets).
+
+    ``level`` says which: ``type_severity``, ``type``, ``severity`` or ``total``; columns that a level
+    sums over are null.  ``type_rank`` orders the types by falling count, then name.
+    """
+    kind = F.coalesce("issue_type", F.lit("unknown")), F.coalesce("severity", F.lit("unknown"))
+    cells = issues.select(kind[0].alias("issue_type"), kind[1].alias("severity"))
+    sums = cells.groupingSets([["issue_type", "severity"], ["issue_type"], ["severity"], []], "issue_type", "severity").agg(
+        F.count(F.lit(1)).alias("issue_count"), F.grouping_id().alias("_g"))
+    level = F.when(F.col("_g") == 0, "type_severity").when(F.col("_g") == 1, "type").when(F.col("_g") == 2, "severity").otherwise("total")
+    sums = sums.select("issue_type", "severity", "issue_count", level.alias("level"))
+    # a row for each type and severity at most
+    by_count = Window.partitionBy("level").orderBy(F.col("issue_count").desc(), "issue_type")
+    return sums.withColumn("type_rank", F.when(F.col("level") == "type", F.row_number().over(by_count)))
+
+
 # --------------------------------------------------------------------- AG-7
 def ingest_per_minute(sensor: DataFrame, production: DataFrame) -> DataFrame:
     s = sensor.select(F.col("timestamp"), F.lit("sensor").alias("stream_type"))

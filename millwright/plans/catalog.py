@@ -50,4 +50,4 @@ def oracle_sql() -> dict[str, str]:
 def _load() -> None:
     # Importing the modules registers their queries.
     from . import queries_core, queries_quality, queries_features, queries_readmodels  # noqa: F401
-    from . import queries_flagship, queries_ingest, queries_ml, queries_stream  # noqa: F401
+    from . import queries_flagship, queries_ingest, queries_ml, queries_stream, queries_daily  # noqa: F401
