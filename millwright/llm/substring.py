@@ -21,6 +21,8 @@ windows always meet in one shard:
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +55,7 @@ _HASHES = _Hashes()
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
+@lru_cache
 def _weights(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -286,12 +289,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 b = whole.slice(at, 500)
                 removed, spans, kept = [], [], []
                 for flat, hits in zip(binary_column(b, "flat"), b.column(3).to_pylist()):
+                    if not hits:
+                        removed.append(0)
+                        spans.append([])
+                        kept.append(flat)
+                        continue
                     words = flat.split(b" ") if flat else []
-                    gone = _covered(len(words), hits or [], window)
+                    gone = _covered(len(words), hits, window)
                     edges = np.flatnonzero(np.diff(np.r_[False, gone, False].astype(np.int8)))
                     removed.append(int(gone.sum()))
                     spans.append([{"start": i, "end": j} for i, j in edges.reshape(-1, 2).tolist()])
-                    kept.append(b" ".join(w for w, g in zip(words, gone.tolist()) if not g))
+                    kept.append(b" ".join(compress(words, (~gone).tolist())))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0), b.column(1), pa.array(removed, pa.int64()), pa.array(spans, span),
                      pa.array(kept, pa.binary()).cast(pa.string())], ["id", "n_words", "n_removed", "spans", "kept"])
