@@ -85,14 +85,15 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
 
 
-def segments(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(anchor, first window, number of windows) of each run of windows with one anchor."""
+def segments(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(anchor, first window, number of windows) of each run of windows with one anchor, and all gram hashes."""
     if hashes.size < window:
-        return (np.zeros(0, np.int64),) * 3
+        return (np.zeros(0, np.int64),) * 4
     n = min(ANCHOR_WORDS, max(1, window // 2))
-    anchors = _sliding_min(_grams(hashes, n, 1), window - n + 1)
-    first = np.flatnonzero(np.r_[True, anchors[1:] != anchors[:-1]])
-    return anchors[first].view(np.int64), first, np.diff(np.r_[first, anchors.size])
+    grams = _grams(hashes, n, 1)
+    anchors = _sliding_min(grams, window - n + 1)
+    first = np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]]))
+    return anchors[first].view(np.int64), first, np.diff(first, append=anchors.size), grams.view(np.int64)
 
 
 def anchor_counts(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -101,14 +102,14 @@ def anchor_counts(hashes: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarr
     A window that is repeated within one segment has its anchor at two places,
     so an anchor that stands at one place in the corpus has no repeated window.
     """
-    anchor, first, count = segments(hashes, window)
+    anchor, first, count, grams = segments(hashes, window)
     if not anchor.size:
         return anchor, anchor
     n = min(ANCHOR_WORDS, max(1, window // 2))
     width = count + (window - n)  # grams that the segment covers
     start = np.cumsum(width) - width
     at = np.arange(int(width.sum())) - np.repeat(start - first, width)
-    same = _grams(hashes, n, 1).view(np.int64)[at] == np.repeat(anchor, width)
+    same = grams[at] == np.repeat(anchor, width)
     return anchor, np.add.reduceat(same.astype(np.int64), start)
 
 
@@ -316,15 +317,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def _cut(words: list[bytes], cold: list[int] | None, hot: list[int] | None, window: int) -> list[dict]:
     """Segments of cold anchors with their words; single windows of hot ones with a digest alone."""
     hashes = word_hashes(words)
-    anchor, first, count = segments(hashes, window)
-    out = []
-    for a, i, n in zip(*(x[np.isin(anchor, np.array(cold or [], np.int64))].tolist() for x in (anchor, first, count))):
+    anchor, first, count, _ = segments(hashes, window)
+    out, cool = [], np.isin(anchor, np.array(cold or [], np.int64))
+    for a, i, n in zip(*(x[cool].tolist() for x in (anchor, first, count))):
         text = b" ".join(words[i:i + n + window - 1])
         d = xxhash.xxh3_128_digest(text)
         out.append({"start": i, "n": n, "d1": int.from_bytes(d[:8], "little", signed=True),
                     "d2": int.from_bytes(d[8:], "little", signed=True), "shard": a, "words": text})
-    warm = np.isin(anchor, np.array(hot or [], np.int64))
-    if warm.any():
+    if hot:
+        warm = np.isin(anchor, np.array(hot, np.int64))
         at = np.concatenate([np.arange(i, i + n) for i, n in zip(first[warm], count[warm])])
         d1, d2 = (_grams(hashes, window, seed)[at].view(np.int64).tolist() for seed in (2, 3))
         out += [{"start": i, "n": 1, "d1": x, "d2": y, "shard": None, "words": None} for i, x, y in zip(at.tolist(), d1, d2)]
