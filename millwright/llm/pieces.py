@@ -39,6 +39,8 @@ SEED = 17
 _SLICE_CHARS = 400_000
 #: Lattice nodes that are kept for units that come again.
 _CACHE_NODES = 1_500_000
+#: Those of them that stay when the others are dropped.
+_KEPT_NODES = 600_000
 #: Marks, underscores, carriage returns and ² are one class: the model has pieces of them together.
 _UNIT = re.compile(r" *(?:[^\W\d_²]+|\d+|(?:[^\w\s]|[_\r²])+)| +|[^\S \r]+|.", re.DOTALL)
 
@@ -124,7 +126,18 @@ class Lattices:
             self.prefixes.append((known, piece))
         self.clear()
 
+    def keep(self, nodes: int) -> None:
+        """Units known by the time that there are so many nodes are kept: the frequent ones are among them."""
+        if self.kept is None and self.nodes >= nodes:
+            self.kept = dict(self.start), self.nodes, self.edges
+
+    def forget(self) -> None:
+        """Drops all units but those that are kept."""
+        start, self.nodes, self.edges = self.kept or ({}, 0, 0)
+        self.start = dict(start)
+
     def clear(self) -> None:
+        self.kept: tuple[dict[str, int], int, int] | None = None
         self.start: dict[str, int] = {}
         self.nodes = self.edges = 0
         self.first = np.zeros(1024, np.int32)
@@ -254,13 +267,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniform(key: np.ndarray, *place) -> np.ndarray:
-    """Numbers in (0, 1) that depend on a 64-bit key and whole numbers that name the place."""
+def mixed(key: np.ndarray, *place) -> np.ndarray:
+    """A 64-bit key mixed with whole numbers that name a place; further ones can be mixed in later."""
     x = key
     with np.errstate(over="ignore"):
         for p in place:
             x = _mix(x + np.asarray(p).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0x632BE59BD9B4E019))
-    return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
+    return x
+
+
+def uniform(key: np.ndarray, *place) -> np.ndarray:
+    """Numbers in (0, 1) that depend on a 64-bit key and whole numbers that name the place."""
+    return ((mixed(key, *place) >> np.uint64(12)).astype(np.float64) + 0.5) / 2.0**52
 
 
 # -- the search --------------------------------------------------------------
@@ -324,9 +342,10 @@ class Sampler:
         """Follows random edges from a node of each unit to the unit's end: (unit, step, node, edge) of each."""
         a, found = self.a, []
         place = unit - self.unit_first[self.of[unit]]
-        key = self.keys[self.of[unit]]
+        key = mixed(self.keys, r + 1)[self.of[unit]]
+        key = mixed(key, place)  # the same for all steps of a unit
         while unit.size:
-            u = uniform(key, r + 1, place, step)
+            u = uniform(key, step)
             edge = a["first"][node].astype(np.int64)
             low = np.flatnonzero(u > a["cumulative"][edge])
             while low.size:
@@ -335,7 +354,7 @@ class Sampler:
             found.append((unit, step, node, edge))
             after = a["after"][edge]
             on = np.flatnonzero(after >= 0)
-            unit, step, node, key, place = unit[on], step[on] + 1, after[on].astype(np.int64), key[on], place[on]
+            unit, step, node, key = unit[on], step[on] + 1, after[on].astype(np.int64), key[on]
         return [np.concatenate(x) if found else np.zeros(0, np.int64) for x in zip(*found)] if found else [np.zeros(0, np.int64)] * 4
 
     def _follow(self, r, unit, node, step, old_unit, old_step, old_node, old_edge, priority, alive, parent, branch) -> _Path:
@@ -449,6 +468,24 @@ def decode(vocabulary: Vocabulary, ids) -> str:
     return b"".join(map(vocabulary.decoded.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
 
+class Decoder:
+    """Decodes many sequences of ids at a time, from the pieces' bytes side by side."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        self.bytes = np.frombuffer(b"".join(vocabulary.decoded), np.uint8)
+        self.size = np.array([len(d) for d in vocabulary.decoded], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    def __call__(self, sequences: list[np.ndarray]) -> list[str]:
+        ids = np.concatenate([np.zeros(0, np.int32), *sequences])
+        size = self.size[ids]
+        to = np.cumsum(size)
+        at = np.repeat(self.start[ids] - to + size, size) + np.arange(int(to[-1]) if to.size else 0)
+        text = self.bytes[at].tobytes()
+        ends = np.r_[0, to][np.cumsum([0] + [s.size for s in sequences])].tolist()
+        return [text[i:j].decode("utf-8", "replace")[1:] for i, j in zip(ends, ends[1:])]
+
+
 def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", samples: int = SAMPLES,
                          model_path: str = MODEL_PATH, seed: int = SEED) -> DataFrame:
     """(id_col, rank, ids, log_prob, perturbed, log_inclusion, decoded): distinct segmentations of each text.
@@ -466,7 +503,7 @@ def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = shared.value
-        lattices = _kept(vocabulary)
+        lattices, decoder = _kept(vocabulary), Decoder(vocabulary)
         for b in batches:
             keys = b.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
             texts = b.column(2).to_pylist()
@@ -480,6 +517,8 @@ def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 rows = [(i, k, *s) for i, f in enumerate(found) if texts[at + i] is not None for k, s in enumerate(f, 1)]
                 rows += [(i, 0, None, None, None, None) for i in range(end - at) if texts[at + i] is None]
                 ids = [r[2] for r in rows]
+                back = iter(decoder([x for x in ids if x is not None]))
+                texts_back = [None if x is None else next(back) for x in ids]
                 sizes = np.array([0 if x is None else x.size for x in ids], np.int32)
                 lists = pa.ListArray.from_arrays(
                     pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32), mask=np.r_[[x is None for x in ids], False].astype(bool)),
@@ -487,11 +526,12 @@ def sample_segmentations(docs: DataFrame, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array([at + r[0] for r in rows], pa.int32())), pa.array([r[1] for r in rows], pa.int32()),
                      lists, *[pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)],
-                     pa.array([None if x is None else decode(vocabulary, x.tolist()) for x in ids], pa.string())],
+                     pa.array(texts_back, pa.string())],
                     ["id", "rank", "ids", "log_prob", "perturbed", "log_inclusion", "decoded"])
                 at = end
+                lattices.keep(_KEPT_NODES)
                 if lattices.nodes > _CACHE_NODES:
-                    lattices.clear()
+                    lattices.forget()
 
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), F.lit(seed)).alias("key"),
                        F.col(text_col).alias("text")).mapInArrow(
