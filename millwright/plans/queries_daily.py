@@ -7,19 +7,26 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..ml import stats as st
 from ..operators import daily
 from ..operators import quality as q
 from ..operators import readmodels as rm
 from ..session import cut_lineage, scratch_path
+from ..sources import ingest as ig
 from . import tables as t
 from .catalog import register
 from .queries_features import _feats
+from .queries_ingest import BAD_TS_MOD, NO_MACHINE_MOD, TRUNCATED_MOD, damaged_sensor_lines
 from .queries_ml import FEAT_CTES
 from .queries_quality import ISSUES_CTE, issues
 from .queries_readmodels import SCORED_CTES, alerts, scored
 
 
+# Lines that the contract turns away, see ``queries_ingest.damaged_sensor_lines``.
+_BAD_LINE = f"(id % {TRUNCATED_MOD} = 0 OR id % {BAD_TS_MOD} = 0 OR id % {NO_MACHINE_MOD} = 0)"
+
+
 # ----------------------------------------------------------------- daily partial results
 def _days(spark, sf) -> str:
     """All days' partial results, written to a scratch folder."""
@@ -56,6 +63,35 @@ def q_acquisition_status_daily(spark, sf):
     return daily.acquisition_status(spark, _days(spark, sf))
 
 
+# ----------------------------------------------------------------- AG-8, SRC-9
+@register("ingestion_kpis_logged", sql=f"""
+SELECT (SELECT max("timestamp") FROM (SELECT "timestamp" FROM sensor_readings
+          UNION ALL SELECT "timestamp" FROM production_events)) AS last_received_timestamp,
+       (SELECT count(*) FROM sensor_readings) + (SELECT count(*) FROM production_events) AS successful_ingestion_count,
+       (SELECT count(*) FROM sensor_readings WHERE {_BAD_LINE}) AS failed_ingestion_count,
+       (SELECT count(*) FROM issues WHERE issue_type = 'delayed_reading') AS delayed_readings,
+       (SELECT count(*) FROM issues WHERE issue_type IN ('timestamp_gap', 'sensor_dropout'))
+         + (SELECT count(*) FROM sensor_readings WHERE {_BAD_LINE}) AS buffered_records_proxy
+""", extra_ctes=ISSUES_CTE)
+def q_ingestion_kpis_logged(spark, sf):
+    """AG-8 with the acquisition log: each delivered line is an entry, a rejected one has failed."""
+    lines = ig.classify_records(damaged_sensor_lines(spark, sf), S.SENSOR_SCHEMA, ig.SENSOR_REQUIRED_FIELDS)
+    logs = lines.select(F.when(F.col("is_valid"), "OK").otherwise("FAILED").alias("status"))
+    return rm.ingestion_kpis(t.sensor(spark, sf), t.production(spark, sf), issues(spark, sf), logs)
+
+
+@register("wide_quality_events", sql="""
+SELECT issue_type, severity, entity_type, machine_id, line_id, station_id, "timestamp", entity_id AS reference, 'generator' AS source FROM issues
+""", extra_ctes=ISSUES_CTE)
+def q_wide_quality_events(spark, sf):
+    """SRC-9: data-quality events of the wide source (upper-case types, table names) mapped to issue rows."""
+    events = issues(spark, sf).select(
+        F.upper("issue_type").alias("issue_type"), "severity", F.col("entity_type").alias("affected_table"), "machine_id", "line_id", "station_id",
+        "timestamp", F.to_json(F.struct(F.col("entity_id").alias("reference"))).alias("details_json"))
+    mapped = ig.wide_quality_events_to_issues(events)
+    return q.with_details(mapped, {"reference": ("$.reference", "string")}).drop("details_json")
+
+
 # ----------------------------------------------------------------- AG-6
 @register("issue_count_marginals", sql="""
 SELECT coalesce(issue_type, 'unknown') AS issue_type, coalesce(severity, 'unknown') AS severity, count(*) AS issue_count,

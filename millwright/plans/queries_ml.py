@@ -192,15 +192,24 @@ def q_class_distribution(spark, sf):
     return st.class_distribution(_feats(spark, sf), "failure_label")
 
 
+_SAVED: dict[tuple[str, str], str] = {}
+
+
 def _trained(spark, sf) -> str:
-    """All three models fitted on the feature rows with small candidates; the folder they are saved in."""
+    """All three models fitted on the feature rows with the job's defaults; the folder they are saved in.
+
+    Bundles are saved to be used again: one fit for each application and data folder.
+    """
     from ..session import scratch_path
     from . import jobs
     from .queries_core import ASOF_TOLERANCE_SECONDS
 
-    root = scratch_path(spark, "trained")
-    jobs.train_all(spark, t.sensor(spark, sf), t.production(spark, sf), root, ASOF_TOLERANCE_SECONDS, num_trees=5, gbt_iter=5)
-    return root
+    key = spark.sparkContext.applicationId, sf
+    if key not in _SAVED:
+        root = scratch_path(spark, "trained")
+        jobs.train_all(spark, t.sensor(spark, sf), t.production(spark, sf), root, ASOF_TOLERANCE_SECONDS)
+        _SAVED[key] = root
+    return _SAVED[key]
 
 
 @register("train_registry", sql="""
