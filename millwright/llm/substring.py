@@ -142,31 +142,35 @@ class SuffixAutomaton:
 
     def add(self, words: list, times: int = 1) -> None:
         """Adds one sequence that occurs ``times`` times."""
+        follow, link, length, count = self.next, self.link, self.length, self.count
         last = 0
         for word in words:
-            q = self.next[last].get(word)
+            q = follow[last].get(word)
             if q is not None:  # known from an earlier sequence
-                last = q if self.length[q] == self.length[last] + 1 else self._split(last, word, q)
+                last = q if length[q] == length[last] + 1 else self._split(last, word, q)
             else:
-                new = self._state(self.length[last] + 1, {})
+                new = self._state(length[last] + 1, {})
                 p = last
-                while p != -1 and word not in self.next[p]:
-                    self.next[p][word] = new
-                    p = self.link[p]
-                if p != -1:
-                    q = self.next[p][word]
-                    self.link[new] = q if self.length[q] == self.length[p] + 1 else self._split(p, word, q)
+                while p != -1:
+                    edges = follow[p]
+                    if word in edges:
+                        q = edges[word]
+                        link[new] = q if length[q] == length[p] + 1 else self._split(p, word, q)
+                        break
+                    edges[word] = new
+                    p = link[p]
                 last = new
-            self.count[last] += times
+            count[last] += times
 
     def close(self, least: int = 2) -> None:
         """Adds up occurrences, and finds for each state the longest suffix with ``least`` of them."""
-        order = sorted(range(1, len(self.link)), key=self.length.__getitem__)
+        link, count = self.link, self.count
+        order = sorted(range(1, len(link)), key=self.length.__getitem__)
         for s in reversed(order):
-            self.count[self.link[s]] += self.count[s]
-        self.known = [0] * len(self.link)
+            count[link[s]] += count[s]
+        self.known = known = [0] * len(link)
         for s in order:
-            self.known[s] = s if self.count[s] >= least else self.known[self.link[s]]
+            known[s] = s if count[s] >= least else known[link[s]]
 
     def matching_statistics(self, words: list) -> list[int]:
         """For each word, how many words up to it form the longest sequence known often enough.
@@ -174,15 +178,17 @@ class SuffixAutomaton:
         Words that the automaton does not know end the match, as in a stream of
         text that it was not built from.
         """
+        follow, link, length, known = self.next, self.link, self.length, self.known
         out, s, n = [], 0, 0
         for word in words:
-            while s and word not in self.next[s]:
-                s = self.link[s]
-                n = self.length[s]
-            q = self.next[s].get(word)
+            q = follow[s].get(word)
+            while q is None and s:
+                s = link[s]
+                n = length[s]
+                q = follow[s].get(word)
             s, n = (q, n + 1) if q is not None else (0, 0)
-            k = self.known[s]
-            out.append(n if k == s else min(n, self.length[k]))
+            k = known[s]
+            out.append(n if k == s else min(n, length[k]))
         return out
 
 
