@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -65,10 +67,13 @@ def _random_looking(token: str) -> bool:
 def parts(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, bool, int, int]]:
     """Credential parts (role, weak, start, end): strong findings and weak candidates that none of them covers."""
     out = [("identifier" if k == "access" else "secret", False, i, j) for k, i, j in base]
-    taken = [(i, j) for _, i, j in base]
+    starts = [i for _, i, _ in base]  # in order
+    reach = list(accumulate((j for _, _, j in base), max))  # how far the spans up to each one go
+    taken = 0  # how far the weak parts taken so far go; they are met by start
 
     def free(i: int, j: int) -> bool:
-        return all(j <= a or i >= b for a, b in taken)
+        before = bisect_left(starts, j)  # spans that begin before the end
+        return taken <= i and (not before or reach[before - 1] <= i)
 
     weak = [("identifier", m.start(), m.end()) for m in _WEAK_ID.finditer(text)]
     weak += [("endpoint", m.start(), m.end()) for m in _ENDPOINT.finditer(text)]
@@ -77,7 +82,7 @@ def parts(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, bool,
         if free(i, j):
             out.append((role, True, i, j))
             if role != "endpoint":
-                taken.append((i, j))
+                taken = max(taken, j)
     return out
 
 

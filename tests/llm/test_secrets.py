@@ -1,6 +1,7 @@
 """Secret scan: base findings against a plain reading of the rules, and linked weak parts."""
 
 import hashlib
+import random
 import re
 
 from millwright.llm import queries, secrets
@@ -82,3 +83,27 @@ def test_links_at_every_offset(spark):
     got = scanned(spark, texts)
     wrong = sum([(s.start, s.end, s.kind) for s in got[i].linked] != all_pairs(t) for i, t in enumerate(texts))
     assert wrong == 0
+
+
+def test_weak_parts_keep_clear_of_all_spans_before_them():
+    """Against a look at every span, on texts of joined pieces; and sixteen thousand parts in one text."""
+    rng = random.Random(1)
+    bits = ["password=", "token: ", "user=bob ", "AKIA", "ASIA", "0123456789abcdef", "Ab3dEf9hIj2kLm4nOp", "https://h.x/", "10.0.0.1:80",
+            " ", "\n", "'", "secret='", "login: ", "deadbeef", "Zz9", "=", "client_id=", "éx"]
+    for _ in range(1500):
+        text = "".join(rng.choice(bits) for _ in range(rng.randint(0, 60)))
+        base = secrets.base_spans(text)
+        got = secrets.parts(text, base)
+        taken = [(i, j) for _, i, j in base]
+        assert [(i, j) for _, weak, i, j in got if not weak] == taken
+        for role, weak, i, j in got:
+            if weak:
+                assert all(j <= a or i >= b for a, b in taken)
+                taken += [(i, j)] if role != "endpoint" else []
+        # a random-looking token that is not listed is covered by something
+        listed = {(i, j) for _, _, i, j in got}
+        for m in secrets._WEAK_SECRET.finditer(text):
+            if secrets._random_looking(m[0]) and m.span() not in listed:
+                assert any(a < m.end() and m.start() < b for a, b in taken)
+    many = " ".join(f"Ab3dEf9hIj2kLm4nOp{i}" for i in range(16_000))
+    assert len(secrets.parts(many, [])) == 16_000
