@@ -36,17 +36,25 @@ MIN_PAGES = 5
 MAX_DEPTH = 24
 ANY_HOST = ""
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.DOTALL)
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
+# Attributes as the HTML standard reads them: a value without quotes ends at white space or ">".  A quote that never closes is a character.
+_VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+" + _VALUE + r")?+)*+)(?:>|\Z)",
+    re.DOTALL)
+_ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(" + _VALUE + r"))?+")
+_READ = frozenset(["class", "id", "role", "style", "hidden", "aria-hidden"])
+#: A last value without quotes that takes in the slash at the end of its tag.
+_OPEN_VALUE = re.compile(r"=\s*[^\s\"'>][^\s>]*\Z")
 _NAME = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"\s+")
 
 # Elements, by the HTML standard.
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rb rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var wbr".split())
+    "strike strong sub sup time tt u var wbr "
+    "math mfrac mi mn mo mover mpadded mroot mrow ms mspace msqrt mstyle msub msubsup msup mtext munder munderover semantics".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track".split())
-_RAW = frozenset("script style textarea title noscript template iframe svg math noframes xmp".split())
+_RAW = frozenset("script style textarea title noscript template iframe svg annotation annotation-xml noframes xmp".split())
 _ENDS_PARAGRAPH = frozenset(
     "address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol "
     "p pre section table ul".split())
@@ -70,7 +78,13 @@ _WRAPS = 0.8
 
 
 def _attributes(raw: str) -> dict[str, str]:
-    return {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(raw)} if raw else {}
+    known: dict[str, str] = {}
+    for m in _ATTRIBUTE.finditer(raw):
+        name = m[1].lower()
+        if name in _READ and name not in known:  # the first of a name counts
+            value = (m[2] or "").lower()
+            known[name] = value[1:-1] if value[:1] in ("'", '"') else value
+    return known
 
 
 def _runs(*values: str) -> list[str]:
@@ -171,7 +185,7 @@ def _blocks(page: str, wrappers: frozenset[int] | None, boxes: dict[int, list],
         if tag in _RAW:
             ended = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
             at = ended.end() if ended else len(page)
-            if tag not in ("svg", "math"):
+            if tag not in ("svg", "annotation", "annotation-xml"):
                 yield tuple(path), bool(out), bool(head), None
             continue
         if tag in _INLINE:
@@ -189,7 +203,7 @@ def _blocks(page: str, wrappers: frozenset[int] | None, boxes: dict[int, list],
             close(len(tags) - 1)
         if tag == "body" and "head" in tags:
             close(tags.index("head"))
-        if m[3].endswith("/") and tag not in ("p", "div", "li"):
+        if m[3].endswith("/") and tag not in ("p", "div", "li") and not _OPEN_VALUE.search(m[3]):
             continue
         known = _attributes(m[3])
         tags.append(tag)

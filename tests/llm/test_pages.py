@@ -93,3 +93,18 @@ def test_articles_of_several_blocks(spark, body):
     said = [f"Story {i} " + f"word{i} " * 40 for i in range(8)]
     made = [f"<body><div class=navbar>Menu</div><div class=top>My site</div>{body.format(i=i, t=t)}" for i, t in enumerate(said)]
     assert texts_of(spark, made) == [f"Head {i} Intro {i} {t.strip()}" for i, t in enumerate(said)]
+
+
+@pytest.mark.parametrize("inside, want", [
+    ("<p title=it's>first {i}<p title=it's>second {i}<p>third {i}", "first {i} second {i} third {i}"),
+    ("<p data-id=menu>first {i}<p title='class=\"ad\"'>second {i}", "first {i} second {i}"),
+    ("<p>so <math><mi>x</mi><mo>=</mo><mn>{i}</mn></math> holds<p>next", "so x={i} holds next"),
+    ("<p>f <math><semantics><mi>y</mi><annotation>\\tex</annotation></semantics></math> is {i}", "f y is {i}"),
+    ("<section data-u=/x/><p>kept {i}</section><p class=a/>and {i}", "kept {i} and {i}"),
+    ("<p title=\"5 > {i}\" CLASS=a class=ad>one {i}<p>two", "one {i} two"),
+    ("<p title=\"never closed>one {i}<p>two {i}", "one {i} two {i}"),
+])
+def test_attributes_by_the_standard(spark, inside, want):
+    rows = [(i, f"http://h{i}.example/", f"<body><nav>menu</nav><article>{inside.replace('{i}', str(i))}</article><footer>end</footer>") for i in range(8)]
+    got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {i: want.replace("{i}", str(i)) for i in range(8)}
