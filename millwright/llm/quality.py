@@ -7,12 +7,15 @@ documents that it is sure about, and the other view learns from them.  Each
 view is calibrated on labelled documents kept aside, and the calibrated views
 are combined into one score for every document.
 
-The classifiers are fitted on a bounded sample (``max_labelled``, ``max_pool``)
-on the driver, as compact features that executors compute; all documents are scored.
+The classifiers are fitted on a bounded sample of labelled documents
+(``max_labelled``).  Both views score all unlabelled documents in every round, from
+a stored table of compact features, and only the surest of them come to the fit:
+at most as many of a class as the sample has.
 """
 
 from __future__ import annotations
 
+import logging
 import re
 import zlib
 from collections.abc import Iterator
@@ -23,9 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Labelled and unlabelled documents that the classifiers are fitted on, at most.
+from .common import materialize
+
+#: Labelled documents that the classifiers are fitted on, at most.
 MAX_LABELLED = 10_000
-MAX_POOL = 5_000
+#: Labelled ids up to which they are broadcast to pick the unlabelled documents; more are shuffled.
+BROADCAST_ROWS = 1_000_000
 ROUNDS = 3
 #: Calibrated probability from which a view is sure of a pseudo-label.
 SURE = 0.98
@@ -35,6 +41,8 @@ _SLOTS = 1 << 20
 _META_SLOTS = 64
 #: Words that the text view keeps, and how far their use has to differ between the classes (chi-square).
 _MAX_WORDS = 400
+#: Words of labelled documents that differ most between the classes; in every round the text view chooses among them.
+_CANDIDATES = 2048
 _MIN_CHI2 = 12.0
 _WORD = re.compile(r"[^\W_]+")
 _MAKE_UP = 12
@@ -85,15 +93,25 @@ def text_features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.fromiter(map(_KNOWN_SLOTS.__getitem__, named), np.int32, len(named))), make_up
 
 
-def meta_features(source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
-    out = np.zeros(_META_SLOTS + 3)
-    out[_slot(f"source {source}", _META_SLOTS)] += 1
-    out[_slot(f"lang {lang}", _META_SLOTS)] += 1
-    size = np.log1p(max(0, n_chars or 0)) / 10
-    out[-3:] = size, size * size, float(n_chars is None)
+def _meta_code(source: str | None, lang: str | None, n_chars: int | None) -> list[int]:
+    """Slots of source and language, and the size; -1 if it isn't known."""
+    return [_slot(f"source {source}", _META_SLOTS), _slot(f"lang {lang}", _META_SLOTS), -1 if n_chars is None else max(0, n_chars)]
+
+
+def _meta_matrix(codes: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(codes), _META_SLOTS + 3))
+    at = np.arange(len(codes))
+    out[at, codes[:, 0]] += 1
+    out[at, codes[:, 1]] += 1
+    size = np.log1p(np.maximum(0, codes[:, 2])) / 10
+    out[:, -3], out[:, -2], out[:, -1] = size, size * size, codes[:, 2] < 0
     return out
 
 
+def meta_features(source: str | None, lang: str | None, n_chars: int | None) -> np.ndarray:
+    return _meta_matrix(np.array([_meta_code(source, lang, n_chars)]))[0]
+
+
 # -- two small classifiers ---------------------------------------------------
 
 def _sigmoid(z: np.ndarray) -> np.ndarray:
@@ -199,27 +217,25 @@ def _calibrate(logit: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 def co_train(labelled, y: np.ndarray, aside: np.ndarray, pool, rounds: int = ROUNDS, sure: float = SURE) -> Model | None:
     """Fits both views; rows are (word slots, make-up, metadata), ``aside`` marks those kept for calibration.
 
-    None if a class is missing on either side of the split.
+    ``pool`` has the unlabelled rows: a list, or a ``Pool``.  None if a class is missing on either side of the split.
     """
     if any(len(set(y[part].tolist())) < 2 for part in (aside, ~aside)):
         return None
     words = [r[:2] for r in labelled]
     meta = np.array([r[2] for r in labelled])
-    pool_words, pool_meta = [r[:2] for r in pool], np.array([r[2] for r in pool]).reshape(len(pool), meta.shape[1])
     use, kept = np.flatnonzero(~aside), np.flatnonzero(aside)
-    given: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, int), np.zeros(0)), (np.zeros(0, int), np.zeros(0))]
+    surest = pool.surest if isinstance(pool, Pool) else lambda *views: _surest_of(pool, *views)
+    given: list[tuple[list, np.ndarray]] = [([], np.zeros(0)), ([], np.zeros(0))]
     for r in range(rounds + 1):
-        (ti, ty), (mi, my) = given
-        text = TextView().fit([words[i] for i in use] + [pool_words[i] for i in ti], np.r_[y[use], ty])
-        meta_view = MetaView().fit(np.concatenate([meta[use], pool_meta[mi]]) if mi.size else meta[use], np.r_[y[use], my])
+        (t_rows, ty), (m_rows, my) = given
+        text = TextView().fit([words[i] for i in use] + [x[:2] for x in t_rows], np.r_[y[use], ty])
+        meta_view = MetaView().fit(np.concatenate([meta[use], np.array([x[2] for x in m_rows])]) if m_rows else meta[use], np.r_[y[use], my])
         t_scale = _calibrate(text.logit([words[i] for i in kept]), y[kept])
         m_scale = _calibrate(meta_view.logit(meta[kept]), y[kept])
-        if r == rounds or not pool:
+        if r == rounds:
             break
         # each view hands on what it is sure about; at most as much of a class as the labelled rows have of it
-        p_text = _sigmoid(t_scale[0] * text.logit(pool_words) + t_scale[1])
-        p_meta = _sigmoid(m_scale[0] * meta_view.logit(pool_meta) + m_scale[1])
-        given = [_confident(p_meta, y[use], sure, r + 1, rounds), _confident(p_text, y[use], sure, r + 1, rounds)]
+        given = surest(text, t_scale, meta_view, m_scale, y[use], sure, r + 1, rounds)
     t = t_scale[0] * text.logit([words[i] for i in kept]) + t_scale[1]
     m = m_scale[0] * meta_view.logit(meta[kept]) + m_scale[1]
     mix = _logistic(np.c_[t, m] / 5, y[kept], ridge=0.05)
@@ -227,11 +243,27 @@ def co_train(labelled, y: np.ndarray, aside: np.ndarray, pool, rounds: int = ROU
     return Model(text, meta_view, t_scale, m_scale, mix if mix[:2].any() else np.array([1.0, 0.0, 0.0]))
 
 
+def _surest_of(pool: list, text: TextView, t_scale, meta: MetaView, m_scale, y: np.ndarray, sure: float, r: int, rounds: int):
+    """(rows, labels) of the pool for the text view, by the page view, and for the page view, by the text view."""
+    if not pool:
+        return [([], np.zeros(0))] * 2
+    p_meta = _sigmoid(m_scale[0] * meta.logit(np.array([x[2] for x in pool])) + m_scale[1])
+    p_text = _sigmoid(t_scale[0] * text.logit([x[:2] for x in pool]) + t_scale[1])
+    chosen = [_confident(p, y, sure, r, rounds) for p in (p_meta, p_text)]
+    return [([pool[i] for i in at], label) for at, label in chosen]
+
+
+def _shares(y: np.ndarray, r: int, rounds: int) -> tuple[int, int]:
+    """Pseudo-labels of the upper and of the lower class that a round hands on at most."""
+    return int(y.sum() * r / rounds), int((1 - y).sum() * r / rounds)
+
+
 def _confident(p: np.ndarray, y: np.ndarray, sure: float, r: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """The surest pseudo-labels of each class, a share of the class's size that grows over the rounds."""
     up, down = np.argsort(-p, kind="stable"), np.argsort(p, kind="stable")
-    up = up[p[up] >= sure][:int(y.sum() * r / rounds)]
-    down = down[p[down] <= 1 - sure][:int((1 - y).sum() * r / rounds)]
+    most = _shares(y, r, rounds)
+    up = up[p[up] >= sure][:most[0]]
+    down = down[p[down] <= 1 - sure][:most[1]]
     return np.r_[up, down], np.r_[np.ones(up.size), np.zeros(down.size)]
 
 
@@ -248,21 +280,113 @@ def _viewed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         (F.col(c) if c in have else F.lit(None)).cast(kinds[c]).alias(c) for c in _COLUMNS])
 
 
+_PACKED = _CANDIDATES // 8
+
+
+def _pack(slots: np.ndarray, make_up: np.ndarray, code: list[int], place: np.ndarray) -> bytes:
+    """A document's candidate words as bits, its make-up and its metadata, in a fixed number of bytes."""
+    bits = np.zeros(_CANDIDATES, bool)
+    at = place[slots]
+    bits[at[at >= 0]] = True
+    return np.packbits(bits).tobytes() + make_up.tobytes() + np.array(code, np.int64).tobytes()
+
+
+def _unpack(packed: list[bytes], candidates: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(word slots, make-up, metadata) of packed documents; ``candidates`` is in order."""
+    raw = np.frombuffer(b"".join(packed), np.uint8).reshape(len(packed), -1)
+    bits = np.unpackbits(raw[:, :_PACKED], axis=1)[:, :candidates.size].astype(bool)
+    cut = _PACKED + 8 * _MAKE_UP
+    make_up = np.frombuffer(raw[:, _PACKED:cut].tobytes()).reshape(-1, _MAKE_UP)
+    meta = _meta_matrix(np.frombuffer(raw[:, cut:].tobytes(), np.int64).reshape(-1, 3))
+    return [(candidates[b], m, x) for b, m, x in zip(bits, make_up, meta)]
+
+
+def _place(candidates: np.ndarray) -> np.ndarray:
+    """Slot to its place among the candidates, else -1."""
+    place = np.full(_SLOTS, -1, np.int16)
+    place[candidates] = np.arange(candidates.size)
+    return place
+
+
+@dataclass
+class Pool:
+    """All unlabelled documents, as a stored table of packed features."""
+
+    table: DataFrame
+    candidates: np.ndarray
+
+    def surest(self, text: TextView, t_scale, meta: MetaView, m_scale, y: np.ndarray, sure: float, r: int, rounds: int):
+        """As ``_surest_of``, over the whole table: each task sends on its surest documents, and of these the surest are taken.
+
+        Equal documents count once; ties are broken by a checksum.
+        """
+        candidates, most = self.candidates, _shares(y, r, rounds) * 2
+
+        def order(found: dict[bytes, float], n: int) -> list[tuple[bytes, float]]:
+            return sorted(found.items(), key=lambda x: (-x[1], zlib.crc32(x[0]), x[0]))[:n]
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            best: list[dict[bytes, float]] = [{} for _ in most]
+            floor = [sure] * len(most)
+            for whole in batches:
+                for at in range(0, whole.num_rows, 2000):
+                    packed = whole.column(0).slice(at, 2000).to_pylist()
+                    rows = _unpack(packed, candidates)
+                    p_meta = _sigmoid(m_scale[0] * meta.logit(np.array([x[2] for x in rows])) + m_scale[1])
+                    p_text = _sigmoid(t_scale[0] * text.logit([x[:2] for x in rows]) + t_scale[1])
+                    for k, p in enumerate((p_meta, 1 - p_meta, p_text, 1 - p_text)):
+                        p = np.round(p, 9)
+                        for i in np.flatnonzero(p >= floor[k]).tolist():
+                            best[k][packed[i]] = float(p[i])
+                        if len(best[k]) > 2 * most[k] + 1000:
+                            best[k] = dict(order(best[k], most[k]))
+                            floor[k] = min(best[k].values(), default=2.0)
+            rows = [(k, p, x) for k, n in enumerate(most) for x, p in order(best[k], n)]
+            for at in range(0, len(rows), 5000):
+                part = rows[at:at + 5000]
+                yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in part], t) for i, t in enumerate(
+                    (pa.int32(), pa.float64(), pa.binary()))], ["kind", "p", "packed"])
+
+        found = materialize(self.table.mapInArrow(run, "kind int, p double, packed binary"), "surest")
+        # at most as many rows as the labelled sample has
+        top = [found.where(F.col("kind") == k).distinct().orderBy(F.desc("p"), F.crc32("packed"), "packed").limit(n) for k, n in enumerate(most)]
+        got = top[0].union(top[1]).union(top[2]).union(top[3]).collect()
+        got.sort(key=lambda x: (x.kind, -x.p, zlib.crc32(x.packed), x.packed))
+        out = []
+        for kinds in ((0, 1), (2, 3)):
+            mine = [x for x in got if x.kind in kinds]
+            out.append((_unpack([x.packed for x in mine], candidates) if mine else [], np.array([float(x.kind == kinds[0]) for x in mine])))
+        return out
+
+
+def _candidate_words(labelled: DataFrame) -> np.ndarray:
+    """The slots that differ most between the classes by chi-square, in order; counted by the executors."""
+    fitted = labelled.where("not aside")
+    n, n1 = fitted.agg(F.count("*"), F.sum("good")).first()
+    seen = fitted.select("good", F.explode("words").alias("slot")).groupBy("slot").agg(F.sum("good").alias("a"), F.count("*").alias("n"))
+    a, b = F.col("a").cast("double"), (F.col("n") - F.col("a")).cast("double")
+    c, d = F.lit(float(n1 or 0)) - a, F.lit(float(n - (n1 or 0))) - b
+    gap = F.greatest(F.lit(0.0), F.abs(a * d - b * c) - n / 2)
+    chi2 = F.coalesce(F.try_divide(gap * gap, (a + b) * (c + d) * (a + c) * (b + d)), F.lit(0.0))
+    best = seen.select("slot", chi2.alias("chi2")).orderBy(F.desc("chi2"), "slot").limit(_CANDIDATES).collect()
+    return np.sort(np.array([x.slot for x in best], np.int32))
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL, rounds: int = ROUNDS, sure: float = SURE) -> Model | None:
-    """Fits on at most ``max_labelled`` labelled and ``max_pool`` other documents, chosen by a hash of their id.
+          max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, sure: float = SURE) -> Model | None:
+    """Fits on at most ``max_labelled`` labelled documents, chosen by a hash of their id, and on all others as far as the views are sure of them.
 
     ``labels`` has (id_col, quality, toxic); a document is good if its quality
     is 1 and it is not toxic.  Rows with a null id or quality are left out, of
-    contradicting labels the worse one counts, of rows with the same id the one with the least hash.  None if there is nothing to learn from.
+    contradicting labels the worse one counts, of rows with the same id the one with the least hash.
+    Documents with a null id are unlabelled; equal documents are one pseudo-label.  None, and a warning,
+    if there is nothing to learn from.
     """
     good = F.min(F.when((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0), 1).otherwise(0)).alias("good")
     ids = labels.where(F.col(id_col).isNotNull() & F.col("quality").isNotNull()).groupBy(F.col(id_col).alias("id")).agg(good)
     chosen = ids.orderBy(F.xxhash64("id"), "id").limit(max_labelled)
-    rest = docs.select(F.col(id_col).alias("id")).where("id is not null").distinct().join(ids, "id", "left_anti").orderBy(
-        F.xxhash64("id"), "id").limit(max_pool).select("id", F.lit(None).cast("int").alias("good"))
-    sample = chosen.select("id", "good").union(rest)  # at most max_labelled + max_pool rows
-    rows = _viewed(docs, id_col, text_col).join(F.broadcast(sample), "id").select(
+    viewed = _viewed(docs, id_col, text_col)
+    rows = viewed.join(F.broadcast(chosen), "id").select(
         "id", F.xxhash64("text", *_COLUMNS).alias("h"), (F.pmod(F.xxhash64("id", F.lit("aside")), F.lit(_CALIBRATION_SHARE)) == 0).alias("aside"), "good", "text", *_COLUMNS)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,25 +397,52 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             for id_, h, aside, good, text, *known in zip(*[c.to_pylist() for c in b.columns]):
                 if id_ not in least or h < least[id_][0]:
                     s, m = text_features(text)
-                    least[id_] = h, aside, good, s.tobytes(), m.tobytes(), meta_features(*known).tobytes()
-        if least:
-            types = (pa.int64(), pa.bool_(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
+                    least[id_] = h, aside, good, s, m.tobytes(), _meta_code(*known)
+        found = list(least.items())
+        for at in range(0, len(found), 500):
+            part = found[at:at + 500]
+            types = (pa.int64(), pa.bool_(), pa.int32(), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(least), kind), *[pa.array(x, t) for x, t in zip(zip(*least.values()), types)]],
+                [pa.array([k for k, _ in part], kind), *[pa.array(x, t) for x, t in zip(zip(*[v for _, v in part]), types)]],
                 ["id", "h", "aside", "good", "words", "make_up", "meta"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
-    seen = rows.mapInArrow(features, f"id {id_type}, h long, aside boolean, good int, words binary, make_up binary, meta binary")
-    # one row for each id, so at most max_labelled + max_pool
-    got = seen.groupBy("id").agg(F.min_by(F.struct("aside", "good", "words", "make_up", "meta"), "h").alias("r")).select("r.*").collect()
-    got.sort(key=lambda r: (r.good is None, r.words, r.make_up, r.meta, bool(r.aside), r.good or 0))
-    read = [(np.frombuffer(r.words, np.int32), np.frombuffer(r.make_up), np.frombuffer(r.meta)) for r in got]
-    labelled = [x for x, r in zip(read, got) if r.good is not None]
-    y = np.array([float(r.good) for r in got if r.good is not None])
-    aside = np.array([bool(r.aside) for r in got if r.good is not None], bool)
-    pool = [x for x, r in zip(read, got) if r.good is None]
-    del got, read
-    return co_train(labelled, y, aside, pool, rounds, sure)
+    seen = rows.mapInArrow(features, f"id {id_type}, h long, aside boolean, good int, words array<int>, make_up binary, meta array<long>")
+    # one row for each id, so at most max_labelled
+    labelled = materialize(seen.groupBy("id").agg(
+        F.min_by(F.struct("aside", "good", "words", "make_up", "meta"), "h").alias("r")).select("r.*"), "labelled")
+    if labelled.select("aside", "good").distinct().count() < 4:
+        logging.getLogger(__name__).warning("no quality model: a class has too few labelled documents; every document is kept")
+        return None
+    candidates = _candidate_words(labelled)
+    shared = docs.sparkSession.sparkContext.broadcast(candidates)  # at most _CANDIDATES numbers
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = _place(shared.value)
+        for b in batches:
+            aside, good, words, make_up, meta = (c.to_pylist() for c in b.columns)
+            packed = [_pack(np.array(w, np.int32), np.frombuffer(m), x, place) for w, m, x in zip(words, make_up, meta)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(packed, pa.binary())], ["aside", "good", "packed"])
+
+    got = labelled.mapInArrow(pack, "aside boolean, good int, packed binary").collect()  # some 400 bytes each
+    got.sort(key=lambda r: (r.packed, r.aside, r.good))
+
+    def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place = _place(shared.value)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                b = whole.slice(at, 500)
+                packed = [_pack(*text_features(text), _meta_code(*known), place) for text, *known in zip(*[c.to_pylist() for c in b.columns[1:]])]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(packed, pa.binary())], ["id", "packed"])
+
+    if ids.count() <= BROADCAST_ROWS:
+        others = viewed.join(F.broadcast(ids.select("id")), "id", "left_anti").mapInArrow(pack_texts, f"id {id_type}, packed binary")
+    else:  # what is shuffled are packed rows, not texts
+        others = viewed.mapInArrow(pack_texts, f"id {id_type}, packed binary").join(ids.select("id"), "id", "left_anti")
+    pool = Pool(materialize(others.select("packed"), "unlabelled"), candidates)
+    y = np.array([float(r.good) for r in got])
+    aside = np.array([bool(r.aside) for r in got], bool)
+    return co_train(_unpack([r.packed for r in got], candidates), y, aside, pool, rounds, sure)
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text",
@@ -320,7 +471,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                     out = [none, none, none]
                 else:
                     texts, source, lang, n_chars = [c.to_pylist() for c in b.columns[1:]]
-                    meta = np.array([meta_features(*x) for x in zip(source, lang, n_chars)]).reshape(-1, _META_SLOTS + 3)
+                    meta = _meta_matrix(np.array([_meta_code(*x) for x in zip(source, lang, n_chars)]).reshape(-1, 3))
                     out = [pa.array(s) for s in m.scores([text_features(t) for t in texts], meta)]
                 yield pa.RecordBatch.from_arrays([b.column(0), *out], ["row", "quality_text", "quality_meta", "quality_score"])
 

@@ -75,10 +75,32 @@ def test_scored_rows_with_nulls(spark):
 
 def test_repeated_rows_do_not_crowd_out_the_sample(spark, monkeypatch):
     monkeypatch.setattr(quality, "co_train", lambda labelled, y, aside, pool, *_: (
-        [r[0].tobytes() for r in labelled], y.tolist(), aside.tolist(), len({r[0].tobytes() for r in pool}), len(pool)))
+        [(r[0].tobytes(), r[1].tobytes()) for r in labelled], y.tolist(), aside.tolist(), {r.packed for r in pool.table.collect()}))
     made = [(i, f"text number {i} of many") for i in range(80)]
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(60)], "doc_id long, quality int, toxic int")
-    fit = lambda rows: quality.train(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), labels, max_labelled=60, max_pool=20)
+    fit = lambda rows: quality.train(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), labels, max_labelled=60)
     want = fit(made)
-    assert len(want[0]) == 60 and want[3:] == (20, 20)
+    assert len(want[0]) == 60
     assert fit([made[1]] * 900 + [made[70]] * 900 + made) == want
+
+
+def test_the_table_gives_the_same_pseudo_labels_as_a_list(spark):
+    """Every unlabelled row is looked at, over many tasks and with repeated rows; ties go by a checksum."""
+    rng = np.random.default_rng(5)
+    place = np.full(quality._SLOTS, -1, np.int16)
+    candidates = np.arange(1000, 3000, dtype=np.int32)
+    place[candidates] = np.arange(2000)
+    packed = list({quality._pack(np.unique(rng.integers(0, 4000, 60)), rng.random(12), quality._meta_code(f"s{i % 5}", "en", i % 7), place)
+                   for i in range(9000)})
+    packed.sort(key=lambda x: (quality.zlib.crc32(x), x))
+    rows = quality._unpack(packed, candidates)
+    assert quality._pack(*rows[0][:2], [0, 0, 0], place)[:256 + 96] == packed[0][:256 + 96]
+    text, meta = quality.TextView(candidates[:50], weights=rng.normal(0, 2, 63)), quality.MetaView(rng.normal(0, 3, quality._META_SLOTS + 4))
+    table = spark.createDataFrame([(x,) for x in packed + packed[:500]], "packed binary").repartition(7)
+    y = np.arange(2400) % 3 == 0
+    args = (text, (1.0, 0.0), meta, (1.0, 0.1), y.astype(float), 0.9, 2, 3)
+    got, want = quality.Pool(table, candidates).surest(*args), quality._surest_of(rows, *args)
+    for (g, gy), (w, wy) in zip(got, want):
+        assert len(gy) > 100 and gy.tolist() == wy.tolist()
+        key = lambda rows: {(r[0].tobytes(), r[1].tobytes()) for r in rows}
+        assert len(key(g) ^ key(w)) <= 4  # scores that differ past the ninth digit
