@@ -8,7 +8,8 @@ Valid classes nested into each other are the template, and what pages put
 between its tokens are the slots.  The slot tree, with how much text each slot
 gets, tells where the article is; menus, headers, footers, sidebars, notices,
 adverts, forms, scripts, styles and reader comments are known by their
-elements and names.  What remains of the article's slots is a page's text.
+elements and names.  Boxes inside the article whose text is the same on all
+pages, though the pages differ, are template too.  What remains of the article's slots is a page's text.
 
 An occurrence vector is never gathered: its digest is a map-side combined
 aggregate over pages, so a host with a third of all pages is an ordinary group.
@@ -35,6 +36,12 @@ MIN_PAGES = 5
 #: Tokens whose paths are longer than this many elements count as their ancestor's.
 MAX_DEPTH = 24
 ANY_HOST = ""
+#: Share of a host's pages that have to have a box inside the article, and marks of different texts among them (of 63),
+#: for its constant text to be template; copies of one article have one mark.
+STEADY_SUPPORT = 0.9
+STEADY_MARKS = 4
+#: Share of the article's text up to which constant boxes are left out; more is taken for an article that pages repeat.
+STEADY_SHARE = 0.2
 
 # Attributes as the HTML standard reads them: a value without quotes ends at white space or ">".  A quote that never closes is a character.
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
@@ -73,6 +80,11 @@ _OUT_OUTSIDE = frozenset(["header"])  # an article may have a header of its own
 _CONTENT_ELEMENTS = ("article", "main")
 #: A class with one of these tells of a state or a layout, as in has-sidebar or menu-open.
 _STATES = frozenset("has have with without no not is open opened closed enabled disabled active layout".split())
+#: Words that make a name of two a name of the same thing inside an article, as in ad-slot; related-work is no list of related pages.
+_PARTS = frozenset(
+    "area article articles bar block body bottom box button buttons container content footer global group header holder icon icons "
+    "inner item items left link links list main message outer page panel post posts right row section site slot text thread "
+    "title top unit wrap wrapper zone".split())
 #: Share of a page's text from which a named box or form is taken for the wrapper of it all.
 _WRAPS = 0.8
 
@@ -93,16 +105,46 @@ def _runs(*values: str) -> list[str]:
     return [n for t in tokens if not _STATES.intersection(t) for n in t]
 
 
-def _is_out(tag: str, at: dict[str, str]) -> bool:
+def _named_out(*values: str) -> bool:
+    """Whether a whole class or id token names what isn't the article: all of its letter runs do, or tell of a part."""
+    for token in (t for v in values for t in v.split()):
+        runs = set(_NAME.findall(token))
+        if runs & _OUT_NAMES and not runs & _STATES and runs <= _OUT_NAMES | _PARTS:
+            return True
+    return False
+
+
+def _is_out(tag: str, at: dict[str, str], inside: bool = False) -> bool:
+    """Whether an element isn't the article; ``inside`` the article, only a whole name tells."""
     if tag in _OUT_ELEMENTS or at.get("role") in _OUT_ROLES or "hidden" in at or at.get("aria-hidden") == "true":
         return True
     if tag in ("body", "html", "article", "main"):
         return any(n in ("comment", "comments") for n in _runs(at.get("class", "")))
     if "display:none" in at.get("style", "").replace(" ", ""):
         return True
+    if inside:
+        return _named_out(at.get("class", ""), at.get("id", ""))
     return any(n in _OUT_NAMES for n in _runs(at.get("class", ""), at.get("id", "")))
 
 
+def _in_article(path: list[str], content: tuple[str, ...]) -> bool:
+    """Whether a path lies in an article or main element, or in one of the content nodes."""
+    if any(p.split(".")[0] in _CONTENT_ELEMENTS for p in path):
+        return True
+    joined = "/".join(path) if content else ""
+    return any(joined == c or joined.startswith(c + "/") for c in content)
+
+
+def _end_of_inline(page: str, tag: str, at: int) -> int:
+    """Where an inline box that began before ``at`` ends, after boxes of its kind in it; ``at`` if it is left open."""
+    depth = 1
+    for m in re.compile(rf"<(/?){re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).finditer(page, at):
+        depth += -1 if m[1] else 1
+        if not depth:
+            return m.end()
+    return at
+
+
 def _may_wrap(tag: str, at: dict[str, str]) -> tuple[bool, bool]:
     """Whether a block that is out may hold the article after all: around an article element, and around most of the text.
 
@@ -140,17 +182,17 @@ def _walk(page: str, boxes: dict[int, list]) -> Iterator[tuple[list[int], bool,
             yield [k for k in opened if k >= 0], any(p.split(".")[0] in _CONTENT_ELEMENTS for p in path), len(text.strip())
 
 
-def blocks(page: str) -> Iterator[tuple[tuple[str, ...], bool, bool, str | None]]:
+def blocks(page: str, content: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], bool, bool, str | None]]:
     """(path, out, head, text) of each text between tags, and (path, out, head, None) where a block begins or ends.
 
-    ``out``: inside something that isn't the article; ``head``: inside a header.
+    ``out``: inside something that isn't the article; ``head``: inside a header; ``content``: nodes that hold the article.
     Elements left open end as the standard has it, or with the page.
     """
-    return _blocks(page, _wrappers(page), {}, [])
+    return _blocks(page, _wrappers(page), {}, [], content)
 
 
 def _blocks(page: str, wrappers: frozenset[int] | None, boxes: dict[int, list],
-            opened: list[int]) -> Iterator[tuple[tuple[str, ...], bool, bool, str | None]]:
+            opened: list[int], content: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], bool, bool, str | None]]:
     """``blocks``, with the boxes at ``wrappers`` not out; None: all that may be wrappers, and ``boxes`` lists them.
 
     ``opened`` has the place of each open block in ``boxes``, else -1.
@@ -189,9 +231,9 @@ def _blocks(page: str, wrappers: frozenset[int] | None, boxes: dict[int, list],
                 yield tuple(path), bool(out), bool(head), None
             continue
         if tag in _INLINE:
-            if _is_out(tag, _attributes(m[3])):  # an inline box with a name of its own
-                ended = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(page, at)
-                at = ended.end() if ended else at
+            known = _attributes(m[3])
+            if _is_out(tag, known) and _is_out(tag, known, _in_article(path, content)):  # an inline box with a name of its own
+                at = _end_of_inline(page, tag, at)
             continue
         if tag in _VOID:
             if tag in ("br", "hr"):
@@ -207,10 +249,10 @@ def _blocks(page: str, wrappers: frozenset[int] | None, boxes: dict[int, list],
             continue
         known = _attributes(m[3])
         tags.append(tag)
-        name = ".".join([tag, *sorted(set(_NAME.findall(known.get("class", ""))))[:4]])
+        name = ".".join([tag, *sorted(set(_NAME.findall(known.get("class", ""))))])
         path.append(name)
         opened.append(-1)
-        if not out and _is_out(tag, known):
+        if not out and _is_out(tag, known) and _is_out(tag, known, _in_article(path[:-1], content)):
             may = _may_wrap(tag, known) if wrappers is None else (m.start() in wrappers,)
             if not any(may):
                 out = len(path)
@@ -308,11 +350,31 @@ def content_path(found: list[tuple]) -> str | None:
     return "/".join(node) or None
 
 
-def extract(page: str | None, content: str | None) -> str:
+def steady_slots(found: list[tuple], content: str | None) -> list[str]:
+    """Paths below the content nodes whose text is the same on all pages: from (path, class digest, characters, out, varied, steady).
+
+    Headings and boxes without any class below the content node stay, and all stays if
+    it were more than a small share of the article.
+    """
+    if content is None:
+        return []
+    nodes = content.split(" ")
+    below = {path: chars for path, _, chars, out, *_ in found if not out and any(path == c or path.startswith(c + "/") for c in nodes)}
+    steady = []
+    for path, _, chars, _, _, same in found:
+        node = next((c for c in nodes if path.startswith(c + "/")), None)
+        if path in below and chars and same and node is not None:
+            inner = path[len(node) + 1:].split("/")
+            if any("." in p for p in inner) and not any(re.match(r"h[1-6](?:\.|\Z)", p) for p in inner):
+                steady.append(path)
+    return steady if sum(below[p] for p in steady) <= STEADY_SHARE * sum(below.values()) else []
+
+
+def extract(page: str | None, content: str | None, steady: frozenset[str] = frozenset()) -> str:
     """Text of the content slots of a page: blocks in page order, joined by one space.
 
-    A page without the template's content node goes by its own article or main
-    element, and else by all that isn't left out.
+    Text directly in a ``steady`` path is left out.  A page without the template's
+    content node goes by its own article or main element, and else by all that isn't left out.
     """
     if not page:
         return ""
@@ -327,7 +389,8 @@ def extract(page: str | None, content: str | None) -> str:
                     parts[k].append(block)
                 texts.clear()
 
-    for path, out, head, text in blocks(page):
+    nodes = tuple(content.split(" ")) if content is not None else ()
+    for path, out, head, text in blocks(page, nodes):
         if text is None:
             end()
             continue
@@ -336,13 +399,14 @@ def extract(page: str | None, content: str | None) -> str:
         own = any(p.split(".")[0] in _CONTENT_ELEMENTS for p in path)
         if head and not own:
             continue
+        joined = "/".join(path)
+        if joined in steady:
+            continue
         here["all"].append(text)
         if own:
             here["own"].append(text)
-        if content is not None:
-            joined = "/".join(path)
-            if any(joined == c or joined.startswith(c + "/") for c in content.split(" ")):
-                here["template"].append(text)
+        if any(joined == c or joined.startswith(c + "/") for c in nodes):
+            here["template"].append(text)
     end()
     return " ".join(parts["template"] or parts["own"] or parts["all"])
 
@@ -350,7 +414,7 @@ def extract(page: str | None, content: str | None) -> str:
 # -- the jobs ----------------------------------------------------------------
 
 def templates(pages: DataFrame, html_col: str = "html", min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES) -> DataFrame:
-    """(host, content): the content node of each host with enough pages, and of all pages as ``ANY_HOST``.
+    """(host, content, steady): the content node and steady slots of each host with enough pages, and of all pages as ``ANY_HOST``.
 
     ``pages`` has the row key, ``host`` and the html.
     """
@@ -359,33 +423,38 @@ def templates(pages: DataFrame, html_col: str = "html", min_support: float = MIN
             rows = []
             for key, host, page in zip(*[c.to_pylist() for c in b.columns]):
                 found = tokens(page or "")
+                # pages with the same text outside of menus and the like have the same mark
+                mark = 1 << zlib.crc32(repr([v[3] for v in found.values() if not v[2]]).encode()) % 63
                 found[""] = (1, 0, True, 0)
-                rows += [(h, p, key, *v) for p, v in found.items() for h in ({host, ANY_HOST} - {None})]
+                rows += [(h, p, key, *v, mark) for p, v in found.items() for h in ({host, ANY_HOST} - {None})]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], t) for i, t in enumerate(
-                    (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()))],
-                ["host", "path", "key", "n", "chars", "out", "said"])
+                    (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()))],
+                ["host", "path", "key", "n", "chars", "out", "said", "mark"])
 
-    seen = pages.select(ROW_KEY, "host", html_col).mapInArrow(run, "host string, path string, key long, n long, chars long, out boolean, said long")
+    seen = pages.select(ROW_KEY, "host", html_col).mapInArrow(run, "host string, path string, key long, n long, chars long, out boolean, said long, mark long")
     # the digest of a token's occurrence vector
     stats = seen.groupBy("host", "path").agg(
         F.bit_xor(F.xxhash64("key", "n")).alias("digest"), F.count("*").alias("support"),
         F.sum("chars").alias("chars"), F.min("out").alias("out"),
-        (F.min("said") < F.max("said")).alias("varied"))
+        (F.min("said") < F.max("said")).alias("varied"), F.bit_count(F.bit_or("mark")).alias("marks"))
     stats = materialize(stats, "tokens")
     size = stats.where("path = ''").select("host", F.col("support").alias("pages")).where(
         (F.col("pages") >= min_pages) | (F.col("host") == ANY_HOST))
     kept = stats.where("path <> ''").join(size, "host").where(F.col("support") >= min_support * F.col("pages"))
     # at most (tokens of a page) / min_support rows of a host
-    by_host = kept.groupBy("host").agg(F.collect_list(F.struct("path", "digest", "chars", "out", "varied")).alias("found"))
+    by_host = kept.groupBy("host").agg(F.collect_list(F.struct("path", "digest", "chars", "out", "varied", (
+        ~F.col("varied") & (F.col("support") >= STEADY_SUPPORT * F.col("pages")) & (F.col("marks") >= STEADY_MARKS)).alias("steady"))).alias("found"))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            content = [content_path([(f["path"], f["digest"], f["chars"], f["out"], f["varied"]) for f in found])
-                       for found in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(content, pa.string())], ["host", "content"])
+            every = [[tuple(f[k] for k in ("path", "digest", "chars", "out", "varied", "steady")) for f in found] for found in b.column(1).to_pylist()]
+            content = [content_path([f[:5] for f in found]) for found in every]
+            steady = [steady_slots(found, c) for found, c in zip(every, content)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(content, pa.string()), pa.array(steady, pa.list_(pa.string()))],
+                                             ["host", "content", "steady"])
 
-    return by_host.mapInArrow(choose, "host string, content string")
+    return by_host.mapInArrow(choose, "host string, content string, steady array<string>")
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
@@ -401,18 +470,18 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
                         F.col(html_col).alias("html"))
     keyed = with_row_key(slim, ["id", "url", "host", "html"])
     chosen = materialize(templates(keyed, "html", min_support, min_pages), "templates")
-    general = chosen.where(F.col("host") == ANY_HOST).select("content").collect()
-    general = general[0].content if general else None
+    general = chosen.where(F.col("host") == ANY_HOST).select("content", "steady").collect()
+    general = (general[0].content, frozenset(general[0].steady)) if general else (None, frozenset())
     kinds = {f.name: f.dataType.simpleString() for f in slim.schema}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
                 b = whole.slice(at, 500)
-                content, page = (b.column(i).to_pylist() for i in (2, 3))
-                text = [extract(p, general if c is None else c) for p, c in zip(page, content)]
+                content, steady, page = (b.column(i).to_pylist() for i in (2, 3, 4))
+                text = [extract(p, *(general if c is None else (c, frozenset(f)))) for p, c, f in zip(page, content, steady)]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(text, pa.string())], ["id", "url", "text"])
 
-    joined = slim.join(chosen.where(F.col("host") != ANY_HOST), "host", "left").select("id", "url", "content", "html")
+    joined = slim.join(chosen.where(F.col("host") != ANY_HOST), "host", "left").select("id", "url", "content", "steady", "html")
     return joined.mapInArrow(run, f"id {kinds['id']}, url {kinds['url']}, text string").select(
         F.col("id").alias(id_col), F.col("url").alias(url_col), "text")

@@ -108,3 +108,26 @@ def test_attributes_by_the_standard(spark, inside, want):
     rows = [(i, f"http://h{i}.example/", f"<body><nav>menu</nav><article>{inside.replace('{i}', str(i))}</article><footer>end</footer>") for i in range(8)]
     got = {r.page_id: r.text for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {i: want.replace("{i}", str(i)) for i in range(8)}
+
+
+@pytest.mark.parametrize("wrap", ["<article>%s</article>", "<div class=post-body>%s</div>"])
+def test_names_inside_the_article(spark, wrap):
+    """Only a whole name tells inside the article; nested inline boxes go whole."""
+    said = [f"Story {i} " + f"word{i} " * 40 for i in range(8)]
+    inner = ("<p>{t}</p><div class=related-work>work {i}</div><p id=alert-level>level {i}</p><p class=social-policy>policy {i}</p>"
+             "<div class=related-posts>see {i}</div><p class='comment'>not me {i}</p><p>a<span class=ad>x<span>y {i}</span>z</span>b {i}</p>")
+    made = [f"<body><div class=navbar>Menu</div>{wrap % inner.format(i=i, t=t)}<div class=footer>end</div>" for i, t in enumerate(said)]
+    assert texts_of(spark, made) == [f"{t.strip()} work {i} level {i} policy {i} ab {i}" for i, t in enumerate(said)]
+
+
+def test_constant_boxes_inside_the_article(spark):
+    """A box that says the same on all pages is template, but not what copies of an article share, nor a heading."""
+    story = lambda i: f"Story {i} " + f"word{i} " * 40
+    inner = "<h2 class=series>The series</h2><p>{t}</p><div class=teaser><p>Read our book</p></div><p class=end>The end of {t}</p>"
+    made = [f"<body><article>{inner.format(t=story(i))}</article>" for i in range(12)]
+    assert texts_of(spark, made) == [f"The series {story(i).strip()} The end of {story(i).strip()}" for i in range(12)]
+    copies = [f"<body><article>{inner.format(t=story(1))}</article>" for _ in range(12)]
+    whole = f"The series {story(1).strip()} Read our book The end of {story(1).strip()}"
+    assert texts_of(spark, copies) == [whole] * 12
+    dated = [f"<body><article><p class=date>{i} May</p><div class=text><p>{story(1)}</p></div></article>" for i in range(12)]
+    assert texts_of(spark, dated) == [f"{i} May {story(1).strip()}" for i in range(12)]
