@@ -11,19 +11,21 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-#: n-gram sets are hashed to this many slots.
-SLOTS = 1 << 14
+#: n-gram sets are hashed to this many slots; texts of a few thousand n-grams look alike by some hundredths through collisions.
+SLOTS = 1 << 16
+#: Texts whose sets are one matrix at a time.
+BATCH = 256
 ORDERS = (1, 2, 3, 4)
 LANDMARKS = 96
-#: Texts that the classifier is fitted on, at most, shared evenly among languages.
+#: Texts that the classifier is fitted on, at most, shared evenly among languages; but LEAST_ROWS of each language, however many there are.
 FIT_ROWS = 2_000
+LEAST_ROWS = 4
 #: Ridge penalty.
 RIDGE = 1e-2
 UNKNOWN = "und"
@@ -67,11 +69,10 @@ def has_letter(text: str | None) -> bool:
     return bool(text) and (text.isalpha() or any(map(str.isalpha, text)))
 
 
-def presence(texts: list[str]) -> np.ndarray:
-    """Rows of unit length: the n-gram set of each text."""
-    x = np.zeros((len(texts), SLOTS), np.float32)
-    for i, t in enumerate(texts):
-        s = slots(t)
+def presence(sets: list[np.ndarray]) -> np.ndarray:
+    """Rows of unit length of n-gram sets, which are lists of slots."""
+    x = np.zeros((len(sets), SLOTS), np.float32)
+    for i, s in enumerate(sets):
         if s.size:
             x[i, s] = 1 / np.sqrt(s.size)
     return x
@@ -85,21 +86,21 @@ class Model:
     bias: np.ndarray
 
     def scores(self, texts: list[str]) -> np.ndarray:
-        return presence(texts) @ self.landmarks @ self.weights + self.bias
+        return presence([slots(t) for t in texts]) @ self.landmarks @ self.weights + self.bias
 
 
-def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Nystroem kernel ridge regression, one against the rest, on (text, language) rows in any order."""
+def fit(sets: list[np.ndarray], langs: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """Nystroem kernel ridge regression, one against the rest, on (slots of a text, language) rows in any order."""
     names = sorted(set(langs))
-    x = presence(texts)
     # landmarks in turn from each language, so that each has its share
     rows = {n: [i for i, v in enumerate(langs) if v == n] for n in names}
     chosen = [rows[n][k] for k in range(max(map(len, rows.values()), default=0)) for n in names if k < len(rows[n])]
-    z = x[chosen[:landmarks]]
+    z = presence([sets[i] for i in chosen[:landmarks]])
     values, vectors = np.linalg.eigh((z @ z.T).astype(np.float64))
     good = values > 1e-6
     root = vectors[:, good] / np.sqrt(values[good])
-    phi = (x @ z.T).astype(np.float64) @ root
+    kernel = np.concatenate([presence(sets[i:i + BATCH]) @ z.T for i in range(0, len(sets), BATCH)])
+    phi = kernel.astype(np.float64) @ root
     y = np.array([[1.0 if v == n else -1.0 for n in names] for v in langs]).reshape(len(langs), len(names))
     share = (y > 0).mean(axis=0)
     weight = (y > 0) / np.maximum(share, 1e-9) / len(names) if names else y
@@ -112,24 +113,44 @@ def fit(texts: list[str], langs: list[str], landmarks: int = LANDMARKS, ridge: f
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id",
           fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model | None:
-    """Fits on at most ``fit_rows`` labelled rows, spread evenly over languages and chosen by hash of the id.
+    """Fits on at most ``fit_rows`` labelled rows, or ``LEAST_ROWS`` of each language if that is more, spread evenly over
+    languages and chosen by hash of the id.
 
-    Of rows with the same language and id the one with the least hash of its text counts.  None if no row has a text and a language.
+    Every language can be predicted.  Of rows with the same language and id the one with the least hash of its text counts.
+    The driver gets n-gram sets as bits, 8 KB for a text of any length.  None if no row has a text and a language.
     """
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"),
                        F.col(id_col).cast("string").alias("id")).where("lang is not null and text is not null")
-    langs = [r.lang for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(fit_rows // 4).collect()]
-    if not langs:
+    n = rows.select("lang").distinct().count()
+    if not n:
         return None
-    each = max(4, fit_rows // len(langs))
-    keys = rows.where("id is not null").select("lang", "id", F.xxhash64("id").alias("h")).distinct()
-    # a top-k for each language, of ids alone: no language is sorted or gathered whole
-    tops = [keys.where(F.col("lang") == n).orderBy("h", "id").limit(each).select("lang", "id") for n in langs]
-    got = rows.join(F.broadcast(reduce(DataFrame.union, tops)), ["lang", "id"]).groupBy("lang", "id").agg(
-        F.min_by("text", F.xxhash64("text")).alias("text")).collect()
-    got.sort(key=lambda r: (r.id, r.lang, r.text))
-    got = [r for r in got if has_letter(r.text)]
-    return fit([r.text for r in got], [r.lang for r in got], landmarks, ridge) if got else None
+    each = max(LEAST_ROWS, fit_rows // n)
+    # the first of each language in parts, then of these: no language is sorted in one task
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = rows.where("id is not null").select("lang", "id", F.xxhash64("id").alias("h")).distinct().withColumn(
+        "part", F.pmod(F.xxhash64("id", F.lit("part")), F.lit(parts)))
+    for by in (["lang", "part"], ["lang"]):
+        first = F.row_number().over(Window.partitionBy(*by).orderBy("h", "id"))
+        keys = keys.withColumn("at", first).where(F.col("at") <= each).drop("at")
+    kept = rows.join(F.broadcast(keys.select("lang", "id")), ["lang", "id"]).groupBy("lang", "id").agg(
+        F.min_by("text", F.xxhash64("text")).alias("text"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, BATCH):
+                found = [x for x in zip(*[c.to_pylist() for c in whole.slice(at, BATCH).columns]) if has_letter(x[2])]
+                bits = []
+                for _, _, text in found:
+                    seen = np.zeros(SLOTS, bool)
+                    seen[slots(text)] = True
+                    bits.append(np.packbits(seen).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.string()),
+                                                  pa.array(bits, pa.binary())], ["lang", "id", "bits"])
+
+    got = kept.select("lang", "id", "text").mapInArrow(sets, "lang string, id string, bits binary").collect()
+    got.sort(key=lambda r: (r.id, r.lang, r.bits))
+    found = [np.flatnonzero(np.unpackbits(np.frombuffer(r.bits, np.uint8))) for r in got]
+    return fit(found, [r.lang for r in got], landmarks, ridge) if got else None
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -145,8 +166,8 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model | None = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                b = whole.slice(at, 256)
+            for at in range(0, whole.num_rows, BATCH):
+                b = whole.slice(at, BATCH)
                 texts = b.column(1).to_pylist()
                 lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
                 real = [i for i, t in enumerate(texts) if m is not None and has_letter(t)]
