@@ -4,9 +4,9 @@
 in state by time bucket, in chunks as they come, so no task holds a key's whole
 micro-batch; once the watermark has passed them they are taken in order of
 time.  State that lasts is the last reading and, for each watched column, its
-value and run length.  Event-time timers wake a key when a bucket is complete,
-when its last reading is older than the allowed gap (the machine has fallen
-silent, though nothing arrives any more), and when it may be forgotten.
+value and run length.  An event-time timer wakes a key when the next waiting
+reading's turn has come, when its last reading is older than the allowed gap
+(the machine has fallen silent, though nothing arrives any more), and when it may be forgotten.
 
 Needs the RocksDB state store (``use_rocksdb``).
 """
@@ -14,11 +14,11 @@ Needs the RocksDB state store (``use_rocksdb``).
 from __future__ import annotations
 
 import math
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -27,6 +27,10 @@ from .jobs import MONITOR_OUTPUT, _run_lengths
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 BUCKET_SECONDS = 3600
+#: Readings of one arrival up to which they wait as one entry, and readings that are put in order at once, about.
+ENTRY_ROWS = 1_000
+TAKE_ROWS = 20_000
+NO_ID = np.iinfo("i8").max
 FORGET_SECONDS = 365 * 86_400.0
 
 
@@ -35,6 +39,26 @@ def use_rocksdb(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
 
 
+class _Held:
+    """What lasts of a key: its last reading, the run of each watched column, and what waits."""
+
+    SCHEMA = ("us long, id long, line_id string, silent boolean, values binary, runs binary, "
+              "first long, entries long, timer long")
+
+    def __init__(self, row=None):
+        (self.us, self.id, self.line_id, self.silent, values, runs, self.first, self.entries, self.timer) = (
+            row or (None, None, None, None, None, None, None, 0, None))
+        self.values = None if values is None else np.frombuffer(values, dtype="f8").copy()
+        self.runs = None if runs is None else np.frombuffer(runs, dtype="i8").copy()
+
+    def forget(self) -> None:
+        self.us = self.id = self.line_id = self.silent = self.values = self.runs = None
+
+    def row(self) -> tuple:
+        values, runs = (None if a is None else a.tobytes() for a in (self.values, self.runs))
+        return (self.us, self.id, self.line_id, self.silent, values, runs, self.first, self.entries, self.timer)
+
+
 class MachineMonitor(StatefulProcessor):
     """Rows of ``MONITOR_OUTPUT``: ``gap``, ``stuck``, ``silent`` and ``late``.
 
@@ -42,6 +66,10 @@ class MachineMonitor(StatefulProcessor):
     ``silent``: a reading after which none came for ``gap_seconds`` (value: those),
     known as soon as the watermark is that far.  ``late``: a reading older
     than one that has been taken already.
+
+    A call to the state store and a data frame cost more than the readings of
+    most machines: what lasts of a key is one value, few waiting readings are
+    one entry, a key has one timer, and its rows leave in one frame.
     """
 
     def __init__(self, columns: list[str], gap_seconds: float, min_run: int, tolerance: float,
@@ -52,109 +80,159 @@ class MachineMonitor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "us long, id long, line_id string, silent boolean")
-        self.runs = handle.getMapState("runs", "column string", "value double, run long")
-        self.waiting = handle.getMapState("waiting", "bucket long", "readings binary")
+        self.held = handle.getValueState("held", _Held.SCHEMA)
+        self.waiting = handle.getMapState("waiting", "bucket long, entry long", "readings binary")
 
     # -- arrival ---------------------------------------------------------
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        last = self.last.get() if self.last.exists() else None
+        held = _Held(self.held.get())
         for chunk in rows:
-            us = chunk["timestamp"].astype("datetime64[us]").astype("int64").to_numpy()
-            chunk = chunk.drop(columns=["machine_id", "station_id", "timestamp"]).assign(us=us)
-            if last is not None:
-                ids = chunk["id"].to_numpy()
-                late = (us < last[0]) | ((us == last[0]) & (ids <= last[1]))
+            part = self._readings(chunk)
+            if held.us is not None:
+                late = (part["us"] < held.us) | ((part["us"] == held.us) & (part["id"] <= held.id))
                 if late.any():
-                    yield self._rows(key, chunk[late], "late", None, np.nan)
-                chunk = chunk[~late]
-            for bucket, part in chunk.groupby(chunk["us"] // self.bucket_us):
-                self._wait(int(bucket), part)
-        yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
+                    yield self._frame(key, [_rows(part[late], "late", None, np.nan)])
+                part = part[~late]
+            if len(part) <= ENTRY_ROWS:
+                self._wait(held, part)
+            else:
+                buckets = part["us"] // self.bucket_us
+                for bucket in np.unique(buckets):
+                    self._wait(held, part[buckets == bucket])
+        yield from self._drain(key, held, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._drain(key, timerValues.getCurrentWatermarkInMs())
-
-    def _wait(self, bucket: int, part: pd.DataFrame) -> None:
-        table = pa.Table.from_pandas(part, preserve_index=False)
-        if self.waiting.containsKey((bucket,)):
-            table = pa.concat_tables([pa.ipc.open_stream(self.waiting.getValue((bucket,))[0]).read_all(), table], promote_options="default")
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, table.schema) as out:
-            out.write_table(table)
-        self.waiting.updateValue((bucket,), (sink.getvalue().to_pybytes(),))
-        self.handle.registerTimer((bucket + 1) * self.bucket_us // 1000)
+        held = _Held(self.held.get())
+        if held.timer == expiredTimerInfo.getExpiryTimeInMs():
+            held.timer = None  # it is gone
+        yield from self._drain(key, held, timerValues.getCurrentWatermarkInMs())
+
+    def _readings(self, chunk: pd.DataFrame) -> np.ndarray:
+        part = np.empty(len(chunk), dtype=[("us", "i8"), ("id", "i8"), ("line_id", "O"), ("x", "f8", (len(self.columns),))])
+        part["us"] = chunk["timestamp"].astype("datetime64[us]").astype("int64")
+        part["id"] = chunk["id"].fillna(NO_ID)  # sorts last
+        part["line_id"] = chunk["line_id"]
+        for i, c in enumerate(self.columns):
+            part["x"][:, i] = pd.to_numeric(chunk[c], errors="coerce")
+        return part
+
+    def _wait(self, held: _Held, part: np.ndarray) -> None:
+        """Readings wait under the bucket of the first of them; those of a small entry may reach into later ones."""
+        if len(part):
+            first = int(part["us"].min())
+            self.waiting.updateValue((first // self.bucket_us, held.entries), (pickle.dumps(part, protocol=5),))
+            held.entries += 1
+            held.first = first if held.first is None else min(held.first, first)
 
     # -- in order of time --------------------------------------------------
-    def _drain(self, key, watermark_ms: int) -> Iterator[pd.DataFrame]:
+    def _drain(self, key, held: _Held, watermark_ms: int) -> Iterator[pd.DataFrame]:
         """Takes all readings up to the watermark: none before it can come any more."""
         now = watermark_ms * 1000
-        for bucket in sorted(k[0] for k in self.waiting.keys()):
-            if bucket * self.bucket_us > now:
-                break
-            part = pa.ipc.open_stream(self.waiting.getValue((bucket,))[0]).read_all().to_pandas()
-            self.waiting.removeKey((bucket,))
-            later = part["us"] > now
-            if later.any():
-                self._wait(bucket, part[later])
-            part = part[~later].sort_values(["us", "id"], kind="mergesort").reset_index(drop=True)
-            if len(part):
-                yield from self._take(key, part)
-        if not self.last.exists():
-            return
-        us, id_, line, silent = self.last.get()
-        if not silent:
-            if us + self.gap_us <= now:
-                yield self._silent(key, us, id_, line)
-                self.last.update((us, id_, line, True))
-            else:
-                self.handle.registerTimer(math.ceil((us + self.gap_us) / 1000))
-        if us + self.forget_us <= now:
-            self.last.clear()
-            self.runs.clear()
+        if held.first is not None and held.first <= now:
+            entries = sorted(self.waiting.keys())
+            due = [e for e in entries if e[0] * self.bucket_us <= now]
+            held.first = entries[len(due)][0] * self.bucket_us if len(due) < len(entries) else None
+            pool, k = self._readings_none(), 0
+            while k < len(due):
+                parts = [pool]
+                # whole buckets, so that no reading that is still to be loaded is before those that are taken
+                while k < len(due) and (len(parts) == 1 or sum(map(len, parts)) < TAKE_ROWS or due[k][0] == due[k - 1][0]):
+                    parts.append(pickle.loads(self.waiting.getValue(due[k])[0]))
+                    self.waiting.removeKey(due[k])
+                    k += 1
+                pool = np.concatenate(parts)
+                ready = pool["us"] <= now
+                if k < len(due):
+                    ready &= pool["us"] < due[k][0] * self.bucket_us
+                part, pool = pool[ready], pool[~ready]
+                if len(part):
+                    told = self._take(held, part[np.lexsort((part["id"], part["us"]))])
+                    if told:
+                        yield self._frame(key, told)
+            self._wait(held, pool)
+        told = []
+        if held.us is not None:
+            if not held.silent and held.us + self.gap_us <= now:
+                told.append(self._silent(held.us, held.id, held.line_id))
+                held.silent = True
+            if held.us + self.forget_us <= now:
+                held.forget()
+        if told:
+            yield self._frame(key, told)
+        self._keep(held)
+
+    def _keep(self, held: _Held) -> None:
+        """Stores what lasts, and sets the one timer: the next reading's turn, silence or forgetting."""
+        turns = [] if held.first is None else [held.first]
+        if held.us is not None:
+            turns.append(held.us + (self.forget_us if held.silent else min(self.gap_us, self.forget_us)))
+        timer = math.ceil(min(turns) / 1000) if turns else None
+        if timer != held.timer:
+            if held.timer is not None:
+                self.handle.deleteTimer(held.timer)
+            if timer is not None:
+                self.handle.registerTimer(timer)
+            held.timer = timer
+        if turns:
+            self.held.update(held.row())
         else:
-            self.handle.registerTimer(math.ceil((us + self.forget_us) / 1000))
+            self.held.clear()
+
+    def _readings_none(self) -> np.ndarray:
+        return np.empty(0, dtype=[("us", "i8"), ("id", "i8"), ("line_id", "O"), ("x", "f8", (len(self.columns),))])
 
-    def _take(self, key, part: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        us = part["us"].to_numpy()
-        last = self.last.get() if self.last.exists() else None
-        before = np.r_[us[0] if last is None else last[0], us[:-1]]
-        gap = us - before
+    def _take(self, held: _Held, part: np.ndarray) -> list[tuple]:
+        us, told = part["us"], []
+        fresh = held.us is None
+        gap = us - np.r_[us[0] if fresh else held.us, us[:-1]]
         wide = gap > self.gap_us
         if wide.any():
-            yield self._rows(key, part[wide], "gap", None, gap[wide] / 1e6)
+            told.append(_rows(part[wide], "gap", None, gap[wide] / 1e6))
             # the reading before each gap, unless its silence was told already
-            for i in np.flatnonzero(wide).tolist():
-                if i:
-                    yield self._silent(key, int(us[i - 1]), int(part["id"].iloc[i - 1]), part["line_id"].iloc[i - 1])
-                elif last is not None and not last[3]:
-                    yield self._silent(key, *last[:3])
-        for c in self.columns:
-            x = pd.to_numeric(part[c], errors="coerce").to_numpy(dtype=float)
-            held = self.runs.getValue((c,)) if last is not None and self.runs.containsKey((c,)) else None
-            first = np.nan if held is None or held[0] is None else float(held[0])
-            same = np.abs(x - np.r_[first, x[:-1]]) < self.tolerance  # null on either side: not the same
-            run = _run_lengths(same, 0 if held is None else int(held[1]))
+            before = part[:-1][wide[1:]]
+            if len(before):
+                told.append(_rows(before, "silent", None, self.gap_seconds))
+            if wide[0] and not held.silent:
+                told.append(self._silent(held.us, held.id, held.line_id))
+        n = len(self.columns)
+        values, runs = (np.full(n, np.nan), np.zeros(n, dtype="i8")) if fresh else (held.values, held.runs)
+        for i, c in enumerate(self.columns):
+            x = part["x"][:, i]
+            same = np.abs(x - np.r_[values[i], x[:-1]]) < self.tolerance  # null on either side: not the same
+            run = _run_lengths(same, int(runs[i]))
             stuck = same & (run >= self.need)
             if stuck.any():
-                yield self._rows(key, part[stuck], "stuck", c, x[stuck])
-            self.runs.updateValue((c,), (None if np.isnan(x[-1]) else float(x[-1]), int(run[-1])))
-        end = part.iloc[-1]
-        self.last.update((int(end["us"]), int(end["id"]), end["line_id"], False))
+                told.append(_rows(part[stuck], "stuck", c, x[stuck]))
+            runs[i] = run[-1]
+        end = part[-1]
+        held.us, held.id, held.line_id, held.silent = int(end["us"]), int(end["id"]), end["line_id"], False
+        held.values, held.runs = end["x"].copy(), runs
+        return told
 
     # -- output ------------------------------------------------------------
-    def _rows(self, key, part: pd.DataFrame, kind: str, column: str | None, value) -> pd.DataFrame:
-        out = pd.DataFrame({"machine_id": key[0], "station_id": key[1], "line_id": part["line_id"].to_numpy(), "id": part["id"].to_numpy(),
-                            "timestamp": pd.to_datetime(part["us"].to_numpy(), unit="us"), "kind": kind, "column": column, "value": value})
+    def _silent(self, us: int, id_: int, line) -> tuple:
+        return np.array([us]), np.array([id_]), np.array([line], dtype=object), "silent", None, self.gap_seconds
+
+    @staticmethod
+    def _frame(key, told: list[tuple]) -> pd.DataFrame:
+        sizes = [len(t[0]) for t in told]
+        us, ids, lines = (np.concatenate([t[i] for t in told]) for i in range(3))
+        kind, column = (np.repeat(np.array([t[i] for t in told], dtype=object), sizes) for i in (3, 4))
+        value = np.concatenate([np.broadcast_to(np.asarray(t[5], dtype=float), n) for t, n in zip(told, sizes)])
+        ids = pd.Series(ids).where(ids != NO_ID) if (ids == NO_ID).any() else ids
+        out = pd.DataFrame({"machine_id": key[0], "station_id": key[1], "line_id": lines, "id": ids,
+                            "timestamp": us.astype("datetime64[us]"), "kind": kind, "column": column, "value": value})
         return out[MONITOR_OUTPUT.fieldNames()]
 
-    def _silent(self, key, us: int, id_: int, line) -> pd.DataFrame:
-        return self._rows(key, pd.DataFrame({"us": [us], "id": [id_], "line_id": [line]}), "silent", None, self.gap_seconds)
-
     def close(self) -> None:
         pass
 
 
+def _rows(part: np.ndarray, kind: str, column: str | None, value) -> tuple:
+    """(us, id, line_id, kind, column, value) of some readings, a frame's worth of which leave together."""
+    return part["us"], part["id"], part["line_id"], kind, column, value
+
+
 def machine_monitor(valid: DataFrame, gap_seconds: float, delay: str, columns: list[str] | None = None,
                     min_run: int = q.STUCK_MIN_RUN, tolerance: float = q.STUCK_TOLERANCE,
                     bucket_seconds: int = BUCKET_SECONDS, forget_seconds: float = FORGET_SECONDS) -> DataFrame:

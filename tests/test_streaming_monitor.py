@@ -1,5 +1,8 @@
 """Keyed state in event-time order: arrival order does not matter, silence is told by timers, state is forgotten."""
 import random
+from datetime import timezone
+
+import pandas as pd
 
 from conftest import ts
 from millwright.session import scratch_path
@@ -39,3 +42,118 @@ def test_silence_is_told_once_and_a_forgotten_machine_starts_anew(spark):
     got = [r for r in _run(spark, batches, delay="1 minute", forget_seconds=60_000.0) if r[0] == "M1"]
     # 402 minutes are remembered, 1,600 are not: no gap before the third reading
     assert got == [("M1", "gap", 2, 402 * 60.0), ("M1", "silent", 1, 1800.0), ("M1", "silent", 2, 1800.0), ("M1", "silent", 3, 1800.0)]
+
+
+class _Store:
+    """A key's state and timers, and how often they were called."""
+
+    def __init__(self):
+        self.calls, self.timers = 0, set()
+
+    def getValueState(self, name, schema):
+        return _Value(self)
+
+    def getMapState(self, name, key, value):
+        return _Map(self)
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.discard(at)
+
+
+class _Value:
+    def __init__(self, store):
+        self.store, self.row = store, None
+
+    def exists(self):
+        self.store.calls += 1
+        return self.row is not None
+
+    def get(self):
+        self.store.calls += 1
+        return self.row
+
+    def update(self, row):
+        self.store.calls += 1
+        self.row = row
+
+    def clear(self):
+        self.store.calls += 1
+        self.row = None
+
+
+class _Map:
+    def __init__(self, store):
+        self.store, self.rows = store, {}
+
+    def keys(self):
+        self.store.calls += 1
+        return iter(list(self.rows))
+
+    def containsKey(self, key):
+        self.store.calls += 1
+        return key in self.rows
+
+    def getValue(self, key):
+        self.store.calls += 1
+        return self.rows[key]
+
+    def updateValue(self, key, value):
+        self.store.calls += 1
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        self.store.calls += 1
+        del self.rows[key]
+
+
+class _At:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+    def getExpiryTimeInMs(self):
+        return self.ms
+
+
+def _monitored(chunks, watermarks):
+    """Rows (kind, id, value) and calls of one key: a chunk arrives before each watermark, then its timers run out."""
+    handle, out = _Store(), []
+    m = monitor.MachineMonitor(["vibration_rms"], 1800.0, 6, 1e-9, 3600, 1e9)
+    m.init(handle)
+    for rows, mark in zip(chunks, watermarks):
+        at = _At(int(mark.replace(tzinfo=timezone.utc).timestamp() * 1000))
+        pdf = pd.DataFrame(rows, columns=["machine_id", "station_id", "line_id", "id", "timestamp", "vibration_rms"])
+        out += m.handleInputRows(("M1", "S"), iter([pdf] if rows else []), at)
+        for timer in sorted(t for t in handle.timers if t <= at.ms):
+            if timer in handle.timers:
+                handle.timers.discard(timer)
+                out += m.handleExpiredTimer(("M1", "S"), at, _At(timer))
+    told = pd.concat(out) if out else pd.DataFrame(columns=["kind", "id", "value"])
+    return sorted(zip(told["kind"], told["id"], told["value"])), handle.calls
+
+
+def test_readings_far_apart_cost_few_calls_of_the_state():
+    rows = [("M1", "S", "L", k, ts(k * 120), float(k)) for k in range(200)]
+    got, calls = _monitored([rows, []], [ts(-1), ts(200 * 120)])
+    assert [r for r in got if r[0] == "gap"] == [("gap", k, 7200.0) for k in range(1, 200)]
+    assert [r[1] for r in got if r[0] == "silent"] == list(range(200))
+    assert calls < 40
+
+
+def test_a_machine_of_many_readings_is_taken_in_order_of_time_piece_by_piece(monkeypatch):
+    monkeypatch.setattr(monitor, "ENTRY_ROWS", 20)
+    monkeypatch.setattr(monitor, "TAKE_ROWS", 30)
+    rows = [("M1", "S", "L", k, ts(k * 10 + 60 * (k > 350)), float(k // 8 % 2)) for k in range(500)]
+    want = _monitored([rows, []], [ts(-1), ts(10_000)])[0]
+    random.Random(1).shuffle(rows)
+    cuts = [rows[:15], rows[15:200], rows[200:], []]
+    got = _monitored(cuts, [ts(-4), ts(-3), ts(-2), ts(10_000)])[0]
+    assert got == want and [r for r in got if r[0] == "gap"] == [("gap", 351, 4200.0)]
+    assert len([r for r in got if r[0] == "stuck"]) == 62 * 3
