@@ -178,7 +178,7 @@ def q_stream_asof_join(spark, sf):
     pairs = asof_stream.asof_pairs(sj.read_table_stream(spark, land_s, S.SENSOR_SCHEMA, max_files=files_s),
                                    sj.read_table_stream(spark, land_p, S.PRODUCTION_SCHEMA, max_files=files_p),
                                    ASOF_TOLERANCE_SECONDS, f"{DELIVERY_SECONDS} seconds")
-    sj.run_available(pairs.writeStream.foreachBatch(asof_stream.asof_upsert_writer(sink)), ck)
+    sj.run_available(pairs.writeStream.outputMode("update").foreachBatch(asof_stream.asof_upsert_writer(sink)), ck)
     return asof_stream.read_asof(spark, sink).select(*ASOF_COLUMNS)
 
 

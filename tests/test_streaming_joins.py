@@ -45,3 +45,21 @@ def test_the_gate_sets_late_rows_aside_and_a_replay_decides_alike(spark):
         write(df, k)
     assert sorted(r.id for r in spark.read.parquet(on_time).collect()) == [1, 2, 3, 4, 7, 10]
     assert sorted((r.id, r.late_reason) for r in spark.read.parquet(late).collect()) == [(5, "late"), (6, "no_time"), (8, "late"), (9, "no_time")]
+
+
+def test_dense_readings_make_no_pairs(spark):
+    """200 readings and 200 events within the tolerance of one another: each row is handed on twice at most."""
+    land_s, land_p, sink, ck = (scratch_path(spark, n) for n in ("s", "p", "sink", "ck"))
+    sensors = [(k, "M1", "L", "S", ts(0, k), float(k)) for k in range(200)]
+    events = [(k, "L", "S", ts(0, k), 0.0) for k in range(200)]
+    s_type, p_type = _land(spark, land_s, S_SCHEMA, [sensors]), _land(spark, land_p, P_SCHEMA, [events])
+    pairs = asof_stream.asof_pairs(sj.read_table_stream(spark, land_s, s_type), sj.read_table_stream(spark, land_p, p_type), 1800.0, "10 minutes")
+    handed, write = [], asof_stream.asof_upsert_writer(sink)
+
+    def counted(batch, batch_id):
+        rows = batch.selectExpr("size(rows) as n") if "rows" in batch.columns else batch.selectExpr("1 as n")
+        handed.append(rows.agg({"n": "sum"}).first()[0] or 0)
+        write(batch, batch_id)
+    sj.run_available(pairs.writeStream.outputMode("update").foreachBatch(counted), ck)
+    assert sum(handed) <= 2 * (len(sensors) + len(events))
+    assert sorted((r.id_prod, r.id) for r in asof_stream.read_asof(spark, sink).collect()) == [(k, k) for k in range(200)]
