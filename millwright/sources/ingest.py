@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize
 
 CORRUPT = "_corrupt_record"
 SENSOR_REQUIRED_FIELDS = ["machine_id", "line_id", "station_id", "timestamp"]
@@ -180,11 +180,15 @@ def classify_envelopes(envelopes: DataFrame, text_col: str = "value",
     extra = [c for c in envelopes.columns if c != text_col]
     parsed = envelopes.select(_carried(extra), F.col(text_col).alias("raw_record"), F.from_json(
         F.col(text_col), _ENVELOPE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}).alias("_e"))
-    is_bad = F.col("_e").isNull() | F.col(f"_e.{CORRUPT}").isNotNull()
+    parsed = parsed.withColumn("_bad", F.col("_e").isNull() | F.col(f"_e.{CORRUPT}").isNotNull())
+    # written once: three outputs read it, and each filter would be pushed below the parse and repeat it
+    parsed = materialize(parsed.select("envelope", F.when(F.col("_bad"), F.col("raw_record")).alias("raw_record"),
+                                       *[F.col(f"_e.{k}").alias(f"_{k}") for k in ENVELOPE_KEYS], "_bad"), "envelopes")
+    is_bad = F.col("_bad")
 
     def records(key: str) -> DataFrame:
         # elements are kept as JSON text; a null element is a record without fields
-        return parsed.where(~is_bad).select("envelope", F.explode(f"_e.{key}").alias("value")).withColumn(
+        return parsed.where(~is_bad).select("envelope", F.explode(f"_{key}").alias("value")).withColumn(
             "value", F.coalesce("value", F.lit("null")))
 
     bad = parsed.where(is_bad).select("envelope", "raw_record", F.array(F.lit("malformed_envelope")).alias("reject_reasons"))
@@ -205,6 +209,8 @@ def unpack_envelopes(envelopes: DataFrame, text_col: str = "value") -> tuple[Dat
     """
     extra = [c for c in envelopes.columns if c != text_col]
     sensor, production, bad = classify_envelopes(envelopes, text_col, F.current_timestamp())
+    # written once: valid rows, counts and the quarantine are filters of them, and would parse again for each condition
+    sensor, production = materialize(sensor, "sensor_records"), materialize(production, "production_records")
     both = sensor.select("envelope", "is_valid", F.lit(1).alias("s")).unionByName(
         production.select("envelope", "is_valid", F.lit(0).alias("s")))
     counted = both.groupBy("envelope").agg(

@@ -96,3 +96,15 @@ def test_wide_to_core(spark):
     assert core["operating_hours"] == 58.0 and core["created_at"] == ts(0)
     prod = ig.wide_production_to_core(wide.withColumn("shift", F.lit("DAY"))).first()
     assert prod["batch_id"] == "LOT1"
+
+
+def test_unpacked_rows_are_parsed_once(spark):
+    """A filter of valid rows is not pushed below the parse, where it would repeat it for every condition."""
+    good = '{"sensor_readings":[{"id":1,"machine_id":"M","line_id":"L","station_id":"S","timestamp":"2026-05-01T06:00:00Z"},null],"production_events":[]}'
+    envelopes = spark.createDataFrame([(1, good), (2, "{")], "batch_id long, value string")
+    sensor, production, counted, bad = ig.unpack_envelopes(envelopes)
+    for df in (sensor, production, counted, bad):
+        assert "from_json" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.id for r in sensor.collect()] == [1] and production.count() == 0
+    assert sorted((r.kind, r.raw_record) for r in bad.collect()) == [("envelope", "{"), ("sensor_reading", "null")]
+    assert sorted((r.batch_id, r.sensor_count, r.rejected_count) for r in counted.collect()) == [(1, 1, 1), (2, 0, 0)]
