@@ -16,6 +16,7 @@ stopped.  State lives only where the semantics need it:
 
 from __future__ import annotations
 
+import pickle
 from datetime import timedelta
 from typing import Iterator
 
@@ -187,11 +188,9 @@ MONITOR_OUTPUT = T.StructType([
 ])
 
 
-def _state_schema(columns: list[str]) -> T.StructType:
-    fields = [T.StructField("last_us", T.LongType()), T.StructField("last_id", T.LongType())]
-    fields += [T.StructField(f"v_{c}", T.DoubleType()) for c in columns]
-    fields += [T.StructField(f"n_{c}", T.LongType()) for c in columns]
-    return T.StructType(fields)
+#: Hash groups of machines: a call of the monitor has the rows and the state of a group's machines.
+MONITOR_GROUPS = 1024
+_MONITOR_STATE = "machines binary"
 
 
 _EMPTY_MONITOR = pd.DataFrame({
@@ -209,73 +208,102 @@ def _run_lengths(same: np.ndarray, carried: int) -> np.ndarray:
     return np.where(same, np.where(last_break < 0, pos + 1 + carried, pos - last_break), 0)
 
 
+def _run_lengths_by(same: np.ndarray, first: np.ndarray, carried: np.ndarray) -> np.ndarray:
+    """``_run_lengths`` of keys that follow one another: ``first`` marks each one's first row, ``carried`` is by row."""
+    pos = np.arange(len(same))
+    begin = np.maximum.accumulate(np.where(first, pos, 0))
+    last_break = np.maximum.accumulate(np.where(~same, pos, -1))
+    return np.where(same, np.where(last_break < begin, pos - begin + 1 + carried, pos - last_break), 0)
+
+
+def _texts(column: pd.Series) -> np.ndarray:
+    return column.astype(object).where(column.notna(), None).to_numpy()
+
+
 def _monitor_fn(columns: list[str], gap_seconds: float, min_run: int, tol: float = q.STUCK_TOLERANCE):
+    """The monitor of some machines at once: a call costs more than the rows of most machines.
+
+    State: the machines met so far and, for each, last time and id, last values and current run lengths.
+    """
     need = max(min_run - 1, 1)
     names = [f.name for f in MONITOR_OUTPUT.fields]
+    k = len(columns)
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state):
-        machine, station = key
         if state.exists:
-            st = list(state.get)
-            last_us, last_id = st[0], st[1]
-            vals = [st[2 + i] for i in range(len(columns))]
-            runs = [st[2 + len(columns) + i] for i in range(len(columns))]
+            met, last_us, last_id, vals, runs = pickle.loads(state.get[0])
         else:
-            last_us, last_id, vals, runs = None, None, [None] * len(columns), [0] * len(columns)
-        pdf = pd.concat(list(pdfs), ignore_index=True)
-        # Arrival order inside a micro-batch is not guaranteed: order by event time.
-        pdf = pdf.sort_values(["timestamp", "id"], kind="mergesort").reset_index(drop=True)
-        us = pdf["timestamp"].astype("int64").to_numpy() // 1000
+            met, last_us, last_id, vals, runs = {}, np.empty(0, "i8"), np.empty(0, "i8"), np.empty((0, k)), np.empty((0, k), "i8")
+        chunks = list(pdfs)
+        pdf = chunks[0] if len(chunks) == 1 else pd.concat(chunks, ignore_index=True)
+        machines, stations = _texts(pdf["machine_id"]), _texts(pdf["station_id"])
+        old = len(met)
+        who = np.fromiter((met.setdefault(m, len(met)) for m in zip(machines, stations)), dtype="i8", count=len(pdf))
+        new = len(met) - old
+        has = np.arange(len(met)) < old  # machines with a last reading
+        last_us, last_id = np.r_[last_us, np.zeros(new, "i8")], np.r_[last_id, np.zeros(new, "i8")]
+        vals, runs = np.vstack([vals, np.full((new, k), np.nan)]), np.vstack([runs, np.zeros((new, k), "i8")])
+        stamps = pdf["timestamp"].to_numpy().astype("datetime64[us]")
+        no_time = np.isnat(stamps)
+        us = np.where(no_time, np.iinfo("i8").min // 1000, stamps.astype("int64"))
         ids = pdf["id"].to_numpy()
-        late = (np.zeros(len(pdf), dtype=bool) if last_us is None
-                else (us < last_us) | ((us == last_us) & (ids < last_id)))
-        parts = []
+        # Arrival order inside a micro-batch is not guaranteed: order by event time, rows without one last.
+        order = np.lexsort((ids, us, no_time, who))
+        who, us, ids, stamps, lines = who[order], us[order], ids[order], stamps[order], pdf["line_id"].to_numpy()[order]
+        machines, stations = machines[order], stations[order]
+        x = np.empty((len(us), k))
+        for i, c in enumerate(columns):
+            x[:, i] = pd.to_numeric(pdf[c], errors="coerce")
+        x = x[order]
+        parts = []  # (rows, kind, column, value)
+        late = has[who] & ((us < last_us[who]) | ((us == last_us[who]) & (ids < last_id[who])))
         if late.any():
-            lp = pdf[late]
-            parts.append(pd.DataFrame({"machine_id": machine, "station_id": station, "line_id": lp["line_id"],
-                                       "id": lp["id"], "timestamp": lp["timestamp"], "kind": "late",
-                                       "column": None, "value": np.nan}))
-        pdf, us = pdf[~late].reset_index(drop=True), us[~late]
-        if len(pdf):
-            prev_us = np.concatenate([[last_us if last_us is not None else -1], us[:-1]]).astype("int64")
-            has_prev = np.ones(len(pdf), dtype=bool)
-            has_prev[0] = last_us is not None
-            gap = (us - prev_us) / 1e6
-            g = has_prev & (gap > gap_seconds)
+            parts.append((np.flatnonzero(late), "late", None, np.nan))
+        rest = np.flatnonzero(~late)
+        if len(rest):
+            t, w = us[rest], who[rest]
+            first = np.r_[True, w[1:] != w[:-1]]
+            prev_us = np.where(first, last_us[w], np.r_[0, t[:-1]])
+            gap = (t - prev_us) / 1e6
+            g = (~first | has[w]) & (gap > gap_seconds)
             if g.any():
-                gp = pdf[g]
-                parts.append(pd.DataFrame({"machine_id": machine, "station_id": station, "line_id": gp["line_id"],
-                                           "id": gp["id"], "timestamp": gp["timestamp"], "kind": "gap",
-                                           "column": None, "value": gap[g]}))
+                parts.append((rest[g], "gap", None, gap[g]))
+            ends = np.r_[np.flatnonzero(first)[1:] - 1, len(t) - 1]
             for i, c in enumerate(columns):
-                x = pd.to_numeric(pdf[c], errors="coerce").to_numpy(dtype=float)
-                first_prev = np.nan if (last_us is None or vals[i] is None) else float(vals[i])
-                prev = np.concatenate([[first_prev], x[:-1]])
-                same = np.abs(x - prev) < tol  # NaN on either side -> False
-                rl = _run_lengths(same, int(runs[i]))
+                v = x[rest, i]
+                prev = np.where(first, vals[w, i], np.r_[np.nan, v[:-1]])
+                same = np.abs(v - prev) < tol  # NaN on either side -> False
+                rl = _run_lengths_by(same, first, runs[w, i])
                 hit = same & (rl >= need)
                 if hit.any():
-                    hp = pdf[hit]
-                    parts.append(pd.DataFrame({"machine_id": machine, "station_id": station,
-                                               "line_id": hp["line_id"], "id": hp["id"],
-                                               "timestamp": hp["timestamp"], "kind": "stuck", "column": c,
-                                               "value": x[hit]}))
-                vals[i] = None if np.isnan(x[-1]) else float(x[-1])
-                runs[i] = int(rl[-1])
-            last_us, last_id = int(us[-1]), int(pdf["id"].iloc[-1])
-        state.update(tuple([last_us, last_id] + vals + runs))
-        yield pd.concat(parts, ignore_index=True)[names] if parts else _EMPTY_MONITOR.copy()
+                    parts.append((rest[hit], "stuck", c, v[hit]))
+                vals[w[ends], i], runs[w[ends], i] = v[ends], rl[ends]
+            last_us[w[ends]], last_id[w[ends]] = t[ends], ids[rest[ends]]
+        state.update((pickle.dumps((met, last_us, last_id, vals, runs), protocol=5),))
+        if not parts:
+            yield _EMPTY_MONITOR
+            return
+        at = np.concatenate([p[0] for p in parts])
+        sizes = [len(p[0]) for p in parts]
+        kind, column = (np.repeat(np.array([p[j] for p in parts], dtype=object), sizes) for j in (1, 2))
+        value = np.concatenate([np.broadcast_to(np.asarray(p[3], dtype=float), n) for p, n in zip(parts, sizes)])
+        yield pd.DataFrame({"machine_id": machines[at], "station_id": stations[at], "line_id": lines[at], "id": ids[at],
+                            "timestamp": stamps[at], "kind": kind, "column": column, "value": value})[names]
 
     return fn
 
 
 def gap_stuck_monitor(valid: DataFrame, gap_seconds: float, columns: list[str] | None = None,
                       min_run: int = q.STUCK_MIN_RUN) -> DataFrame:
-    """Per (machine, station) state: emits ``gap``, ``stuck`` and ``late`` rows as data arrives."""
+    """Per (machine, station) state: emits ``gap``, ``stuck`` and ``late`` rows as data arrives.
+
+    Machines are dealt over hash groups, each of which is one call and one row of state.
+    """
     cols = columns or q.STUCK_COLUMNS
-    slim = valid.select("machine_id", "station_id", "line_id", "id", "timestamp", *cols)
-    return slim.groupBy("machine_id", "station_id").applyInPandasWithState(
-        _monitor_fn(cols, gap_seconds, min_run), MONITOR_OUTPUT, _state_schema(cols), "append",
+    group = F.pmod(F.xxhash64("machine_id", "station_id"), F.lit(MONITOR_GROUPS)).alias("_group")
+    slim = valid.select(group, "machine_id", "station_id", "line_id", "id", "timestamp", *cols)
+    return slim.groupBy("_group").applyInPandasWithState(
+        _monitor_fn(cols, gap_seconds, min_run), MONITOR_OUTPUT, _MONITOR_STATE, "append",
         GroupStateTimeout.NoTimeout)
 
 

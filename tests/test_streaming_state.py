@@ -47,3 +47,23 @@ def test_run_continues_across_batches_and_late_rows_are_set_aside():
     out3 = _run(fn, st, [("M1", "S1", "L", 8, ts(30), 3.0), ("M1", "S1", "L", 9, ts(61), 3.0)])
     assert list(out3[out3["kind"] == "late"]["id"]) == [8]
     assert out3[out3["kind"] == "gap"].empty
+
+
+def test_one_call_monitors_many_machines_each_by_itself():
+    """What a call for all machines tells is what calls for each of them tell."""
+    rows = [(f"M{m}", "S1", "L", 100 * m + k, ts(7 * k + m), float(k // (m + 2))) for m in range(6) for k in range(30)]
+    rows = [r for r in rows if r[3] % 100 not in (12, 13, 14, 15, 16)]
+    halves = [[r for r in rows if r[4] < ts(150)], [r for r in rows if r[4] >= ts(150)] + [("M2", "S1", "L", 999, ts(1), 0.0)]]
+
+    def told(groups):
+        out = []
+        for machines in groups:
+            fn, st = _monitor_fn(["vibration_rms"], gap_seconds=1800.0, min_run=6), FakeState()
+            for half in halves:
+                got = next(fn((0,), iter([_batch([r for r in half if r[0] in machines])]), st))
+                out += zip(got["machine_id"], got["kind"], got["id"], got["timestamp"], got["value"].fillna(-1))
+        return sorted(out)
+    each = [f"M{m}" for m in range(6)]
+    got = told([each])
+    assert got == told([[m] for m in each])
+    assert {r[1] for r in got} == {"gap", "stuck", "late"} and len({r[0] for r in got}) == 6
