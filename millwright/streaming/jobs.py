@@ -9,7 +9,8 @@ stopped.  State lives only where the semantics need it:
 * per-minute counts: each micro-batch writes its own, which add up whatever the
   order of arrival; an event-time window with watermark for low latency;
 * gaps and flatlines per (machine, station): ``applyInPandasWithState`` holding
-  last timestamp, last values and current run lengths -- a few numbers per key;
+  last timestamp, last values and current run lengths -- a few numbers per key,
+  by hash groups of keys;
 * as-of enrichment and scoring: ``foreachBatch`` runs the batch operators on
   each micro-batch against the landed sensor table.
 """
