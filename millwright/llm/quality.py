@@ -456,7 +456,9 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred weights
     old = [c for c in docs.columns if c not in ("quality_text", "quality_meta", "quality_score", "quality_keep")]
     base = docs.select(*old)
-    packed = base.select(F.struct(*old).alias("row"), F.col(text_col).alias("text"),
+    # the text goes to the executors' Python within its row, not a second time beside it
+    text_at = [c.lower() for c in old].index(text_col.lower())
+    packed = base.select(F.struct(*old).alias("row"),
                          *[(F.col(c) if c in old else F.lit(None)).cast(k).alias(c)
                            for c, k in zip(_COLUMNS, ("string", "string", "long"))])
     row_type = packed.schema["row"].dataType.simpleString()
@@ -470,7 +472,8 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
                     none = pa.nulls(b.num_rows, pa.float64())
                     out = [none, none, none]
                 else:
-                    texts, source, lang, n_chars = [c.to_pylist() for c in b.columns[1:]]
+                    texts = b.column(0).field(text_at).to_pylist()
+                    source, lang, n_chars = [c.to_pylist() for c in b.columns[1:]]
                     meta = _meta_matrix(np.array([_meta_code(*x) for x in zip(source, lang, n_chars)]).reshape(-1, 3))
                     out = [pa.array(s) for s in m.scores([text_features(t) for t in texts], meta)]
                 yield pa.RecordBatch.from_arrays([b.column(0), *out], ["row", "quality_text", "quality_meta", "quality_score"])

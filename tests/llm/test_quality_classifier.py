@@ -104,3 +104,20 @@ def test_the_table_gives_the_same_pseudo_labels_as_a_list(spark):
         assert len(gy) > 100 and gy.tolist() == wy.tolist()
         key = lambda rows: {(r[0].tobytes(), r[1].tobytes()) for r in rows}
         assert len(key(g) ^ key(w)) <= 4  # scores that differ past the ninth digit
+
+
+def test_scoring_sends_each_text_once(spark, monkeypatch):
+    """Rows go to Python and back whole, so a text beside its row would double what a task holds."""
+    docs = spark.createDataFrame([(i, None if i == 3 else f"some words of text {i}", "web", "en", 20 + i) for i in range(1200)],
+                                 "doc_id long, text string, source string, lang string, n_chars long").coalesce(1)
+    model = quality.Model(quality.TextView(), quality.MetaView(), (1.0, 0.0), (1.0, 0.0), np.array([1.0, 1.0, 0.0]))
+    model.text.weights = np.linspace(-1, 1, model.text.weights.size)
+    sent = []
+    map_in_arrow = type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a, **k: (sent.append(self.schema), map_in_arrow(self, *a, **k))[1])
+    out = {r.doc_id: r for r in quality.score(docs, model).collect()}
+    assert len(sent) == 1 and sent[0].simpleString().count("text:string") == 1
+    for i in (0, 3, 499, 500, 1199):  # on both sides of a slice's end
+        text = None if i == 3 else f"some words of text {i}"
+        want = model.scores([quality.text_features(text)], quality.meta_features("web", "en", 20 + i)[None])
+        assert out[i].text == text and [out[i].quality_text, out[i].quality_meta, out[i].quality_score] == pytest.approx([float(x[0]) for x in want])
