@@ -157,3 +157,33 @@ def test_a_machine_of_many_readings_is_taken_in_order_of_time_piece_by_piece(mon
     got = _monitored(cuts, [ts(-4), ts(-3), ts(-2), ts(10_000)])[0]
     assert got == want and [r for r in got if r[0] == "gap"] == [("gap", 351, 4200.0)]
     assert len([r for r in got if r[0] == "stuck"]) == 62 * 3
+
+
+def test_many_machines_cost_no_more_calls_and_frames_than_one(monkeypatch):
+    """A group's machines are told apart, nulls too, however their readings arrive; a call of the state serves all of them."""
+    monkeypatch.setattr(monitor, "ENTRY_ROWS", 300)
+    rng, rows, want = random.Random(5), [], []
+    names = [(f"M{i}", "S") for i in range(198)] + [(None, "S"), ("M1", None)]
+    for i, (machine, station) in enumerate(names):
+        for k in range(9):
+            late = 40 if k == 8 and i % 2 else 0
+            rows.append((machine, station, "L", 100 * i + k, ts(k * 5 + late, i), 2.0 if i % 4 == 3 else float(k % 2)))
+        if i % 2:
+            want += [("gap", 100 * i + 8, 2700.0), ("silent", 100 * i + 7, 1800.0)]
+        want.append(("silent", 100 * i + 8, 1800.0))
+        want += [("stuck", 100 * i + k, 2.0) for k in (5, 6, 7, 8) if i % 4 == 3]
+    rng.shuffle(rows)
+    handle, out = _Store(), []
+    m = monitor.MachineMonitor(["vibration_rms"], 1800.0, 6, 1e-9, 3600, 1e9)
+    m.init(handle)
+    frames = [pd.DataFrame(rows[i:i + 600], columns=["machine_id", "station_id", "line_id", "id", "timestamp", "vibration_rms"]) for i in range(0, len(rows), 600)]
+    for chunks, mark in ((frames, ts(20)), ([], ts(47)), ([], ts(5_000))):
+        at = _At(int(mark.replace(tzinfo=timezone.utc).timestamp() * 1000))
+        told = [*m.handleInputRows((3,), iter(chunks), at)]
+        assert len(told) <= 2
+        out += told
+    told = pd.concat(out)
+    assert sorted(zip(told["kind"], told["id"], told["value"])) == sorted(want)
+    assert all((None if x is None or x != x else x, None if y is None or y != y else y) == names[i // 100]
+               for x, y, i in zip(told["machine_id"], told["station_id"], told["id"]))
+    assert handle.calls < 60
